@@ -1,0 +1,26 @@
+"""Top-1 / bottom-1 key selection with a deterministic tie rule.
+
+pandas ``idxmax``/``idxmin`` return the first key in index (sorted) order
+among ties. ``min_by(key, struct(-value, key))`` expresses "largest value,
+then smallest key" as an ordinary aggregate, so it fuses with other
+aggregates and runs with partial aggregation (no sort, no single task).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def _c(c: Column | str) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
+def top_key(key: Column | str, value: Column | str) -> Column:
+    k = _c(key)
+    return F.min_by(k, F.struct((-_c(value)).alias("v"), k.alias("k")))
+
+
+def bottom_key(key: Column | str, value: Column | str) -> Column:
+    k = _c(key)
+    return F.min_by(k, F.struct(_c(value).alias("v"), k.alias("k")))
