@@ -45,11 +45,15 @@ def weekend_vs_weekday(clean: DataFrame) -> DataFrame:
 
 def category_share(clean: DataFrame) -> DataFrame:
     """TR6: TR3 rolled up by category, with its share of the total (1 decimal, as in the pie)."""
-    cat = category_trend(clean).groupBy("category").agg(F.sum("revenue").alias("revenue"))
-    # the category table is one row per category: a tiny window
-    total = F.sum("revenue").over(Window.partitionBy())
-    return cat.withColumn("share_pct", F.bround(F.try_divide(F.col("revenue"), total) * F.lit(100.0), 1)).withColumn(
-        "revenue", F.bround("revenue", 2)
+    # TR3's revenues are exact 2-decimal sums, so rolling them up equals the
+    # exact decimal sum per category; the total is exact too (order-independent).
+    d = non_null_key(delivered(clean), "year", "month", "category")
+    cat = d.groupBy("category").agg(F.sum("total_amount").alias("rev_dec"))
+    total = F.sum("rev_dec").over(Window.partitionBy())  # one row per category: a tiny window
+    return cat.select(
+        "category",
+        F.col("rev_dec").cast("double").alias("revenue"),
+        F.bround(F.try_divide(F.col("rev_dec").cast("double"), total.cast("double")) * 100.0, 1).alias("share_pct"),
     )
 
 

@@ -40,9 +40,10 @@ raw_sales AS (
     'ORD' || CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS order_id,
     c.c_name AS customer_name,
     CASE WHEN c.c_acctbal >= 0 THEN lower(replace(c.c_name, '#', '.')) || '@example.com' END AS customer_email,
+    lpad(CAST(o.o_custkey AS VARCHAR), 10, '0') AS customer_phone,
     p.p_name AS product_name,
     p.p_type AS category,
-    CAST({EXT} / CAST(l.l_quantity AS DECIMAL(12,2)) AS DECIMAL(12,2)) AS unit_price,
+    CAST(p.p_retailprice AS DECIMAL(12,2)) AS unit_price,
     CAST(l.l_quantity AS INTEGER) AS quantity,
     CAST({DISC} * 100 AS DECIMAL(5,2)) AS discount_pct,
     {DISC_AMT} AS discount_amt,
@@ -117,12 +118,13 @@ clean AS (
 ),
 delivered AS (SELECT * FROM clean WHERE order_status = '{S.STATUS_DELIVERED}')"""
 
-PREFIX = "WITH " + ",".join([RAW_SALES_SQL, PRE_SQL, CLEAN_SQL]) + "\n"
+PREFIX = "WITH " + ",".join([RAW_SALES_SQL, PRE_SQL, CLEAN_SQL])
 
 # Exact mean as both engines compute it.
 def mean(c: str) -> str:
     return f"CAST(SUM({c}) AS DOUBLE) / COUNT({c})"
 
 
-def q(tail: str) -> str:
-    return PREFIX + tail
+def q(select: str, ctes: str = "") -> str:
+    """PREFIX, optional extra CTEs (``name AS (...), ...``), then the final SELECT."""
+    return PREFIX + (",\n" + ctes if ctes else "") + "\n" + select

@@ -1,0 +1,101 @@
+"""Batch job (J1): load -> clean/save -> KPI -> forecast -> MIS tables.
+
+One Spark application. The raw feed is written once (S3) and the cleaning
+stage reads that table; the cleaned table is written once (S7) partitioned
+by (year, month), and every mart reads it back (column pruning and the
+status filter reach the Parquet scan). Written tables also cut lineage,
+so a lost executor recomputes from the last table, not from the sources.
+
+As in the reference, a failure in load or clean stops the run; KPI,
+forecast and MIS failures are recorded and the run continues.
+"""
+
+from __future__ import annotations
+
+import time
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerlens import schema as S
+from ledgerlens.operators import cleaning, forecast, kpis, reports
+from ledgerlens.sources import files, fixture
+
+STEP_SCHEMA = "step string, status string, rows long, seconds double, detail string"
+
+
+class StepFailed(RuntimeError):
+    pass
+
+
+def clean_and_save(spark: SparkSession, raw: DataFrame, path: str, params: S.Params) -> dict:
+    """C1-C10 + S7 in one write job; the C11 report is observed during the same pass."""
+    tagged = cleaning.tag(raw, params)
+    obs_cols = [F.count(F.lit(1)).alias("original_rows")]
+    obs_cols += [F.count_if(F.col("drop_reason") == r).alias(cleaning.REPORT_KEYS[r]) for r in cleaning.REASONS]
+    from pyspark.sql import Observation
+
+    obs = Observation("cleaning_report")
+    observed = tagged.observe(obs, *obs_cols)
+    kept = observed.where(F.col("drop_reason").isNull()).drop("drop_reason")
+    written = files.write_cleaned(cleaning.finish(kept), path)
+    report = dict(obs.get)
+    report["final_rows"] = written
+    report["rows_removed"] = report["original_rows"] - written
+    report["cleaning_pct"] = round(report["rows_removed"] / report["original_rows"] * 100, 2) if report["original_rows"] else 0.0
+    return report
+
+
+def run(spark: SparkSession, sf_dir: str, out_dir: str, params: S.Params | None = None) -> DataFrame:
+    params = params or fixture.fixture_params()
+    out = out_dir.rstrip("/")
+    steps: list[tuple] = []
+
+    def step(name, fn, critical):
+        t = time.time()
+        try:
+            rows, detail = fn()
+            steps.append((name, "ok", rows, round(time.time() - t, 3), detail))
+        except Exception as e:  # noqa: BLE001 - the job records the failure like the reference
+            steps.append((name, "failed", None, round(time.time() - t, 3), str(e)[:500]))
+            if critical:
+                raise StepFailed(name) from e
+
+    def load():
+        n = files.write_raw(fixture.raw_sales(spark, sf_dir), f"{out}/raw_sales")
+        return n, "raw_sales written"
+
+    def clean():
+        raw = files.read_table(spark, f"{out}/raw_sales")
+        rep = clean_and_save(spark, raw, f"{out}/cleaned_sales", params)
+        return rep["final_rows"], str(rep)
+
+    def kpi():
+        c = files.read_table(spark, f"{out}/cleaned_sales")
+        return files.write_table(kpis.kpi_summary(c), f"{out}/kpi_summary"), "kpi_summary written"
+
+    def fcst():
+        c = files.read_table(spark, f"{out}/cleaned_sales")
+        return files.write_table(forecast.forecast(c, params.forecast_days), f"{out}/sales_forecast"), "sales_forecast written"
+
+    def mis():
+        c = files.read_table(spark, f"{out}/cleaned_sales")
+        n = 0
+        for name, df in (
+            ("mis_summary", reports.mis_summary(c)),
+            ("mis_monthly", reports.mis_monthly(c)),
+            ("mis_categories", reports.mis_categories(c)),
+            ("mis_data", reports.mis_data(c)),
+        ):
+            n += files.write_table(df, f"{out}/{name}")
+        return n, "MIS tables written"
+
+    try:
+        step("load", load, True)
+        step("clean", clean, True)
+        step("kpi", kpi, False)
+        step("forecast", fcst, False)
+        step("mis", mis, False)
+    except StepFailed:
+        pass
+    return spark.createDataFrame(steps, STEP_SCHEMA)

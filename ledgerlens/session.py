@@ -20,8 +20,15 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # keep the driver's status store small: plans of many short queries pile up otherwise
+    "spark.sql.ui.retainedExecutions": "20",
+    "spark.ui.retainedJobs": "50",
+    "spark.ui.retainedStages": "50",
 }
 
+# Local (single-JVM) runs only: the driver JVM is the whole cluster there.
+LOCAL_CONF = {"spark.driver.memory": "16g"}
+
 
 def get_spark(
     app: str = "ledgerlens",
@@ -33,6 +40,8 @@ def get_spark(
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if master and master.startswith("local"):
+        conf.update(LOCAL_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})

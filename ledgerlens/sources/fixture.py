@@ -60,7 +60,7 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
 
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey, "left")
     cust_geo = cust.join(geo, cust.c_nationkey == geo.n_nationkey, "left")
@@ -72,7 +72,6 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ext = F.col("l_extendedprice").cast(S.MONEY)
     disc = F.col("l_discount").cast("decimal(4,2)")
-    qty = F.col("l_quantity").cast(S.MONEY)
     disc_amt = (ext * disc).cast(S.MONEY)
     status = (
         F.when(F.col("l_returnflag") == "R", "RETURNED")
@@ -92,7 +91,7 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lpad(F.col("o_custkey").cast("string"), 10, "0").alias("customer_phone"),
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
-        F.try_divide(ext, qty).cast(S.MONEY).alias("unit_price"),
+        F.col("p_retailprice").cast(S.MONEY).alias("unit_price"),
         F.col("l_quantity").cast("int").alias("quantity"),
         (disc * F.lit(100)).cast(S.PCT).alias("discount_pct"),
         disc_amt.alias("discount_amt"),
