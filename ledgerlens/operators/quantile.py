@@ -2,20 +2,26 @@
 
 ``exact`` mode follows the linear-interpolation definition (pandas
 ``quantile``, DuckDB ``quantile_cont``) but never builds a global
-value->count map the way Spark's ``percentile`` aggregate does:
+value->count map the way Spark's ``percentile`` aggregate does. Two passes:
 
-1. one pass computes ``n`` and approximate quantiles at ``p - d`` and
-   ``p + d`` (``percentile_approx`` sketches merge in O(1/eps) memory);
-   the sketch's rank guarantee (error <= n/accuracy, d = 3/accuracy) makes
-   these two values bracket the exact order statistics needed for ``p``;
-2. one pass counts the rows below the lower bracket and aggregates the
-   distinct values inside the bracket (a narrow value range, so a small
-   table after map-side partial aggregation);
-3. a running count over that small table picks the order statistics at
-   ``floor`` and ``ceil`` of ``p * (n - 1)`` and interpolates.
+1. ``n`` and approximate quantiles at ``p - d`` and ``p + d``
+   (``percentile_approx`` sketches merge in O(1/eps) memory). With
+   d = 3/accuracy the sketch's rank guarantee (error <= n/accuracy) makes
+   the two values bracket the exact order statistics needed for ``p``
+   once ``n (d - 1/accuracy) >= 2``; below ``SMALL_N`` rows the bracket is
+   simply [min, max].
+2. every value is mapped to a key per quantile: ``-inf`` below the bracket,
+   ``+inf`` above it, the value itself inside; one group-by on those keys
+   (map-side combined) leaves a table of at most a few thousand rows: the
+   distinct values of narrow brackets plus two sentinels.
 
-``exact_map`` uses Spark's ``percentile`` (exact, but its final merge holds
-every distinct value on one task); ``approx`` is ``percentile_approx`` alone.
+A running count over that small table (sorted by key; the ``-inf`` row
+counts everything below the bracket) gives each value's last 0-based
+position, so the order statistics at ``floor`` and ``ceil`` of
+``p * (n - 1)`` are picked and interpolated exactly.
+
+``exact_map`` is Spark's ``percentile`` (exact, but its final merge holds
+every distinct value on one task); ``approx`` is ``percentile_approx``.
 """
 
 from __future__ import annotations
@@ -23,7 +29,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-APPROX_ACCURACY = 100_000
+APPROX_ACCURACY = 10_000
+SMALL_N = 50_000
+NEG, POS = float("-inf"), float("inf")
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: tuple[float, ...], accuracy: int = APPROX_ACCURACY) -> DataFrame:
@@ -34,40 +42,52 @@ def exact_quantiles(df: DataFrame, col: str, probs: tuple[float, ...], accuracy:
         F.count(F.lit(1)).alias("n"),
         F.percentile_approx("x", F.array(*[F.lit(max(0.0, p - d)) for p in probs]), accuracy).alias("lo"),
         F.percentile_approx("x", F.array(*[F.lit(min(1.0, p + d)) for p in probs]), accuracy).alias("hi"),
+        F.min("x").alias("mn"),
+        F.max("x").alias("mx"),
+    )
+    # Below SMALL_N rows the sketch's error bound is smaller than the +-2
+    # ranks the interpolation positions need, so the bracket is the full range.
+    small_n = F.col("n") < F.lit(SMALL_N)
+    bounds = stats.select(
+        *[F.when(small_n, F.col("mn")).otherwise(F.col("lo")[i]).alias(f"lo{i}") for i in range(len(probs))],
+        *[F.when(small_n, F.col("mx")).otherwise(F.col("hi")[i]).alias(f"hi{i}") for i in range(len(probs))],
+    )
+    # one-row aggregate: broadcast is bounded by construction
+    keyed = vals.crossJoin(F.broadcast(bounds)).select(
+        *[
+            F.when(F.col("x") < F.col(f"lo{i}"), F.lit(NEG))
+            .when(F.col("x") > F.col(f"hi{i}"), F.lit(POS))
+            .otherwise(F.col("x"))
+            .alias(f"k{i}")
+            for i in range(len(probs))
+        ]
     )
+    small = keyed.groupBy(*[f"k{i}" for i in range(len(probs))]).agg(F.count(F.lit(1)).alias("c"))
     result = None
     for i, p in enumerate(probs):
-        one = _refine(vals, stats, i, p).withColumnRenamed("q", f"q{i}")
+        one = _pick(small, stats, i, p).withColumnRenamed("q", f"q{i}")
         result = one if result is None else result.crossJoin(one)
     return result
 
 
-def _refine(vals: DataFrame, stats: DataFrame, i: int, p: float) -> DataFrame:
-    s = stats.select(F.col("lo")[i].alias("lo"), F.col("hi")[i].alias("hi"), (F.lit(p) * (F.col("n") - 1)).alias("pos"))
-    s = s.withColumn("k_lo", F.floor("pos")).withColumn("k_hi", F.ceil("pos"))
-    # ``s`` is the one-row output of a global aggregate: a proven size bound.
-    joined = vals.crossJoin(F.broadcast(s.select("lo", "hi")))
-    below = joined.agg(F.count_if(F.col("x") < F.col("lo")).alias("below"))
-    inside = (
-        joined.where((F.col("x") >= F.col("lo")) & (F.col("x") <= F.col("hi")))
-        .groupBy("x")
-        .agg(F.count(F.lit(1)).alias("c"))
-    )
-    # ``inside`` holds the distinct values of a narrow bracket only.
-    w = Window.orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = (
-        inside.withColumn("cum", F.sum("c").over(w))
-        .crossJoin(F.broadcast(below))
-        .crossJoin(F.broadcast(s.select("k_lo", "k_hi", "pos")))
-        .withColumn("last_idx", F.col("below") + F.col("cum") - 1)
-    )
-    picked = cum.agg(
-        F.min_by("x", F.when(F.col("last_idx") >= F.col("k_lo"), F.col("x"))).alias("v_lo"),
-        F.min_by("x", F.when(F.col("last_idx") >= F.col("k_hi"), F.col("x"))).alias("v_hi"),
+def _pick(small: DataFrame, stats: DataFrame, i: int, p: float) -> DataFrame:
+    t = small.groupBy(F.col(f"k{i}").alias("k")).agg(F.sum("c").alias("c"))
+    # ``t`` holds one bracket's distinct values plus two sentinels: a tiny window
+    w = Window.orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    pos = stats.select((F.lit(p) * (F.col("n") - 1)).alias("pos"))
+    t = t.withColumn("last_idx", F.sum("c").over(w) - 1).crossJoin(F.broadcast(pos))
+    t = t.withColumn("k_lo", F.floor("pos")).withColumn("k_hi", F.ceil("pos"))
+    picked = t.agg(
+        F.min_by("k", F.when(F.col("last_idx") >= F.col("k_lo"), F.col("k"))).alias("v_lo"),
+        F.min_by("k", F.when(F.col("last_idx") >= F.col("k_hi"), F.col("k"))).alias("v_hi"),
         F.max("pos").alias("pos"),
-        F.max("k_lo").alias("k_lo"),
     )
-    return picked.select((F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("pos") - F.col("k_lo"))).alias("q"))
+    v_lo, v_hi = F.col("v_lo"), F.col("v_hi")
+    ok = ~F.col("v_lo").isin(NEG, POS) & ~F.col("v_hi").isin(NEG, POS)
+    frac = F.col("pos") - F.floor("pos")
+    q = F.when(v_lo == v_hi, v_lo).otherwise(v_lo + (v_hi - v_lo) * frac)
+    # A sentinel can only be picked if the sketch broke its rank guarantee.
+    return picked.select(F.when(ok, q).otherwise(F.raise_error(F.lit("quantile bracket missed"))).alias("q"))
 
 
 def quartiles(df: DataFrame, col: str, mode: str = "exact") -> DataFrame:
