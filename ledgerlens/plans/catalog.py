@@ -9,6 +9,7 @@ or on a fitted forecast have no oracle SQL (rows-only check).
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,12 +59,42 @@ def raw(spark: SparkSession, sf: str) -> DataFrame:
     return fixture.raw_sales(spark, sf)
 
 
+_BUILT: dict = {}
+
+
+def _tables(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """Run load + cleaning once per (session, input) and return (tagged, cleaned) table paths.
+
+    Marts then read the written cleaned table, as a deployment does: Parquet
+    scans with pushed filters and pruned columns, lineage cut at the table.
+    """
+    from ledgerlens.plans.pipeline import clean_and_save
+
+    key = (id(spark), sf)
+    if key not in _BUILT:
+        base = scratch_path(spark, f"catalog_{_tag(sf)}_{uuid.uuid4().hex[:8]}")
+        # S3: the feed lands as the raw table first, as in the batch job
+        files.write_raw(raw(spark, sf), f"{base}/raw_sales")
+        raw_t = files.read_table(spark, f"{base}/raw_sales")
+        clean_and_save(spark, raw_t, f"{base}/cleaned_sales", params(), f"{base}/tagged_sales")
+        _BUILT[key] = (f"{base}/tagged_sales", f"{base}/cleaned_sales")
+    return _BUILT[key]
+
+
+def pre_tagged(spark: SparkSession, sf: str) -> DataFrame:
+    """C1-C6 tags of every feed row (written table)."""
+    return spark.read.parquet(_tables(spark, sf)[0])
+
+
 def tagged(spark: SparkSession, sf: str) -> DataFrame:
-    return cleaning.tag(raw(spark, sf), params())
+    """Every feed row with its final ``drop_reason``."""
+    pre = pre_tagged(spark, sf)
+    return cleaning.apply_fences(pre, cleaning.fences(pre, params()))
 
 
 def clean(spark: SparkSession, sf: str) -> DataFrame:
-    return cleaning.clean(raw(spark, sf), params())
+    """The cleaned sales table (written once, read per query)."""
+    return files.read_table(spark, _tables(spark, sf)[1])
 
 
 q = O.q
@@ -256,8 +287,8 @@ RN = "row_number() OVER (PARTITION BY order_id ORDER BY loaded_at ASC NULLS LAST
 
 @register("c01_dedup_first_arrival", q(f"SELECT order_id, loaded_at, load_seq, total_amount FROM raw_sales QUALIFY {RN} = 1"))
 def c01(spark, sf):
-    r = raw(spark, sf)
-    return r.withColumn("_rn", cleaning.arrival_rank(params())).where("_rn = 1").select("order_id", "loaded_at", "load_seq", "total_amount")
+    r = cleaning.mark_first_arrival(raw(spark, sf), params())
+    return r.where("_first").select("order_id", "loaded_at", "load_seq", "total_amount")
 
 
 @register(
@@ -265,7 +296,7 @@ def c01(spark, sf):
     q("SELECT order_id, total_amount, sale_date FROM pre WHERE drop_reason IS NULL OR drop_reason NOT IN ('duplicate', 'null_critical')"),
 )
 def c02(spark, sf):
-    t = cleaning.tag_pre_fence(raw(spark, sf), params())
+    t = pre_tagged(spark, sf)
     return t.where(F.col("drop_reason").isNull() | ~F.col("drop_reason").isin("duplicate", "null_critical")).select(
         "order_id", "total_amount", "sale_date"
     )
@@ -281,7 +312,7 @@ def c02(spark, sf):
     ),
 )
 def c03(spark, sf):
-    t = cleaning.tag_pre_fence(raw(spark, sf), params())
+    t = pre_tagged(spark, sf)
     return t.where(F.col("drop_reason").isNull() | ~F.col("drop_reason").isin("duplicate", "null_critical")).select(
         "order_id", "customer_email", "discount_pct", "discount_amt", "payment_method"
     )
@@ -295,13 +326,13 @@ def c04(spark, sf):
 
 @register("c05_date_window", q("SELECT order_id, sale_date FROM pre WHERE drop_reason IS NULL OR drop_reason = 'non_positive'"))
 def c05(spark, sf):
-    t = cleaning.tag_pre_fence(raw(spark, sf), params())
+    t = pre_tagged(spark, sf)
     return t.where(F.col("drop_reason").isNull() | (F.col("drop_reason") == "non_positive")).select("order_id", "sale_date")
 
 
 @register("c06_positive_amount", q("SELECT order_id, total_amount FROM pre WHERE drop_reason IS NULL"))
 def c06(spark, sf):
-    t = cleaning.tag_pre_fence(raw(spark, sf), params())
+    t = pre_tagged(spark, sf)
     return t.where(F.col("drop_reason").isNull()).select("order_id", "total_amount")
 
 
@@ -315,9 +346,9 @@ def c06(spark, sf):
     ),
 )
 def c07(spark, sf):
-    pre = cleaning.tag_pre_fence(raw(spark, sf), params())
+    pre = pre_tagged(spark, sf)
     f = cleaning.fences(pre, params())
-    n_out = cleaning.tag(raw(spark, sf), params()).agg(F.count_if(F.col("drop_reason") == "outlier").alias("outliers"))
+    n_out = tagged(spark, sf).agg(F.count_if(F.col("drop_reason") == "outlier").alias("outliers"))
     return f.select(*[F.round(c, 4).alias(c) for c in ("q1", "q3", "iqr", "lower", "upper")]).crossJoin(n_out)
 
 

@@ -28,22 +28,19 @@ class StepFailed(RuntimeError):
     pass
 
 
-def clean_and_save(spark: SparkSession, raw: DataFrame, path: str, params: S.Params) -> dict:
-    """C1-C10 + S7 in one write job; the C11 report is observed during the same pass."""
-    tagged = cleaning.tag(raw, params)
-    obs_cols = [F.count(F.lit(1)).alias("original_rows")]
-    obs_cols += [F.count_if(F.col("drop_reason") == r).alias(cleaning.REPORT_KEYS[r]) for r in cleaning.REASONS]
-    from pyspark.sql import Observation
-
-    obs = Observation("cleaning_report")
-    observed = tagged.observe(obs, *obs_cols)
-    kept = observed.where(F.col("drop_reason").isNull()).drop("drop_reason")
-    written = files.write_cleaned(cleaning.finish(kept), path)
-    report = dict(obs.get)
-    report["final_rows"] = written
-    report["rows_removed"] = report["original_rows"] - written
-    report["cleaning_pct"] = round(report["rows_removed"] / report["original_rows"] * 100, 2) if report["original_rows"] else 0.0
-    return report
+def clean_and_save(spark: SparkSession, raw: DataFrame, path: str, params: S.Params, tagged_path: str | None = None) -> dict:
+    """C1-C10 + S7: tag once into a written table, then write the cleaned table from it.
+
+    Jobs: (1) feed -> C1-C6 tags -> ``tagged_sales`` table; (2) fences from
+    two pruned columns of that table; (3) cleaned rows -> ``cleaned_sales``
+    partitioned by (year, month); (4) the C11 report, an aggregate over the
+    ``drop_reason`` column only.
+    """
+    tagged_path = tagged_path or path.rstrip("/") + "_tagged"
+    tagged = cleaning.materialize(raw, params, tagged_path)
+    kept = tagged.where(F.col("drop_reason").isNull()).drop("drop_reason")
+    files.write_cleaned(cleaning.finish(kept), path)
+    return cleaning.cleaning_report(tagged).first().asDict()
 
 
 def run(spark: SparkSession, sf_dir: str, out_dir: str, params: S.Params | None = None) -> DataFrame:

@@ -115,3 +115,21 @@ def test_exact_quantiles_large_uses_bracket(spark):
     q1, q3 = np.quantile(v, (0.25, 0.75))
     assert abs(f.q1 - q1) < 1e-9 and abs(f.q3 - q3) < 1e-9
     assert abs(f.upper - (q3 + 1.5 * (q3 - q1))) < 1e-9
+
+
+def test_hot_duplicate_group_matches_window_semantics(spark):
+    # one order id holds a third of all rows; the join form must equal the window form
+    rows = [(i, "HOT" if i % 3 == 0 else f"O{i % 50}", float(i % 97 + 1), D, "x") for i in range(3000)]
+    raw = feed(spark, rows).repartition(8)
+    via_join = {r.load_seq for r in cleaning.mark_first_arrival(raw, P).where("_first").collect()}
+    via_window = {r.load_seq for r in raw.withColumn("rn", cleaning.arrival_rank(P)).where("rn = 1").collect()}
+    assert via_join == via_window and len(via_join) == 51
+
+
+def test_fixture_arrival_key_is_unique_per_order(spark):
+    from conftest import SF_SMALL
+    from ledgerlens.sources import fixture
+
+    r = fixture.raw_sales(spark, SF_SMALL)
+    dup = r.groupBy("order_id", "loaded_at", "load_seq").count().where("count > 1").count()
+    assert dup == 0

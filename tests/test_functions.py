@@ -30,6 +30,15 @@ def test_title_case_null(spark):
     assert _one(spark, title_case(F.col("v")), None) is None
 
 
+def test_title_case_forms_agree_with_python(spark):
+    from ledgerlens.functions.text import title_case_runs
+
+    words = ["a\tb", "x  y", "ÉCOLE über", "3rd-party's item", "--a--b", "snake_case_x", "ALL CAPS 2024", "é-à"]
+    df = spark.createDataFrame([(w,) for w in words], "v string")
+    for r in df.select("v", title_case("v").alias("a"), title_case_runs("v").alias("b")).collect():
+        assert r.a == r.b == r.v.title()
+
+
 def test_strip_removes_all_whitespace_kinds(spark):
     assert _one(spark, strip_ws(F.col("v")), " \t Fashion \n") == "Fashion"
     assert _one(spark, standardise(F.col("v")), "\t electronics  ") == "Electronics"
