@@ -1,8 +1,8 @@
 """Impact scores (I1-I6) for categories and regions.
 
-The scored tables are one row per category/region, so the min/max windows
-of the normaliser run over a tiny table; the expensive part is the grouped
-aggregate underneath, which is an ordinary distributed group-by.
+The scored tables are one row per category/region; their min/max come from
+one global aggregate joined back as a broadcast row. The expensive part is
+the grouped aggregate underneath, an ordinary distributed group-by.
 """
 
 from __future__ import annotations
@@ -15,14 +15,24 @@ from ledgerlens.functions.labels import grade
 from ledgerlens.operators.common import delivered, mean_d, non_null_key, sum_d
 
 
-def normalize(c: str) -> Column:
+def normalize(c: str, mn: Column, mx: Column) -> Column:
     """Min-max scale to 0-100 rounded to 2; 50 everywhere when max = min."""
-    w = Window.partitionBy()
-    mn, mx = F.min(c).over(w), F.max(c).over(w)
     scaled = F.bround(F.try_divide((F.col(c) - mn).cast("double"), (mx - mn).cast("double")) * 100.0, 2)
     return F.when(mx == mn, F.lit(50.0)).otherwise(scaled)
 
 
+def with_scores(df: DataFrame, spec: dict[str, str]) -> DataFrame:
+    """Add min-max scores ``{score_col: value_col}``; the min/max are one global aggregate.
+
+    The one-row min/max table is broadcast (bounded by construction), so the
+    scored table is never pulled into a single un-partitioned window.
+    """
+    stats = df.agg(*[F.min(v).alias(f"_mn_{v}") for v in spec.values()], *[F.max(v).alias(f"_mx_{v}") for v in spec.values()])
+    out = df.crossJoin(F.broadcast(stats))
+    out = out.withColumns({s: normalize(v, F.col(f"_mn_{v}"), F.col(f"_mx_{v}")) for s, v in spec.items()})
+    return out.drop(*[c for c in out.columns if c.startswith("_mn_") or c.startswith("_mx_")])
+
+
 def category_growth(clean: DataFrame) -> DataFrame:
     """Growth % per category from its last two present months; 0 with one month or prev = 0."""
     d = non_null_key(delivered(clean), "category", "year", "month")
@@ -46,9 +56,7 @@ def score_categories(clean: DataFrame) -> DataFrame:
     agg = d.groupBy("category").agg(sum_d("total_amount").alias("revenue"), F.count("order_id").alias("orders"))
     # keyed lookup, missing = 0 (both sides are one row per category)
     agg = agg.join(category_growth(clean), "category", "left").withColumn("growth_pct", F.coalesce("growth_pct", F.lit(0.0)))
-    agg = agg.withColumns(
-        {"rev_score": normalize("revenue"), "growth_score": normalize("growth_pct"), "vol_score": normalize("orders")}
-    )
+    agg = with_scores(agg, {"rev_score": "revenue", "growth_score": "growth_pct", "vol_score": "orders"})
     wr, wg, wv = S.CATEGORY_WEIGHTS
     score = F.col("rev_score") * wr + F.col("growth_score") * wg + F.col("vol_score") * wv
     agg = agg.withColumn("impact_score", F.bround(score, 1))
@@ -61,7 +69,7 @@ def score_regions(clean: DataFrame) -> DataFrame:
     agg = d.groupBy("region").agg(
         sum_d("total_amount").alias("revenue"), F.count("order_id").alias("orders"), mean_d("total_amount").alias("avg_val")
     )
-    agg = agg.withColumns({"rev_score": normalize("revenue"), "vol_score": normalize("orders"), "val_score": normalize("avg_val")})
+    agg = with_scores(agg, {"rev_score": "revenue", "vol_score": "orders", "val_score": "avg_val"})
     wr, wv, wa = S.REGION_WEIGHTS
     score = F.col("rev_score") * wr + F.col("vol_score") * wv + F.col("val_score") * wa
     return agg.withColumn("impact_score", F.bround(score, 1))

@@ -7,7 +7,7 @@ operators, all of which aggregate in a distributed way first.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens import schema as S
@@ -68,13 +68,13 @@ def category_table(clean: DataFrame, share_digits: int) -> DataFrame:
     """Delivered revenue, orders and revenue share per category (one row per category)."""
     d = non_null_key(delivered(clean), "category")
     c = d.groupBy("category").agg(F.sum("total_amount").alias("rev_dec"), F.count("order_id").alias("orders"))
-    # exact decimal total over one row per category (a tiny window), so the share is order-independent
-    total = F.sum("rev_dec").over(Window.partitionBy())
-    return c.select(
+    # exact decimal total (one row, broadcast), so the share is order-independent
+    total = c.agg(F.sum("rev_dec").alias("_total"))
+    return c.crossJoin(F.broadcast(total)).select(
         "category",
         F.col("rev_dec").cast("double").alias("revenue"),
         "orders",
-        F.bround(F.try_divide(F.col("rev_dec").cast("double"), total.cast("double")) * 100.0, share_digits).alias("share_pct"),
+        F.bround(F.try_divide(F.col("rev_dec").cast("double"), F.col("_total").cast("double")) * 100.0, share_digits).alias("share_pct"),
     )
 
 

@@ -235,6 +235,19 @@ def s01_s02_csv_ingest(spark, sf):
     return back.select(*RAW_COLS_NO_SEQ)
 
 
+@register("s01_s03_stream_ingest", q("SELECT " + ", ".join(RAW_COLS_NO_SEQ) + " FROM raw_sales"))
+def s01_s03_stream_ingest(spark, sf):
+    """S1-S3 incrementally: the feed dropped as CSV files, loaded by a Structured Streaming run."""
+    from ledgerlens.streaming import ingest
+
+    base = scratch_path(spark, f"stream_{_tag(sf)}_{uuid.uuid4().hex[:8]}")
+    # the feed arrives as several CSV drops
+    raw(spark, sf).select(*RAW_COLS_NO_SEQ).repartition(4).write.option("header", True).csv(f"{base}/drops")
+    q_ = ingest.start_ingest(spark, f"{base}/drops", f"{base}/raw_sales", f"{base}/_checkpoint")
+    q_.awaitTermination()
+    return ingest.read_ingested(spark, f"{base}/raw_sales").select(*RAW_COLS_NO_SEQ)
+
+
 @register("s03_s04_raw_table", q("SELECT * FROM raw_sales"))
 def s03_s04_raw_table(spark, sf):
     """S3 + S4: replace the raw table with the declared schema, then scan it."""
@@ -712,7 +725,15 @@ def _churn(spark, sf):
     return _CHURN_CACHE[key]
 
 
-@register("h07_favourite_encoding")
+@register(
+    "h07_favourite_encoding",
+    q(
+        """SELECT cu.customer_email, fc.fav_category,
+  CAST(dense_rank() OVER (ORDER BY fc.fav_category) - 1 AS DOUBLE) AS fav_category_enc
+  FROM cu JOIN fc USING (customer_email)""",
+        CUST + "," + FAVS,
+    ),
+)
 def h07(spark, sf):
     cm, _, _, feats = _churn(spark, sf)
     return cm.model.stages[0].transform(feats).select("customer_email", "fav_category", "fav_category_enc")
