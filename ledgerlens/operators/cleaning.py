@@ -52,8 +52,15 @@ _LONG_OFFSET = 2**63
 def _as_long(df: DataFrame, c: str) -> Column | None:
     """An order-preserving BIGINT for timestamp/date/integral columns, else None."""
     t = df.schema[c].dataType
-    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(c).cast("timestamp"))
+    if isinstance(t, T.TimestampType):
+        return F.unix_micros(F.col(c))
+    if isinstance(t, T.TimestampNTZType):
+        # wall-clock micros, independent of the session time zone
+        x = F.col(c)
+        day = F.unix_date(x.cast("date")).cast("long") * F.lit(86_400_000_000)
+        secs = (F.hour(x) * 3600 + F.minute(x) * 60).cast("long") * F.lit(1_000_000)
+        frac = (F.date_part(F.lit("SECOND"), x) * 1_000_000).cast("long")
+        return day + secs + frac
     if isinstance(t, T.DateType):
         return F.unix_date(F.col(c)).cast("long")
     if isinstance(t, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):

@@ -57,7 +57,7 @@ raw_sales AS (
          WHEN o.o_orderstatus = 'P' THEN 'CANCELLED'
          ELSE 'PENDING' END AS order_status,
     'Supplier#' || lpad(CAST(l.l_suppkey AS VARCHAR), 9, '0') AS salesperson,
-    CAST(l.l_shipdate AS TIMESTAMP) AS loaded_at
+    l.l_shipdate AS loaded_at
   FROM lineitem l
   LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
   LEFT JOIN customer c ON o.o_custkey = c.c_custkey

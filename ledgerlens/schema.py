@@ -77,7 +77,7 @@ RAW_SALES = T.StructType(
         T.StructField("sale_date", T.DateType()),
         T.StructField("order_status", T.StringType()),
         T.StructField("salesperson", T.StringType()),
-        T.StructField("loaded_at", T.TimestampType()),
+        T.StructField("loaded_at", T.TimestampNTZType()),
     ]
 )
 

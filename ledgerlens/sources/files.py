@@ -57,7 +57,7 @@ def coerce_raw(df: DataFrame) -> DataFrame:
         # arrival order = file split order then row order within the split
         out = out.withColumn("load_seq", F.monotonically_increasing_id())
     if "loaded_at" not in out.columns:
-        out = out.withColumn("loaded_at", F.current_timestamp())
+        out = out.withColumn("loaded_at", F.localtimestamp())
     return out.select(*[f.name for f in S.RAW_SALES.fields])
 
 

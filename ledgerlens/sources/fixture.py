@@ -102,5 +102,5 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").cast("date").alias("sale_date"),
         status.alias("order_status"),
         F.concat(F.lit("Supplier#"), F.lpad(F.col("l_suppkey").cast("string"), 9, "0")).alias("salesperson"),
-        F.col("l_shipdate").cast("timestamp").alias("loaded_at"),
+        F.col("l_shipdate").cast("timestamp_ntz").alias("loaded_at"),
     )

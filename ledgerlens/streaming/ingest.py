@@ -30,7 +30,7 @@ BATCH_SHIFT = 2**40
 def _write_batch(table_path: str):
     def write(batch: DataFrame, batch_id: int) -> None:
         seq = F.lit(batch_id * BATCH_SHIFT).cast("long") + F.monotonically_increasing_id()
-        typed = files.coerce_raw(batch.withColumn("load_seq", seq).withColumn("loaded_at", F.current_timestamp()))
+        typed = files.coerce_raw(batch.withColumn("load_seq", seq).withColumn("loaded_at", F.localtimestamp()))
         typed.write.mode("overwrite").parquet(f"{table_path.rstrip('/')}/batch_id={batch_id}")
 
     return write
