@@ -176,8 +176,8 @@ cu AS (SELECT customer_email, COUNT(order_id) AS total_orders, CAST(SUM(total_am
   {O.mean('total_amount')} AS avg_order_value, MAX(sale_date) AS last_order_date, MIN(sale_date) AS first_order_date,
   {O.mean('discount_pct')} AS avg_discount
   FROM delivered WHERE customer_email IS NOT NULL GROUP BY customer_email),
-cf AS (SELECT cu.*, date_diff('day', last_order_date, ref_date) AS days_since_last,
-  date_diff('day', first_order_date, last_order_date) AS customer_lifetime FROM cu CROSS JOIN ref),
+cf AS (SELECT cu.*, CAST(date_diff('day', last_order_date, ref_date) AS INTEGER) AS days_since_last,
+  CAST(date_diff('day', first_order_date, last_order_date) AS INTEGER) AS customer_lifetime FROM cu CROSS JOIN ref),
 cfe AS (SELECT *, round_even(total_orders / (customer_lifetime / 30.0 + 1.0), 3) AS order_frequency,
   CAST(days_since_last >= {S.CHURN_DAYS} AS INTEGER) AS churned FROM cf)"""
 FAVS = """fc AS (SELECT customer_email, category AS fav_category FROM (SELECT customer_email, category, COUNT(*) AS c
@@ -319,7 +319,7 @@ def c02(spark, sf):
     "c03_fill_defaults",
     q(
         f"""SELECT order_id, COALESCE(customer_email, '{S.FILL_EMAIL}') AS customer_email,
-  COALESCE(discount_pct, 0) AS discount_pct, COALESCE(discount_amt, 0) AS discount_amt,
+  COALESCE(discount_pct, CAST(0 AS DECIMAL(5,2))) AS discount_pct, COALESCE(discount_amt, CAST(0 AS DECIMAL(12,2))) AS discount_amt,
   COALESCE(payment_method, '{S.FILL_PAYMENT}') AS payment_method
   FROM pre WHERE drop_reason IS NULL OR drop_reason NOT IN ('duplicate', 'null_critical')"""
     ),
@@ -705,7 +705,7 @@ def h06(spark, sf):
 
 @register(
     "h06_churn_summary",
-    q("SELECT COUNT(*) AS customers, SUM(churned) AS churned, round_even(AVG(churned) * 100.0, 1) AS churn_rate_pct FROM cfe", CUST),
+    q("SELECT COUNT(*) AS customers, CAST(SUM(churned) AS BIGINT) AS churned, round_even(AVG(churned) * 100.0, 1) AS churn_rate_pct FROM cfe", CUST),
 )
 def h06s(spark, sf):
     return customers.churn_summary(customers.customer_features(clean(spark, sf)))

@@ -97,8 +97,8 @@ clean AS (
     product_name,
     {title_sql('category')} AS category,
     unit_price, quantity,
-    COALESCE(discount_pct, 0) AS discount_pct,
-    COALESCE(discount_amt, 0) AS discount_amt,
+    COALESCE(discount_pct, CAST(0 AS DECIMAL(5,2))) AS discount_pct,
+    COALESCE(discount_amt, CAST(0 AS DECIMAL(12,2))) AS discount_amt,
     total_amount,
     {title_sql(f"COALESCE(payment_method, '{S.FILL_PAYMENT}')")} AS payment_method,
     {title_sql('region')} AS region,
