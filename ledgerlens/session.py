@@ -12,12 +12,8 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-DEFAULT_CONF = {
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.execution.arrow.pyspark.enabled": "true",
+# Launch-time settings (only take effect when this process starts the JVM).
+LAUNCH_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # keep the driver's status store small: plans of many short queries pile up otherwise
@@ -26,8 +22,27 @@ DEFAULT_CONF = {
     "spark.ui.retainedStages": "50",
 }
 
+# Runtime SQL settings, applied only where the cluster/launcher did not set them.
+RUNTIME_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
 # Local (single-JVM) runs only: the driver JVM is the whole cluster there.
-LOCAL_CONF = {"spark.driver.memory": "16g"}
+LOCAL_CONF = {"spark.driver.memory": "16g", "spark.sql.session.timeZone": "UTC"}
+
+# Cluster runs: many shuffle partitions that AQE coalesces to ~256 MB each,
+# so one setting holds from gigabytes to 100 TB; partitions over 5x the
+# median (and 512 MB) are split by AQE's skew-join handling.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
 
 
 def get_spark(
@@ -36,19 +51,28 @@ def get_spark(
     shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
 ) -> SparkSession:
+    local = bool(master and master.startswith("local"))
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
-    if master and master.startswith("local"):
-        conf.update(LOCAL_CONF)
-    if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra_conf or {})
-    for k, v in conf.items():
+    launch = dict(LAUNCH_CONF)
+    if local:
+        launch.update(LOCAL_CONF)
+    for k, v in launch.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    runtime = dict(RUNTIME_CONF)
+    if not local:
+        runtime.update(CLUSTER_CONF)
+    if shuffle_partitions:
+        runtime["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    runtime.update(extra_conf or {})
+    launched = spark.sparkContext.getConf()
+    for k, v in runtime.items():
+        explicit = k in (extra_conf or {}) or (k == "spark.sql.shuffle.partitions" and shuffle_partitions)
+        if explicit or not launched.contains(k):
+            spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
     return spark
 
