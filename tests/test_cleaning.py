@@ -133,3 +133,14 @@ def test_fixture_arrival_key_is_unique_per_order(spark):
     r = fixture.raw_sales(spark, SF_SMALL)
     dup = r.groupBy("order_id", "loaded_at", "load_seq").count().where("count > 1").count()
     assert dup == 0
+
+
+def test_result_does_not_depend_on_partitioning(spark):
+    rows = [(i, f"O{i % 700}", float((i * 37) % 991 + 1), dt.date(2023 + i % 2, 1 + i % 12, 1 + i % 28), "fashion") for i in range(2000)]
+    rows.append((5000, "BIG", 1e6, D, "fashion"))
+    base = feed(spark, rows)
+    outs = []
+    for n in (1, 7):
+        c = cleaning.clean(base.repartition(n), P)
+        outs.append(sorted((r.order_id, float(r.total_amount)) for r in c.select("order_id", "total_amount").collect()))
+    assert outs[0] == outs[1] and len(outs[0]) == 700

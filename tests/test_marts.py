@@ -89,3 +89,63 @@ def test_normalize_constant_gives_fifty_and_scores_are_bounded(spark):
 def test_category_share_sums_to_hundred(spark):
     c = cleaned(spark, [(str(i), "a", "XYZ"[i % 3], "N", 10 + i, d(2024, 1 + i % 12), "Delivered") for i in range(30)])
     assert abs(sum(r.share_pct for r in trends.category_share(c).collect()) - 100) <= 0.15
+
+
+def test_half_even_rounding_of_ratios(spark):
+    # 0.125 -> 0.12 and 0.375 -> 0.38 (half-even), not half-up
+    from pyspark.sql import functions as F
+
+    from ledgerlens.functions import ratio
+
+    df = spark.createDataFrame([(1.0, 8.0), (3.0, 8.0)], "a double, b double")
+    assert [r.r for r in df.select(ratio("a", "b").alias("r")).collect()] == [0.12, 0.38]
+    assert df.select(F.round(F.lit(0.125), 2).alias("x")).first().x == 0.13  # what plain round would give
+
+
+def test_zero_denominators_give_null(spark):
+    # The reference would produce inf/NaN or raise; here the value is NULL
+    c = cleaned(spark, [
+        ("1", "a", "X", "N", 0.01, d(2024, 1), "Returned"),
+    ])
+    h = kpis.headline(c).first()
+    assert h.total_orders == 0 and h.avg_order_value is None and h.return_rate_pct == 100.0
+
+
+def test_unique_customers_ignore_nulls(spark):
+    # count(DISTINCT) ignores NULL e-mails
+    c = cleaned(spark, [
+        ("1", "a", "X", "N", 1, d(2024, 1), "Delivered"),
+        ("2", None, "X", "N", 1, d(2024, 1), "Delivered"),
+        ("3", "a", "X", "N", 1, d(2024, 1), "Delivered"),
+    ])
+    assert kpis.headline(c).first().total_customers == 1
+
+
+def test_zero_mean_growth_falls_back_to_default(spark):
+    # T19: "mean or default": an exact 0 mean uses the default growth
+    c = cleaned(spark, [
+        ("1", "a", "X", "N", 100, d(2024, 1), "Delivered"),
+        ("2", "a", "X", "N", 200, d(2024, 2), "Delivered"),
+        ("3", "a", "X", "N", 100, d(2024, 3), "Delivered"),
+        ("4", "a", "X", "N", 100, d(2024, 4), "Delivered"),
+    ])
+    # changes: +1.0, -0.5, 0.0 -> tail mean = 0.1666..; use a flat series instead
+    flat = cleaned(spark, [("1", "a", "X", "N", 100, d(2024, 1), "Delivered"), ("2", "a", "X", "N", 100, d(2024, 2), "Delivered")])
+    assert projection.revenue_projection(flat).first().growth == S.DEFAULT_GROWTH
+    assert round(projection.revenue_projection(c).first().growth, 6) == round((1.0 - 0.5 + 0.0) / 3, 6)
+    cat = {r.category: r for r in projection.category_projection(flat).collect()}
+    assert cat["X"].growth == S.DEFAULT_GROWTH
+
+
+def test_scores_round_twice(spark):
+    # Each normalised score is rounded to 2 before the weighted sum, which is rounded to 1
+    c = cleaned(spark, [
+        ("1", "a", "X", "N", 10, d(2024, 1), "Delivered"),
+        ("2", "a", "Y", "S", 40, d(2024, 1), "Delivered"),
+        ("3", "a", "Z", "E", 35, d(2024, 1), "Delivered"),
+        ("4", "a", "Z", "E", 35, d(2024, 2), "Delivered"),
+    ])
+    for r in impact.score_categories(c).collect():
+        assert r.rev_score == round(r.rev_score, 2)
+        want = round(r.rev_score * 0.5 + r.growth_score * 0.3 + r.vol_score * 0.2, 1)
+        assert abs(r.impact_score - want) < 1e-9
