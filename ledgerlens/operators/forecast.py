@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens import schema as S
 from ledgerlens.operators.common import delivered, non_null_key, sum_d
+from ledgerlens.session import ship_package
 
 # Fixed model settings (the reference's requested Prophet options and the
 # method's published defaults).
@@ -105,6 +106,7 @@ def daily_series(clean: DataFrame, by: str | None = None) -> DataFrame:
 
 def forecast(clean: DataFrame, days: int = S.FORECAST_DAYS, by: str | None = None) -> DataFrame:
     """F2 + F4: future rows only, values rounded to 2."""
+    ship_package(clean.sparkSession)  # fit_predict runs in the Python workers
     series = daily_series(clean, by)
     out = series.groupBy("series").applyInPandas(lambda pdf: fit_predict(pdf, days), schema=FORECAST_SCHEMA)
     return out.withColumns({c: F.bround(c, 2) for c in ("yhat", "yhat_lower", "yhat_upper")})

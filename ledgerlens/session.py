@@ -98,3 +98,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint directory for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return base.rstrip("/") + "/tables/" + name
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``ledgerlens`` importable in Python workers (grouped-map functions live in it).
+
+    Zips the package once per application and registers it with
+    ``addPyFile``: Spark copies it to every executor, as ``--py-files`` does.
+    """
+    import zipfile
+
+    import ledgerlens
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(ledgerlens.__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="ledgerlens-pyfiles-"), "ledgerlens.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, names in os.walk(pkg):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(dirpath, n)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
