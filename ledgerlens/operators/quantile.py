@@ -2,18 +2,21 @@
 
 ``exact`` mode follows the linear-interpolation definition (pandas
 ``quantile``, DuckDB ``quantile_cont``) but never builds a global
-value->count map the way Spark's ``percentile`` aggregate does. Two passes:
-
-1. ``n`` and approximate quantiles at ``p - d`` and ``p + d``
-   (``percentile_approx`` sketches merge in O(1/eps) memory). With
-   d = 3/accuracy the sketch's rank guarantee (error <= n/accuracy) makes
-   the two values bracket the exact order statistics needed for ``p``
-   once ``n (d - 1/accuracy) >= 2``; below ``SMALL_N`` rows the bracket is
-   simply [min, max].
-2. every value is mapped to a key per quantile: ``-inf`` below the bracket,
-   ``+inf`` above it, the value itself inside; one group-by on those keys
-   (map-side combined) leaves a table of at most a few thousand rows: the
-   distinct values of narrow brackets plus two sentinels.
+value->count map the way Spark's ``percentile`` aggregate does, and never
+merges per-task sketches on one reducer the way ``percentile_approx`` does
+(at 100 TB that is hundreds of thousands of sketches). Two passes:
+
+1. a histogram on a monotonic log-scale bucket key (256 buckets per power
+   of two, so a bucket spans 0.27% of its value): ``count``, ``min`` and
+   ``max`` per bucket, partial-aggregated map-side. The table has a few
+   thousand rows (at most ~550k for any double range). A running count over
+   it finds the bucket(s) holding the two order statistics around
+   ``p * (n - 1)``; their ``[min, max]`` is the bracket.
+2. every value is mapped to a key per quantile: ``-inf`` below the
+   bracket, ``+inf`` above it, the value itself inside. One group-by on
+   those keys leaves the distinct values of the brackets plus two
+   sentinels. For money (two decimals) a bracket holds at most
+   ``0.0027 * |x| * 100`` distinct values.
 
 A running count over that small table (sorted by key; the ``-inf`` row
 counts everything below the bracket) gives each value's last 0-based
@@ -26,34 +29,43 @@ every distinct value on one task); ``approx`` is ``percentile_approx``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 APPROX_ACCURACY = 10_000
-SMALL_N = 50_000
+BUCKETS_PER_OCTAVE = 256
 NEG, POS = float("-inf"), float("inf")
+_OFFSET = 1 << 30
+
+
+def bucket_key(x: Column) -> Column:
+    """Monotonic (non-decreasing in ``x``) BIGINT bucket: negatives < 0 < positives."""
+    level = F.floor(F.log2(F.abs(x)) * BUCKETS_PER_OCTAVE).cast("long")
+    return F.when(x > 0, F.lit(_OFFSET) + level).when(x < 0, -(F.lit(_OFFSET) + level)).otherwise(F.lit(0).cast("long"))
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: tuple[float, ...], accuracy: int = APPROX_ACCURACY) -> DataFrame:
+def _bounds(vals: DataFrame, probs: tuple[float, ...]) -> DataFrame:
+    """One row: ``n`` and, per quantile, the bracket ``lo{i}``/``hi{i}`` from the histogram."""
+    hist = vals.groupBy(bucket_key(F.col("x")).alias("b")).agg(
+        F.count(F.lit(1)).alias("c"), F.min("x").alias("mn"), F.max("x").alias("mx")
+    )
+    # the histogram has a few thousand rows: one running-count window is cheap
+    w = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hist = hist.withColumn("last_idx", F.sum("c").over(w) - 1).withColumn("n", F.sum("c").over(Window.partitionBy()))
+    aggs = [F.max("n").alias("n")]
+    for i, p in enumerate(probs):
+        pos = F.lit(p) * (F.col("n") - 1)
+        aggs.append(F.min_by("mn", F.when(F.col("last_idx") >= F.floor(pos), F.col("b"))).alias(f"lo{i}"))
+        aggs.append(F.min_by("mx", F.when(F.col("last_idx") >= F.ceil(pos), F.col("b"))).alias(f"hi{i}"))
+    return hist.agg(*aggs)
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: tuple[float, ...]) -> DataFrame:
     """One-row DataFrame with columns ``q0, q1, ...``: exact quantiles of ``col`` (nulls ignored)."""
     vals = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
-    d = 3.0 / accuracy
-    stats = vals.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("x", F.array(*[F.lit(max(0.0, p - d)) for p in probs]), accuracy).alias("lo"),
-        F.percentile_approx("x", F.array(*[F.lit(min(1.0, p + d)) for p in probs]), accuracy).alias("hi"),
-        F.min("x").alias("mn"),
-        F.max("x").alias("mx"),
-    )
-    # Below SMALL_N rows the sketch's error bound is smaller than the +-2
-    # ranks the interpolation positions need, so the bracket is the full range.
-    small_n = F.col("n") < F.lit(SMALL_N)
-    bounds = stats.select(
-        *[F.when(small_n, F.col("mn")).otherwise(F.col("lo")[i]).alias(f"lo{i}") for i in range(len(probs))],
-        *[F.when(small_n, F.col("mx")).otherwise(F.col("hi")[i]).alias(f"hi{i}") for i in range(len(probs))],
-    )
+    bounds = _bounds(vals, probs)
     # one-row aggregate: broadcast is bounded by construction
-    keyed = vals.crossJoin(F.broadcast(bounds)).select(
+    keyed = vals.crossJoin(F.broadcast(bounds.drop("n"))).select(
         *[
             F.when(F.col("x") < F.col(f"lo{i}"), F.lit(NEG))
             .when(F.col("x") > F.col(f"hi{i}"), F.lit(POS))
@@ -63,6 +75,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: tuple[float, ...], accuracy:
         ]
     )
     small = keyed.groupBy(*[f"k{i}" for i in range(len(probs))]).agg(F.count(F.lit(1)).alias("c"))
+    stats = bounds.select("n")
     result = None
     for i, p in enumerate(probs):
         one = _pick(small, stats, i, p).withColumnRenamed("q", f"q{i}")
@@ -86,7 +99,7 @@ def _pick(small: DataFrame, stats: DataFrame, i: int, p: float) -> DataFrame:
     ok = ~F.col("v_lo").isin(NEG, POS) & ~F.col("v_hi").isin(NEG, POS)
     frac = F.col("pos") - F.floor("pos")
     q = F.when(v_lo == v_hi, v_lo).otherwise(v_lo + (v_hi - v_lo) * frac)
-    # A sentinel can only be picked if the sketch broke its rank guarantee.
+    # A sentinel can only be picked if the bracket missed, which the histogram rules out.
     return picked.select(F.when(ok, q).otherwise(F.raise_error(F.lit("quantile bracket missed"))).alias("q"))
 
 
