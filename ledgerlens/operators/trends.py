@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.common import delivered, mean_d, month_window, non_null_key, pct_change, sum_d
+from ledgerlens.operators.common import delivered, mean_d, non_null_key, pct_change, sum_d
 
 
 def monthly_trend(clean: DataFrame) -> DataFrame:
@@ -69,7 +69,6 @@ __all__ = [
     "category_share",
     "category_trend",
     "last_months",
-    "month_window",
     "monthly_trend",
     "region_trend",
     "weekend_vs_weekday",

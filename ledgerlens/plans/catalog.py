@@ -98,7 +98,6 @@ def clean(spark: SparkSession, sf: str) -> DataFrame:
 
 
 q = O.q
-R2 = "round_even({}, 2)"
 
 # ---------------------------------------------------------------------------
 # Shared oracle CTEs
