@@ -144,3 +144,30 @@ def test_result_does_not_depend_on_partitioning(spark):
         c = cleaning.clean(base.repartition(n), P)
         outs.append(sorted((r.order_id, float(r.total_amount)) for r in c.select("order_id", "total_amount").collect()))
     assert outs[0] == outs[1] and len(outs[0]) == 700
+
+
+def test_hot_order_id_is_split_by_aqe_skew_join(spark):
+    """One order id holds a third of the rows: the dedup join is planned skew-aware and stays exact."""
+    from pyspark.sql import functions as F
+
+    conf = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        n = 60000
+        rows = [(i, "HOT" if i % 3 == 0 else f"O{i % 20000}", float(i % 97 + 1), D, "x") for i in range(n)]
+        raw = feed(spark, rows).repartition(8)
+        firsts = cleaning.mark_first_arrival(raw, P).where("_first").select("order_id", "load_seq")
+        got = {r.order_id: r.load_seq for r in firsts.collect()}
+        plan = firsts._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+        assert len(got) == 20001 and got["HOT"] == 0 and got["O1"] == 1
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
