@@ -28,6 +28,7 @@ def headline(clean: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("all_orders"),
         mean_d("discount_pct").alias("_disc_mean"),
         F.sum("discount_amt").cast("double").alias("_disc_sum"),
+        F.count(F.when(is_d, F.col("total_amount"))).alias("_d_amounts"),
     )
     return agg.select(
         F.bround(F.coalesce(F.col("_rev"), F.lit(0.0)), 2).alias("total_revenue"),
@@ -39,9 +40,18 @@ def headline(clean: DataFrame) -> DataFrame:
         "all_orders",
         F.bround("_disc_mean", 2).alias("avg_discount_pct"),
         F.bround("_disc_sum", 2).alias("total_discount"),
+        # unrounded values the report datasets use
+        F.coalesce(F.col("_rev"), F.lit(0.0)).alias("total_rev"),
+        F.col("_disc_sum").alias("total_disc"),
+        F.try_divide(F.col("_rev"), F.col("_d_amounts").cast("double")).alias("mean_delivered_amount"),
     )
 
 
+HEADLINE_KPIS = (
+    "total_revenue", "total_orders", "total_customers", "avg_order_value", "return_rate_pct", "avg_discount_pct", "total_discount",
+)
+
+
 def monthly(clean: DataFrame) -> DataFrame:
     """Delivered revenue by (year, month)."""
     return monthly_revenue(clean).select("year", "month", F.bround("revenue", 2).alias("revenue"))
@@ -95,6 +105,6 @@ def category_revenue(clean: DataFrame) -> DataFrame:
 
 def kpi_summary(clean: DataFrame) -> DataFrame:
     """The KPI record as one row (persisted to ``kpi_summary`` by the pipeline)."""
-    h = headline(clean).drop("returned_orders", "all_orders")
+    h = headline(clean).select(*HEADLINE_KPIS)
     g = mom_growth(clean).select("mom_growth_pct", "this_month_rev", "last_month_rev")
     return h.crossJoin(g).crossJoin(top_performers(clean))

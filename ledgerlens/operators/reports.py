@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ledgerlens import schema as S
 from ledgerlens.functions import bottom_key, top_key
 from ledgerlens.operators import customers, kpis, trends
-from ledgerlens.operators.common import delivered, mean_d, non_null_key, sum_d
+from ledgerlens.operators.common import delivered, non_null_key
 
 # Fixed coaching thresholds and savings factors.
 DISCOUNT_HIGH, DISCOUNT_MEDIUM = 20, 10
@@ -92,13 +92,12 @@ def mis_data(clean: DataFrame, n: int = S.MIS_DATA_ROWS) -> DataFrame:
 
 def impact_metrics(clean: DataFrame) -> DataFrame:
     """R5 + R7: unrounded revenue and AOV, return rate, MoM, tops and the good/bad flags."""
-    d = delivered(clean).agg(sum_d("total_amount").alias("total_revenue"), F.count(F.lit(1)).alias("total_orders"))
-    h = kpis.headline(clean).select("return_rate_pct")
+    h = kpis.headline(clean).select(F.col("total_rev").alias("total_revenue"), "total_orders", "return_rate_pct")
     g = kpis.mom_growth(clean).select("mom_growth_pct", F.col("this_month_raw").alias("this_month_rev"), F.col("last_month_raw").alias("last_month_rev"), "n_months")
-    one = d.crossJoin(h).crossJoin(g).crossJoin(_tops(clean))
+    one = h.crossJoin(g).crossJoin(_tops(clean))
     aov = F.coalesce(F.try_divide(F.col("total_revenue"), F.col("total_orders").cast("double")), F.lit(0.0))
     return one.select(
-        F.coalesce(F.col("total_revenue"), F.lit(0.0)).alias("total_revenue"),
+        "total_revenue",
         "total_orders",
         aov.alias("avg_order_value"),
         "return_rate_pct",
@@ -119,15 +118,14 @@ def impact_categories(clean: DataFrame) -> DataFrame:
 
 def coach_metrics(clean: DataFrame) -> DataFrame:
     """Return rate, mean discount, revenue, total discount, discount % of revenue, growth."""
+    # one pass for the totals (headline) and one for the monthly growth
     h = kpis.headline(clean)
-    rev = delivered(clean).agg(sum_d("total_amount").alias("total_rev"), mean_d("total_amount").alias("mean_delivered_amount"))
-    disc = clean.agg(F.sum("discount_amt").cast("double").alias("total_disc"))
     g = kpis.mom_growth(clean).select(F.col("mom_growth_raw").alias("growth"))
-    one = h.select("return_rate_pct", "avg_discount_pct", "returned_orders", "all_orders").crossJoin(rev).crossJoin(disc).crossJoin(g)
+    one = h.crossJoin(g)
     return one.select(
         "return_rate_pct",
         "avg_discount_pct",
-        F.coalesce(F.col("total_rev"), F.lit(0.0)).alias("total_rev"),
+        "total_rev",
         "total_disc",
         F.bround(F.try_divide(F.col("total_disc"), F.col("total_rev")) * 100.0, 2).alias("disc_pct_rev"),
         "growth",
