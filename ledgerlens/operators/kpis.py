@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens import schema as S
-from ledgerlens.functions import top_key
 from ledgerlens.operators.common import delivered, mean_d, monthly_revenue, non_null_key, sum_d
 
 
@@ -89,13 +88,33 @@ def revenue_by(clean: DataFrame, key: str) -> DataFrame:
     return d.groupBy(key).agg(sum_d("total_amount").alias("revenue"), F.count("order_id").alias("orders"))
 
 
+def top_keys(clean: DataFrame, keys: dict[str, str], bottom: dict[str, str] | None = None) -> DataFrame:
+    """Largest (and smallest) delivered-revenue key per dimension, in one scan.
+
+    One ``GROUPING SETS`` aggregate gives the revenue per value of every
+    dimension (NULL keys dropped), and a single global aggregate picks the
+    top/bottom key of each set with ``min_by`` (ties: smallest key).
+    ``keys``/``bottom`` map a dimension column to its output name.
+    """
+    bottom = bottom or {}
+    dims = list(dict.fromkeys([*keys, *bottom]))
+    d = delivered(clean)
+    g = d.groupingSets([[k] for k in dims], *dims).agg(
+        *[F.grouping(k).alias(f"_g_{k}") for k in dims], sum_d("total_amount").alias("_rev")
+    )
+    aggs = []
+    for k in dims:
+        in_set = (F.col(f"_g_{k}") == 0) & F.col(k).isNotNull()
+        if k in keys:
+            aggs.append(F.min_by(F.when(in_set, F.col(k)), F.when(in_set, F.struct((-F.col("_rev")).alias("v"), F.col(k).alias("k")))).alias(keys[k]))
+        if k in bottom:
+            aggs.append(F.min_by(F.when(in_set, F.col(k)), F.when(in_set, F.struct(F.col("_rev").alias("v"), F.col(k).alias("k")))).alias(bottom[k]))
+    return g.agg(*aggs)
+
+
 def top_performers(clean: DataFrame) -> DataFrame:
     """K8: top category, region and product by delivered revenue (ties: smallest key)."""
-    out = None
-    for key, name in (("category", "top_category"), ("region", "top_region"), ("product_name", "top_product")):
-        one = revenue_by(clean, key).agg(top_key(key, "revenue").alias(name))
-        out = one if out is None else out.crossJoin(one)
-    return out
+    return top_keys(clean, {"category": "top_category", "region": "top_region", "product_name": "top_product"})
 
 
 def category_revenue(clean: DataFrame) -> DataFrame:

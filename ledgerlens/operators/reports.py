@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens import schema as S
-from ledgerlens.functions import bottom_key, top_key
 from ledgerlens.operators import customers, kpis, trends
 from ledgerlens.operators.common import delivered, non_null_key
 
@@ -27,9 +26,7 @@ MIS_DATA_COLUMNS = ("order_id", "product_name", "category", "total_amount", "reg
 
 
 def _tops(clean: DataFrame) -> DataFrame:
-    cat = kpis.revenue_by(clean, "category").agg(top_key("category", "revenue").alias("top_category"))
-    reg = kpis.revenue_by(clean, "region").agg(top_key("region", "revenue").alias("top_region"))
-    return cat.crossJoin(reg)
+    return kpis.top_keys(clean, {"category": "top_category", "region": "top_region"})
 
 
 def mis_summary(clean: DataFrame) -> DataFrame:
@@ -137,13 +134,11 @@ def coach_metrics(clean: DataFrame) -> DataFrame:
 
 def best_worst(clean: DataFrame) -> DataFrame:
     """Best and worst category and region by delivered revenue (ties: smallest key)."""
-    cat = kpis.revenue_by(clean, "category").agg(
-        top_key("category", "revenue").alias("top_category"), bottom_key("category", "revenue").alias("low_category")
+    return kpis.top_keys(
+        clean,
+        {"category": "top_category", "region": "top_region"},
+        {"category": "low_category", "region": "low_region"},
     )
-    reg = kpis.revenue_by(clean, "region").agg(
-        top_key("region", "revenue").alias("top_region"), bottom_key("region", "revenue").alias("low_region")
-    )
-    return cat.crossJoin(reg)
 
 
 def weekend_revenue(clean: DataFrame) -> DataFrame:
