@@ -65,7 +65,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: tuple[float, ...]) -> DataFr
     vals = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
     bounds = _bounds(vals, probs)
     # one-row aggregate: broadcast is bounded by construction
-    keyed = vals.crossJoin(F.broadcast(bounds.drop("n"))).select(
+    keyed = vals.crossJoin(F.broadcast(bounds)).select(
         *[
             F.when(F.col("x") < F.col(f"lo{i}"), F.lit(NEG))
             .when(F.col("x") > F.col(f"hi{i}"), F.lit(POS))
@@ -75,20 +75,19 @@ def exact_quantiles(df: DataFrame, col: str, probs: tuple[float, ...]) -> DataFr
         ]
     )
     small = keyed.groupBy(*[f"k{i}" for i in range(len(probs))]).agg(F.count(F.lit(1)).alias("c"))
-    stats = bounds.select("n")
     result = None
     for i, p in enumerate(probs):
-        one = _pick(small, stats, i, p).withColumnRenamed("q", f"q{i}")
+        one = _pick(small, i, p).withColumnRenamed("q", f"q{i}")
         result = one if result is None else result.crossJoin(one)
     return result
 
 
-def _pick(small: DataFrame, stats: DataFrame, i: int, p: float) -> DataFrame:
+def _pick(small: DataFrame, i: int, p: float) -> DataFrame:
     t = small.groupBy(F.col(f"k{i}").alias("k")).agg(F.sum("c").alias("c"))
-    # ``t`` holds one bracket's distinct values plus two sentinels: a tiny window
+    # ``t`` holds one bracket's distinct values plus two sentinels: tiny windows
     w = Window.orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    pos = stats.select((F.lit(p) * (F.col("n") - 1)).alias("pos"))
-    t = t.withColumn("last_idx", F.sum("c").over(w) - 1).crossJoin(F.broadcast(pos))
+    t = t.withColumn("last_idx", F.sum("c").over(w) - 1).withColumn("n", F.sum("c").over(Window.partitionBy()))
+    t = t.withColumn("pos", F.lit(p) * (F.col("n") - 1))
     t = t.withColumn("k_lo", F.floor("pos")).withColumn("k_hi", F.ceil("pos"))
     picked = t.agg(
         F.min_by("k", F.when(F.col("last_idx") >= F.col("k_lo"), F.col("k"))).alias("v_lo"),
