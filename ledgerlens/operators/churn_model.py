@@ -130,7 +130,8 @@ def score(cm: ChurnModel, features: DataFrame) -> DataFrame:
     pred = cm.model.transform(_prepared(features).withColumn("w", F.lit(1.0)))
     prob = F.bround(vector_to_array("probability")[1] * 100.0, 1)
     out = pred.withColumn("churn_probability", prob).withColumn("risk_level", risk_level("churn_probability"))
-    return out.select("customer_email", "total_orders", "total_spent", "days_since_last", "churn_probability", "risk_level")
+    cols = ("customer_email", "total_orders", "total_spent", "days_since_last", "churn_probability", "risk_level")
+    return out.select(*cols).orderBy(F.col("churn_probability").desc(), "customer_email")
 
 
 def top_risk(scored: DataFrame, n: int = S.TOP_RISK_ROWS) -> DataFrame:

@@ -60,7 +60,7 @@ def score_categories(clean: DataFrame) -> DataFrame:
     wr, wg, wv = S.CATEGORY_WEIGHTS
     score = F.col("rev_score") * wr + F.col("growth_score") * wg + F.col("vol_score") * wv
     agg = agg.withColumn("impact_score", F.bround(score, 1))
-    return agg.withColumn("grade", grade("impact_score"))
+    return agg.withColumn("grade", grade("impact_score")).orderBy(F.col("impact_score").desc(), "category")
 
 
 def score_regions(clean: DataFrame) -> DataFrame:
@@ -72,4 +72,4 @@ def score_regions(clean: DataFrame) -> DataFrame:
     agg = with_scores(agg, {"rev_score": "revenue", "vol_score": "orders", "val_score": "avg_val"})
     wr, wv, wa = S.REGION_WEIGHTS
     score = F.col("rev_score") * wr + F.col("vol_score") * wv + F.col("val_score") * wa
-    return agg.withColumn("impact_score", F.bround(score, 1))
+    return agg.withColumn("impact_score", F.bround(score, 1)).orderBy(F.col("impact_score").desc(), "region")

@@ -118,8 +118,9 @@ def top_performers(clean: DataFrame) -> DataFrame:
 
 
 def category_revenue(clean: DataFrame) -> DataFrame:
-    """Delivered revenue per category (present sorted by revenue desc)."""
-    return revenue_by(clean, "category").select("category", F.bround("revenue", 2).alias("revenue"))
+    """Delivered revenue per category, descending (a sort of one row per category)."""
+    c = revenue_by(clean, "category")
+    return c.orderBy(F.col("revenue").desc(), "category").select("category", F.bround("revenue", 2).alias("revenue"))
 
 
 def kpi_summary(clean: DataFrame) -> DataFrame:

@@ -76,8 +76,8 @@ def category_table(clean: DataFrame, share_digits: int) -> DataFrame:
 
 
 def mis_categories(clean: DataFrame) -> DataFrame:
-    """Category sheet with share % (2 decimals)."""
-    return category_table(clean, 2)
+    """Category sheet with share % (2 decimals), by revenue descending."""
+    return category_table(clean, 2).orderBy(F.col("revenue").desc(), "category")
 
 
 def mis_data(clean: DataFrame, n: int = S.MIS_DATA_ROWS) -> DataFrame:
@@ -109,8 +109,8 @@ def impact_metrics(clean: DataFrame) -> DataFrame:
 
 
 def impact_categories(clean: DataFrame) -> DataFrame:
-    """Category revenue with share % (1 decimal)."""
-    return category_table(clean, 1).drop("orders")
+    """Category revenue with share % (1 decimal), by revenue descending."""
+    return category_table(clean, 1).drop("orders").orderBy(F.col("revenue").desc(), "category")
 
 
 def coach_metrics(clean: DataFrame) -> DataFrame:

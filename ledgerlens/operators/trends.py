@@ -16,8 +16,8 @@ def monthly_trend(clean: DataFrame) -> DataFrame:
         F.count("order_id").alias("orders"),
         F.bround(mean_d("total_amount"), 2).alias("avg_val"),
     )
-    w = Window.orderBy("year", "month")
-    return m.withColumn("mom_growth_pct", F.bround(pct_change("revenue", w) * F.lit(100.0), 2))
+    w = Window.orderBy("year", "month")  # one row per month: a tiny window
+    return m.withColumn("mom_growth_pct", F.bround(pct_change("revenue", w) * F.lit(100.0), 2)).orderBy("year", "month")
 
 
 def category_trend(clean: DataFrame) -> DataFrame:
@@ -27,13 +27,14 @@ def category_trend(clean: DataFrame) -> DataFrame:
 
 
 def region_trend(clean: DataFrame) -> DataFrame:
-    """TR4: revenue, orders, avg value per region (sort by revenue desc when presenting)."""
+    """TR4: revenue, orders, avg value per region, by revenue descending."""
     d = non_null_key(delivered(clean), "region")
-    return d.groupBy("region").agg(
+    g = d.groupBy("region").agg(
         F.bround(sum_d("total_amount"), 2).alias("revenue"),
         F.count("order_id").alias("orders"),
         F.bround(mean_d("total_amount"), 2).alias("avg_val"),
     )
+    return g.orderBy(F.col("revenue").desc(), "region")
 
 
 def weekend_vs_weekday(clean: DataFrame) -> DataFrame:
