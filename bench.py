@@ -24,7 +24,7 @@ ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
 from ledgerlens.operators import customers, forecast, impact, kpis, projection, quality, reports, trends  # noqa: E402
-from ledgerlens.plans.pipeline import clean_and_save  # noqa: E402
+from ledgerlens.plans.batch import clean_and_save  # noqa: E402
 from ledgerlens.session import get_spark  # noqa: E402
 from ledgerlens.sources import files, fixture  # noqa: E402
 

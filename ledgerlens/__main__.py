@@ -2,7 +2,7 @@
 
 Commands mirror the reference's entry points, each as one Spark application:
 
-    pipeline   load -> clean/save -> KPI -> forecast -> MIS tables (J1)
+    batch      load -> clean/save -> KPI -> forecast -> MIS tables (J1)
     validate   quality checks and score on the cleaned data (V1-V7)
     kpis       KPI summary, monthly revenue, category revenue (K)
     trends     monthly/category/region/weekend trends and shares (TR)
@@ -11,7 +11,7 @@ Commands mirror the reference's entry points, each as one Spark application:
     forecast   daily revenue forecast and projections (F)
     reports    MIS, impact, prediction and coach report datasets (R)
 
-Every command except ``pipeline`` reads the cleaned table that ``pipeline``
+Every command except ``batch`` reads the cleaned table that ``batch``
 wrote to ``--out``. Results are written as Parquet datasets under ``--out``.
 """
 
@@ -21,7 +21,7 @@ import argparse
 import sys
 
 from ledgerlens.operators import churn_model, customers, forecast, impact, kpis, projection, quality, reports, trends
-from ledgerlens.plans import pipeline
+from ledgerlens.plans import batch
 from ledgerlens.session import get_spark
 from ledgerlens.sources import files, fixture
 
@@ -78,7 +78,7 @@ def _outputs(cmd: str, c, spark, out: str, params) -> dict:
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="ledgerlens")
-    ap.add_argument("command", choices=["pipeline", "validate", "kpis", "trends", "impact", "churn", "forecast", "reports"])
+    ap.add_argument("command", choices=["batch", "validate", "kpis", "trends", "impact", "churn", "forecast", "reports"])
     ap.add_argument("--tables", required=True, help="directory with the source tables (<name>.parquet)")
     ap.add_argument("--out", required=True, help="output directory (shared storage on a cluster)")
     ap.add_argument("--master", default=None)
@@ -86,8 +86,8 @@ def main(argv: list[str] | None = None) -> int:
     spark = get_spark(master=args.master)
     params = fixture.fixture_params()
     out = args.out.rstrip("/")
-    if args.command == "pipeline":
-        pipeline.run(spark, args.tables, out, params).show(truncate=False)
+    if args.command == "batch":
+        batch.run(spark, args.tables, out, params).show(truncate=False)
         return 0
     c = files.read_table(spark, f"{out}/cleaned_sales")
     for name, df in _outputs(args.command, c, spark, out, params).items():

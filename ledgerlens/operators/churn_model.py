@@ -1,7 +1,7 @@
 """Churn model (H7-H14) on Spark ML.
 
 The reference trains a scikit-learn random forest on one machine. Here the
-same feature set goes through a Spark ML pipeline (distributed training and
+same feature set goes through Spark ML stages (distributed training and
 scoring):
 
 * H7  favourites encoded by sorted label order (``StringIndexer``,
@@ -61,7 +61,7 @@ def with_class_weights(train: DataFrame) -> DataFrame:
     return train.join(F.broadcast(w), "churned")  # at most two rows (one per class)
 
 
-def pipeline(features: tuple[str, ...] = S.CHURN_FEATURES, num_trees: int = 100, max_depth: int = 8, seed: int = SEED) -> Pipeline:
+def build_model(features: tuple[str, ...] = S.CHURN_FEATURES, num_trees: int = 100, max_depth: int = 8, seed: int = SEED) -> Pipeline:
     stages = [
         StringIndexer(inputCol="fav_category", outputCol="fav_category_enc", stringOrderType="alphabetAsc", handleInvalid="keep"),
         StringIndexer(inputCol="fav_region", outputCol="fav_region_enc", stringOrderType="alphabetAsc", handleInvalid="keep"),
@@ -89,12 +89,12 @@ def train(
     max_depth: int = 8,
     model_dir: str | None = None,
 ) -> tuple[ChurnModel, DataFrame]:
-    """H7-H9: fit the pipeline on the training split; returns the model and the held-out rows."""
+    """H7-H9: fit the model stages on the training split; returns the model and the held-out rows."""
     data = split(_prepared(features))
     tr = with_class_weights(data.where("is_train"))
     te = data.where(~F.col("is_train")).withColumn("w", F.lit(1.0))
-    fitted = pipeline(feature_cols, num_trees, max_depth).fit(tr)
-    # Persist the fitted pipeline to shared storage and score with the loaded
+    fitted = build_model(feature_cols, num_trees, max_depth).fit(tr)
+    # Persist the fitted model to shared storage and score with the loaded
     # copy: the artifact survives the driver, and a loaded model carries no
     # training summary (whose session reference cannot be shipped to tasks).
     path = model_dir or scratch_path(features.sparkSession, f"churn_model_{uuid.uuid4().hex[:12]}")

@@ -124,7 +124,7 @@ def category_revenue(clean: DataFrame) -> DataFrame:
 
 
 def kpi_summary(clean: DataFrame) -> DataFrame:
-    """The KPI record as one row (persisted to ``kpi_summary`` by the pipeline)."""
+    """The KPI record as one row (persisted to ``kpi_summary`` by the batch job)."""
     h = headline(clean).select(*HEADLINE_KPIS)
     g = mom_growth(clean).select("mom_growth_pct", "this_month_rev", "last_month_rev")
     return h.crossJoin(g).crossJoin(top_performers(clean))

@@ -68,7 +68,7 @@ def _tables(spark: SparkSession, sf: str) -> tuple[str, str]:
     Marts then read the written cleaned table, as a deployment does: Parquet
     scans with pushed filters and pruned columns, lineage cut at the table.
     """
-    from ledgerlens.plans.pipeline import clean_and_save
+    from ledgerlens.plans.batch import clean_and_save
 
     key = (id(spark), sf)
     if key not in _BUILT:
@@ -1006,9 +1006,9 @@ def r13(spark, sf):
 # ---------------------------------------------------------------------------
 # J: batch job
 # ---------------------------------------------------------------------------
-@register("j01_pipeline_steps")
+@register("j01_batch_job_steps")
 def j01(spark, sf):
-    from ledgerlens.plans import pipeline
+    from ledgerlens.plans import batch
 
-    out = scratch_path(spark, f"pipeline_{_tag(sf)}")
-    return pipeline.run(spark, sf, out).select("step", "status", "rows")
+    out = scratch_path(spark, f"batch_{_tag(sf)}")
+    return batch.run(spark, sf, out).select("step", "status", "rows")

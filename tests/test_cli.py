@@ -1,4 +1,4 @@
-"""Command line: pipeline then one mart command, on the smallest supplied tables."""
+"""Command line: batch job then one mart command, on the smallest supplied tables."""
 
 import os
 
@@ -7,9 +7,9 @@ from conftest import SF_SMALL
 from ledgerlens.__main__ import main
 
 
-def test_pipeline_then_kpis(spark, tmp_path):
+def test_batch_then_kpis(spark, tmp_path):
     out = str(tmp_path / "out")
-    assert main(["pipeline", "--tables", SF_SMALL, "--out", out, "--master", "local[*]"]) == 0
+    assert main(["batch", "--tables", SF_SMALL, "--out", out, "--master", "local[*]"]) == 0
     assert main(["kpis", "--tables", SF_SMALL, "--out", out, "--master", "local[*]"]) == 0
     k = spark.read.parquet(os.path.join(out, "kpis", "kpi_summary")).first()
     assert k.total_orders > 0 and k.top_category is not None
