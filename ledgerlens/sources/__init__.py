@@ -1,0 +1 @@
+"""Sources and sinks: the supplied tables, the fixture feed, CSV/Parquet readers and writers."""

@@ -1,0 +1 @@
+"""Structured Streaming: incremental load of raw CSV drops into the raw table."""
