@@ -25,10 +25,12 @@ class MissingInput(FileNotFoundError):
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm  # Hadoop FileSystem check, works for any cluster filesystem
+    """Hadoop FileSystem check (any cluster filesystem); ``path`` may be a glob."""
+    jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return bool(fs.exists(p))
+    matches = fs.globStatus(p)
+    return matches is not None and len(matches) > 0
 
 
 def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -171,3 +171,12 @@ def test_hot_order_id_is_split_by_aqe_skew_join(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_csv_reader_accepts_globs(spark, tmp_path):
+    hdr = ",".join(f.name for f in S.RAW_CSV.fields)
+    for i in range(2):
+        (tmp_path / f"part{i}.csv").write_text(hdr + f"\nORD{i},n,e,p,prod,Fashion,1,1,0,0,1.00,UPI,North,Delhi,2024-01-02,Delivered,s\n")
+    assert files.read_raw_csv(spark, str(tmp_path / "part*.csv")).count() == 2
+    with pytest.raises(files.MissingInput):
+        files.read_raw_csv(spark, str(tmp_path / "nothing*.csv"))
