@@ -974,15 +974,15 @@ cards AS (
   SELECT 1 AS card_no, 'revenue' AS topic, 'MoM growth' AS subject, growth AS metric,
     CASE WHEN growth < 0 THEN 'HIGH' ELSE 'LOW' END AS priority, CAST(NULL AS DOUBLE) AS savings_estimate FROM cm
   UNION ALL SELECT 2, 'discount', 'Average discount', avg_discount_pct,
-    CASE WHEN avg_discount_pct > 20 THEN 'HIGH' WHEN avg_discount_pct > 10 THEN 'MEDIUM' ELSE 'LOW' END, total_disc * 0.05 FROM cm
+    CASE WHEN avg_discount_pct > 20 THEN 'HIGH' WHEN avg_discount_pct > 10 THEN 'MEDIUM' ELSE 'LOW' END, total_disc * CAST(0.05 AS DOUBLE) FROM cm
   UNION ALL SELECT 3, 'churn', 'Customer churn rate', churn_rate_pct,
     CASE WHEN churn_rate_pct > 30 THEN 'HIGH' WHEN churn_rate_pct > 15 THEN 'MEDIUM' ELSE 'LOW' END,
-    churned_customers * 0.25 * COALESCE(cm.mean_delivered_amount, 0.0) FROM cm CROSS JOIN rcx
+    churned_customers * CAST(0.25 AS DOUBLE) * COALESCE(cm.mean_delivered_amount, 0.0) FROM cm CROSS JOIN rcx
   UNION ALL SELECT 4, 'category_top', top_category, NULL, 'LOW', NULL FROM bw
   UNION ALL SELECT 5, 'category_low', low_category, NULL, 'MEDIUM', NULL FROM bw
   UNION ALL SELECT 6, 'returns', 'Return rate', return_rate_pct,
     CASE WHEN return_rate_pct > 15 THEN 'HIGH' WHEN return_rate_pct > 10 THEN 'MEDIUM' ELSE 'LOW' END,
-    returned_orders * 0.03 * COALESCE(mean_delivered_amount, 0.0) FROM cm)"""
+    returned_orders * CAST(0.03 AS DOUBLE) * COALESCE(mean_delivered_amount, 0.0) FROM cm)"""
 
 
 @register("r11_coach_cards", q("SELECT card_no, topic, subject, metric, priority FROM cards", CARDS_SQL))
