@@ -37,16 +37,40 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
-def register(name: str, sql: str | None = None):
+def _as_double_sql(sql: str, cols: tuple[str, ...]) -> str:
+    repl = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols)
+    return f"SELECT * REPLACE ({repl}) FROM ({sql}) AS q"
+
+
+def _as_double(fn: Query, cols: tuple[str, ...]) -> Query:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        df = fn(spark, sf)
+        return df.withColumns({c: F.col(c).cast("double") for c in cols})
+
+    run.__doc__ = fn.__doc__
+    return run
+
+
+def register(name: str, sql: str | None = None, money: tuple[str, ...] = ()):
+    """Register a query and its oracle SQL.
+
+    ``money`` lists DECIMAL output columns that are presented as DOUBLE on
+    both sides (the stored tables keep DECIMAL(12,2)); Python receives
+    DECIMAL as ``Decimal`` from Spark but as ``float`` from DuckDB.
+    """
+
     def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
+        QUERIES[name] = _as_double(fn, money) if money else fn
         if sql is not None:
-            SQL[name] = sql
+            SQL[name] = _as_double_sql(sql, money) if money else sql
         return fn
 
     return deco
 
 
+MONEY4 = ("unit_price", "discount_pct", "discount_amt", "total_amount")
+
+
 def _tag(sf: str) -> str:
     return hashlib.sha1(sf.encode()).hexdigest()[:10]
 
@@ -224,7 +248,7 @@ def _sel(df: DataFrame, *cols: str) -> DataFrame:
 RAW_COLS_NO_SEQ = [f.name for f in S.RAW_SALES.fields if f.name not in ("load_seq", "loaded_at")]
 
 
-@register("s01_s02_csv_ingest", q("SELECT " + ", ".join(RAW_COLS_NO_SEQ) + " FROM raw_sales"))
+@register("s01_s02_csv_ingest", q("SELECT " + ", ".join(RAW_COLS_NO_SEQ) + " FROM raw_sales"), money=MONEY4)
 def s01_s02_csv_ingest(spark, sf):
     """S1 + S2: the raw feed written as header CSV, read back as text and coerced."""
     path = scratch_path(spark, f"raw_csv_{_tag(sf)}")
@@ -234,7 +258,7 @@ def s01_s02_csv_ingest(spark, sf):
     return back.select(*RAW_COLS_NO_SEQ)
 
 
-@register("s01_s03_stream_ingest", q("SELECT " + ", ".join(RAW_COLS_NO_SEQ) + " FROM raw_sales"))
+@register("s01_s03_stream_ingest", q("SELECT " + ", ".join(RAW_COLS_NO_SEQ) + " FROM raw_sales"), money=MONEY4)
 def s01_s03_stream_ingest(spark, sf):
     """S1-S3 incrementally: the feed dropped as CSV files, loaded by a Structured Streaming run."""
     from ledgerlens.streaming import ingest
@@ -247,7 +271,7 @@ def s01_s03_stream_ingest(spark, sf):
     return ingest.read_ingested(spark, f"{base}/raw_sales").select(*RAW_COLS_NO_SEQ)
 
 
-@register("s03_s04_raw_table", q("SELECT * FROM raw_sales"))
+@register("s03_s04_raw_table", q("SELECT * FROM raw_sales"), money=MONEY4)
 def s03_s04_raw_table(spark, sf):
     """S3 + S4: replace the raw table with the declared schema, then scan it."""
     path = scratch_path(spark, f"raw_sales_{_tag(sf)}")
@@ -261,14 +285,14 @@ def _written_clean(spark, sf) -> tuple[str, int]:
     return path, n
 
 
-@register("s05_s07_cleaned_table", q("SELECT * FROM clean"))
+@register("s05_s07_cleaned_table", q("SELECT * FROM clean"), money=MONEY4)
 def s05_s07_cleaned_table(spark, sf):
     """S7 + S5: write the cleaned table partitioned by (year, month) and scan it."""
     path, _ = _written_clean(spark, sf)
     return files.read_table(spark, path)
 
 
-@register("s06_delivered_scan", q("SELECT * FROM delivered"))
+@register("s06_delivered_scan", q("SELECT * FROM delivered"), money=MONEY4)
 def s06_delivered_scan(spark, sf):
     """Delivered rows of the written cleaned table (status filter pushed into the scan)."""
     path, _ = _written_clean(spark, sf)
@@ -297,7 +321,7 @@ def s09_predictions_csv(spark, sf):
 RN = "row_number() OVER (PARTITION BY order_id ORDER BY loaded_at ASC NULLS LAST, load_seq ASC NULLS LAST)"
 
 
-@register("c01_dedup_first_arrival", q(f"SELECT order_id, loaded_at, load_seq, total_amount FROM raw_sales QUALIFY {RN} = 1"))
+@register("c01_dedup_first_arrival", q(f"SELECT order_id, loaded_at, load_seq, total_amount FROM raw_sales QUALIFY {RN} = 1"), money=("total_amount",))
 def c01(spark, sf):
     r = cleaning.mark_first_arrival(raw(spark, sf), params())
     return r.where("_first").select("order_id", "loaded_at", "load_seq", "total_amount")
@@ -306,6 +330,7 @@ def c01(spark, sf):
 @register(
     "c02_drop_null_critical",
     q("SELECT order_id, total_amount, sale_date FROM pre WHERE drop_reason IS NULL OR drop_reason NOT IN ('duplicate', 'null_critical')"),
+    money=("total_amount",),
 )
 def c02(spark, sf):
     t = pre_tagged(spark, sf)
@@ -322,6 +347,7 @@ def c02(spark, sf):
   COALESCE(payment_method, '{S.FILL_PAYMENT}') AS payment_method
   FROM pre WHERE drop_reason IS NULL OR drop_reason NOT IN ('duplicate', 'null_critical')"""
     ),
+    money=("discount_pct", "discount_amt"),
 )
 def c03(spark, sf):
     t = pre_tagged(spark, sf)
@@ -342,7 +368,7 @@ def c05(spark, sf):
     return t.where(F.col("drop_reason").isNull() | (F.col("drop_reason") == "non_positive")).select("order_id", "sale_date")
 
 
-@register("c06_positive_amount", q("SELECT order_id, total_amount FROM pre WHERE drop_reason IS NULL"))
+@register("c06_positive_amount", q("SELECT order_id, total_amount FROM pre WHERE drop_reason IS NULL"), money=("total_amount",))
 def c06(spark, sf):
     t = pre_tagged(spark, sf)
     return t.where(F.col("drop_reason").isNull()).select("order_id", "total_amount")
@@ -374,7 +400,7 @@ def c09(spark, sf):
     return clean(spark, sf).select("order_id", "year", "month", "month_name", "quarter", "day_of_week", "is_weekend")
 
 
-@register("c10_revenue_band", q("SELECT order_id, total_amount, revenue_band FROM clean"))
+@register("c10_revenue_band", q("SELECT order_id, total_amount, revenue_band FROM clean"), money=("total_amount",))
 def c10(spark, sf):
     return clean(spark, sf).select("order_id", "total_amount", "revenue_band")
 
@@ -912,6 +938,7 @@ def r03(spark, sf):
         "SELECT " + ", ".join(reports.MIS_DATA_COLUMNS)
         + f" FROM delivered ORDER BY loaded_at, load_seq, order_id LIMIT {S.MIS_DATA_ROWS}"
     ),
+    money=("total_amount",),
 )
 def r04(spark, sf):
     return reports.mis_data(clean(spark, sf))
