@@ -6,8 +6,9 @@ scoring):
 
 * H7  favourites encoded by sorted label order (``StringIndexer``,
   ``alphabetAsc``), fitted once and reused for scoring;
-* H8  a deterministic, stratified 80/20 split: each class is split by a
-  seeded hash of the customer key (no row is ranked on one task);
+* H8  a deterministic stratified 80/20 split with the stratified-split
+  class sizes; rows are chosen by a seeded hash of the customer key
+  (no class is ranked on one task);
 * H9  ``RandomForestClassifier`` (100 trees, depth 8, seed 42) with
   balanced class weights ``n / (2 * n_class)`` from the training split;
 * H10 accuracy and ROC-AUC on the held-out split;
@@ -19,6 +20,7 @@ determinism of the outputs are checked, not value parity.
 
 from __future__ import annotations
 
+import math
 import uuid
 from dataclasses import dataclass
 
@@ -27,7 +29,7 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlens import schema as S
@@ -36,7 +38,6 @@ from ledgerlens.session import scratch_path
 
 SEED = 42
 TRAIN_FRACTION = 0.8
-HASH_BUCKETS = 1_000_000
 
 
 @dataclass
@@ -47,10 +48,50 @@ class ChurnModel:
     test_rows: int
 
 
+def stratified_sizes(class_counts: dict[int, int], test_fraction: float = 1 - TRAIN_FRACTION) -> dict[int, int]:
+    """Training rows per class, by the stratified-split rule.
+
+    n_test = ceil(test_fraction * n); each class gets floor(n_c * n_train / n)
+    training rows, and the rows still missing go to the largest remainders
+    (ties: smaller class label first).
+    """
+    n = sum(class_counts.values())
+    if n == 0:
+        return {c: 0 for c in class_counts}
+    n_train = n - math.ceil(test_fraction * n)
+    exact = {c: k * n_train / n for c, k in class_counts.items()}
+    sizes = {c: math.floor(v) for c, v in exact.items()}
+    left = n_train - sum(sizes.values())
+    for c in sorted(exact, key=lambda c: (-(exact[c] - sizes[c]), c))[:left]:
+        sizes[c] += 1
+    return sizes
+
+
 def split(features: DataFrame, seed: int = SEED, train_fraction: float = TRAIN_FRACTION) -> DataFrame:
-    """H8: add ``is_train`` by a seeded hash of the customer key (per-row, deterministic)."""
-    u = F.pmod(F.xxhash64("customer_email", F.lit(seed)), F.lit(HASH_BUCKETS)) / F.lit(float(HASH_BUCKETS))
-    return features.withColumn("is_train", u < F.lit(train_fraction))
+    """H8: add ``is_train``: per class, the ``stratified_sizes`` rows with the smallest seeded hash.
+
+    Exact class sizes without ranking a class on one task: a histogram of the
+    hash's top 16 bits per class (at most 2 x 65,536 rows) locates the bucket
+    holding each class's cut, and only that bucket's hashes are ranked.
+    """
+    spark = features.sparkSession
+    h = features.withColumn("_h", F.xxhash64("customer_email", F.lit(seed))).withColumn("_b", F.shiftright("_h", 48))
+    counts = {r["churned"]: r["n"] for r in h.groupBy("churned").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = stratified_sizes(counts, 1 - train_fraction)
+    want = spark.createDataFrame([(c, int(k)) for c, k in sizes.items()], "churned int, k long")
+    hist = h.groupBy("churned", "_b").agg(F.count(F.lit(1)).alias("c"))
+    w = Window.partitionBy("churned").orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hist = hist.withColumn("cum", F.sum("c").over(w)).join(F.broadcast(want), "churned")
+    cut = hist.where(F.col("cum") >= F.col("k")).groupBy("churned").agg(
+        F.min_by("_b", "_b").alias("cut_b"), F.min_by(F.col("cum") - F.col("c"), "_b").alias("below"), F.first("k").alias("k")
+    )
+    inside = h.join(F.broadcast(cut), "churned").where(F.col("_b") == F.col("cut_b")).select("churned", "_h", "below", "k")
+    w2 = Window.partitionBy("churned").orderBy("_h")  # one 2^-16 slice of one class
+    last = inside.withColumn("r", F.row_number().over(w2) + F.col("below")).where(F.col("r") == F.col("k"))
+    thr = last.select("churned", F.col("_h").alias("cut_h")).join(cut.select("churned", "cut_b"), "churned")
+    out = h.join(F.broadcast(thr), "churned", "left")
+    is_train = (F.col("_b") < F.col("cut_b")) | ((F.col("_b") == F.col("cut_b")) & (F.col("_h") <= F.col("cut_h")))
+    return out.withColumn("is_train", F.coalesce(is_train, F.lit(False))).drop("_h", "_b", "cut_b", "cut_h")
 
 
 def with_class_weights(train: DataFrame) -> DataFrame:

@@ -32,3 +32,14 @@ def test_churn_model_outputs(spark):
     w = churn_model.with_class_weights(churn_model.split(churn_model._prepared(feats)).where("is_train"))
     tot = w.agg(F.sum("w")).first()[0]
     assert abs(tot - w.count()) < 1e-6  # balanced weights sum to n
+
+
+def test_stratified_sizes_follow_the_split_rule(spark):
+    assert churn_model.stratified_sizes({0: 21, 1: 118}) == {0: 17, 1: 94}  # n_test = ceil(27.8) = 28
+    assert churn_model.stratified_sizes({0: 10, 1: 5}) == {0: 8, 1: 4}
+    feats = customers.customer_features(catalog.clean(spark, SF_SMALL))
+    s = churn_model.split(feats)
+    counts = {r.churned: r["count"] for r in feats.groupBy("churned").count().collect()}
+    train = {r.churned: r["count"] for r in s.where("is_train").groupBy("churned").count().collect()}
+    assert train == churn_model.stratified_sizes(counts)
+    assert {r.customer_email for r in s.where("is_train").collect()} == {r.customer_email for r in churn_model.split(feats.repartition(3)).where("is_train").collect()}
