@@ -25,3 +25,24 @@ def test_delivered_filter_and_pruning_reach_the_scan(spark):
 def test_dimension_tables_are_broadcast(spark):
     plan = _plan(catalog.raw(spark, SF_SMALL))
     assert "BroadcastHashJoin" in plan
+
+
+def _final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dedup_key_aggregates_by_hash_not_sort(spark):
+    from ledgerlens.operators import cleaning
+    from ledgerlens.sources import fixture
+
+    t = cleaning.mark_first_arrival(catalog.raw(spark, SF_SMALL), fixture.fixture_params())
+    plan = _plan(t)
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+def test_top_keys_read_the_table_once(spark):
+    c = catalog.clean(spark, SF_SMALL)
+    plan = _final_plan(kpis.top_performers(c))
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 1 and "Expand" in final
