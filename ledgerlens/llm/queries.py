@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import chat, fingerprints, language, mixing, packing, quality, token_counts, topk
+from ledgerlens.llm import chat, fingerprints, language, mixing, ngram_join, packing, privacy, quality, token_counts, topk
 from ledgerlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@register("op1_private_data")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return privacy.find(table(spark, sf_dir, "documents"))
+
+
 @register("op2_source_mixing", mixing.SHARES_SQL)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.shares(table(spark, sf_dir, "documents"))
@@ -45,6 +50,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@register("op5_ngram_jaccard_join")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar(table(spark, sf_dir, "documents"))
+
+
 @register("op6_language_id")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predictions(table(spark, sf_dir, "documents"))
