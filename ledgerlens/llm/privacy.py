@@ -172,7 +172,9 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **rule
     """id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_term: a row per document."""
     found = scan(docs, id_col, text_col)
     added = added_spans(found, disclosed(docs, found, text_col, **rule))
-    joined = found.select("id", "key", "spans").join(added, "key", "left")
+    # rows without personal data have nothing to join, and would meet at the null key
+    named = found.where("key is not null").select("id", "key", "spans").join(added, "key", "left")
+    joined = named.unionByName(found.where("key is null").select("id", "key", "spans"), allowMissingColumns=True)
 
     def number(kind: str) -> Column:
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
