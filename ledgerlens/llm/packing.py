@@ -46,7 +46,7 @@ CAPACITY = 2048
 SMALL_SHARE = 8
 GROUPS = 64
 #: Most distinct pieces of text whose ids a worker keeps.
-CACHE_WORDS = 1_500_000
+CACHE_WORDS = 1_000_000
 
 
 class PieceIds:
