@@ -27,7 +27,8 @@ def _c(c: Column | str) -> Column:
 
 
 def strip_ws(c: Column | str) -> Column:
-    return F.regexp_replace(_c(c), r"^\s+|\s+$", "")
+    # (?U): white space of any script, not ASCII only; the file separators count as in str.strip
+    return F.regexp_replace(_c(c), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
 
 
 def title_case(c: Column | str) -> Column:

@@ -14,12 +14,16 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlens import schema as S
 
 
+# Bits of ``monotonically_increasing_id`` that number the rows of a task.
+POSITION_BITS = 33
+
+
 class MissingInput(FileNotFoundError):
     pass
 
@@ -34,10 +38,34 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Raw CSV (header) as text columns; fails if the input is missing."""
+    """Raw CSV as text columns, bound by header name, with ``load_seq`` in file order.
+
+    Fails if the input or a column is missing, and (``enforceSchema`` off) if
+    a file's header differs from the first one's.
+    """
     if not _exists(spark, path):
         raise MissingInput(f"raw sales input not found: {path}")
-    return spark.read.schema(S.RAW_CSV).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    names = spark.read.option("header", True).csv(path).columns
+    if absent := [f.name for f in S.RAW_CSV.fields if f.name not in names]:
+        raise MissingInput(f"columns not found in {path}: {', '.join(absent)}")
+    schema = ", ".join(f"`{n}` string" for n in names)
+    rows = spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE").csv(path)
+    return _in_file_order(rows).select(*[f.name for f in S.RAW_CSV.fields], "load_seq")
+
+
+def _in_file_order(rows: DataFrame) -> DataFrame:
+    """Add ``load_seq``: files by modification time and path, their splits in order, rows in order.
+
+    A row's number within its task is the low part of
+    ``monotonically_increasing_id``; the high part becomes the rank of its
+    split (a row per split, so the ranking window is bounded by their number).
+    """
+    at = ["file_modification_time", "file_path", "file_block_start"]
+    placed = rows.select("*", *[F.col(f"_metadata.{a}").alias(f"_{a}") for a in at], F.monotonically_increasing_id().alias("_nth"))
+    split = [f"_{a}" for a in at]
+    ranked = placed.select(*split).distinct().withColumn("_rank", F.row_number().over(Window.orderBy(*split)) - 1)
+    seq = F.shiftleft(F.col("_rank").cast("long"), POSITION_BITS) + F.col("_nth").bitwiseAND((1 << POSITION_BITS) - 1)
+    return placed.join(ranked, split).withColumn("load_seq", seq).drop(*split, "_nth", "_rank")
 
 
 def _try_number(c: str, t: str):
@@ -48,7 +76,8 @@ def coerce_raw(df: DataFrame) -> DataFrame:
     """Typed raw rows; bad dates/numbers become NULL. Adds ``load_seq`` (file order) and ``loaded_at``."""
     typed = {
         "unit_price": _try_number("unit_price", "decimal(12,2)"),
-        "quantity": _try_number("quantity", "int"),
+        # "2.0" is a whole number too
+        "quantity": F.expr("if(try_cast(quantity as decimal(20,4)) % 1 = 0, try_cast(try_cast(quantity as decimal(20,4)) as int), null)"),
         "discount_pct": _try_number("discount_pct", "decimal(5,2)"),
         "discount_amt": _try_number("discount_amt", "decimal(12,2)"),
         "total_amount": _try_number("total_amount", "decimal(12,2)"),

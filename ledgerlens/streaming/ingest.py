@@ -8,8 +8,9 @@ them to the raw table.
 
 Each micro-batch is written to its own ``batch_id=<n>`` partition with
 overwrite semantics, so a batch replayed after a failure replaces its own
-output instead of appending duplicates. ``load_seq`` is
-``batch_id * 2^40 + position`` so arrival order spans batches.
+output instead of appending duplicates. ``load_seq`` continues after the
+highest task number that an earlier batch used, so arrival order spans
+batches, whatever the number of splits of each.
 
 Cleaning itself stays a batch job: its IQR fences are global over all rows,
 which an incremental job could not keep exact.
@@ -24,21 +25,32 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerlens import schema as S
 from ledgerlens.sources import files
 
-BATCH_SHIFT = 2**40
+
+def first_seq(highest: int | None) -> int:
+    """First ``load_seq`` of a batch: the next task number after the highest value written so far."""
+    return 0 if highest is None else ((highest >> files.POSITION_BITS) + 1) << files.POSITION_BITS
+
+
+def _highest(spark: SparkSession, table_path: str, batch_id: int) -> int | None:
+    """Highest ``load_seq`` of the batches before this one (their Parquet footers hold it)."""
+    if not files._exists(spark, f"{table_path.rstrip('/')}/batch_id=*"):
+        return None
+    return spark.read.parquet(table_path).where(F.col("batch_id") < batch_id).agg(F.max("load_seq").alias("m")).first()["m"]
 
 
 def _write_batch(table_path: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        seq = F.lit(batch_id * BATCH_SHIFT).cast("long") + F.monotonically_increasing_id()
+        base = first_seq(_highest(batch.sparkSession, table_path, batch_id))
+        seq = F.lit(base).cast("long") + F.monotonically_increasing_id()
         typed = files.coerce_raw(batch.withColumn("load_seq", seq).withColumn("loaded_at", F.localtimestamp()))
         typed.write.mode("overwrite").parquet(f"{table_path.rstrip('/')}/batch_id={batch_id}")
 
     return write
 
 
-def start_ingest(spark: SparkSession, source_dir: str, table_path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+def start_ingest(spark: SparkSession, source_dir: str, table_path: str, checkpoint: str, available_now: bool = True, files_per_trigger: int = 64) -> StreamingQuery:
     """Start the CSV -> raw table stream; ``available_now`` processes what is there and stops."""
-    stream = spark.readStream.schema(S.RAW_CSV).option("header", True).option("maxFilesPerTrigger", 64).csv(source_dir)
+    stream = spark.readStream.schema(S.RAW_CSV).option("header", True).option("maxFilesPerTrigger", files_per_trigger).csv(source_dir)
     writer = stream.writeStream.foreachBatch(_write_batch(table_path)).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 hour")
     return writer.start()
