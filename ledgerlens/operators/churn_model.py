@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -104,8 +104,10 @@ def with_class_weights(train: DataFrame) -> DataFrame:
 
 def build_model(features: tuple[str, ...] = S.CHURN_FEATURES, num_trees: int = 100, max_depth: int = 8, seed: int = SEED) -> Pipeline:
     stages = [
-        StringIndexer(inputCol="fav_category", outputCol="fav_category_enc", stringOrderType="alphabetAsc", handleInvalid="keep"),
-        StringIndexer(inputCol="fav_region", outputCol="fav_region_enc", stringOrderType="alphabetAsc", handleInvalid="keep"),
+        StringIndexer(inputCol="fav_category", outputCol="fav_category_index", stringOrderType="alphabetAsc", handleInvalid="keep"),
+        StringIndexer(inputCol="fav_region", outputCol="fav_region_index", stringOrderType="alphabetAsc", handleInvalid="keep"),
+        # plain numbers: without the nominal attribute, trees split them as such and any number of categories will do
+        SQLTransformer(statement="SELECT *, fav_category_index + 0D AS fav_category_enc, fav_region_index + 0D AS fav_region_enc FROM __THIS__"),
         VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep"),
         RandomForestClassifier(
             featuresCol="features",
@@ -148,10 +150,10 @@ def evaluate(cm: ChurnModel, test: DataFrame, spark: SparkSession) -> DataFrame:
     """Accuracy and ROC-AUC in % (2 decimals) plus split sizes, one row."""
     pred = cm.model.transform(test)
     acc = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName="accuracy").evaluate(pred)
-    try:
-        auc = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderROC").evaluate(pred)
-    except Exception:  # a single-class test split has no ROC curve
-        auc = float("nan")
+    auc = float("nan")  # a single-class test split has no ROC curve
+    if pred.select("label").distinct().count() > 1:
+        # numBins=0: the exact curve, a point per distinct score
+        auc = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderROC", numBins=0).evaluate(pred)
     return spark.createDataFrame(
         [(round(acc * 100, 2), round(auc * 100, 2), cm.train_rows, cm.test_rows)],
         "accuracy_pct double, roc_auc_pct double, train_rows long, test_rows long",

@@ -47,6 +47,7 @@ def as_of_col(params: S.Params) -> Column:
 
 _LONG_SHIFT = 2**64
 _LONG_OFFSET = 2**63
+_FIRST_SLOT_MAX = 5_400_000_000_000_000_000
 
 
 def _as_long(df: DataFrame, c: str) -> Column | None:
@@ -78,11 +79,14 @@ def arrival_key(params: S.Params, df: DataFrame | None = None) -> Column:
     cols = params.dedup_order
     if df is not None and len(cols) <= 2:
         longs = [_as_long(df, c) for c in cols]
-        if all(x is not None for x in longs):
+        # a BIGINT in the first of two slots could be too large to pack
+        wide = len(cols) == 2 and isinstance(df.schema[cols[0]].dataType, T.LongType)
+        if not wide and all(x is not None for x in longs):
             big = T.DecimalType(38, 0)
-            # NULL sorts last: map it to the largest value of its slot
-            hi = F.lit(_LONG_OFFSET - 1).cast("long")
-            vals = [F.coalesce(x, hi).cast(big) for x in longs]
+            # NULL sorts last: the first slot's sentinel is beyond any timestamp in
+            # microseconds and small enough for a * 2^64 + b to fit 38 digits
+            hi = [F.lit(_FIRST_SLOT_MAX if i == 0 and len(longs) > 1 else _LONG_OFFSET - 1).cast("long") for i in range(len(longs))]
+            vals = [F.coalesce(x, h).cast(big) for x, h in zip(longs, hi)]
             if len(vals) == 1:
                 return vals[0]
             return vals[0] * F.lit(str(_LONG_SHIFT)).cast(big) + (vals[1] + F.lit(str(_LONG_OFFSET)).cast(big))

@@ -34,9 +34,10 @@ YEAR_DAYS = 365.25
 INTERVAL_Z = 1.2815515655446004  # 80% two-sided normal interval
 CHANGEPOINT_PRIOR = 0.05
 SEASONALITY_PRIOR = 10.0
-MIN_POINTS = 14
+# Small ridge on intercept and slope, so that a series of any length (one point too) has one solution.
+TREND_RIDGE = 1e-6
 
-FORECAST_SCHEMA = "series string, ds date, yhat double, yhat_lower double, yhat_upper double, model string"
+FORECAST_SCHEMA = "series string, ds date, yhat double, yhat_lower double, yhat_upper double"
 
 
 def _fourier(days: np.ndarray, period: float, order: int) -> np.ndarray:
@@ -63,28 +64,21 @@ def fit_predict(pdf: pd.DataFrame, horizon: int) -> pd.DataFrame:
     last = ds.max()
     fut = pd.date_range(pd.Timestamp(last) + pd.Timedelta(days=1), periods=horizon, freq="D")
     fut_days = (fut.to_numpy() - ds.min()).astype("timedelta64[D]").astype(float)
-    if len(y) < MIN_POINTS:
-        mu = float(np.mean(y)) if len(y) else 0.0
-        sd = float(np.std(y)) if len(y) > 1 else 0.0
-        yhat = np.full(horizon, mu)
-        model = "mean"
-    else:
-        span = max(days.max(), 1.0)
-        n_hist = int(np.floor(len(days) * CHANGEPOINT_RANGE))
-        idx = np.unique(np.linspace(0, max(n_hist - 1, 0), N_CHANGEPOINTS + 1).round().astype(int))[1:]
-        cps = days[idx] / span
-        X = _design(days, 0.0, span, cps)
-        scale = float(np.max(np.abs(y))) or 1.0
-        ys = y / scale
-        n_h = len(cps)
-        n_s = X.shape[1] - 2 - n_h
-        # ridge penalties: Gaussian priors standing in for Prophet's Laplace/normal priors
-        lam = np.concatenate([[0.0, 0.0], np.full(n_h, 1.0 / CHANGEPOINT_PRIOR), np.full(n_s, 1.0 / SEASONALITY_PRIOR)])
-        beta = np.linalg.solve(X.T @ X + np.diag(lam), X.T @ ys)
-        resid = ys - X @ beta
-        sd = float(np.std(resid)) * scale
-        yhat = _design(fut_days, 0.0, span, cps) @ beta * scale
-        model = "ridge"
+    span = max(days.max(), 1.0)
+    n_hist = int(np.floor(len(days) * CHANGEPOINT_RANGE))
+    idx = np.unique(np.linspace(0, max(n_hist - 1, 0), N_CHANGEPOINTS + 1).round().astype(int))[1:]
+    cps = days[idx] / span
+    X = _design(days, 0.0, span, cps)
+    scale = float(np.max(np.abs(y))) or 1.0
+    ys = y / scale
+    n_h = len(cps)
+    n_s = X.shape[1] - 2 - n_h
+    # ridge penalties: Gaussian priors standing in for Laplace/normal priors
+    lam = np.concatenate([[TREND_RIDGE, TREND_RIDGE], np.full(n_h, 1.0 / CHANGEPOINT_PRIOR), np.full(n_s, 1.0 / SEASONALITY_PRIOR)])
+    beta = np.linalg.solve(X.T @ X + np.diag(lam), X.T @ ys)
+    resid = ys - X @ beta
+    sd = float(np.std(resid)) * scale
+    yhat = _design(fut_days, 0.0, span, cps) @ beta * scale
     return pd.DataFrame(
         {
             "series": series,
@@ -92,7 +86,6 @@ def fit_predict(pdf: pd.DataFrame, horizon: int) -> pd.DataFrame:
             "yhat": yhat,
             "yhat_lower": yhat - INTERVAL_Z * sd,
             "yhat_upper": yhat + INTERVAL_Z * sd,
-            "model": model,
         }
     )
 

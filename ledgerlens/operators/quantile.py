@@ -99,7 +99,7 @@ def _pick(small: DataFrame, i: int, p: float) -> DataFrame:
     frac = F.col("pos") - F.floor("pos")
     q = F.when(v_lo == v_hi, v_lo).otherwise(v_lo + (v_hi - v_lo) * frac)
     # A sentinel can only be picked if the bracket missed, which the histogram rules out.
-    return picked.select(F.when(ok, q).otherwise(F.raise_error(F.lit("quantile bracket missed"))).alias("q"))
+    return picked.select(F.when(F.col("pos").isNull(), F.lit(None).cast("double")).when(ok, q).otherwise(F.raise_error(F.lit("quantile bracket missed"))).alias("q"))
 
 
 def quartiles(df: DataFrame, col: str, mode: str = "exact") -> DataFrame:

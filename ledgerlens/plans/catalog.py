@@ -94,7 +94,7 @@ def _tables(spark: SparkSession, sf: str) -> tuple[str, str]:
     """
     from ledgerlens.plans.batch import clean_and_save
 
-    key = (id(spark), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _BUILT:
         base = scratch_path(spark, f"catalog_{_tag(sf)}_{uuid.uuid4().hex[:8]}")
         # S3: the feed lands as the raw table first, as in the batch job
@@ -741,7 +741,7 @@ _CHURN_CACHE: dict = {}
 
 def _churn(spark, sf):
     """Train once per (session, input) and reuse for H7-H14 and S9."""
-    key = (id(spark), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _CHURN_CACHE:
         feats = customers.customer_features(clean(spark, sf))
         cm, test = churn_model.train(feats)
@@ -761,7 +761,7 @@ def _churn(spark, sf):
 )
 def h07(spark, sf):
     cm, _, _, feats = _churn(spark, sf)
-    return cm.model.stages[0].transform(feats).select("customer_email", "fav_category", "fav_category_enc")
+    return cm.model.stages[0].transform(feats).select("customer_email", "fav_category", F.col("fav_category_index").alias("fav_category_enc"))
 
 
 @register("h08_stratified_split")
