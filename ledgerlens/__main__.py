@@ -18,8 +18,11 @@ wrote to ``--out``. Results are written as Parquet datasets under ``--out``.
 from __future__ import annotations
 
 import argparse
+import dataclasses
+import datetime as dt
 import sys
 
+from ledgerlens import schema as S
 from ledgerlens.operators import churn_model, customers, forecast, impact, kpis, projection, quality, reports, trends
 from ledgerlens.plans import batch
 from ledgerlens.session import get_spark
@@ -82,13 +85,19 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--tables", required=True, help="directory with the source tables (<name>.parquet)")
     ap.add_argument("--out", required=True, help="output directory (shared storage on a cluster)")
     ap.add_argument("--master", default=None)
+    ap.add_argument("--csv", default=None, help="batch: raw CSV feed (path or glob) instead of the source tables")
+    ap.add_argument("--as-of", type=dt.date.fromisoformat, default=None, help="today's date for the run")
+    ap.add_argument("--min-date", type=dt.date.fromisoformat, default=None, help="earliest valid sale date")
     args = ap.parse_args(argv)
     spark = get_spark(master=args.master)
-    params = fixture.fixture_params()
+    params = S.Params() if args.csv else fixture.fixture_params()
+    given = {"as_of": args.as_of, "min_date": args.min_date}
+    params = dataclasses.replace(params, **{k: v for k, v in given.items() if v is not None})
     out = args.out.rstrip("/")
     if args.command == "batch":
-        batch.run(spark, args.tables, out, params).show(truncate=False)
-        return 0
+        steps = batch.run(spark, args.tables, out, params, args.csv)
+        steps.show(truncate=False)
+        return int(any(r["status"] == "failed" and r["step"] in batch.CRITICAL for r in steps.collect()))
     c = files.read_table(spark, f"{out}/cleaned_sales")
     for name, df in _outputs(args.command, c, spark, out, params).items():
         n = files.write_table(df, f"{out}/{args.command}/{name}")

@@ -31,7 +31,7 @@ RUNTIME_CONF = {
 }
 
 # Local (single-JVM) runs only: the driver JVM is the whole cluster there.
-LOCAL_CONF = {"spark.driver.memory": "16g", "spark.sql.session.timeZone": "UTC"}
+LOCAL_CONF = {"spark.driver.memory": "8g", "spark.sql.session.timeZone": "UTC"}
 
 # Cluster runs: many shuffle partitions that AQE coalesces to ~256 MB each,
 # so one setting holds from gigabytes to 100 TB; partitions over 5x the
@@ -89,6 +89,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="ledgerlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
