@@ -764,17 +764,34 @@ def h07(spark, sf):
     return cm.model.stages[0].transform(feats).select("customer_email", "fav_category", F.col("fav_category_index").alias("fav_category_enc"))
 
 
-@register("h08_stratified_split")
+SPLIT = f"""kc AS (SELECT churned, COUNT(*) AS k, SUM(COUNT(*)) OVER () AS n FROM cfe GROUP BY churned),
+ks AS (SELECT *, n - CAST(ceil({1 - churn_model.TRAIN_FRACTION!r}::DOUBLE * n) AS BIGINT) AS n_train FROM kc),
+kf AS (SELECT *, CAST(floor(k * n_train / n::DOUBLE) AS BIGINT) AS base, k * n_train / n::DOUBLE AS exact FROM ks),
+kt AS (SELECT churned, k, n_train,
+  base + CAST(row_number() OVER (ORDER BY base - exact, churned) <= n_train - SUM(base) OVER () AS BIGINT) AS size FROM kf)"""
+
+
+@register(
+    "h08_stratified_split",
+    q(
+        """SELECT * FROM (SELECT churned, TRUE AS is_train, size AS customers FROM kt
+  UNION ALL SELECT churned, FALSE, k - size FROM kt) WHERE customers > 0""",
+        CUST + "," + SPLIT,
+    ),
+)
 def h08(spark, sf):
     feats = customers.customer_features(clean(spark, sf))
     return churn_model.split(feats).groupBy("churned", "is_train").agg(F.count(F.lit(1)).alias("customers"))
 
 
-@register("h09_random_forest")
+@register(
+    "h09_class_weights",
+    q("SELECT churned, size AS train_rows, n_train / (2.0::DOUBLE * size) AS weight FROM kt WHERE size > 0", CUST + "," + SPLIT),
+)
 def h09(spark, sf):
-    cm = _churn(spark, sf)[0]
-    rf = cm.model.stages[-1]
-    return spark.createDataFrame([(rf.getNumTrees, rf.getOrDefault("maxDepth"), rf.numFeatures)], "num_trees int, max_depth int, num_features int")
+    feats = customers.customer_features(clean(spark, sf))
+    weighted = churn_model.with_class_weights(churn_model.split(feats).where("is_train"))
+    return weighted.groupBy("churned").agg(F.count(F.lit(1)).alias("train_rows"), F.max("w").alias("weight"))
 
 
 @register("h10_model_metrics")
