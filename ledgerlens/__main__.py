@@ -46,7 +46,7 @@ def _outputs(cmd: str, c, spark, out: str, params) -> dict:
     if cmd == "impact":
         return {"category_scores": impact.score_categories(c), "region_scores": impact.score_regions(c)}
     if cmd == "churn":
-        feats = customers.customer_features(c, params.churn_days)
+        feats = files.scratch_table(customers.customer_features(c, params.churn_days), "customer_features")
         cm, test = churn_model.train(feats, model_dir=f"{out}/churn_model")
         scored = churn_model.score(cm, feats)
         files.write_csv(scored, f"{out}/churn_predictions_csv")

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from ledgerlens import schema as S
 from ledgerlens.functions.labels import risk_level
 from ledgerlens.session import scratch_path
+from ledgerlens.sources import files
 
 SEED = 42
 TRAIN_FRACTION = 0.8
@@ -73,13 +74,15 @@ def split(features: DataFrame, seed: int = SEED, train_fraction: float = TRAIN_F
     Exact class sizes without ranking a class on one task: a histogram of the
     hash's top 16 bits per class (at most 2 x 65,536 rows) locates the bucket
     holding each class's cut, and only that bucket's hashes are ranked.
+    Give it a written table: ``features`` is read three times.
     """
     spark = features.sparkSession
     h = features.withColumn("_h", F.xxhash64("customer_email", F.lit(seed))).withColumn("_b", F.shiftright("_h", 48))
-    counts = {r["churned"]: r["n"] for r in h.groupBy("churned").agg(F.count(F.lit(1)).alias("n")).collect()}
+    hist = files.scratch_table(h.groupBy("churned", "_b").agg(F.count(F.lit(1)).alias("c")), "churn_histogram")
+    # one row per class
+    counts = {r["churned"]: r["n"] for r in hist.groupBy("churned").agg(F.sum("c").alias("n")).collect()}
     sizes = stratified_sizes(counts, 1 - train_fraction)
     want = spark.createDataFrame([(c, int(k)) for c, k in sizes.items()], "churned int, k long")
-    hist = h.groupBy("churned", "_b").agg(F.count(F.lit(1)).alias("c"))
     w = Window.partitionBy("churned").orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     hist = hist.withColumn("cum", F.sum("c").over(w)).join(F.broadcast(want), "churned")
     cut = hist.where(F.col("cum") >= F.col("k")).groupBy("churned").agg(
@@ -132,8 +135,13 @@ def train(
     max_depth: int = 8,
     model_dir: str | None = None,
 ) -> tuple[ChurnModel, DataFrame]:
-    """H7-H9: fit the model stages on the training split; returns the model and the held-out rows."""
-    data = split(_prepared(features))
+    """H7-H9: fit the model stages on the training split; returns the model and the held-out rows.
+
+    Give it a written table (``files.scratch_table``). The split is written
+    once, and every pass of the fit and the evaluation reads that table.
+    """
+    data = files.scratch_table(split(_prepared(features)), "churn_split")
+    sizes = {r["is_train"]: r["count"] for r in data.groupBy("is_train").count().collect()}
     tr = with_class_weights(data.where("is_train"))
     te = data.where(~F.col("is_train")).withColumn("w", F.lit(1.0))
     fitted = build_model(feature_cols, num_trees, max_depth).fit(tr)
@@ -143,7 +151,7 @@ def train(
     path = model_dir or scratch_path(features.sparkSession, f"churn_model_{uuid.uuid4().hex[:12]}")
     fitted.write().overwrite().save(path)
     model = PipelineModel.load(path)
-    return ChurnModel(model, feature_cols, tr.count(), te.count()), te
+    return ChurnModel(model, feature_cols, sizes.get(True, 0), sizes.get(False, 0)), te
 
 
 def evaluate(cm: ChurnModel, test: DataFrame, spark: SparkSession) -> DataFrame:

@@ -32,6 +32,7 @@ from ledgerlens.functions import calendar_columns, pct, revenue_band, standardis
 from ledgerlens.operators.quantile import iqr_fences
 
 REASONS = ("duplicate", "null_critical", "invalid_date", "non_positive", "outlier")
+#: The report's names.
 REPORT_KEYS = {
     "duplicate": "duplicates_removed",
     "null_critical": "nulls_dropped",
@@ -69,6 +70,11 @@ def _as_long(df: DataFrame, c: str) -> Column | None:
     return None
 
 
+def _arrival_columns(params: S.Params, df: DataFrame | None) -> tuple[str, ...]:
+    """The ``dedup_order`` columns; ``row_id`` only where the feed has it."""
+    return tuple(c for c in params.dedup_order if c != "row_id" or df is not None and c in df.columns)
+
+
 def arrival_key(params: S.Params, df: DataFrame | None = None) -> Column:
     """Sortable arrival position (NULLs last) from the ``dedup_order`` columns.
 
@@ -76,7 +82,12 @@ def arrival_key(params: S.Params, df: DataFrame | None = None) -> Column:
     b + 2^63), which hash aggregation can ``min`` in place; any other shape
     falls back to a struct (sort-based aggregation).
     """
-    cols = params.dedup_order
+    cols = _arrival_columns(params, df)
+    if df is not None and cols == ("load_seq", "row_id") and isinstance(df.schema["load_seq"].dataType, T.LongType):
+        # row numbers are not negative, so 63 bits hold them and any BIGINT fits in front of them
+        big = T.DecimalType(38, 0)
+        seq = F.coalesce(F.col("load_seq"), F.lit(_LONG_OFFSET - 1).cast("long")).cast(big)
+        return seq * F.lit(str(_LONG_OFFSET)).cast(big) + F.col("row_id").cast(big)
     if df is not None and len(cols) <= 2:
         longs = [_as_long(df, c) for c in cols]
         # a BIGINT in the first of two slots could be too large to pack
@@ -102,7 +113,7 @@ def arrival_rank(params: S.Params) -> Column:
     Window form, for small inputs and tests; ``mark_first_arrival`` is the
     skew-safe form the cleaning stage uses.
     """
-    w = Window.partitionBy("order_id").orderBy(*[F.col(c).asc_nulls_last() for c in params.dedup_order])
+    w = Window.partitionBy("order_id").orderBy(*[F.col(c).asc_nulls_last() for c in _arrival_columns(params, None)])
     return F.row_number().over(w)
 
 
@@ -113,9 +124,14 @@ def mark_first_arrival(raw: DataFrame, params: S.Params) -> DataFrame:
     task. Instead the first arrival key per id is an aggregate (``min``, which
     partial aggregation collapses map-side, so a hot id ships one row per map
     task), joined back null-safely; AQE's skew-join handling splits a hot id's
-    rows on the large side across tasks. The arrival key must be unique within
-    an order_id (true for ``load_seq`` from S2 and for the fixture's
-    (loaded_at, load_seq), checked in the tests).
+    rows on the large side across tasks. The ids are shuffled a second time
+    for the join on purpose: AQE splits a partition only where both sides of a
+    join come straight from an exchange, so an aggregate that shared the
+    join's partitioning would leave a hot id's rows in one task.
+
+    The arrival key must be unique within an order_id: ``row_id`` of the stored
+    raw table makes it so when a feed's own ``load_seq`` repeats; the fixture's
+    (loaded_at, load_seq) is checked in the tests.
     """
     keyed = raw.withColumn("_arrival", arrival_key(params, raw))
     firsts = keyed.groupBy(F.col("order_id").alias("_oid")).agg(F.min("_arrival").alias("_min_arrival"))
@@ -146,7 +162,7 @@ def tag_pre_fence(raw: DataFrame, params: S.Params) -> DataFrame:
         .when(bad_date, "invalid_date")
         .when(F.col("total_amount") <= 0, "non_positive")
     )
-    tagged = mark_first_arrival(raw, params).withColumn("drop_reason", reason).drop("_first")
+    tagged = mark_first_arrival(raw, params).withColumn("drop_reason", reason).drop("_first", "row_id")
     return fill_defaults(tagged)
 
 

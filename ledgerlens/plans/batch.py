@@ -75,7 +75,7 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str, params: S.Params | None
         return checked("raw_sales", files.write_raw(source, f"{out}/raw_sales")), "raw_sales written"
 
     def clean():
-        raw = files.read_table(spark, f"{out}/raw_sales")
+        raw = files.read_raw(spark, f"{out}/raw_sales")
         rep = clean_and_save(spark, raw, f"{out}/cleaned_sales", params)
         return checked("cleaned_sales", rep["final_rows"]), str(rep)
 

@@ -251,7 +251,7 @@ RAW_COLS_NO_SEQ = [f.name for f in S.RAW_SALES.fields if f.name not in ("load_se
 @register("s01_s02_csv_ingest", q("SELECT " + ", ".join(RAW_COLS_NO_SEQ) + " FROM raw_sales"), money=MONEY4)
 def s01_s02_csv_ingest(spark, sf):
     """S1 + S2: the raw feed written as header CSV, read back as text and coerced."""
-    path = scratch_path(spark, f"raw_csv_{_tag(sf)}")
+    path = scratch_path(spark, f"raw_csv_{_tag(sf)}_{uuid.uuid4().hex[:8]}")
     r = raw(spark, sf).select(*RAW_COLS_NO_SEQ)
     r.write.mode("overwrite").option("header", True).csv(path)
     back = files.coerce_raw(files.read_raw_csv(spark, path))
@@ -274,13 +274,13 @@ def s01_s03_stream_ingest(spark, sf):
 @register("s03_s04_raw_table", q("SELECT * FROM raw_sales"), money=MONEY4)
 def s03_s04_raw_table(spark, sf):
     """S3 + S4: replace the raw table with the declared schema, then scan it."""
-    path = scratch_path(spark, f"raw_sales_{_tag(sf)}")
+    path = scratch_path(spark, f"raw_sales_{_tag(sf)}_{uuid.uuid4().hex[:8]}")
     files.write_raw(raw(spark, sf), path)
     return files.read_table(spark, path)
 
 
 def _written_clean(spark, sf) -> tuple[str, int]:
-    path = scratch_path(spark, f"cleaned_sales_{_tag(sf)}")
+    path = scratch_path(spark, f"cleaned_sales_{_tag(sf)}_{uuid.uuid4().hex[:8]}")
     n = files.write_cleaned(clean(spark, sf), path)
     return path, n
 
@@ -310,7 +310,7 @@ def s08_verify_count(spark, sf):
 def s09_predictions_csv(spark, sf):
     """Churn predictions written as header CSV and read back."""
     scored = _churn(spark, sf)[2]
-    path = scratch_path(spark, f"churn_predictions_{_tag(sf)}")
+    path = scratch_path(spark, f"churn_predictions_{_tag(sf)}_{uuid.uuid4().hex[:8]}")
     files.write_csv(scored, path)
     return spark.read.option("header", True).csv(path)
 
@@ -736,14 +736,23 @@ def h06s(spark, sf):
     return customers.churn_summary(customers.customer_features(clean(spark, sf)))
 
 
+_FEATURES: dict = {}
 _CHURN_CACHE: dict = {}
 
 
+def _features(spark: SparkSession, sf: str) -> DataFrame:
+    """Customer features written once per (session, input), for the split, the fit and the scoring."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _FEATURES:
+        _FEATURES[key] = files.scratch_table(customers.customer_features(clean(spark, sf)), "customer_features")
+    return _FEATURES[key]
+
+
 def _churn(spark, sf):
     """Train once per (session, input) and reuse for H7-H14 and S9."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _CHURN_CACHE:
-        feats = customers.customer_features(clean(spark, sf))
+        feats = _features(spark, sf)
         cm, test = churn_model.train(feats)
         scored = churn_model.score(cm, feats)
         _CHURN_CACHE[key] = (cm, test, scored, feats)
@@ -780,8 +789,7 @@ kt AS (SELECT churned, k, n_train,
     ),
 )
 def h08(spark, sf):
-    feats = customers.customer_features(clean(spark, sf))
-    return churn_model.split(feats).groupBy("churned", "is_train").agg(F.count(F.lit(1)).alias("customers"))
+    return churn_model.split(_features(spark, sf)).groupBy("churned", "is_train").agg(F.count(F.lit(1)).alias("customers"))
 
 
 @register(
@@ -789,8 +797,7 @@ def h08(spark, sf):
     q("SELECT churned, size AS train_rows, n_train / (2.0::DOUBLE * size) AS weight FROM kt WHERE size > 0", CUST + "," + SPLIT),
 )
 def h09(spark, sf):
-    feats = customers.customer_features(clean(spark, sf))
-    weighted = churn_model.with_class_weights(churn_model.split(feats).where("is_train"))
+    weighted = churn_model.with_class_weights(churn_model.split(_features(spark, sf)).where("is_train"))
     return weighted.groupBy("churned").agg(F.count(F.lit(1)).alias("train_rows"), F.max("w").alias("weight"))
 
 
@@ -912,7 +919,7 @@ def f09(spark, sf):
 
 @register("f10_persist_forecast")
 def f10(spark, sf):
-    path = scratch_path(spark, f"sales_forecast_{_tag(sf)}")
+    path = scratch_path(spark, f"sales_forecast_{_tag(sf)}_{uuid.uuid4().hex[:8]}")
     files.write_table(forecast.forecast(clean(spark, sf), S.FORECAST_DAYS), path)
     return files.read_table(spark, path)
 
@@ -1054,5 +1061,5 @@ def r13(spark, sf):
 def j01(spark, sf):
     from ledgerlens.plans import batch
 
-    out = scratch_path(spark, f"batch_{_tag(sf)}")
+    out = scratch_path(spark, f"batch_{_tag(sf)}_{uuid.uuid4().hex[:8]}")
     return batch.run(spark, sf, out).select("step", "status", "rows")

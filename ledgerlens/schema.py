@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 from pyspark.sql import types as T
 
@@ -124,8 +124,7 @@ class Params:
     churn_days: int = CHURN_DAYS
     default_growth: float = DEFAULT_GROWTH
     forecast_days: int = FORECAST_DAYS
-    dedup_order: tuple[str, ...] = ("load_seq",)
-    extra: dict = field(default_factory=dict)
+    dedup_order: tuple[str, ...] = ("load_seq", "row_id")  # row_id where the feed has it
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)

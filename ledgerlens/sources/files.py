@@ -13,11 +13,13 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlens import schema as S
+from ledgerlens.session import scratch_path
 
 
 # Bits of ``monotonically_increasing_id`` that number the rows of a task.
@@ -128,6 +130,24 @@ def write_cleaned(df: DataFrame, path: str) -> int:
     return write_table(typed.hint("rebalance", "year", "month"), path, partition_by=("year", "month"))
 
 
+def scratch_table(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame to a fresh table in the shared scratch folder and read it back: lineage ends there."""
+    path = scratch_path(df.sparkSession, f"{name}_{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def read_raw(spark: SparkSession, path: str) -> DataFrame:
+    """The raw table with ``row_id``, a unique number of each stored row (rank of its file, then place in it).
+
+    The ranking window runs over one row per file.
+    """
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_nth"))
+    ranked = rows.select("_file").distinct().withColumn("_rank", F.row_number().over(Window.orderBy("_file")) - 1)
+    row_id = F.shiftleft(F.col("_rank").cast("long"), POSITION_BITS) + F.col("_nth")
+    return rows.join(ranked, "_file").withColumn("row_id", row_id).drop("_file", "_nth", "_rank")
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """Full scan of a written table."""
     return spark.read.parquet(path)

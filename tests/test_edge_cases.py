@@ -70,6 +70,21 @@ def test_null_arrival_sorts_last(spark):
     assert [int(r["total_amount"]) for r in first] == [2]
 
 
+def test_ties_of_a_feeds_own_arrival_keep_one_row(spark, tmp_path):
+    one = fixture.raw_sales(spark, SF_SMALL).limit(1).drop("load_seq")
+    rows = one.crossJoin(spark.createDataFrame([(2**63 - 1,), (5,), (5,), (5,), (None,)], "load_seq long"))
+    files.write_raw(rows.repartition(3), str(tmp_path / "raw"))
+    raw = files.read_raw(spark, str(tmp_path / "raw"))
+    assert raw.select("row_id").distinct().count() == 5
+    first = cleaning.mark_first_arrival(raw, S.Params()).where("_first").collect()
+    assert [r["load_seq"] for r in first] == [5]
+
+
+def test_nothing_left_to_clean(spark, tmp_path):
+    none = fixture.raw_sales(spark, SF_SMALL).withColumn("total_amount", F.lit(None).cast(S.MONEY))
+    assert cleaning.materialize(none, fixture.fixture_params(), str(tmp_path / "tagged")).where("drop_reason is null").count() == 0
+
+
 def test_fences_of_nothing_are_null(spark):
     row = iqr_fences(spark.createDataFrame([], "x double"), "x").first()
     assert row["lower"] is None and row["upper"] is None

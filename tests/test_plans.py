@@ -46,3 +46,18 @@ def test_top_keys_read_the_table_once(spark):
     plan = _final_plan(kpis.top_performers(c))
     final = plan.split("== Initial Plan ==")[0]
     assert final.count("FileScan parquet") == 1 and "Expand" in final
+
+
+def test_customer_features_read_the_sales_once_without_object_aggregates(spark):
+    from ledgerlens.operators import customers
+
+    plan = _final_plan(customers.customer_features(catalog.clean(spark, SF_SMALL))).split("== Initial Plan ==")[0]
+    assert "ObjectHashAggregate" not in plan
+    # the sales, and the one column of the reference date
+    assert plan.count("FileScan parquet") == 2
+
+
+def test_churn_reads_written_features_only(spark):
+    _, held_out, scored, feats = catalog._churn(spark, SF_SMALL)
+    for df in (held_out, scored, feats):
+        assert "cleaned_sales" not in _plan(df)
