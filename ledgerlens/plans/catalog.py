@@ -83,42 +83,48 @@ def raw(spark: SparkSession, sf: str) -> DataFrame:
     return fixture.raw_sales(spark, sf)
 
 
+def dirty_raw(spark: SparkSession, sf: str) -> DataFrame:
+    """The feed with faults, typed by S2."""
+    return files.coerce_raw(fixture.dirty_feed(spark, sf))
+
+
 _BUILT: dict = {}
 
 
-def _tables(spark: SparkSession, sf: str) -> tuple[str, str]:
+def _tables(spark: SparkSession, sf: str, dirty: bool = False) -> tuple[str, str]:
     """Run load + cleaning once per (session, input) and return (tagged, cleaned) table paths.
 
     Marts then read the written cleaned table, as a deployment does: Parquet
     scans with pushed filters and pruned columns, lineage cut at the table.
+    ``dirty`` starts from the feed with faults, read as text and coerced.
     """
     from ledgerlens.plans.batch import clean_and_save
 
-    key = (spark.sparkContext.applicationId, sf)
+    key = (spark.sparkContext.applicationId, sf, dirty)
     if key not in _BUILT:
         base = scratch_path(spark, f"catalog_{_tag(sf)}_{uuid.uuid4().hex[:8]}")
         # S3: the feed lands as the raw table first, as in the batch job
-        files.write_raw(raw(spark, sf), f"{base}/raw_sales")
-        raw_t = files.read_table(spark, f"{base}/raw_sales")
+        files.write_raw(dirty_raw(spark, sf) if dirty else raw(spark, sf), f"{base}/raw_sales")
+        raw_t = files.read_raw(spark, f"{base}/raw_sales")
         clean_and_save(spark, raw_t, f"{base}/cleaned_sales", params(), f"{base}/tagged_sales")
         _BUILT[key] = (f"{base}/tagged_sales", f"{base}/cleaned_sales")
     return _BUILT[key]
 
 
-def pre_tagged(spark: SparkSession, sf: str) -> DataFrame:
+def pre_tagged(spark: SparkSession, sf: str, dirty: bool = False) -> DataFrame:
     """C1-C6 tags of every feed row (written table)."""
-    return spark.read.parquet(_tables(spark, sf)[0])
+    return spark.read.parquet(_tables(spark, sf, dirty)[0])
 
 
-def tagged(spark: SparkSession, sf: str) -> DataFrame:
+def tagged(spark: SparkSession, sf: str, dirty: bool = False) -> DataFrame:
     """Every feed row with its final ``drop_reason``."""
-    pre = pre_tagged(spark, sf)
+    pre = pre_tagged(spark, sf, dirty)
     return cleaning.apply_fences(pre, cleaning.fences(pre, params()))
 
 
-def clean(spark: SparkSession, sf: str) -> DataFrame:
+def clean(spark: SparkSession, sf: str, dirty: bool = False) -> DataFrame:
     """The cleaned sales table (written once, read per query)."""
-    return files.read_table(spark, _tables(spark, sf)[1])
+    return files.read_table(spark, _tables(spark, sf, dirty)[1])
 
 
 q = O.q
@@ -405,10 +411,7 @@ def c10(spark, sf):
     return clean(spark, sf).select("order_id", "total_amount", "revenue_band")
 
 
-@register(
-    "c11_cleaning_report",
-    q(
-        """SELECT COUNT(*) AS original_rows,
+C11_SQL = """SELECT COUNT(*) AS original_rows,
   COUNT(*) FILTER (WHERE drop_reason = 'duplicate') AS duplicates_removed,
   COUNT(*) FILTER (WHERE drop_reason = 'null_critical') AS nulls_dropped,
   COUNT(*) FILTER (WHERE drop_reason = 'invalid_date') AS invalid_dates_removed,
@@ -419,8 +422,9 @@ def c10(spark, sf):
   round_even(CAST(COUNT(*) - COUNT(*) FILTER (WHERE drop_reason IS NULL) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) * 100.0, 2) AS cleaning_pct,
   round_even(100.0 - round_even(CAST(COUNT(*) - COUNT(*) FILTER (WHERE drop_reason IS NULL) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) * 100.0, 2), 1) AS data_quality_pct
   FROM tagged"""
-    ),
-)
+
+
+@register("c11_cleaning_report", q(C11_SQL))
 def c11(spark, sf):
     return cleaning.cleaning_report(tagged(spark, sf))
 
@@ -509,6 +513,69 @@ def v07_raw(spark, sf):
     return quality.score(quality.checks(raw(spark, sf), params()))
 
 
+# ---------------------------------------------------------------------------
+# C and V on the feed with faults, where every rule fires
+# ---------------------------------------------------------------------------
+def dq(select: str, ctes: str = "") -> str:
+    return q(select, ctes, O.DIRTY_PREFIX)
+
+
+@register("c02_dirty_feed", dq("SELECT drop_reason, order_id, total_amount, sale_date FROM pre WHERE drop_reason IN ('null_critical', 'non_positive')"), money=("total_amount",))
+def c02_dirty(spark, sf):
+    """The rows that they reject."""
+    t = pre_tagged(spark, sf, dirty=True)
+    return t.where(F.col("drop_reason").isin("null_critical", "non_positive")).select("drop_reason", "order_id", "total_amount", "sale_date")
+
+
+@register(
+    "c03_dirty_feed",
+    dq(
+        f"""SELECT order_id, COALESCE(customer_email, '{S.FILL_EMAIL}') AS customer_email, COALESCE(discount_pct, CAST(0 AS DECIMAL(5,2))) AS discount_pct,
+  COALESCE(payment_method, '{S.FILL_PAYMENT}') AS payment_method FROM pre WHERE drop_reason IS NULL AND quantity IN (16, 17)"""
+    ),
+    money=("discount_pct",),
+)
+def c03_dirty(spark, sf):
+    """Kept rows of the quantities that lack a discount or a payment method."""
+    t = pre_tagged(spark, sf, dirty=True).where("drop_reason is null and quantity in (16, 17)")
+    return t.select("order_id", "customer_email", "discount_pct", "payment_method")
+
+
+@register("c04_dirty_feed", dq("SELECT load_seq, order_id, sale_date, quantity, total_amount FROM raw_sales"), money=("total_amount",))
+def c04_dirty(spark, sf):
+    """Dates, quantities and amounts out of text, unparsable ones NULL."""
+    return dirty_raw(spark, sf).select("load_seq", "order_id", "sale_date", "quantity", "total_amount")
+
+
+@register("c07_dirty_feed", dq("SELECT order_id, total_amount FROM tagged WHERE drop_reason = 'outlier'"), money=("total_amount",))
+def c07_dirty(spark, sf):
+    """The outliers."""
+    return tagged(spark, sf, dirty=True).where("drop_reason = 'outlier'").select("order_id", "total_amount")
+
+
+@register("c08_dirty_feed", dq("SELECT order_id, category, region, order_status, payment_method, city FROM clean"))
+def c08_dirty(spark, sf):
+    """Categories with white space of other scripts around them, NULL ones."""
+    return clean(spark, sf, dirty=True).select("order_id", "category", "region", "order_status", "payment_method", "city")
+
+
+@register("c11_dirty_feed", dq(C11_SQL))
+def c11_dirty(spark, sf):
+    return cleaning.cleaning_report(tagged(spark, sf, dirty=True))
+
+
+@register("v01_v06_dirty_feed", dq("SELECT * FROM chk", _checks_sql("raw_sales")))
+def v_dirty(spark, sf):
+    """V1-V6 on the uncleaned feed: all but the row count have violations."""
+    return quality.checks(dirty_raw(spark, sf), params())
+
+
+@register("v01_v06_dirty_cleaned", dq("SELECT * FROM chk", _checks_sql("clean")))
+def v_dirty_cleaned(spark, sf):
+    """V1-V6 after cleaning: NULL categories and regions remain."""
+    return quality.checks(clean(spark, sf, dirty=True), params())
+
+
 # ---------------------------------------------------------------------------
 # K: KPIs
 # ---------------------------------------------------------------------------

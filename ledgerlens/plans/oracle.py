@@ -14,7 +14,7 @@ P = fixture_params()
 
 
 def title_sql(expr: str) -> str:
-    stripped = f"regexp_replace({expr}, '^\\s+|\\s+$', '', 'g')"
+    stripped = f"regexp_replace({expr}, '^[\\s\\p{{Z}}]+|[\\s\\p{{Z}}]+$', '', 'g')"
     runs = f"regexp_extract_all({stripped}, '(\\p{{L}}+|\\P{{L}}+)')"
     return f"array_to_string(list_transform({runs}, lambda r: upper(r[1]) || lower(r[2:])), '')"
 
@@ -120,11 +120,32 @@ delivered AS (SELECT * FROM clean WHERE order_status = '{S.STATUS_DELIVERED}')""
 
 PREFIX = "WITH " + ",".join([RAW_SALES_SQL, PRE_SQL, CLEAN_SQL])
 
+# The typed rows of ``fixture.dirty_feed``, under the same name, so that the cleaning CTEs apply to them.
+DIRTY_SALES_SQL = f"""
+raw_sales AS (
+  SELECT * REPLACE (
+    CASE WHEN quantity <> 49 OR discount_pct <> 10 THEN order_id END AS order_id,
+    CASE WHEN order_status = 'PENDING' AND quantity % 7 = 0 THEN NULL
+         WHEN quantity = 18 THEN NULL
+         WHEN order_status = 'RETURNED' AND quantity % 5 = 0 THEN -total_amount
+         WHEN quantity = 50 AND discount_pct = 0 THEN CAST(total_amount * 40 AS DECIMAL(12,2))
+         ELSE total_amount END AS total_amount,
+    CASE WHEN quantity <> 13 THEN sale_date END AS sale_date,
+    CASE WHEN quantity = 12 THEN chr(160) || ' ' || chr(9) || lower(category) || chr(12288)
+         WHEN quantity <> 11 THEN category END AS category,
+    CASE WHEN quantity <> 19 THEN region END AS region,
+    CASE WHEN quantity <> 20 THEN quantity END AS quantity,
+    CASE WHEN quantity <> 16 THEN discount_pct END AS discount_pct,
+    CASE WHEN quantity <> 17 THEN payment_method END AS payment_method)
+  FROM feed
+)"""
+DIRTY_PREFIX = "WITH " + ",".join([RAW_SALES_SQL.replace("raw_sales AS", "feed AS"), DIRTY_SALES_SQL, PRE_SQL, CLEAN_SQL])
+
 # Exact mean as both engines compute it.
 def mean(c: str) -> str:
     return f"CAST(SUM({c}) AS DOUBLE) / COUNT({c})"
 
 
-def q(select: str, ctes: str = "") -> str:
-    """PREFIX, optional extra CTEs (``name AS (...), ...``), then the final SELECT."""
-    return PREFIX + (",\n" + ctes if ctes else "") + "\n" + select
+def q(select: str, ctes: str = "", prefix: str = PREFIX) -> str:
+    """The prefix, optional extra CTEs (``name AS (...), ...``), then the final SELECT."""
+    return prefix + (",\n" + ctes if ctes else "") + "\n" + select

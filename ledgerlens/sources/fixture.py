@@ -104,3 +104,30 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Supplier#"), F.lpad(F.col("l_suppkey").cast("string"), 9, "0")).alias("salesperson"),
         F.col("l_shipdate").cast("timestamp_ntz").alias("loaded_at"),
     )
+
+
+def dirty_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed as a CSV delivers it, fields as text, with faults set by column rules (see FIXTURES.md).
+
+    ``files.coerce_raw`` types it; ``ledgerlens.plans.oracle.DIRTY_SALES_SQL``
+    states the typed result.
+    """
+    r = raw_sales(spark, sf_dir)
+    q, status, discount = F.col("quantity"), F.col("order_status"), F.col("discount_pct")
+    amount, day, category = (F.col(c).cast("string") for c in ("total_amount", "sale_date", "category"))
+    faults = {
+        "order_id": F.when((q != 49) | (discount != 10), F.col("order_id")),
+        "total_amount": F.when((status == "PENDING") & (q % 7 == 0), "")
+        .when(q == 18, "n/a")
+        .when((status == "RETURNED") & (q % 5 == 0), F.concat(F.lit("-"), amount))
+        .when((q == 50) & (discount == 0), (F.col("total_amount") * 40).cast(S.MONEY).cast("string"))
+        .otherwise(amount),
+        "sale_date": F.when(q == 13, "not a date").when(q == 14, F.concat(day, F.lit(" 10:30:00"))).otherwise(day),
+        "category": F.when(q == 12, F.concat(F.lit("\u00a0 \t"), F.lower(category), F.lit("\u3000"))).when(q != 11, category),
+        "region": F.when(q != 19, F.col("region")),
+        "quantity": F.when(q < 10, F.concat(q.cast("string"), F.lit(".0"))).when(q == 20, "2.5").otherwise(q.cast("string")),
+        "discount_pct": F.when(q != 16, discount.cast("string")),
+        "payment_method": F.when(q != 17, F.col("payment_method")),
+    }
+    kept = ("load_seq", "loaded_at")
+    return r.select(*[F.col(c) if c in kept else faults.get(c, F.col(c).cast("string")).alias(c) for c in r.columns])

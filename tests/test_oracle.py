@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from ledgerlens.operators import cleaning
+from ledgerlens.plans import catalog
 from oracle_harness import compare, duck
 
 SQL = E.oracle_sql()
@@ -24,10 +26,17 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_a_known_kind():
-    rows_only = set(QUERIES) - set(SQL)
-    assert rows_only <= {n for n in QUERIES if n[:3] in ("h08", "h09", "h10", "h11", "h12", "h13", "h14", "f02", "f04", "f05", "f10", "s09", "j01")}
+    rows_only = set(catalog.QUERIES) - set(catalog.SQL)
+    assert rows_only <= {n for n in catalog.QUERIES if n[:3] in ("h08", "h09", "h10", "h11", "h12", "h13", "h14", "f02", "f04", "f05", "f10", "s09", "j01")}
 
 
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "mom_growth_pct" in df.columns
+
+
+def test_every_rule_fires_on_the_dirty_feed(spark):
+    report = catalog.QUERIES["c11_dirty_feed"](spark, SF_SMALL).first().asDict()
+    assert min(report[k] for k in cleaning.REPORT_KEYS.values()) > 0
+    checks = {r["check"]: r["violations"] for r in catalog.QUERIES["v01_v06_dirty_feed"](spark, SF_SMALL).collect()}
+    assert min(n for check, n in checks.items() if not check.startswith("Row count")) > 0
