@@ -36,6 +36,8 @@ from ledgerlens.session import ship_package
 UNKNOWN = "und"
 SAMPLE_DOCS, SAMPLE_CHARS, DOC_CHARS = 200, 40_000, 2_000
 BLOCK = 512
+#: Code points that a worker parses at a time; its arrays take about 50 bytes for each.
+SLICE_CHARS = 1_000_000
 #: Codes of a text: 0 a letter that no sample has, 1 any run of other characters, 2 and up letters.
 GAP, OWN_LETTERS, SHARED_LETTERS = 1, 96, 30
 
@@ -197,7 +199,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", pred_col: st
         m = shared.value
         for batch in batches:
             texts, names, scores = strings(batch.column(at)), [], []
-            for a, b in textkit.slices(texts, 4_000_000):
+            for a, b in textkit.slices(texts, SLICE_CHARS):
                 n, s = m.predict(texts[a:b])
                 names += n
                 scores.append(s)

@@ -27,6 +27,7 @@ columns are ignored. An empty table gives an empty result.
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from functools import lru_cache
 
@@ -46,7 +47,7 @@ CAPACITY = 2048
 SMALL_SHARE = 8
 GROUPS = 64
 #: Most distinct pieces of text whose ids a worker keeps.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 250_000
 
 
 class PieceIds:
@@ -60,13 +61,13 @@ class PieceIds:
     def __init__(self, json_path: str, rank_path: str):
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
         with open(rank_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.words = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.whole = Tokenizer.from_file(json_path)
-        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        with open(json_path, encoding="utf-8") as f:
+            self.special = [t["content"] for t in json.load(f)["added_tokens"]]
+        self.json_path, self.whole = json_path, None
         self.clear()
 
     def clear(self):
@@ -108,6 +109,10 @@ class PieceIds:
         return [self.library(t) if i in odd else ids[edge[i] : edge[i + 1]] for i, t in enumerate(texts)]
 
     def library(self, text: str) -> np.ndarray:
+        if self.whole is None:  # few workers meet such a text
+            from tokenizers import Tokenizer
+
+            self.whole = Tokenizer.from_file(self.json_path)
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
