@@ -7,7 +7,8 @@ real write), never a ``collect`` of a large result.
 * ``load_raw_write``: fixture feed (joins of the source tables) -> raw table (S3);
 * ``clean_write``: raw table -> tagged table (C1-C6) -> fences (C7) ->
   cleaned table partitioned by (year, month) (C8-C10, S7) -> report (C11);
-* marts over the written cleaned table (what a deployment runs daily).
+* marts over the written cleaned table (what a deployment runs daily);
+* ``h10_churn_model``: features, split, fit, evaluation and scores of all customers.
 
 The sum is one end-to-end run: sources -> raw -> cleaned -> every mart.
 """
@@ -23,7 +24,7 @@ import time
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
-from ledgerlens.operators import customers, forecast, impact, kpis, projection, quality, reports, trends  # noqa: E402
+from ledgerlens.operators import churn_model, customers, forecast, impact, kpis, projection, quality, reports, trends  # noqa: E402
 from ledgerlens.plans.batch import clean_and_save  # noqa: E402
 from ledgerlens.session import get_spark  # noqa: E402
 from ledgerlens.sources import files, fixture  # noqa: E402
@@ -82,6 +83,13 @@ def main() -> None:
     for name, build in marts.items():
         timed(name, lambda b=build: _run(b()))
 
+    def churn():
+        feats = files.scratch_table(customers.customer_features(c), "customer_features")
+        model, held_out = churn_model.train(feats)
+        churn_model.evaluate(model, held_out, spark).collect()
+        _run(churn_model.score(model, feats))
+
+    timed("h10_churn_model", churn)
 
     total = round(sum(times.values()), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")

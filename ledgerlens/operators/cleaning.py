@@ -184,7 +184,7 @@ def apply_fences(pre: DataFrame, fence: DataFrame) -> DataFrame:
 
 
 def tag(raw: DataFrame, params: S.Params) -> DataFrame:
-    """Every raw row with its ``drop_reason`` (NULL = kept), as one lazy plan.
+    """Every raw row with its ``drop_reason`` (NULL = kept); only the fences are computed at once.
 
     Fine for small inputs; the batch job uses ``materialize`` so the fence
     passes read a written table instead of re-planning the whole feed.

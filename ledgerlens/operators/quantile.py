@@ -4,37 +4,32 @@
 ``quantile``, DuckDB ``quantile_cont``) but never builds a global
 value->count map the way Spark's ``percentile`` aggregate does, and never
 merges per-task sketches on one reducer the way ``percentile_approx`` does
-(at 100 TB that is hundreds of thousands of sketches). Two passes:
-
-1. a histogram on a monotonic log-scale bucket key (256 buckets per power
-   of two, so a bucket spans 0.27% of its value): ``count``, ``min`` and
-   ``max`` per bucket, partial-aggregated map-side. The table has a few
-   thousand rows (at most ~550k for any double range). A running count over
-   it finds the bucket(s) holding the two order statistics around
-   ``p * (n - 1)``; their ``[min, max]`` is the bracket.
-2. every value is mapped to a key per quantile: ``-inf`` below the
-   bracket, ``+inf`` above it, the value itself inside. One group-by on
-   those keys leaves the distinct values of the brackets plus two
-   sentinels. For money (two decimals) a bracket holds at most
-   ``0.0027 * |x| * 100`` distinct values.
-
-A running count over that small table (sorted by key; the ``-inf`` row
-counts everything below the bracket) gives each value's last 0-based
-position, so the order statistics at ``floor`` and ``ceil`` of
-``p * (n - 1)`` are picked and interpolated exactly.
-
-``exact_map`` is Spark's ``percentile`` (exact, but its final merge holds
-every distinct value on one task); ``approx`` is ``percentile_approx``.
+(at 100 TB that is hundreds of thousands of sketches). It looks for the order
+statistics around ``p * (n - 1)`` through histograms (``count``, ``min``,
+``max`` per bucket, partial-aggregated map-side):
+
+1. buckets on a monotonic log scale (256 per power of two, so a bucket spans
+   0.27% of its value); a few thousand rows, at most ~550k for any double
+   range. A running count finds the bucket of each order statistic.
+2. the bucket's ``[min, max]`` is cut into ``SUB_BUCKETS`` equal ones, over
+   the values inside it only, until the bucket that holds the order statistic
+   has one value. A round narrows the range by ``SUB_BUCKETS`` at least, so a
+   double needs four rounds at most and money one.
+
+The driver gets one row a round, the buckets of the sought order statistics.
+``approx`` is ``percentile_approx``.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 APPROX_ACCURACY = 10_000
 BUCKETS_PER_OCTAVE = 256
-NEG, POS = float("-inf"), float("inf")
+SUB_BUCKETS = 1 << 16
 _OFFSET = 1 << 30
 
 
@@ -44,75 +39,67 @@ def bucket_key(x: Column) -> Column:
     return F.when(x > 0, F.lit(_OFFSET) + level).when(x < 0, -(F.lit(_OFFSET) + level)).otherwise(F.lit(0).cast("long"))
 
 
-def _bounds(vals: DataFrame, probs: tuple[float, ...]) -> DataFrame:
-    """One row: ``n`` and, per quantile, the bracket ``lo{i}``/``hi{i}`` from the histogram."""
-    hist = vals.groupBy(bucket_key(F.col("x")).alias("b")).agg(
-        F.count(F.lit(1)).alias("c"), F.min("x").alias("mn"), F.max("x").alias("mx")
-    )
-    # the histogram has a few thousand rows: one running-count window is cheap
-    w = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = hist.withColumn("last_idx", F.sum("c").over(w) - 1).withColumn("n", F.sum("c").over(Window.partitionBy()))
-    aggs = [F.max("n").alias("n")]
-    for i, p in enumerate(probs):
-        pos = F.lit(p) * (F.col("n") - 1)
-        aggs.append(F.min_by("mn", F.when(F.col("last_idx") >= F.floor(pos), F.col("b"))).alias(f"lo{i}"))
-        aggs.append(F.min_by("mx", F.when(F.col("last_idx") >= F.ceil(pos), F.col("b"))).alias(f"hi{i}"))
-    return hist.agg(*aggs)
+def _histogram(keyed: DataFrame) -> DataFrame:
+    """g, b, c, mn, mx and ``last``, the 0-based position in g of a bucket's last value."""
+    hist = keyed.groupBy("g", "b").agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("mn"), F.max("x").alias("mx"))
+    # buckets, not values: a small running count per g
+    w = Window.partitionBy("g").orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return hist.withColumn("last", F.sum("c").over(w) - 1)
+
+
+def _bucket(g: int, rank: Column) -> Column:
+    """(values before it, min, max) of the bucket of ``g`` that holds position ``rank``."""
+    return F.min_by(F.struct((F.col("last") - F.col("c") + 1).alias("before"), "mn", "mx"), F.when((F.col("g") == g) & (F.col("last") >= rank), F.col("b")))
+
+
+def order_statistics(vals: DataFrame, probs: tuple[float, ...]) -> tuple[int, dict[int, float]]:
+    """n and the values at positions floor and ceil of ``p * (n - 1)`` of column ``x``."""
+    first = _histogram(vals.select("x", F.lit(0).alias("g"), bucket_key(F.col("x")).alias("b")))
+    first = first.withColumn("n", F.sum("c").over(Window.partitionBy("g")))
+    ends = [rank(F.lit(p) * (F.col("n") - 1)) for p in probs for rank in (F.floor, F.ceil)]
+    row = first.agg(F.max("n").alias("n"), *[_bucket(0, r).alias(f"t{i}") for i, r in enumerate(ends)]).first()
+    n = row["n"] or 0
+    if not n:
+        return 0, {}
+    positions = [rank(p * (n - 1)) for p in probs for rank in (math.floor, math.ceil)]
+    # position -> (position inside the bucket, min, max)
+    found = {k: (k - row[f"t{i}"]["before"], row[f"t{i}"]["mn"], row[f"t{i}"]["mx"]) for i, k in enumerate(positions)}
+    while wide := sorted({(lo, hi) for _, lo, hi in found.values() if lo < hi}):
+        x = F.col("x")
+
+        def inside(g: int, lo: float, hi: float) -> Column:
+            return F.when(x.between(lo, hi), F.struct(F.lit(g).alias("g"), F.floor((x - lo) / (hi - lo) * SUB_BUCKETS).alias("b")))
+
+        some = F.array_compact(F.array(*[inside(g, lo, hi) for g, (lo, hi) in enumerate(wide)]))
+        near = vals.where(x.between(wide[0][0], max(hi for _, hi in wide))).select("x", F.explode(some).alias("k"))
+        left = [k for k, (_, lo, hi) in found.items() if lo < hi]
+        hist = _histogram(near.select("x", "k.g", "k.b"))
+        row = hist.agg(*[_bucket(wide.index(found[k][1:]), F.lit(found[k][0])).alias(f"t{k}") for k in left]).first()
+        for k in left:
+            t = row[f"t{k}"]
+            found[k] = (found[k][0] - t["before"], t["mn"], t["mx"])
+    return n, {k: lo for k, (_, lo, _) in found.items()}
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: tuple[float, ...]) -> DataFrame:
-    """One-row DataFrame with columns ``q0, q1, ...``: exact quantiles of ``col`` (nulls ignored)."""
+    """One-row DataFrame with columns ``q0, q1, ...``: exact quantiles of ``col`` (nulls ignored; NULL without values)."""
     vals = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
-    bounds = _bounds(vals, probs)
-    # one-row aggregate: broadcast is bounded by construction
-    keyed = vals.crossJoin(F.broadcast(bounds)).select(
-        *[
-            F.when(F.col("x") < F.col(f"lo{i}"), F.lit(NEG))
-            .when(F.col("x") > F.col(f"hi{i}"), F.lit(POS))
-            .otherwise(F.col("x"))
-            .alias(f"k{i}")
-            for i in range(len(probs))
-        ]
-    )
-    small = keyed.groupBy(*[f"k{i}" for i in range(len(probs))]).agg(F.count(F.lit(1)).alias("c"))
-    result = None
-    for i, p in enumerate(probs):
-        one = _pick(small, i, p).withColumnRenamed("q", f"q{i}")
-        result = one if result is None else result.crossJoin(one)
-    return result
-
-
-def _pick(small: DataFrame, i: int, p: float) -> DataFrame:
-    t = small.groupBy(F.col(f"k{i}").alias("k")).agg(F.sum("c").alias("c"))
-    # ``t`` holds one bracket's distinct values plus two sentinels: tiny windows
-    w = Window.orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    t = t.withColumn("last_idx", F.sum("c").over(w) - 1).withColumn("n", F.sum("c").over(Window.partitionBy()))
-    t = t.withColumn("pos", F.lit(p) * (F.col("n") - 1))
-    t = t.withColumn("k_lo", F.floor("pos")).withColumn("k_hi", F.ceil("pos"))
-    picked = t.agg(
-        F.min_by("k", F.when(F.col("last_idx") >= F.col("k_lo"), F.col("k"))).alias("v_lo"),
-        F.min_by("k", F.when(F.col("last_idx") >= F.col("k_hi"), F.col("k"))).alias("v_hi"),
-        F.max("pos").alias("pos"),
-    )
-    v_lo, v_hi = F.col("v_lo"), F.col("v_hi")
-    ok = ~F.col("v_lo").isin(NEG, POS) & ~F.col("v_hi").isin(NEG, POS)
-    frac = F.col("pos") - F.floor("pos")
-    q = F.when(v_lo == v_hi, v_lo).otherwise(v_lo + (v_hi - v_lo) * frac)
-    # A sentinel can only be picked if the bracket missed, which the histogram rules out.
-    return picked.select(F.when(F.col("pos").isNull(), F.lit(None).cast("double")).when(ok, q).otherwise(F.raise_error(F.lit("quantile bracket missed"))).alias("q"))
+    n, at = order_statistics(vals, probs)
+    out = []
+    for p in probs:
+        pos = p * (n - 1)
+        lo, hi = at.get(math.floor(pos)), at.get(math.ceil(pos))
+        out.append(lo if lo == hi else lo + (hi - lo) * (pos - math.floor(pos)))
+    return df.sparkSession.createDataFrame([tuple(out)], ", ".join(f"q{i} double" for i in range(len(probs))))
 
 
 def quartiles(df: DataFrame, col: str, mode: str = "exact") -> DataFrame:
     """One-row DataFrame ``q1, q3``."""
-    x = F.col(col).cast("double")
-    probs = F.array(F.lit(0.25), F.lit(0.75))
     if mode == "approx":
-        q = df.agg(F.percentile_approx(x, probs, APPROX_ACCURACY).alias("q"))
-    elif mode == "exact_map":
-        q = df.agg(F.percentile(x, probs).alias("q"))
-    else:
-        return exact_quantiles(df, col, (0.25, 0.75)).select(F.col("q0").alias("q1"), F.col("q1").alias("q3"))
-    return q.select(F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
+        probs = F.array(F.lit(0.25), F.lit(0.75))
+        q = df.agg(F.percentile_approx(F.col(col).cast("double"), probs, APPROX_ACCURACY).alias("q"))
+        return q.select(F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
+    return exact_quantiles(df, col, (0.25, 0.75)).select(F.col("q0").alias("q1"), F.col("q1").alias("q3"))
 
 
 def iqr_fences(df: DataFrame, col: str, k: float = 1.5, mode: str = "exact") -> DataFrame:

@@ -117,6 +117,24 @@ def test_exact_quantiles_large_uses_bracket(spark):
     assert abs(f.upper - (q3 + 1.5 * (q3 - q1))) < 1e-9
 
 
+@pytest.mark.parametrize("kind", ["large money", "close doubles", "two clusters", "signs"])
+def test_exact_quantiles_of_wide_brackets(spark, kind):
+    rng = np.random.default_rng(3)
+    v = {
+        "large money": (1e9 + rng.integers(0, 2_000_000, 20000) / 100).round(2),
+        "close doubles": 1.0 + rng.random(20000) * 1e-9,
+        "two clusters": np.concatenate([1.0 + rng.random(5000) * 1e-12, 1.002 + rng.random(15001) * 1e-12]),
+        "signs": rng.normal(0, 1e-300, 20000),
+    }[kind]
+    df = spark.createDataFrame([(float(x),) for x in v], "x double").repartition(8)
+    got = exact_quantiles(df, "x", (0.25, 0.5, 0.75)).first()
+    s = np.sort(v)
+    for i, p in enumerate((0.25, 0.5, 0.75)):
+        pos = p * (len(s) - 1)
+        lo, hi = s[int(np.floor(pos))], s[int(np.ceil(pos))]
+        assert got[f"q{i}"] == (lo if lo == hi else lo + (hi - lo) * (pos - np.floor(pos)))
+
+
 def test_hot_duplicate_group_matches_window_semantics(spark):
     # one order id holds a third of all rows; the join form must equal the window form
     rows = [(i, "HOT" if i % 3 == 0 else f"O{i % 50}", float(i % 97 + 1), D, "x") for i in range(3000)]
