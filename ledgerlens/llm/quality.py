@@ -59,7 +59,8 @@ def log_ratio(docs: DataFrame, target_ids: DataFrame, id_col: str, text_col: str
         used = np.flatnonzero(totals[0])
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(totals[0, used]), pa.array(totals[1, used])], names=["bucket", "raw", "target"])
 
-    flagged = docs.join(F.broadcast(target_ids), docs[id_col] == target_ids["target"], "left").select(text_col, F.col("target").isNotNull().alias("wanted"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
+    flagged = rows.join(F.broadcast(target_ids), F.col("id") == F.col("target"), "left").select("t", F.col("target").isNotNull().alias("wanted"))
     counts = flagged.mapInArrow(count, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
     totals = np.ones((2, buckets))  # add-one smoothing
     for r in counts.collect():  # at most a row a bucket

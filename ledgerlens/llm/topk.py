@@ -35,6 +35,8 @@ from ledgerlens.llm.common import stored
 from ledgerlens.session import ship_package
 
 ROWS, QUERIES = 8192, 1024
+#: Most blocks whose numbers (three integers each) are broadcast; more are joined by shuffle.
+BROADCAST_BLOCKS = 200_000
 LIMIT = 1 << 27
 
 
@@ -174,7 +176,8 @@ def top_k(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
         # a row of three integers per block
         keys = sorted((r["dims"], r["part"], r["nth"]) for r in df.select("dims", "part", "nth").collect())
         table = spark.createDataFrame([(*key, i) for i, key in enumerate(keys)], f"dims int, part int, nth int, {name} int")
-        return df.join(F.broadcast(table), ["dims", "part", "nth"]).drop("part", "nth"), len(keys)
+        table = F.broadcast(table) if len(keys) <= BROADCAST_BLOCKS else table
+        return df.join(table, ["dims", "part", "nth"]).drop("part", "nth"), len(keys)
 
     against, n_against = numbered(against, "r")
     asking, n_asking = numbered(asking, "q")

@@ -2,12 +2,12 @@
 
 import random
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, key string, id string, t string, u long, digest string, label string, spans string, added string"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, key string, id string, t string, u long, digest string, label string, spans string, added string, target string, size string, stop string"
 
 
 def frame(spark, rows):
     """Documents (doc_id, text, lang, source) with extra columns whose names the operators use themselves."""
-    full = [(i, t, lang, s, None if t is None else len(t), "x", "x", "x", "x", 1, "x", "x", "x", "x") for i, t, lang, s in rows]
+    full = [(i, t, lang, s, None if t is None else len(t), "x", "x", "x", "x", 1, "x", "x", "x", "x", "x", "x", "x") for i, t, lang, s in rows]
     return spark.createDataFrame(full, SCHEMA)
 
 
