@@ -7,11 +7,12 @@ in one pass over the table of sources (a row each; their order by name, which
 fixes the weights, is the only global order).
 
 A target of e epochs takes every document floor(e) times, and once more the
-documents of lowest seeded hash until the rest of the target is met, to the
-nearest document. No source is sorted: the hash at which to stop is found
-from sums by hash prefix (12 bits, then 12 more, then the few documents that
-are left), all pre-aggregated, so a source with a third of all rows is no
-special case.
+documents of lowest seeded hash up to the first that would exceed the rest of
+the target; one more document, the one whose size is nearest to what is then
+missing, closes the gap, so a very long document at the stop does no harm. No
+source is sorted: the hash at which to stop is found from sums by hash prefix
+(12 bits, then 12 more, then the few documents that are left), all
+pre-aggregated, so a source with a third of all rows is no special case.
 
 Null text has size 0; a source of size 0 has target 0 and gives nothing; a
 null source is a source, last in order. Documents of equal id and text have
@@ -68,7 +69,7 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
 
 
 def stops(sized: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Per source: whole repetitions and the hash below which a document is taken once more (``stop``).
+    """Per source: whole repetitions, the hash below which a document is taken once more (``stop``) and of one more (``extra``).
 
     ``sized`` has key, size, u (the hash); ``wanted`` is a table of targets.
     """
@@ -88,9 +89,18 @@ def stops(sized: DataFrame, wanted: DataFrame) -> DataFrame:
     last = rows.join(state.select("key", "prefix"), "key").where(F.shiftright("u", done) == F.col("prefix")).groupBy("key", "u").agg(F.sum("size").alias("s"))
     run = Window.partitionBy("key").orderBy("u").rowsBetween(Window.unboundedPreceding, -1)
     upto = last.withColumn("upto", F.coalesce(F.sum("s").over(run), F.lit(0))).join(state, "key")
-    over = upto.where(F.col("before") + F.col("upto") + F.col("s") / 2 > F.col("need")).groupBy("key").agg(F.min("u").alias("stop"))
+    reached = F.col("before") + F.col("upto")
+    over = upto.where(reached + F.col("s") > F.col("need")).groupBy("key").agg(F.min_by(F.struct("u", (F.col("need") - reached).alias("rest")), "u").alias("o"))
     end = F.shiftleft(F.col("prefix") + 1, done)
-    return stored(state.join(over, "key", "left").select("key", "source_size", "target", "whole", F.coalesce("stop", end).alias("stop")), "mix_stops")
+    filled = stored(
+        state.join(over, "key", "left").select("key", "source_size", "target", "whole", F.coalesce("o.u", end).alias("stop"), F.coalesce("o.rest", F.lit(0.0)).alias("rest")), "mix_filled"
+    )
+    # documents beyond the stop that bring the source nearer to its target, by what they leave open
+    gap = F.abs(F.col("size") - F.col("rest"))
+    near = sized.join(filled.select("key", "stop", "rest"), "key").where("u >= stop and size > 0 and size < 2 * rest").select("key", "u", gap.alias("gap"))
+    least = near.groupBy("key").agg(F.min("gap").alias("gap"))
+    extra = near.join(least, ["key", "gap"]).groupBy("key").agg(F.min("u").alias("extra"))
+    return stored(filled.drop("rest").join(extra, "key", "left"), "mix_stops")
 
 
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = SEED, **rule) -> tuple[DataFrame, DataFrame]:
@@ -105,7 +115,7 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
 
 
 def repetitions() -> Column:
-    return (F.col("whole") + F.when(F.col("u") < F.col("stop"), 1).otherwise(0)).cast("long")
+    return (F.col("whole") + F.when((F.col("u") < F.col("stop")) | (F.col("u") == F.col("extra")), 1).otherwise(0)).cast("long")
 
 
 def shares(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = SEED, **rule) -> DataFrame:
@@ -150,9 +160,15 @@ needs AS (
 run AS (
   SELECT key, u, s, COALESCE(sum(s) OVER (PARTITION BY key ORDER BY u ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS upto
   FROM (SELECT key, u, sum(size)::BIGINT AS s FROM sized GROUP BY key, u)),
+reached AS (
+  SELECT key, u, upto, s, target - whole * source_size AS need FROM run JOIN needs USING (key)),
 stops AS (
-  SELECT key, min(u) AS stop FROM run JOIN needs USING (key) WHERE upto + s / 2 > target - whole * source_size GROUP BY key)
+  SELECT key, min(u) AS stop, min_by(need - upto, u) AS rest FROM reached WHERE upto + s > need GROUP BY key),
+near AS (
+  SELECT key, u, abs(size - rest) AS gap FROM sized JOIN stops USING (key) WHERE u >= stop AND size > 0 AND size < 2 * rest),
+extras AS (
+  SELECT key, min(u) AS extra FROM near JOIN (SELECT key, min(gap) AS gap FROM near GROUP BY key) USING (key, gap) GROUP BY key)
 SELECT doc_id, size, source_size, target,
-       (size * (whole + CASE WHEN stop IS NULL OR u < stop THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM sized JOIN needs USING (key) LEFT JOIN stops USING (key)
+       (size * (whole + CASE WHEN stop IS NULL OR u < stop OR u = extra THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM sized JOIN needs USING (key) LEFT JOIN stops USING (key) LEFT JOIN extras USING (key)
 """
