@@ -6,11 +6,12 @@ its cap. Clamping sources in ascending order of cap / weight gives that level
 in one pass over the table of sources (a row each; their order by name, which
 fixes the weights, is the only global order).
 
-A target of e epochs takes every document floor(e) times, and once more the
-documents of lowest seeded hash up to the first that would exceed the rest of
-the target; one more document, the one whose size is nearest to what is then
-missing, closes the gap, so a very long document at the stop does no harm. No
-source is sorted: the hash at which to stop is found from sums by hash prefix
+A target of e epochs takes every document floor(e) times. The rest is filled
+once more in order of a seeded hash, up to the first document that would
+exceed it. A document that is too long there is passed over: ``ROUNDS`` rounds
+go on from it with the documents that still fit, and one last document, the
+one nearest in size to what is then missing, closes the gap. No source is
+sorted: the hash at which a round stops is found from sums by hash prefix
 (12 bits, then 12 more, then the few documents that are left), all
 pre-aggregated, so a source with a third of all rows is no special case.
 
@@ -32,6 +33,7 @@ SHARE, MAX_EPOCHS, SEED = 1.5, 2, "mix-1"
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bits of the hash, and the shifts of the two prefixes.
 BITS, SHIFTS = 48, (36, 24)
+ROUNDS = 3
 
 
 def word_count(text: Column) -> Column:
@@ -68,39 +70,57 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     return leveled.select("key", "source_size", F.when(F.col("clamped"), F.col("cap").cast("double")).otherwise(water * F.col("weight")).alias("target"))
 
 
-def stops(sized: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Per source: whole repetitions, the hash below which a document is taken once more (``stop``) and of one more (``extra``).
+def stop_at(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """key, stop, rest: the smallest hash whose rows exceed ``need``, and what the rows below it leave open.
 
-    ``sized`` has key, size, u (the hash); ``wanted`` is a table of targets.
+    ``rows`` has key, size, u (the hash); sources whose rows do not exceed their need are missing.
     """
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    state = wanted.withColumn("whole", whole).withColumn("need", F.col("target") - F.col("whole") * F.col("source_size"))
-    state = stored(state.withColumns({"before": F.lit(0).cast("long"), "prefix": F.lit(0).cast("long")}), "mix_targets")
-    rows, done = sized, BITS
+    state, done = wanted.withColumns({"before": F.lit(0).cast("long"), "prefix": F.lit(0).cast("long")}), BITS
     for shift in SHIFTS:
         # sums by the next bits of the hash, within the prefix that the level before has found
         inside = rows.join(state.select("key", "prefix"), "key").where(F.shiftright("u", done) == F.col("prefix"))
         sums = inside.groupBy("key", F.shiftright("u", shift).alias("p")).agg(F.sum("size").alias("s"))
         run = Window.partitionBy("key").orderBy("p").rowsBetween(Window.unboundedPreceding, 0)
-        reached = sums.withColumn("upto", F.sum("s").over(run)).join(state, "key").where(F.col("before") + F.col("upto") >= F.col("need"))
+        reached = sums.withColumn("upto", F.sum("s").over(run)).join(state, "key").where(F.col("before") + F.col("upto") > F.col("need"))
         first = reached.groupBy("key").agg(F.min_by(F.struct("p", (F.col("before") + F.col("upto") - F.col("s")).alias("b")), "p").alias("f"))
         state = stored(state.drop("before", "prefix").join(first.select("key", F.col("f.b").alias("before"), F.col("f.p").alias("prefix")), "key"), "mix_prefixes")
         done = shift
     last = rows.join(state.select("key", "prefix"), "key").where(F.shiftright("u", done) == F.col("prefix")).groupBy("key", "u").agg(F.sum("size").alias("s"))
     run = Window.partitionBy("key").orderBy("u").rowsBetween(Window.unboundedPreceding, -1)
-    upto = last.withColumn("upto", F.coalesce(F.sum("s").over(run), F.lit(0))).join(state, "key")
-    reached = F.col("before") + F.col("upto")
-    over = upto.where(reached + F.col("s") > F.col("need")).groupBy("key").agg(F.min_by(F.struct("u", (F.col("need") - reached).alias("rest")), "u").alias("o"))
-    end = F.shiftleft(F.col("prefix") + 1, done)
-    filled = stored(
-        state.join(over, "key", "left").select("key", "source_size", "target", "whole", F.coalesce("o.u", end).alias("stop"), F.coalesce("o.rest", F.lit(0.0)).alias("rest")), "mix_filled"
-    )
-    # documents beyond the stop that bring the source nearer to its target, by what they leave open
+    upto = last.withColumn("upto", F.coalesce(F.sum("s").over(run), F.lit(0))).join(state, "key").withColumn("reached", F.col("before") + F.col("upto"))
+    over = upto.where(F.col("reached") + F.col("s") > F.col("need"))
+    return over.groupBy("key").agg(F.min_by(F.struct(F.col("u").alias("stop"), (F.col("need") - F.col("reached")).alias("rest")), "u").alias("o")).select("key", "o.*")
+
+
+def filling() -> Column:
+    """Whether a row (u, size) is taken once more by a round of its source's ``fill``."""
+    return F.exists("fill", lambda f: (F.col("u") >= f["start"]) & (F.col("u") < f["stop"]) & (F.col("size") <= f["most"]))
+
+
+def stops(sized: DataFrame, wanted: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """Per source: whole repetitions, ``fill`` (start, stop and largest size of each round) and ``extra`` (hash of one more).
+
+    ``sized`` has key, size, u (the hash); ``wanted`` is a table of targets.
+    """
+    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
+    state = wanted.withColumn("whole", whole).withColumn("need", F.col("target") - F.col("whole") * F.col("source_size"))
+    none = F.array().cast("array<struct<start:bigint,stop:bigint,most:double>>")
+    state = stored(state.withColumns({"open": F.col("need"), "start": F.lit(0).cast("long"), "most": F.lit(2.0**62), "fill": none}), "mix_targets")
+    for _ in range(rounds):
+        fitting = sized.join(state.select("key", "start", "most"), "key").where("size > 0 and u >= start and size <= most").select("key", "size", "u")
+        stop, rest = F.coalesce("stop", F.lit(1 << BITS)), F.coalesce("rest", F.lit(0.0))
+        fill = F.array_append("fill", F.struct("start", stop.alias("stop"), "most")).alias("fill")
+        found = state.join(stop_at(fitting, state.select("key", F.col("open").alias("need"))), "key", "left")
+        state = stored(found.select("key", "source_size", "target", "whole", "need", rest.alias("open"), stop.alias("start"), rest.alias("most"), fill), "mix_rounds")
+    state = state.select("key", "source_size", "target", "whole", "need", "fill")
+    filled = sized.join(state.select("key", "fill"), "key").where(filling()).groupBy("key").agg(F.sum("size").alias("filled"))
+    state = stored(state.join(filled, "key", "left").withColumn("rest", F.col("need") - F.coalesce("filled", F.lit(0))).drop("need", "filled"), "mix_filled")
+    # of the rows left out, those that bring the source nearer to its target, by what they leave open
     gap = F.abs(F.col("size") - F.col("rest"))
-    near = sized.join(filled.select("key", "stop", "rest"), "key").where("u >= stop and size > 0 and size < 2 * rest").select("key", "u", gap.alias("gap"))
+    near = sized.join(state.select("key", "fill", "rest"), "key").where(~filling()).where("size > 0 and size < 2 * rest").select("key", "u", gap.alias("gap"))
     least = near.groupBy("key").agg(F.min("gap").alias("gap"))
     extra = near.join(least, ["key", "gap"]).groupBy("key").agg(F.min("u").alias("extra"))
-    return stored(filled.drop("rest").join(extra, "key", "left"), "mix_stops")
+    return stored(state.drop("rest").join(extra, "key", "left"), "mix_stops")
 
 
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = SEED, **rule) -> tuple[DataFrame, DataFrame]:
@@ -115,7 +135,7 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
 
 
 def repetitions() -> Column:
-    return (F.col("whole") + F.when((F.col("u") < F.col("stop")) | (F.col("u") == F.col("extra")), 1).otherwise(0)).cast("long")
+    return (F.col("whole") + F.when(filling() | (F.col("u") == F.col("extra")), 1).otherwise(0)).cast("long")
 
 
 def shares(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = SEED, **rule) -> DataFrame:
@@ -128,11 +148,23 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """The mixture: each input row as often as it is taken, with its columns."""
     _, stop = plan(docs, id_col, text_col, source_col, seed, **rule)
     row = free_name(docs, "row")
-    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(row), source_key(source_col).alias("key"), seeded_hash(seed, id_col, text_col).alias("u"))
+    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(row), source_key(source_col).alias("key"), word_count(F.col(text_col)).alias("size"), seeded_hash(seed, id_col, text_col).alias("u"))
     times = keyed.join(stop, "key").select(row, F.explode(F.array_repeat(F.lit(1), repetitions().cast("int"))))
     return times.select(*(F.col(row)[c].alias(c) for c in docs.columns))
 
 
+def _round_sql(k: int) -> str:
+    return f"""
+run{k} AS (
+  SELECT key, u, s, need, COALESCE(sum(s) OVER (PARTITION BY key ORDER BY u ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS upto
+  FROM (SELECT key, u, any_value(need) AS need, sum(size)::BIGINT AS s FROM sized JOIN fill{k - 1} USING (key)
+        WHERE size > 0 AND u >= start AND size <= most GROUP BY key, u)),
+stop{k} AS (
+  SELECT key, min(u) AS stop, min_by(need - upto, u) AS rest FROM run{k} WHERE upto + s > need GROUP BY key),
+fill{k} AS (
+  SELECT key, COALESCE(rest, 0) AS need, COALESCE(stop, {1 << BITS}) AS start, COALESCE(rest, 0) AS most FROM fill{k - 1} LEFT JOIN stop{k} USING (key)),"""
+
+
 #: DuckDB SQL of ``shares`` over documents.
 SHARES_SQL = rf"""
 WITH sized AS (
@@ -157,18 +189,18 @@ targets AS (
   FROM clamped),
 needs AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole FROM targets),
-run AS (
-  SELECT key, u, s, COALESCE(sum(s) OVER (PARTITION BY key ORDER BY u ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS upto
-  FROM (SELECT key, u, sum(size)::BIGINT AS s FROM sized GROUP BY key, u)),
-reached AS (
-  SELECT key, u, upto, s, target - whole * source_size AS need FROM run JOIN needs USING (key)),
-stops AS (
-  SELECT key, min(u) AS stop, min_by(need - upto, u) AS rest FROM reached WHERE upto + s > need GROUP BY key),
+fill0 AS (
+  SELECT key, target - whole * source_size AS need, 0::BIGINT AS start, 4611686018427387904::DOUBLE AS most FROM needs),{"".join(map(_round_sql, range(1, ROUNDS + 1)))}
+filled AS (
+  SELECT sized.*, {" OR ".join(f"(u >= f{k - 1}.start AND u < f{k}.start AND size <= f{k - 1}.most)" for k in range(1, ROUNDS + 1))} AS more
+  FROM sized {" ".join(f"JOIN fill{k} f{k} USING (key)" for k in range(ROUNDS + 1))}),
+rests AS (
+  SELECT key, any_value(target - whole * source_size) - COALESCE(sum(size) FILTER (more), 0)::BIGINT AS rest FROM filled JOIN needs USING (key) GROUP BY key),
 near AS (
-  SELECT key, u, abs(size - rest) AS gap FROM sized JOIN stops USING (key) WHERE u >= stop AND size > 0 AND size < 2 * rest),
+  SELECT key, u, abs(size - rest) AS gap FROM filled JOIN rests USING (key) WHERE NOT more AND size > 0 AND size < 2 * rest),
 extras AS (
   SELECT key, min(u) AS extra FROM near JOIN (SELECT key, min(gap) AS gap FROM near GROUP BY key) USING (key, gap) GROUP BY key)
 SELECT doc_id, size, source_size, target,
-       (size * (whole + CASE WHEN stop IS NULL OR u < stop OR u = extra THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM sized JOIN needs USING (key) LEFT JOIN stops USING (key) LEFT JOIN extras USING (key)
+       (size * (whole + CASE WHEN more OR u = extra THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM filled JOIN needs USING (key) LEFT JOIN extras USING (key)
 """

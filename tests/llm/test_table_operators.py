@@ -145,17 +145,17 @@ def test_mixture_meets_its_targets(spark):
 def test_sources_come_near_their_targets(spark):
     rows = mixing.shares(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).toPandas()
     for (_, target), part in rows.groupby(["source_size", "target"]):
-        assert abs(part.taken.sum() - target) <= 0.03 * target
+        assert abs(part.taken.sum() - target) <= min(0.03 * target, part["size"].max())
 
 
 def test_a_very_long_document_at_the_stop_leaves_no_gap(spark):
-    sizes = [1000, 400, *[5] * 100]
+    sizes = [1000, *[5] * 2000]
     docs = frame(spark, [(i, " ".join(["w"] * n), "en", s) for s in "abc" for i, n in enumerate(sizes)])
-    for seed in "123":
+    for seed in "12":
         rows = mixing.shares(docs, seed=seed).toPandas()
         for target, part in rows.groupby("target"):
-            # a document that would exceed the rest is passed over for the one nearest to it
-            assert abs(part.taken.sum() - target) <= 400
+            # the long document is passed over where it would exceed the rest
+            assert abs(part.taken.sum() - target) <= 5
             assert (part.taken <= 2 * part["size"]).all()
 
 
