@@ -10,19 +10,19 @@ possessive where nothing after them could need them back.
 *Disclosed terms.* Corpus co-occurrence estimates how strongly a term reveals
 a protected entity. For entity e and term t, over documents,
 PMI(t; e) = log(P(t, e) / (P(t) P(e))) and IC(e) = -log P(e); t occurs with e
-when it stands within ``WINDOW`` characters of a mention of e. The ratio
-PMI / IC is 1 when t occurs with e only. Terms that occur with e in at least
-``min_together`` documents and reach ``generalise_at`` are generalised to
-their class, those that reach ``remove_at`` are removed, wherever they stand
-near a mention of e. Each such occurrence is an added span of kind ``term``;
-base spans stay.
-
-The text is read twice: once for spans and contexts, which are written to the
-shared folder (documents without personal data leave narrow rows), once to
-count the documents of every word. Words and (term, entity) pairs are
-pre-aggregated in their map tasks, so a common word or entity is one row a
-task; nothing else is shuffled but the pairs and the rows of documents with
-added spans.
+when a document that mentions e has t anywhere outside its base spans. The
+ratio PMI / IC is 1 when t occurs with e only. Terms that occur with e in at
+least ``min_together`` documents and reach ``generalise_at`` are generalised
+to their class, those that reach ``remove_at`` are removed, wherever they
+stand in a document that mentions e. Each such occurrence is an added span of
+kind ``term``; base spans stay.
+
+The text is read twice: once for spans, which are written to the shared
+folder (documents without personal data leave narrow rows, the others their
+text outside the spans), once to count the documents of every word. Words and
+(term, entity) pairs are pre-aggregated in their map tasks, so a common word
+or entity is one row a task; only entities of ``min_together`` documents or
+more are paired with the terms of their documents.
 
 Null text is empty. Documents without matches have zero counts and empty
 strings. Equal rows get equal results; the key that joins spans back is a
@@ -51,9 +51,9 @@ PATTERNS = {
 HINTS = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 TERM = r"\p{L}[\p{L}\p{N}]*+"
-WINDOW = 80
 MIN_TOGETHER, GENERALISE_AT, REMOVE_AT = 3, 0.8, 0.95
 SPAN = "array<struct<kind:string,start:int,end:int,entity:string>>"
+ADDED = "array<struct<start:int,end:int,disclosure:double>>"
 
 
 def located(text: Column, pattern: str) -> Column:
@@ -110,70 +110,80 @@ def _key(id_col: Column, text: Column) -> Column:
     return F.md5(F.concat(F.coalesce(id_col.cast("string"), F.lit("null")), F.lit(":"), text).cast("binary"))
 
 
-def mentions(spans: Column) -> Column:
-    """Each span with the end of the one before it and the start of the one after it, by start."""
-    by_start = F.sort_array(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["entity"].alias("entity"))))
-    before = F.concat(F.array(F.lit(0)), F.transform(by_start, lambda s: s["end"]))
-    after = F.slice(F.transform(by_start, lambda s: s["start"]), 2, F.greatest(F.size(spans) - 1, F.lit(0)))
-    return F.slice(F.arrays_zip(by_start.alias("s"), before.alias("before"), after.alias("after")), 1, F.size(spans))
+def masked(text: Column, spans: Column) -> Column:
+    """The text with every code point of a base span replaced by a space, so that positions stay."""
+    by_start = F.sort_array(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+
+    def step(acc, s):
+        kept = F.substring(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
+        blank = F.repeat(F.lit(" "), F.greatest(s["end"] - F.greatest(s["start"], acc["at"]), F.lit(0)))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], F.array(kept, blank)).alias("out"))
+
+    return F.aggregate(by_start, start, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text))))
+
 
+def outside(text: Column, spans: Column) -> Column:
+    """The text in which terms are looked for."""
+    return F.when(F.size(spans) > 0, masked(text, spans)).otherwise(text)
 
-def contexts(text: Column, size: Column, near: Column) -> Column:
-    """array<struct<entity, term, start, end>>: the whole terms around each of ``mentions``, up to its neighbours."""
 
-    def around(m):
-        s = m["s"]
-        before = F.greatest(m["before"], s["start"] - WINDOW)
-        after = F.least(size, s["end"] + WINDOW, F.coalesce(m["after"], size))
-        return F.concat(side(s, before, s["start"]), side(s, s["end"], after))
+def terms_of(text: Column) -> Column:
+    """The distinct terms of a text, lower-cased."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), lambda t: F.lower(t)))
 
-    def side(s, begin, end):
-        piece = F.substring(text, begin + 1, F.greatest(end - begin, F.lit(0)))
-        # a term that the window cuts is left out
-        whole = F.filter(located(piece, TERM), lambda t: ((t["start"] > 0) | (begin == 0) | (begin == s["end"])) & ((t["end"] < end - begin) | (end == size) | (end == s["start"])))
-        return F.transform(whole, lambda t: F.struct(s["entity"].alias("entity"), F.lower(t["match"]).alias("term"), (begin + t["start"]).alias("start"), (begin + t["end"]).alias("end")))
 
-    return F.flatten(F.transform(near, around))
+def occurrences(text: Column, told: Column) -> Column:
+    """array<struct<start, end, disclosure>>: where the terms of ``told`` (term to disclosure) stand; only these are appended."""
+    between = F.transform(F.split(text, TERM, -1), lambda p: F.length(p))
+    found = F.filter(F.arrays_zip(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)).alias("match"), between.alias("before")), lambda z: z["match"].isNotNull())
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(ADDED).alias("out"))
+
+    def add(acc, z):
+        begin = (acc["at"] + z["before"]).cast("int")
+        end = (begin + F.length(z["match"])).cast("int")
+        value = F.try_element_at(told, F.lower(z["match"]))
+        mark = F.struct(begin.alias("start"), end.alias("end"), value.alias("disclosure"))
+        return F.struct(end.alias("at"), F.when(value.isNotNull(), F.array_append(acc["out"], mark)).otherwise(acc["out"]).alias("out"))
+
+    return F.aggregate(found, start, add, lambda acc: acc["out"])
 
 
 def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, key, spans, near (contexts) of every document, written once; key is null without personal data."""
+    """id, key, spans, rest (the text outside the spans) of every document, written once; key and rest are null without personal data."""
     text = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("t")).withColumn("spans", base_spans(F.col("t")))
     some = F.size("spans") > 0
-    # columns of their own, as an expression inside a lambda is evaluated for every element
-    told = text.withColumn("mentions", mentions(F.col("spans"))).withColumn("size", F.length("t"))
-    return stored(
-        told.select("id", F.when(some, _key(F.col("id"), F.col("t"))).alias("key"), "spans", F.when(some, contexts(F.col("t"), F.col("size"), F.col("mentions"))).alias("near")), "privacy_spans"
-    )
+    return stored(text.select("id", F.when(some, _key(F.col("id"), F.col("t"))).alias("key"), "spans", F.when(some, masked(F.col("t"), F.col("spans"))).alias("rest")), "privacy_spans")
 
 
 def disclosed(docs: DataFrame, found: DataFrame, text_col: str, min_together: int = MIN_TOGETHER, generalise_at: float = GENERALISE_AT) -> DataFrame:
-    """entity, term, disclosure: the pairs whose PMI / IC reaches ``generalise_at``."""
+    """key, told (map of term to disclosure): the documents with terms whose PMI / IC reaches ``generalise_at`` for one of their entities."""
     named = found.where("key is not null")
-    pairs = named.select(F.explode(F.array_distinct(F.transform("near", lambda n: F.struct(n["entity"].alias("entity"), n["term"].alias("term"))))).alias("p"))
-    together = pairs.groupBy("p.entity", "p.term").agg(F.count("*").alias("together")).where(F.col("together") >= min_together)
-    entities = named.select(F.explode(F.array_distinct(F.transform("spans", lambda s: s["entity"]))).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text_or_empty(text_col)), F.lit(TERM), F.lit(0)))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+    mentions = named.select("key", F.explode(F.array_distinct(F.transform("spans", lambda s: s["entity"]))).alias("entity"))
+    # an entity of fewer documents has no pair that counts
+    entities = stored(mentions.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= min_together), "privacy_entities")
+    often = mentions.join(entities, "entity", "left_semi").groupBy("key").agg(F.collect_set("entity").alias("entities"))
+    whole = stored(named.select("key", "rest").join(often, "key").select("key", "entities", terms_of(F.col("rest")).alias("terms")), "privacy_protected")
+    # one after the other, so that no row holds all pairs
+    pairs = whole.select("key", "terms", F.explode("entities").alias("entity")).select("key", "entity", F.explode("terms").alias("term"))
+    together = pairs.groupBy("entity", "term").agg(F.count("*").alias("together")).where(F.col("together") >= min_together)
+    text = docs.select(text_or_empty(text_col).alias("t")).withColumn("spans", base_spans(F.col("t")))
+    words = text.select(F.explode(terms_of(outside(F.col("t"), F.col("spans")))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
     total = F.lit(float(max(found.count(), 1)))
     pmi = F.log(F.col("together") * total / (F.col("n_term") * F.col("n_entity")))
     ratio = F.when(F.col("n_entity") >= total, F.lit(0.0)).otherwise(pmi / F.log(total / F.col("n_entity")))
     scored = stored(together, "privacy_pairs").join(words, "term").join(entities, "entity").select("entity", "term", ratio.alias("disclosure"))
-    return stored(scored.where(F.col("disclosure") >= generalise_at), "privacy_terms")
-
-
-def added_spans(found: DataFrame, terms: DataFrame) -> DataFrame:
-    """key, added: array<struct<start, end, disclosure>> of the disclosed terms of each document that has some."""
-    near = found.where("key is not null").select("key", F.explode("near").alias("n")).select("key", "n.*").join(terms, ["entity", "term"])
-    once = near.groupBy("key", "start", "end").agg(F.max("disclosure").alias("disclosure"))
-    return once.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "end", "disclosure"))).alias("added"))
+    terms = stored(scored.where(F.col("disclosure") >= generalise_at), "privacy_terms")
+    hits = pairs.join(terms, ["entity", "term"]).groupBy("key", "term").agg(F.max("disclosure").alias("disclosure"))
+    return stored(hits.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("told")), "privacy_told")
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **rule) -> DataFrame:
     """id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_term: a row per document."""
     found = scan(docs, id_col, text_col)
-    added = added_spans(found, disclosed(docs, found, text_col, **rule))
+    told = disclosed(docs, found, text_col, **rule)
     # rows without personal data have nothing to join, and would meet at the null key
-    named = found.where("key is not null").select("id", "key", "spans").join(added, "key", "left")
+    named = found.where("key is not null").join(told, "key", "left").select("id", "key", "spans", F.when(F.col("told").isNotNull(), occurrences(F.col("rest"), F.col("told"))).alias("added"))
     joined = named.unionByName(found.where("key is null").select("id", "key", "spans"), allowMissingColumns=True)
 
     def number(kind: str) -> Column:
@@ -207,12 +217,13 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
     in the rows whose text changes.
     """
     found = scan(docs, id_col, text_col)
-    added = stored(added_spans(found, disclosed(docs, found, text_col, **rule)), "privacy_added")
+    told = disclosed(docs, found, text_col, **rule)
     row, key, more, new = (free_name(docs, x) for x in ("row", "key", "added", "new"))
     spans = free_name(docs, "spans")
     text = text_or_empty(text_col)
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(row), text.alias(new), _key(F.col(id_col), text).alias(key)).withColumn(spans, base_spans(F.col(new)))
-    joined = rows.join(added.select(F.col("key").alias(key), F.col("added").alias(more)), key, "left")
+    joined = rows.join(told.select(F.col("key").alias(key), F.col("told").alias(more)), key, "left")
+    joined = joined.withColumn(more, F.when(F.col(more).isNotNull(), occurrences(outside(F.col(new), F.col(spans)), F.col(more))))
     base = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("put")))
     terms = F.coalesce(
         F.transform(more, lambda a: F.struct(a["start"].alias("start"), a["end"].alias("end"), F.when(a["disclosure"] >= remove_at, "").otherwise("[TERM]").alias("put"))),

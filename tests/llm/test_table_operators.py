@@ -91,6 +91,22 @@ def test_disclosing_terms_are_added_and_taken_out(spark):
     assert out[12]["text"] == rows[7][1] and out[12]["row"] == "x"
 
 
+def test_terms_disclose_past_neighbours_and_far_from_the_mention(spark):
+    far = " ".join(["the"] * 60)
+    texts = [f"Zorblax, z@x.org, +1 499 555 6503 {far} Quuxan and zorblax {i}" for i in range(4)]
+    # the far term alone, without the mention near it, and an entity of too few documents
+    texts += [f"card 4111 1111 1111 1111 the {far} rareterm"] + [f"the {far} z{i}" for i in range(20)]
+    # one term stands beside the phone only, with the e-mail's span between
+    texts += [f"Phonix, y{i}@x.org, +1 499 555 6504 the" for i in range(3)]
+    docs = frame(spark, [(i, t, None, None) for i, t in enumerate(texts)])
+    found = {r["doc_id"]: r for r in privacy.find(docs).collect()}
+    for i, t in enumerate(texts):
+        want = {m.span() for m in re.finditer("[Zz]orblax|Quuxan|Phonix|\\band\\b", t)}
+        assert {tuple(map(int, s.split(":")[1:])) for s in found[i]["spans"].split(",") if s.startswith("term")} == want, t
+    out = {r["doc_id"]: r["text"] for r in privacy.sanitise(docs).collect()}
+    assert out[0] == f", [EMAIL], [PHONE] {far}    0" and out[25] == ", [EMAIL], [PHONE] the" and out[4].endswith("rareterm")
+
+
 def test_private_data_of_odd_documents(spark):
     docs = frame(spark, odd_rows())
     assert privacy.find(docs).count() == len(odd_rows())
