@@ -6,9 +6,12 @@
    one text from here on.
 2. *Banding*: rows a band and number of bands are chosen for a target recall
    at the threshold. Band hashes are shuffled; a bucket's members are paired
-   with its smallest and its largest member, two pairs a member, so a bucket
-   of any size stays linear. Signature bytes drop pairs that are far from the
-   threshold (``SIGMAS`` standard errors below it).
+   with its smallest and its largest member, two pairs a member. Signature
+   bytes drop pairs that are far from the threshold (``SIGMAS`` standard
+   errors below it). The other members of a bucket that these pairs leave in
+   more than one group are then compared with each other, every pair, in
+   blocks; so a bucket of one group stays linear, and no pair that shares a
+   bucket is passed over.
 3. *Verification*: the candidate groups that these pairs connect are checked
    on full n-gram sets, every pair of texts of a group: a group is cut into
    blocks of about ``BLOCK`` texts and each pair of blocks is one unit of
@@ -41,6 +44,8 @@ from ledgerlens.session import ship_package
 N, THRESHOLD, RECALL, MAX_HASHES = 5, 0.8, 0.9999, 192
 SIGMAS = 5
 BLOCK = 200
+#: Members of a crowded bucket in a block.
+CROWD = 1000
 #: Columns of the shingle matrix that a unit holds at a time.
 COLUMNS = 4096
 
@@ -98,15 +103,29 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, n: int, bands: int,
     return rows_in.mapInArrow(run, f"id {id_type}, digest string, key binary, node long, bands array<long>, bytes binary")
 
 
+def least_equal(hashes: int, threshold: float) -> float:
+    """Equal signature bytes of a pair that may reach the threshold."""
+    return (threshold - SIGMAS * math.sqrt(threshold * (1 - threshold) / hashes)) * hashes
+
+
 def candidates(signed: DataFrame, hashes: int, threshold: float) -> DataFrame:
-    """a, b: nodes that share a band with near enough signatures, linear in the rows."""
+    """node, label: groups of nodes connected by pairs that share a band with near enough signatures."""
     banded = signed.select("node", F.explode("bands").alias("band"))
     buckets = banded.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    met = banded.join(buckets, "band").select("node", F.explode(F.array("low", "high")).alias("lead")).where("node <> lead")
-    pairs = stored(met.select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct(), "ngram_pairs")
+    met = stored(banded.join(buckets, "band").select("band", "node", "low", "high").distinct(), "ngram_met")
     marks = signed.where(F.size("bands") > 0).groupBy("node").agg(F.first("bytes").alias("bytes"))
+    led = near_leaders(met, marks, hashes, threshold)
+    groups = connected(led)
+    more = near_others(met, marks, groups, hashes, threshold)
+    return connected(led.union(more)) if more is not None and more.head(1) else groups
+
+
+def near_leaders(met: DataFrame, marks: DataFrame, hashes: int, threshold: float) -> DataFrame:
+    """a, b: members of a bucket that are near its smallest or its largest one, two pairs a member."""
+    led = met.select("node", F.explode(F.array("low", "high")).alias("lead")).where("node <> lead")
+    pairs = stored(led.select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct(), "ngram_pairs")
     both = pairs.join(marks.withColumnsRenamed({"node": "a", "bytes": "x"}), "a").join(marks.withColumnsRenamed({"node": "b", "bytes": "y"}), "b")
-    least = (threshold - SIGMAS * math.sqrt(threshold * (1 - threshold) / hashes)) * hashes
+    least = least_equal(hashes, threshold)
 
     def near(batches):
         for batch in batches:
@@ -116,6 +135,68 @@ def candidates(signed: DataFrame, hashes: int, threshold: float) -> DataFrame:
     return stored(both.select("a", "b", "x", "y").mapInArrow(near, "a long, b long, near boolean").where("near").select("a", "b"), "ngram_candidates")
 
 
+def near_forest(nodes: np.ndarray, labels: np.ndarray, blocks: np.ndarray | None, marks: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Near pairs that connect the groups (labels) of a unit; pairs within a group or a block are left out."""
+    _, group = np.unique(labels, return_inverse=True)
+    out = []
+    for r in range(len(nodes) - 1):
+        open_ = group[r + 1 :] != group[r]
+        if blocks is not None:
+            open_ &= blocks[r + 1 :] != blocks[r]
+        rest = np.flatnonzero(open_) + r + 1
+        near = rest[(marks[rest] == marks[r]).sum(axis=1) >= least] if len(rest) else rest
+        for k in near:
+            if group[k] != group[r]:
+                out.append((int(nodes[r]), int(nodes[k])))
+                group[group == group[k]] = group[r]
+    return out
+
+
+def near_others(met: DataFrame, marks: DataFrame, groups: DataFrame, hashes: int, threshold: float) -> DataFrame | None:
+    """a, b: near pairs of a bucket's other members, where these are in more than one group; None if they never are.
+
+    Every pair of such a bucket is compared, in blocks of about ``CROWD``
+    members; a unit of work returns a forest.
+    """
+    inner = met.where("node <> low and node <> high").join(groups, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
+    mixed = inner.groupBy("band").agg(F.ceil(F.count("*") / CROWD).cast("int").alias("blocks"), F.min("label").alias("first"), F.max("label").alias("last"))
+    mixed = stored(mixed.where("first < last").select("band", "blocks"), "ngram_mixed")
+    if not mixed.head(1):
+        return None
+    member = inner.join(mixed, "band").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    units = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "label", "node"
+    )
+    least = least_equal(hashes, threshold)
+
+    def pairs(waiting: list[pa.RecordBatch]) -> pa.RecordBatch:
+        unit = pa.Table.from_batches(waiting)
+        marked = np.frombuffer(b"".join(unit.column("bytes").to_pylist()), np.uint8).reshape(-1, hashes)
+        blocks = unit.column("block").to_numpy() if unit.column("i")[0] != unit.column("j")[0] else None
+        found = near_forest(unit.column("node").to_numpy(), unit.column("label").to_numpy(), blocks, marked, least)
+        return pa.RecordBatch.from_arrays([pa.array([min(p) for p in found], pa.int64()), pa.array([max(p) for p in found], pa.int64())], names=["a", "b"])
+
+    def run(batches):
+        last, waiting = None, []  # the unit being read, its rows so far
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in range(3)])
+            cuts = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cuts, cuts[1:]):
+                unit = tuple(key[:, a].tolist())
+                if unit != last and waiting:
+                    yield pairs(waiting)
+                    waiting = []
+                last = unit
+                waiting.append(batch.slice(a, b - a))
+        if waiting:
+            yield pairs(waiting)
+
+    sorted_units = units.join(marks, "node").select("band", "i", "j", "block", "label", "node", "bytes").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+    return stored(sorted_units.mapInArrow(run, "a long, b long").distinct(), "ngram_others")
+
+
 def links_within(sets: list[np.ndarray], threshold: float) -> np.ndarray:
     """Which pairs of sets reach the threshold, from products of blocks of the set-by-shingle matrix."""
     size = np.array([len(s) for s in sets], np.float64)
@@ -186,7 +267,7 @@ def join(
     """
     bands, rows = banding(threshold, recall, max_hashes)
     signed = stored(signatures(docs, id_col, text_col, n, bands, rows), "ngram_signatures")
-    groups = connected(candidates(signed, bands * rows, threshold))
+    groups = candidates(signed, bands * rows, threshold)
     found = verified(docs, signed, groups, id_col, text_col, n, threshold)
     links = found.groupBy(F.col("a").alias("key")).agg(F.sum("links").alias("n_links"))
     labels = connected(found.select("a", "b")).withColumnRenamed("node", "key")

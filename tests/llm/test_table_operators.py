@@ -260,6 +260,18 @@ def test_join_against_brute_force(spark, monkeypatch):
     assert Counter(r["doc_id"] for r in kept.collect()) == heads
 
 
+def test_pairs_of_a_crowded_bucket_are_found(spark, monkeypatch):
+    # one bucket: its leaders (1 and 99) are like no other member, three pairs in the middle are alike
+    rng = np.random.default_rng(2)
+    marks = {n: rng.integers(0, 256, 186, np.uint8).tobytes() for n in (1, 10, 20, 30, 99)}
+    rows = [(n, [7], marks[n]) for n in (1, 99)] + [(n + k, [7], marks[n]) for n in (10, 20, 30) for k in range(2)]
+    signed = spark.createDataFrame(rows, "node long, bands array<long>, bytes binary")
+    for crowd in (1000, 2):  # one block, several
+        monkeypatch.setattr(ngram_join, "CROWD", crowd)
+        got = {r["node"]: r["label"] for r in ngram_join.candidates(signed, 186, 0.8).collect()}
+        assert got == {10: 10, 11: 10, 20: 20, 21: 20, 30: 30, 31: 30}
+
+
 def test_join_of_no_documents(spark):
     assert ngram_join.similar(frame(spark, [])).count() == 0 and ngram_join.keep_one(frame(spark, [])).count() == 0
 
