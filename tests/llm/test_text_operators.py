@@ -141,6 +141,34 @@ def test_fingerprints_against_brute_force(spark):
     assert fingerprints.neighbour_fingerprints(frame(spark, [(1, "abcd", None, None)])).first()["edited_sha256"] == hashlib.sha256(b"abab").hexdigest()
 
 
+def test_shared_part_goes_on_after_an_edit(spark):
+    rng = np.random.default_rng(8)
+    text = "".join(rng.choice(list("abcdefgh é漢😀"), 10_000))
+    prefix = fingerprints.Prefix.of
+
+    def edit(t, places):
+        """A character changed, deleted or some inserted at each place; the characters of t that stay."""
+        parts, at, stay = [], 0, 0
+        for k, p in enumerate(places):
+            parts += [t[at:p], ("#", "", "#new words#")[k % 3]]
+            stay += p - at
+            at = p + (k % 3 < 2)
+        return "".join([*parts, t[at:]]), stay + len(t) - at
+
+    for places in ([0], [0, 9_000], [0, 9_999], [0, 200, 400, 5_000, 5_100, 9_990], range(3, 9_900, 41)):
+        # in a periodic text less than a span an edit may be lost
+        for whole, lost in ((text, 0), ("word " * 2_000, fingerprints.SPAN)):
+            new, stay = edit(whole, places)
+            near, shared = prefix(whole).alike(prefix(new))
+            # letters beside an edit may be equal by chance
+            assert near <= shared <= 1 and stay - lost * len(places) - 0.5 <= shared * max(len(whole), len(new)) <= stay + 5 * len(places), places
+    ends = "#" + text[1:-1] + "#"
+    got = {r["doc_id"]: r for r in fingerprints.neighbour_fingerprints(frame(spark, [(1, text, None, None), (2, ends, None, None), (3, "x" * 500, None, None)])).collect()}
+    assert got[1]["near_next"] == 0 and got[1]["shared_next"] == 0.9998 and got[2]["shared_next"] == 0
+    # moved text keeps its longer part
+    assert prefix(text).alike(prefix("#" + text[6_000:] + text[:6_000]))[1] == pytest.approx(0.6, abs=0.01)
+
+
 def test_cross_parsing_against_brute_force():
     samples = {"x": ["abracadabra banana", "cabana"], "y": ["zyx wvu zzyx"]}
     model = language.Model(samples)
