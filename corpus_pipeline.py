@@ -15,8 +15,8 @@ from ledgerlens.llm.queries import vocabulary
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; learned from the labelled rows outside the held-out fold."""
-    return language.keep_identified(docs, language.learn(docs.where(~language.held_out())))
+    """Documents whose language can be told (no ties); learned from the labelled rows outside the held-out fold."""
+    return language.keep_identified(docs, language.learn(docs.where(~language.held_out())), ties=False)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -216,8 +216,8 @@ def predictions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return out.select(F.col("i").alias(id_col), held_out("i").alias("held_out"), "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", min_score: float = 0.0) -> DataFrame:
-    """Rows whose language is told, with their columns as they were."""
+def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", min_score: float = 0.0, ties: bool = True) -> DataFrame:
+    """Rows whose language is told, with their columns as they were; without ``ties``, a score of 0 tells none."""
     out = identify(docs, model, text_col, "lang_pred", "lang_score")
     pred, score = out.columns[-2:]
-    return out.where((F.col(pred) != UNKNOWN) & (F.col(score) >= min_score)).select(*(f"`{c}`" for c in docs.columns))
+    return out.where((F.col(pred) != UNKNOWN) & (F.col(score) >= min_score) & (F.lit(ties) | (F.col(score) > 0))).select(*(f"`{c}`" for c in docs.columns))

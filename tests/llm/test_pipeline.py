@@ -1,6 +1,7 @@
 """The corpus pipeline on a small table."""
 
 import re
+import zlib
 
 import pytest
 
@@ -28,6 +29,15 @@ def test_stages_follow_each_other(spark):
     assert packed.where("piece = 0").count() == mixed.count()
 
 
+def test_ties_are_not_identified(spark):
+    rows = [(i, ("the cat sat on the mat", "le chat est sur la table")[i % 2], ("en", "fr")[i % 2], "a") for i in range(40)]
+    rows += [(100, "кошка сидит", "en", "a"), (101, "猫", "fr", "a")]
+    # the held-out ones are not learned from
+    rows = [r for r in rows if r[0] < 100 or zlib.crc32(str(r[0]).encode()) % 5 == 0] + [(i, "кошка", None, "a") for i in range(200, 203)]
+    kept = {r["doc_id"] for r in corpus_pipeline.identify_language(spark, frame(spark, rows), "").collect()}
+    assert kept == set(range(40))
+
+
 def test_run_gives_the_last_stage(spark):
     out = corpus_pipeline.run(spark, SF)
     assert {"doc_id", "piece", "sequence_id", "offset", "length"} <= set(out.columns) and out.count() > 0
