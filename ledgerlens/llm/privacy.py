@@ -13,7 +13,7 @@ PMI(t; e) = log(P(t, e) / (P(t) P(e))) and IC(e) = -log P(e); t occurs with e
 when a document that mentions e has t anywhere outside its base spans. The
 ratio PMI / IC is 1 when t occurs with e only. Terms that occur with e in at
 least ``min_together`` documents and reach ``generalise_at`` are generalised
-to their class, those that reach ``remove_at`` are removed, wherever they
+to their class (code with a digit, acronym, capitalised name, other word), those that reach ``remove_at`` are removed, wherever they
 stand in a document that mentions e. Each such occurrence is an added span of
 kind ``term``; base spans stay.
 
@@ -133,6 +133,13 @@ def terms_of(text: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), lambda t: F.lower(t)))
 
 
+def term_class(term: Column) -> Column:
+    """What a term is generalised to: its class by its characters."""
+    return (
+        F.when(term.rlike(r"\p{N}"), "[CODE]").when(term.rlike(r"^\p{Lu}{2,}$"), "[ACRONYM]").when(term.rlike(r"^\p{Lu}"), "[NAME]").otherwise("[WORD]")
+    )
+
+
 def occurrences(text: Column, told: Column) -> Column:
     """array<struct<start, end, disclosure>>: where the terms of ``told`` (term to disclosure) stand; only these are appended."""
     between = F.transform(F.split(text, TERM, -1), lambda p: F.length(p))
@@ -226,7 +233,7 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
     joined = joined.withColumn(more, F.when(F.col(more).isNotNull(), occurrences(outside(F.col(new), F.col(spans)), F.col(more))))
     base = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("put")))
     terms = F.coalesce(
-        F.transform(more, lambda a: F.struct(a["start"].alias("start"), a["end"].alias("end"), F.when(a["disclosure"] >= remove_at, "").otherwise("[TERM]").alias("put"))),
+        F.transform(more, lambda a: F.struct(a["start"].alias("start"), a["end"].alias("end"), F.when(a["disclosure"] >= remove_at, "").otherwise(term_class(F.substring(new, a["start"] + 1, a["end"] - a["start"]))).alias("put"))),
         F.array().cast("array<struct<start:int,end:int,put:string>>"),
     )
     marks = F.concat(base, terms)

@@ -107,6 +107,12 @@ def test_terms_disclose_past_neighbours_and_far_from_the_mention(spark):
     assert out[0] == f", [EMAIL], [PHONE] {far}    0" and out[25] == ", [EMAIL], [PHONE] the" and out[4].endswith("rareterm")
 
 
+def test_terms_are_generalised_to_their_class(spark):
+    rows = [(i, f"Zorblax of NATO runs q7x and sells boxes to z@x.org {i}", None, None) for i in range(4)] + [(10 + i, f"of runs and sells to {i}", None, None) for i in range(20)]
+    out = {r["doc_id"]: r["text"] for r in privacy.sanitise(frame(spark, rows), remove_at=2.0).collect()}
+    assert out[0] == "[NAME] of [ACRONYM] runs [CODE] and sells [WORD] to [EMAIL] 0" and out[10] == rows[4][1]
+
+
 def test_private_data_of_odd_documents(spark):
     docs = frame(spark, odd_rows())
     assert privacy.find(docs).count() == len(odd_rows())
