@@ -541,6 +541,19 @@ def c03_dirty(spark, sf):
     return t.select("order_id", "customer_email", "discount_pct", "payment_method")
 
 
+@register(
+    "c03_dirty_feed_whole",
+    dq(
+        f"""SELECT order_id, COALESCE(customer_email, '{S.FILL_EMAIL}') AS customer_email, COALESCE(discount_pct, CAST(0 AS DECIMAL(5,2))) AS discount_pct,
+  COALESCE(payment_method, '{S.FILL_PAYMENT}') AS payment_method FROM pre WHERE drop_reason IS NULL"""
+    ),
+    money=("discount_pct",),
+)
+def c03_dirty_whole(spark, sf):
+    """All kept rows, so that a fill of another row shows too."""
+    return pre_tagged(spark, sf, dirty=True).where("drop_reason is null").select("order_id", "customer_email", "discount_pct", "payment_method")
+
+
 @register("c04_dirty_feed", dq("SELECT load_seq, order_id, sale_date, quantity, total_amount FROM raw_sales"), money=("total_amount",))
 def c04_dirty(spark, sf):
     """Dates, quantities and amounts out of text, unparsable ones NULL."""
