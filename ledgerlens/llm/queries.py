@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import chat, fingerprints, language, mixing, ngram_join, packing, privacy, quality, token_counts, topk
+from ledgerlens.llm import chat, filter_audit, fingerprints, hilbert, language, mixing, ngram_join, packing, privacy, quality, spelling, token_counts, topk
 from ledgerlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,18 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_chat_formatting", chat.CHATS_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
+@register("op11_hilbert_sharding", hilbert.ASSIGN_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.assign(table(spark, sf_dir, "documents"))
+
+
+@register("op12_filter_audit", filter_audit.AUDIT_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(filter_audit.cells(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+@register("op13_spelling_variants", spelling.VARIANTS_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
