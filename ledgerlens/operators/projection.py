@@ -21,12 +21,18 @@ def daily_revenue(clean: DataFrame) -> DataFrame:
 
 
 def future_dates(series: DataFrame, days: int, key_cols: tuple[str, ...] = ()) -> DataFrame:
-    """the ``days`` calendar days after the last ``ds`` of each series."""
+    """The ``days`` calendar days after the last ``ds`` of each series."""
     last = series.groupBy(*key_cols).agg(F.max("ds").alias("_last"))
     seq = F.sequence(F.date_add("_last", 1), F.date_add("_last", days))
     return last.select(*key_cols, F.explode(seq).alias("ds"))
 
 
+def prediction_dates(series: DataFrame, days: int, key_cols: tuple[str, ...] = ()) -> DataFrame:
+    """the days of each series' history and the ``days`` calendar days after them (``is_future``)."""
+    past = series.select(*key_cols, "ds").withColumn("is_future", F.lit(False))
+    return past.unionByName(future_dates(series, days, key_cols).withColumn("is_future", F.lit(True)))
+
+
 def _tail_stats(m: DataFrame, growth_default: float) -> DataFrame:
     """F6/F7 from a monthly table (year, month, revenue)."""
     w = Window.orderBy("year", "month")  # one row per month present

@@ -933,15 +933,38 @@ def f02(spark, sf):
     return forecast.forecast(clean(spark, sf), S.FORECAST_DAYS)
 
 
-@register(
-    "f03_future_dates",
-    q(
-        f"""SELECT CAST(d AS DATE) AS ds FROM (SELECT MAX(sale_date) AS mx FROM delivered WHERE sale_date IS NOT NULL),
+def _future_sql(series: str, key: str = "") -> str:
+    """Days of each series (key, ds, y) and the days after its last one."""
+    lead = f"{key}, " if key else ""
+    group = f"GROUP BY {key}" if key else ""
+    return f"""SELECT {lead}ds, false AS is_future FROM {series}
+  UNION ALL SELECT {lead}CAST(d AS DATE), true FROM (SELECT {lead}MAX(ds) AS mx FROM {series} {group}),
   LATERAL (SELECT unnest(generate_series(CAST(mx + 1 AS TIMESTAMP), CAST(mx + {S.FORECAST_DAYS} AS TIMESTAMP), INTERVAL 1 DAY)) AS d)"""
-    ),
-)
+
+
+DAILY = "dy AS (SELECT sale_date AS ds, CAST(SUM(total_amount) AS DOUBLE) AS y FROM delivered WHERE sale_date IS NOT NULL GROUP BY sale_date)"
+DAILY_BY_CATEGORY = """dc AS (SELECT category AS series, sale_date AS ds, CAST(SUM(total_amount) AS DOUBLE) AS y
+  FROM delivered WHERE sale_date IS NOT NULL AND category IS NOT NULL GROUP BY category, sale_date)"""
+
+
+@register("f03_future_dates", q(_future_sql("dy"), DAILY))
 def f03(spark, sf):
-    return projection.future_dates(projection.daily_revenue(clean(spark, sf)), S.FORECAST_DAYS)
+    return projection.prediction_dates(projection.daily_revenue(clean(spark, sf)), S.FORECAST_DAYS)
+
+
+@register(
+    "f03_category_frame",
+    q(f"SELECT f.*, dc.y FROM ({_future_sql('dc', 'series')}) f LEFT JOIN dc ON f.series = dc.series AND f.ds = dc.ds AND NOT f.is_future", DAILY_BY_CATEGORY),
+)
+def f03_categories(spark, sf):
+    """F3 per category, out of the grouped fits: days, kind and actual value of every predicted row."""
+    return forecast.prediction(clean(spark, sf), S.FORECAST_DAYS, by="category").select("series", "ds", "is_future", "y")
+
+
+@register("f02_category_forecast")
+def f02_categories(spark, sf):
+    """F2 per category: fitted and future values with their band."""
+    return forecast.prediction(clean(spark, sf), S.FORECAST_DAYS, by="category")
 
 
 @register("f04_future_rows")
