@@ -282,7 +282,7 @@ def s03_s04_raw_table(spark, sf):
     """S3 + S4: replace the raw table with the declared schema, then scan it."""
     path = scratch_path(spark, f"raw_sales_{_tag(sf)}_{uuid.uuid4().hex[:8]}")
     files.write_raw(raw(spark, sf), path)
-    return files.read_table(spark, path)
+    return files.read_raw(spark, path).drop("row_id")
 
 
 def _written_clean(spark, sf) -> tuple[str, int]:
@@ -531,25 +531,11 @@ def c02_dirty(spark, sf):
     "c03_dirty_feed",
     dq(
         f"""SELECT order_id, COALESCE(customer_email, '{S.FILL_EMAIL}') AS customer_email, COALESCE(discount_pct, CAST(0 AS DECIMAL(5,2))) AS discount_pct,
-  COALESCE(payment_method, '{S.FILL_PAYMENT}') AS payment_method FROM pre WHERE drop_reason IS NULL AND quantity IN (16, 17)"""
-    ),
-    money=("discount_pct",),
-)
-def c03_dirty(spark, sf):
-    """Kept rows of the quantities that lack a discount or a payment method."""
-    t = pre_tagged(spark, sf, dirty=True).where("drop_reason is null and quantity in (16, 17)")
-    return t.select("order_id", "customer_email", "discount_pct", "payment_method")
-
-
-@register(
-    "c03_dirty_feed_whole",
-    dq(
-        f"""SELECT order_id, COALESCE(customer_email, '{S.FILL_EMAIL}') AS customer_email, COALESCE(discount_pct, CAST(0 AS DECIMAL(5,2))) AS discount_pct,
   COALESCE(payment_method, '{S.FILL_PAYMENT}') AS payment_method FROM pre WHERE drop_reason IS NULL"""
     ),
     money=("discount_pct",),
 )
-def c03_dirty_whole(spark, sf):
+def c03_dirty(spark, sf):
     """All kept rows, so that a fill of another row shows too."""
     return pre_tagged(spark, sf, dirty=True).where("drop_reason is null").select("order_id", "customer_email", "discount_pct", "payment_method")
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlens import schema as S
@@ -23,7 +23,11 @@ from ledgerlens.session import scratch_path
 
 
 # Bits of ``monotonically_increasing_id`` that number the rows of a task.
-POSITION_BITS = 33
+TASK_BITS = 33
+# Bits of ``load_seq`` that place a row in its file (files up to 1 TB); the file's rank stands in front of them.
+POSITION_BITS = 40
+# Most files whose ranks (a path and a number each) are broadcast; more are joined by shuffle.
+BROADCAST_FILES = 200_000
 
 
 class MissingInput(FileNotFoundError):
@@ -39,35 +43,71 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return matches is not None and len(matches) > 0
 
 
-def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Raw CSV as text columns, bound by header name, with ``load_seq`` in file order.
 
     Fails if the input or a column is missing, and (``enforceSchema`` off) if
     a file's header differs from the first one's.
     """
-    if not _exists(spark, path):
-        raise MissingInput(f"raw sales input not found: {path}")
-    names = spark.read.option("header", True).csv(path).columns
+    paths = [path] if isinstance(path, str) else path
+    if absent := [p for p in paths if not _exists(spark, p)]:
+        raise MissingInput(f"raw sales input not found: {', '.join(absent)}")
+    rows = _by_header(spark, paths)
+    return _in_file_order(rows, _file_ranks(spark, paths)).select(*[f.name for f in S.RAW_CSV.fields], "load_seq")
+
+
+def csv_header(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Column names of the (first) file; all columns of the feed must be there."""
+    names = spark.read.option("header", True).csv(paths).columns
     if absent := [f.name for f in S.RAW_CSV.fields if f.name not in names]:
-        raise MissingInput(f"columns not found in {path}: {', '.join(absent)}")
-    schema = ", ".join(f"`{n}` string" for n in names)
-    rows = spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE").csv(path)
-    return _in_file_order(rows).select(*[f.name for f in S.RAW_CSV.fields], "load_seq")
+        raise MissingInput(f"columns not found in {', '.join(paths)}: {', '.join(absent)}")
+    return names
+
+
+def _by_header(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Rows of files with one header, all columns as text, with the place of each row's split."""
+    schema = ", ".join(f"`{n}` string" for n in csv_header(spark, paths))
+    rows = spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE").csv(paths)
+    split = [F.col(f"_metadata.{a}").alias(f"_{a}") for a in ("file_path", "file_block_start")]
+    return rows.select(*[f.name for f in S.RAW_CSV.fields], *split, F.monotonically_increasing_id().alias("_nth"))
+
+
+def read_mixed_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """S1 for a bounded list of files, each bound by its own header (one short job a file reads it)."""
+    kinds: dict[tuple, list[str]] = {}
+    for p in paths:
+        kinds.setdefault(tuple(csv_header(spark, [p])), []).append(p)
+    rows = None
+    for same in kinds.values():
+        part = _by_header(spark, same)
+        rows = part if rows is None else rows.unionByName(part)
+    return _in_file_order(rows, _file_ranks(spark, paths)).select(*[f.name for f in S.RAW_CSV.fields], "load_seq")
+
+
+def _file_ranks(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """_file_path, _rank: files by modification time and path, from the listing (contents are not read)."""
+    listed = spark.read.format("binaryFile").load(paths).select(
+        F.col("_metadata.file_path").alias("_file_path"), F.col("_metadata.file_modification_time").alias("_time")
+    )
+    # a row per file
+    ranked = listed.select("_file_path", (F.row_number().over(Window.orderBy("_time", "_file_path")) - 1).cast("long").alias("_rank"))
+    return F.broadcast(ranked) if listed.count() <= BROADCAST_FILES else ranked
 
 
-def _in_file_order(rows: DataFrame) -> DataFrame:
-    """Add ``load_seq``: files by modification time and path, their splits in order, rows in order.
+def _place(block_start: Column, nth: Column) -> Column:
+    """Ascending place of a row in its file: first byte of its split plus its number in the task.
 
-    A row's number within its task is the low part of
-    ``monotonically_increasing_id``; the high part becomes the rank of its
-    split (a row per split, so the ranking window is bounded by their number).
+    A split has more bytes than rows, and one that is not its file's last
+    fills a task alone (Spark packs only what fits a whole split), so numbers
+    of different splits do not meet.
     """
-    at = ["file_modification_time", "file_path", "file_block_start"]
-    placed = rows.select("*", *[F.col(f"_metadata.{a}").alias(f"_{a}") for a in at], F.monotonically_increasing_id().alias("_nth"))
-    split = [f"_{a}" for a in at]
-    ranked = placed.select(*split).distinct().withColumn("_rank", F.row_number().over(Window.orderBy(*split)) - 1)
-    seq = F.shiftleft(F.col("_rank").cast("long"), POSITION_BITS) + F.col("_nth").bitwiseAND((1 << POSITION_BITS) - 1)
-    return placed.join(ranked, split).withColumn("load_seq", seq).drop(*split, "_nth", "_rank")
+    return block_start + nth.bitwiseAND((1 << TASK_BITS) - 1)
+
+
+def _in_file_order(rows: DataFrame, ranks: DataFrame) -> DataFrame:
+    """Add ``load_seq``: files by rank, rows by their place; the rows stay where they were read."""
+    seq = F.shiftleft("_rank", POSITION_BITS) + _place(F.col("_file_block_start"), F.col("_nth"))
+    return rows.join(ranks, "_file_path", "left").withColumn("load_seq", seq)
 
 
 def _try_number(c: str, t: str):
@@ -106,9 +146,9 @@ def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), mo
 
 
 def write_raw(df: DataFrame, path: str) -> int:
-    """S3: replace the raw table (declared schema)."""
+    """S3: replace the raw table (declared schema), its rows numbered (``row_id``) in the task that writes them."""
     cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in S.RAW_SALES.fields]
-    return write_table(df.select(*cols), path)
+    return write_table(df.select(*cols, F.monotonically_increasing_id().alias("row_id")), path)
 
 
 def write_cleaned(df: DataFrame, path: str) -> int:
@@ -138,14 +178,8 @@ def scratch_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """The raw table with ``row_id``, a unique number of each stored row (rank of its file, then place in it).
-
-    The ranking window runs over one row per file.
-    """
-    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_nth"))
-    ranked = rows.select("_file").distinct().withColumn("_rank", F.row_number().over(Window.orderBy("_file")) - 1)
-    row_id = F.shiftleft(F.col("_rank").cast("long"), POSITION_BITS) + F.col("_nth")
-    return rows.join(ranked, "_file").withColumn("row_id", row_id).drop("_file", "_nth", "_rank")
+    """The raw table with ``row_id``, the unique number that each row got when it was written."""
+    return read_table(spark, path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

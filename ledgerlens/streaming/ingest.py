@@ -3,14 +3,16 @@
 The reference re-runs its load script on a schedule; the Spark form is a
 Structured Streaming file source with an ``availableNow`` trigger: each run
 picks up only the files that arrived since the last run (tracked in the
-checkpoint), coerces them exactly like the batch reader (S2) and appends
-them to the raw table.
+checkpoint), and appends them to the raw table. The stream carries the names
+of new files only; a micro-batch reads them with the batch reader, so columns
+are bound by each file's header, rows are numbered in file order and values
+are coerced exactly as in the batch load (S1, S2).
 
 Each micro-batch is written to its own ``batch_id=<n>`` partition with
 overwrite semantics, so a batch replayed after a failure replaces its own
 output instead of appending duplicates. ``load_seq`` continues after the
-highest task number that an earlier batch used, so arrival order spans
-batches, whatever the number of splits of each.
+highest file number that an earlier batch used, so arrival order spans
+batches.
 
 Cleaning itself stays a batch job: its IQR fences are global over all rows,
 which an incremental job could not keep exact.
@@ -27,7 +29,7 @@ from ledgerlens.sources import files
 
 
 def first_seq(highest: int | None) -> int:
-    """First ``load_seq`` of a batch: the next task number after the highest value written so far."""
+    """First ``load_seq`` of a batch: the next file number after the highest value written so far."""
     return 0 if highest is None else ((highest >> files.POSITION_BITS) + 1) << files.POSITION_BITS
 
 
@@ -40,18 +42,28 @@ def _highest(spark: SparkSession, table_path: str, batch_id: int) -> int | None:
 
 def _write_batch(table_path: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        base = first_seq(_highest(batch.sparkSession, table_path, batch_id))
-        seq = F.lit(base).cast("long") + F.monotonically_increasing_id()
-        typed = files.coerce_raw(batch.withColumn("load_seq", seq).withColumn("loaded_at", F.localtimestamp()))
-        typed.write.mode("overwrite").parquet(f"{table_path.rstrip('/')}/batch_id={batch_id}")
+        # at most maxFilesPerTrigger names
+        paths = sorted(r["path"] for r in batch.select("path").distinct().collect())
+        if not paths:
+            return
+        spark = batch.sparkSession
+        base = first_seq(_highest(spark, table_path, batch_id))
+        rows = files.read_mixed_csv(spark, paths)
+        numbered = rows.withColumn("load_seq", F.col("load_seq") + F.lit(base)).withColumn("loaded_at", F.localtimestamp())
+        files.coerce_raw(numbered).write.mode("overwrite").parquet(f"{table_path.rstrip('/')}/batch_id={batch_id}")
 
     return write
 
 
+def new_files(spark: SparkSession, source_dir: str, files_per_trigger: int) -> DataFrame:
+    """Stream of the names of the files that arrive in a folder (contents are not read)."""
+    named = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+    return named.option("maxFilesPerTrigger", files_per_trigger).load(source_dir).select("path")
+
+
 def start_ingest(spark: SparkSession, source_dir: str, table_path: str, checkpoint: str, available_now: bool = True, files_per_trigger: int = 64) -> StreamingQuery:
     """Start the CSV -> raw table stream; ``available_now`` processes what is there and stops."""
-    stream = spark.readStream.schema(S.RAW_CSV).option("header", True).option("maxFilesPerTrigger", files_per_trigger).csv(source_dir)
-    writer = stream.writeStream.foreachBatch(_write_batch(table_path)).option("checkpointLocation", checkpoint)
+    writer = new_files(spark, source_dir, files_per_trigger).writeStream.foreachBatch(_write_batch(table_path)).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 hour")
     return writer.start()
 

@@ -1,6 +1,7 @@
 """Physical plan checks: pushdown and pruning reach the Parquet scan of the cleaned table."""
 
 from conftest import SF_SMALL
+from ledgerlens import schema as S
 from ledgerlens.operators import kpis, trends
 from ledgerlens.plans import catalog
 from ledgerlens.session import scratch_path
@@ -27,6 +28,44 @@ def test_dimension_tables_are_broadcast(spark):
     assert "BroadcastHashJoin" in plan
 
 
+def test_raw_rows_are_numbered_without_moving_them(spark, tmp_path):
+    from ledgerlens.operators import cleaning
+    from ledgerlens.sources import fixture
+
+    path = scratch_path(spark, "plan_test_raw")
+    files.write_raw(catalog.raw(spark, SF_SMALL), path)
+    raw = files.read_raw(spark, path)
+    assert "Exchange" not in _plan(raw) and raw.select("row_id").distinct().count() == raw.count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for a large table
+    try:
+        plan = _plan(cleaning.mark_first_arrival(raw, fixture.fixture_params()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # the whole rows move once, to the join by order_id; the other two are the first arrivals
+    assert plan.count("Exchange hashpartitioning") == 3 and "SortMergeJoin" in plan
+    drops = str(tmp_path / "drops")
+    catalog.raw(spark, SF_SMALL).select(*catalog.RAW_COLS_NO_SEQ).repartition(4).write.option("header", True).csv(drops)
+    plan = _plan(files.read_raw_csv(spark, drops))
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan and "Exchange SinglePartition" in plan
+
+
+def test_a_large_csv_file_is_numbered_in_order(spark, tmp_path):
+    names = [f.name for f in S.RAW_CSV.fields]
+    with open(tmp_path / "big.csv", "w") as fh:
+        fh.write(",".join(names) + "\n")
+        for i in range(30_000):
+            fh.write(f"O{i:06d}" + "," * (len(names) - 1) + "\n")
+    (tmp_path / "small.csv").write_text(",".join(names) + "\nX" + "," * (len(names) - 1) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50000")
+    try:
+        rows = files.read_raw_csv(spark, [str(tmp_path / "big.csv"), str(tmp_path / "small.csv")])
+        assert rows.rdd.getNumPartitions() > 5
+        got = [(r.load_seq, r.order_id) for r in rows.select("load_seq", "order_id").where("order_id <> 'X'").collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len({seq for seq, _ in got}) == 30_000 and [o for _, o in sorted(got)] == [f"O{i:06d}" for i in range(30_000)]
+
+
 def _final_plan(df):
     df.collect()
     return df._jdf.queryExecution().executedPlan().toString()
