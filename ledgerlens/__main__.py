@@ -11,8 +11,8 @@ Commands mirror the reference's entry points, each as one Spark application:
     forecast   daily revenue forecast and projections (F)
     reports    MIS, impact, prediction and coach report datasets (R)
 
-Every command except ``batch`` reads the cleaned table that ``batch``
-wrote to ``--out``. Results are written as Parquet datasets under ``--out``.
+Every command except ``batch`` reads the cleaned table and its roll-up that
+``batch`` wrote to ``--out``. Results are written as Parquet datasets under ``--out``.
 """
 
 from __future__ import annotations
@@ -29,22 +29,23 @@ from ledgerlens.session import get_spark
 from ledgerlens.sources import files, fixture
 
 
-def _outputs(cmd: str, c, spark, out: str, params) -> dict:
+def _outputs(cmd: str, c, r, spark, out: str, params) -> dict:
+    """Result tables of a command over the cleaned sales ``c`` and their roll-up ``r``."""
     if cmd == "validate":
         chk = quality.checks(c, params)
         return {"quality_checks": chk, "quality_score": quality.score(chk)}
     if cmd == "kpis":
-        return {"kpi_summary": kpis.kpi_summary(c), "monthly_revenue": kpis.monthly(c), "category_revenue": kpis.category_revenue(c)}
+        return {"kpi_summary": kpis.kpi_summary(r, c), "monthly_revenue": kpis.monthly(r), "category_revenue": kpis.category_revenue(r)}
     if cmd == "trends":
         return {
-            "monthly_trend": trends.monthly_trend(c),
-            "category_trend": trends.category_trend(c),
-            "region_trend": trends.region_trend(c),
-            "weekend_vs_weekday": trends.weekend_vs_weekday(c),
-            "category_share": trends.category_share(c),
+            "monthly_trend": trends.monthly_trend(r),
+            "category_trend": trends.category_trend(r),
+            "region_trend": trends.region_trend(r),
+            "weekend_vs_weekday": trends.weekend_vs_weekday(r),
+            "category_share": trends.category_share(r),
         }
     if cmd == "impact":
-        return {"category_scores": impact.score_categories(c), "region_scores": impact.score_regions(c)}
+        return {"category_scores": impact.score_categories(r), "region_scores": impact.score_regions(r)}
     if cmd == "churn":
         feats = files.scratch_table(customers.customer_features(c, params.churn_days), "customer_features")
         cm, test = churn_model.train(feats, model_dir=f"{out}/churn_model")
@@ -58,22 +59,22 @@ def _outputs(cmd: str, c, spark, out: str, params) -> dict:
             "top_risk": churn_model.top_risk(scored),
         }
     if cmd == "forecast":
-        fc = forecast.forecast(c, params.forecast_days)
+        fc = forecast.prediction(r, params.forecast_days)
         return {
             "sales_forecast": fc,
-            "forecast_summary": forecast.forecast_summary(fc),
-            "revenue_projection": projection.revenue_projection(c, params.default_growth),
-            "category_projection": projection.category_projection(c, params.default_growth),
+            "forecast_summary": forecast.forecast_summary(fc.where("is_future")),
+            "revenue_projection": projection.revenue_projection(r, params.default_growth),
+            "category_projection": projection.category_projection(r, params.default_growth),
         }
     if cmd == "reports":
         return {
-            "mis_summary": reports.mis_summary(c),
-            "mis_monthly": reports.mis_monthly(c),
-            "mis_categories": reports.mis_categories(c),
+            "mis_summary": reports.mis_summary(r),
+            "mis_monthly": reports.mis_monthly(r),
+            "mis_categories": reports.mis_categories(r),
             "mis_data": reports.mis_data(c),
-            "impact_metrics": reports.impact_metrics(c),
-            "impact_categories": reports.impact_categories(c),
-            "coach_cards": reports.coach_cards(c, params.churn_days),
+            "impact_metrics": reports.impact_metrics(r),
+            "impact_categories": reports.impact_categories(r),
+            "coach_cards": reports.coach_cards(r, params.churn_days, c),
             "churn_alert": reports.churn_alert(c, params.churn_days),
         }
     raise SystemExit(f"unknown command {cmd}")
@@ -88,18 +89,21 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--csv", default=None, help="batch: raw CSV feed (path or glob) instead of the source tables")
     ap.add_argument("--as-of", type=dt.date.fromisoformat, default=None, help="today's date for the run")
     ap.add_argument("--min-date", type=dt.date.fromisoformat, default=None, help="earliest valid sale date")
+    ap.add_argument("--categories", default=None, help="allowed categories, comma-separated (V5)")
+    ap.add_argument("--min-rows", type=int, default=None, help="fewest rows of a valid table (V6)")
     args = ap.parse_args(argv)
     spark = get_spark(master=args.master)
     params = S.Params() if args.csv else fixture.fixture_params()
-    given = {"as_of": args.as_of, "min_date": args.min_date}
+    categories = tuple(c.strip() for c in args.categories.split(",")) if args.categories else None
+    given = {"as_of": args.as_of, "min_date": args.min_date, "allowed_categories": categories, "min_rows": args.min_rows}
     params = dataclasses.replace(params, **{k: v for k, v in given.items() if v is not None})
     out = args.out.rstrip("/")
     if args.command == "batch":
         steps = batch.run(spark, args.tables, out, params, args.csv)
         steps.show(truncate=False)
         return int(any(r["status"] == "failed" and r["step"] in batch.CRITICAL for r in steps.collect()))
-    c = files.read_table(spark, f"{out}/cleaned_sales")
-    for name, df in _outputs(args.command, c, spark, out, params).items():
+    c, r = (files.read_table(spark, f"{out}/{name}") for name in ("cleaned_sales", "sales_rollup"))
+    for name, df in _outputs(args.command, c, r, spark, out, params).items():
         n = files.write_table(df, f"{out}/{args.command}/{name}")
         print(f"{args.command}/{name}: {n} rows")
     return 0

@@ -23,7 +23,7 @@ Everything else is narrow.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -152,8 +152,8 @@ def fill_defaults(df: DataFrame) -> DataFrame:
     )
 
 
-def tag_pre_fence(raw: DataFrame, params: S.Params) -> DataFrame:
-    """C1, C2, C3, C5, C6 as a ``drop_reason`` tag (NULL = still kept)."""
+def with_pre_fence_reason(raw: DataFrame, params: S.Params) -> DataFrame:
+    """C1, C2, C5, C6 as a ``drop_reason`` column (NULL = still kept)."""
     null_crit = F.col("total_amount").isNull() | F.col("order_id").isNull() | F.col("sale_date").isNull()
     bad_date = (F.col("sale_date") < F.lit(params.min_date)) | (F.col("sale_date") > as_of_col(params))
     reason = (
@@ -162,8 +162,12 @@ def tag_pre_fence(raw: DataFrame, params: S.Params) -> DataFrame:
         .when(bad_date, "invalid_date")
         .when(F.col("total_amount") <= 0, "non_positive")
     )
-    tagged = mark_first_arrival(raw, params).withColumn("drop_reason", reason).drop("_first", "row_id")
-    return fill_defaults(tagged)
+    return mark_first_arrival(raw, params).withColumn("drop_reason", reason).drop("_first")
+
+
+def tag_pre_fence(raw: DataFrame, params: S.Params) -> DataFrame:
+    """Whole rows with their ``drop_reason`` and defaults."""
+    return fill_defaults(with_pre_fence_reason(raw, params).drop("row_id"))
 
 
 def fences(pre: DataFrame, params: S.Params) -> DataFrame:
@@ -186,28 +190,38 @@ def apply_fences(pre: DataFrame, fence: DataFrame) -> DataFrame:
 def tag(raw: DataFrame, params: S.Params) -> DataFrame:
     """Every raw row with its ``drop_reason`` (NULL = kept); only the fences are computed at once.
 
-    Fine for small inputs; the batch job uses ``materialize`` so the fence
+    Fine for small inputs; the batch job uses ``write_reasons`` so the fence
     passes read a written table instead of re-planning the whole feed.
     """
     pre = tag_pre_fence(raw, params)
     return apply_fences(pre, fences(pre, params))
 
 
-def materialize(raw: DataFrame, params: S.Params, path: str) -> DataFrame:
-    """Write the C1-C6 tagging once to ``path`` (shared storage) and tag C7 from that table.
+def write_reasons(raw: DataFrame, params: S.Params, path: str) -> DataFrame:
+    """row_id, order_id, total_amount, drop_reason of every raw row (NULL = kept): C1-C7 on narrow rows.
 
-    The written table cuts lineage (a lost executor recomputes from it, not
-    from the sources) and the fence passes read only ``total_amount`` and
-    ``drop_reason`` from it (column pruning), instead of re-running the
-    feed's joins and de-duplication for every branch of the plan.
+    C1-C6 are written once to ``path`` (shared storage); the fence passes
+    read that table, and so does all that asks for reasons. Whole rows are
+    not stored a second time: ``kept_rows`` fetches the survivors by
+    ``row_id``. The table cuts lineage (a lost executor recomputes from it).
     """
     spark = raw.sparkSession
-    tag_pre_fence(raw, params).write.mode("overwrite").parquet(path)
+    needed = dict.fromkeys(["row_id", "order_id", "total_amount", "sale_date", *_arrival_columns(params, raw)])
+    with_pre_fence_reason(raw.select(*needed), params).select("row_id", "order_id", "total_amount", "drop_reason").write.parquet(path)
+    return read_reasons(spark, path, params)
+
+
+def read_reasons(spark: SparkSession, path: str, params: S.Params) -> DataFrame:
+    """The written reasons with the fences (C7) applied; the fences are five numbers, computed here."""
     pre = spark.read.parquet(path)
-    # the fences are five numbers: computed once, then used as a literal one-row table
     f = fences(pre, params).first()
-    fence = spark.createDataFrame([tuple(f)], "q1 double, q3 double, iqr double, lower double, upper double")
-    return apply_fences(pre, fence)
+    return apply_fences(pre, spark.createDataFrame([tuple(f)], "q1 double, q3 double, iqr double, lower double, upper double"))
+
+
+def kept_rows(raw: DataFrame, reasons: DataFrame) -> DataFrame:
+    """Whole raw rows without a reason, with defaults (C3). ``row_id`` is unique, so the join has no hot key."""
+    rejected = reasons.where(F.col("drop_reason").isNotNull()).select("row_id")
+    return fill_defaults(raw.join(rejected, "row_id", "left_anti").drop("row_id"))
 
 
 def standardise_text(df: DataFrame) -> DataFrame:

@@ -13,16 +13,38 @@ def delivered(clean: DataFrame) -> DataFrame:
     return clean.where(F.col("order_status") == S.STATUS_DELIVERED)
 
 
+# Counts of a table of facts: rows, and the non-NULL values of the columns that are counted or averaged.
+COUNTS = {"n_rows": None, "n_orders": "order_id", "n_amounts": "total_amount", "n_discounts": "discount_pct"}
+
+
+def facts(sales: DataFrame) -> DataFrame:
+    """Sales with their counts: a roll-up has them already, a table of single sales gets 1 or 0 each."""
+    if "n_rows" in sales.columns:
+        return sales
+    one = F.lit(1).cast("long")
+    return sales.withColumns({n: one if c is None else F.when(F.col(c).isNotNull(), one).otherwise(F.lit(0).cast("long")) for n, c in COUNTS.items()})
+
+
+def total(n: str, where: Column | None = None) -> Column:
+    """Sum of a count of facts, 0 without rows."""
+    return F.coalesce(F.sum(F.col(n) if where is None else F.when(where, F.col(n))), F.lit(0)).cast("long")
+
+
 def sum_d(c: str) -> Column:
     """Exact decimal sum returned as DOUBLE."""
     return F.sum(c).cast("double")
 
 
 def mean_d(c: str) -> Column:
-    """Mean as CAST(SUM AS DOUBLE) / COUNT, the same numbers every engine divides."""
+    """Mean of single sales as CAST(SUM AS DOUBLE) / COUNT, the same numbers every engine divides."""
     return F.try_divide(F.sum(c).cast("double"), F.count(c).cast("double"))
 
 
+def mean_of(c: str, n: str) -> Column:
+    """Mean of a column of facts, whose non-NULL values are counted by ``n``."""
+    return F.try_divide(F.sum(c).cast("double"), total(n).cast("double"))
+
+
 def non_null_key(df: DataFrame, *keys: str) -> DataFrame:
     """pandas group-by drops NULL keys; Spark keeps a NULL group."""
     cond = None
@@ -34,14 +56,8 @@ def non_null_key(df: DataFrame, *keys: str) -> DataFrame:
 
 def monthly_revenue(clean: DataFrame) -> DataFrame:
     """Delivered revenue per (year, month), exact DOUBLE, one row per month present."""
-    d = non_null_key(delivered(clean), "year", "month")
-    return d.groupBy("year", "month").agg(sum_d("total_amount").alias("revenue"), F.count("order_id").alias("orders"))
-
-
-def month_window() -> Window:
-    # The monthly table has one row per calendar month present (hundreds at
-    # most), so an un-partitioned window over it is a tiny single task.
-    return Window.orderBy("year", "month")
+    d = non_null_key(delivered(facts(clean)), "year", "month")
+    return d.groupBy("year", "month").agg(sum_d("total_amount").alias("revenue"), total("n_orders").alias("orders"))
 
 
 def pct_change(c: str, w: Window) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens import schema as S
 from ledgerlens.functions.labels import grade
-from ledgerlens.operators.common import delivered, mean_d, non_null_key, sum_d
+from ledgerlens.operators.common import delivered, facts, mean_of, non_null_key, sum_d, total
 
 
 def normalize(c: str, mn: Column, mx: Column) -> Column:
@@ -35,7 +35,7 @@ def with_scores(df: DataFrame, spec: dict[str, str]) -> DataFrame:
 
 def category_growth(clean: DataFrame) -> DataFrame:
     """Growth % per category from its last two present months; 0 with one month or prev = 0."""
-    d = non_null_key(delivered(clean), "category", "year", "month")
+    d = non_null_key(delivered(facts(clean)), "category", "year", "month")
     m = d.groupBy("category", "year", "month").agg(sum_d("total_amount").alias("rev"))
     w = Window.partitionBy("category").orderBy("year", "month")
     m = m.withColumn("prev", F.lag("rev").over(w))
@@ -52,8 +52,8 @@ def category_growth(clean: DataFrame) -> DataFrame:
 
 def score_categories(clean: DataFrame) -> DataFrame:
     """Revenue, orders, growth lookup, normalised scores, weighted score and grade."""
-    d = non_null_key(delivered(clean), "category")
-    agg = d.groupBy("category").agg(sum_d("total_amount").alias("revenue"), F.count("order_id").alias("orders"))
+    d = non_null_key(delivered(facts(clean)), "category")
+    agg = d.groupBy("category").agg(sum_d("total_amount").alias("revenue"), total("n_orders").alias("orders"))
     # keyed lookup, missing = 0 (both sides are one row per category)
     agg = agg.join(category_growth(clean), "category", "left").withColumn("growth_pct", F.coalesce("growth_pct", F.lit(0.0)))
     agg = with_scores(agg, {"rev_score": "revenue", "growth_score": "growth_pct", "vol_score": "orders"})
@@ -65,9 +65,9 @@ def score_categories(clean: DataFrame) -> DataFrame:
 
 def score_regions(clean: DataFrame) -> DataFrame:
     """Region score = 0.60 revenue + 0.25 orders + 0.15 average value."""
-    d = non_null_key(delivered(clean), "region")
+    d = non_null_key(delivered(facts(clean)), "region")
     agg = d.groupBy("region").agg(
-        sum_d("total_amount").alias("revenue"), F.count("order_id").alias("orders"), mean_d("total_amount").alias("avg_val")
+        sum_d("total_amount").alias("revenue"), total("n_orders").alias("orders"), mean_of("total_amount", "n_amounts").alias("avg_val")
     )
     agg = with_scores(agg, {"rev_score": "revenue", "vol_score": "orders", "val_score": "avg_val"})
     wr, wv, wa = S.REGION_WEIGHTS

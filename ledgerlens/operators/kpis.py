@@ -1,10 +1,11 @@
 """KPI engine.
 
-All scalar KPIs come from a handful of aggregates over the cleaned table:
-one conditional aggregate over all rows (K1-K4, K7, K9), the monthly
-roll-up (K5/K6/K11) and three small grouped tables for the top keys (K8).
-Each is a distributed aggregate with map-side partial aggregation; the
-results are one-row frames joined as broadcast scalars.
+All scalar KPIs come from a handful of aggregates over the cleaned table or
+its roll-up (``operators/rollup.py``): one conditional aggregate (K1, K2, K4,
+K7, K9), the monthly table (K5/K6/K11) and the top keys (K8). Distinct
+customers (K3) and top products need the sales themselves. Each is a
+distributed aggregate with map-side partial aggregation; the results are
+one-row frames joined as broadcast scalars.
 """
 
 from __future__ import annotations
@@ -13,26 +14,25 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens import schema as S
-from ledgerlens.operators.common import delivered, mean_d, monthly_revenue, non_null_key, sum_d
+from ledgerlens.operators.common import delivered, facts, mean_of, monthly_revenue, non_null_key, sum_d, total
 
 
 def headline(clean: DataFrame) -> DataFrame:
-    """K1-K4, K7, K9 in one pass: revenue, orders, customers, AOV, return rate, discounts."""
+    """K1, K2, K4, K7, K9 in one pass over sales or their roll-up: revenue, orders, AOV, return rate, discounts."""
+    sales = facts(clean)
     is_d = F.col("order_status") == S.STATUS_DELIVERED
-    agg = clean.agg(
+    agg = sales.agg(
         F.sum(F.when(is_d, F.col("total_amount"))).cast("double").alias("_rev"),
-        F.count_if(is_d).alias("total_orders"),
-        F.count_distinct("customer_email").alias("total_customers"),
-        F.count_if(F.col("order_status") == S.STATUS_RETURNED).alias("returned_orders"),
-        F.count(F.lit(1)).alias("all_orders"),
-        mean_d("discount_pct").alias("_disc_mean"),
+        total("n_rows", is_d).alias("total_orders"),
+        total("n_rows", F.col("order_status") == S.STATUS_RETURNED).alias("returned_orders"),
+        total("n_rows").alias("all_orders"),
+        mean_of("discount_pct", "n_discounts").alias("_disc_mean"),
         F.sum("discount_amt").cast("double").alias("_disc_sum"),
-        F.count(F.when(is_d, F.col("total_amount"))).alias("_d_amounts"),
+        total("n_amounts", is_d).alias("_d_amounts"),
     )
     return agg.select(
         F.bround(F.coalesce(F.col("_rev"), F.lit(0.0)), 2).alias("total_revenue"),
         "total_orders",
-        "total_customers",
         F.bround(F.try_divide(F.bround(F.coalesce(F.col("_rev"), F.lit(0.0)), 2), F.col("total_orders").cast("double")), 2).alias("avg_order_value"),
         F.bround(F.try_divide(F.col("returned_orders").cast("double"), F.col("all_orders").cast("double")) * 100.0, 2).alias("return_rate_pct"),
         "returned_orders",
@@ -51,6 +51,11 @@ HEADLINE_KPIS = (
 )
 
 
+def customers(clean: DataFrame) -> DataFrame:
+    """K3: distinct e-mails of all rows, which no roll-up adds up to (``rollup.approx_customers`` is the mergeable form)."""
+    return clean.agg(F.count_distinct("customer_email").alias("total_customers"))
+
+
 def monthly(clean: DataFrame) -> DataFrame:
     """Delivered revenue by (year, month)."""
     return monthly_revenue(clean).select("year", "month", F.bround("revenue", 2).alias("revenue"))
@@ -84,8 +89,8 @@ def mom_growth(clean: DataFrame) -> DataFrame:
 
 def revenue_by(clean: DataFrame, key: str) -> DataFrame:
     """Delivered revenue and orders per ``key`` (NULL keys dropped, as pandas does)."""
-    d = non_null_key(delivered(clean), key)
-    return d.groupBy(key).agg(sum_d("total_amount").alias("revenue"), F.count("order_id").alias("orders"))
+    d = non_null_key(delivered(facts(clean)), key)
+    return d.groupBy(key).agg(sum_d("total_amount").alias("revenue"), total("n_orders").alias("orders"))
 
 
 def top_keys(clean: DataFrame, keys: dict[str, str], bottom: dict[str, str] | None = None) -> DataFrame:
@@ -98,7 +103,7 @@ def top_keys(clean: DataFrame, keys: dict[str, str], bottom: dict[str, str] | No
     """
     bottom = bottom or {}
     dims = list(dict.fromkeys([*keys, *bottom]))
-    d = delivered(clean)
+    d = delivered(facts(clean))
     g = d.groupingSets([[k] for k in dims], *dims).agg(
         *[F.grouping(k).alias(f"_g_{k}") for k in dims], sum_d("total_amount").alias("_rev")
     )
@@ -112,9 +117,14 @@ def top_keys(clean: DataFrame, keys: dict[str, str], bottom: dict[str, str] | No
     return g.agg(*aggs)
 
 
-def top_performers(clean: DataFrame) -> DataFrame:
-    """K8: top category, region and product by delivered revenue (ties: smallest key)."""
-    return top_keys(clean, {"category": "top_category", "region": "top_region", "product_name": "top_product"})
+def top_performers(clean: DataFrame, products: DataFrame | None = None) -> DataFrame:
+    """K8: top category, region and product by delivered revenue (ties: smallest key).
+
+    A roll-up has no products: they come from the sales, ``products``.
+    """
+    if products is None:
+        return top_keys(clean, {"category": "top_category", "region": "top_region", "product_name": "top_product"})
+    return top_keys(clean, {"category": "top_category", "region": "top_region"}).crossJoin(top_keys(products, {"product_name": "top_product"}))
 
 
 def category_revenue(clean: DataFrame) -> DataFrame:
@@ -123,8 +133,11 @@ def category_revenue(clean: DataFrame) -> DataFrame:
     return c.orderBy(F.col("revenue").desc(), "category").select("category", F.bround("revenue", 2).alias("revenue"))
 
 
-def kpi_summary(clean: DataFrame) -> DataFrame:
-    """The KPI record as one row (persisted to ``kpi_summary`` by the batch job)."""
-    h = headline(clean).select(*HEADLINE_KPIS)
+def kpi_summary(clean: DataFrame, single: DataFrame | None = None) -> DataFrame:
+    """The KPI record as one row (persisted to ``kpi_summary`` by the batch job).
+
+    ``clean`` may be the roll-up; ``single`` then has the sales, for customers and products.
+    """
+    h = headline(clean).crossJoin(customers(single if single is not None else clean)).select(*HEADLINE_KPIS)
     g = mom_growth(clean).select("mom_growth_pct", "this_month_rev", "last_month_rev")
-    return h.crossJoin(g).crossJoin(top_performers(clean))
+    return h.crossJoin(g).crossJoin(top_performers(clean, single))

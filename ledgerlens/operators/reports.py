@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens import schema as S
 from ledgerlens.operators import customers, kpis, trends
-from ledgerlens.operators.common import delivered, non_null_key
+from ledgerlens.operators.common import delivered, facts, non_null_key, total
 
 # Fixed coaching thresholds and savings factors.
 DISCOUNT_HIGH, DISCOUNT_MEDIUM = 20, 10
@@ -63,11 +63,11 @@ def mis_monthly(clean: DataFrame) -> DataFrame:
 
 def category_table(clean: DataFrame, share_digits: int) -> DataFrame:
     """Delivered revenue, orders and revenue share per category (one row per category)."""
-    d = non_null_key(delivered(clean), "category")
-    c = d.groupBy("category").agg(F.sum("total_amount").alias("rev_dec"), F.count("order_id").alias("orders"))
+    d = non_null_key(delivered(facts(clean)), "category")
+    c = d.groupBy("category").agg(F.sum("total_amount").alias("rev_dec"), total("n_orders").alias("orders"))
     # exact decimal total (one row, broadcast), so the share is order-independent
-    total = c.agg(F.sum("rev_dec").alias("_total"))
-    return c.crossJoin(F.broadcast(total)).select(
+    whole = c.agg(F.sum("rev_dec").alias("_total"))
+    return c.crossJoin(F.broadcast(whole)).select(
         "category",
         F.col("rev_dec").cast("double").alias("revenue"),
         "orders",
@@ -150,10 +150,13 @@ def _priority(v, high, medium):
     return F.when(v > high, "HIGH").when(v > medium, "MEDIUM").otherwise("LOW")
 
 
-def coach_cards(clean: DataFrame, churn_days: int = S.CHURN_DAYS) -> DataFrame:
-    """R11 + R12: one row per coaching card: topic, subject, metric, priority, savings estimate."""
+def coach_cards(clean: DataFrame, churn_days: int = S.CHURN_DAYS, single: DataFrame | None = None) -> DataFrame:
+    """R11 + R12: one row per coaching card: topic, subject, metric, priority, savings estimate.
+
+    ``clean`` may be the roll-up; ``single`` then has the sales, for the customers.
+    """
     m = coach_metrics(clean)
-    ch = customers.report_churn(clean, churn_days).select("churned_customers", "churn_rate_pct")
+    ch = customers.report_churn(single if single is not None else clean, churn_days).select("churned_customers", "churn_rate_pct")
     bw = best_worst(clean).select("top_category", "low_category")
     one = m.crossJoin(ch).crossJoin(bw)
     mean_amt = F.coalesce(F.col("mean_delivered_amount"), F.lit(0.0))

@@ -2,9 +2,11 @@
 
 One Spark application. The raw feed is written once (S3) and the cleaning
 stage reads that table; the cleaned table is written once (S7) partitioned
-by (year, month), and every mart reads it back (column pruning and the
-status filter reach the Parquet scan). Written tables also cut lineage,
-so a lost executor recomputes from the last table, not from the sources.
+by (year, month), and rolled up once by day, category, region and status. The
+additive marts read the roll-up, the others the cleaned table (column pruning
+and the status filter reach the Parquet scan). Written tables also cut
+lineage, so a lost executor recomputes from the last table, not from the
+sources. Every table is verified before it replaces the one before (S8).
 
 As in the reference, a failure in load or clean stops the run; KPI,
 forecast and MIS failures are recorded and the run continues.
@@ -13,12 +15,12 @@ forecast and MIS failures are recorded and the run continues.
 from __future__ import annotations
 
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
 from ledgerlens import schema as S
-from ledgerlens.operators import cleaning, forecast, kpis, reports
+from ledgerlens.operators import cleaning, forecast, kpis, reports, rollup
+from ledgerlens.session import scratch_path
 from ledgerlens.sources import files, fixture
 
 STEP_SCHEMA = "step string, status string, rows long, seconds double, detail string"
@@ -32,19 +34,22 @@ class StepFailed(RuntimeError):
     pass
 
 
-def clean_and_save(spark: SparkSession, raw: DataFrame, path: str, params: S.Params, tagged_path: str | None = None) -> dict:
-    """C1-C10 + S7: tag once into a written table, then write the cleaned table from it.
+def clean_and_save(spark: SparkSession, raw: DataFrame, path: str, params: S.Params, reasons_path: str | None = None) -> dict:
+    """C1-C10 + S7: reasons of all rows on narrow columns, then the cleaned table from the survivors.
 
-    Jobs: (1) feed -> C1-C6 tags -> ``tagged_sales`` table; (2) fences from
-    two pruned columns of that table; (3) cleaned rows -> ``cleaned_sales``
-    partitioned by (year, month); (4) the C11 report, an aggregate over the
-    ``drop_reason`` column only.
+    Jobs: (1) feed -> C1-C6 reasons -> narrow table; (2) fences from two
+    columns of that table; (3) surviving rows -> cleaned table partitioned by
+    (year, month), the one time that whole rows are written; (4) the C11
+    report, an aggregate over the reasons. The rows written must be those
+    that the report says are left.
     """
-    tagged_path = tagged_path or path.rstrip("/") + "_tagged"
-    tagged = cleaning.materialize(raw, params, tagged_path)
-    kept = tagged.where(F.col("drop_reason").isNull()).drop("drop_reason")
-    files.write_cleaned(cleaning.finish(kept), path)
-    return cleaning.cleaning_report(tagged).first().asDict()
+    reasons_path = reasons_path or scratch_path(spark, f"sales_reasons_{uuid.uuid4().hex[:12]}")
+    reasons = cleaning.write_reasons(raw, params, reasons_path)
+    written = files.write_cleaned(cleaning.finish(cleaning.kept_rows(raw, reasons)), path)
+    report = cleaning.cleaning_report(reasons).first().asDict()
+    if written != report["final_rows"]:
+        raise files.UnverifiedWrite(f"{path}: {written} rows written, {report['final_rows']} left by the report")
+    return report
 
 
 def run(spark: SparkSession, sf_dir: str, out_dir: str, params: S.Params | None = None, csv: str | None = None) -> DataFrame:
@@ -63,39 +68,36 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str, params: S.Params | None
             if critical:
                 raise StepFailed(name) from e
 
-    def checked(table, n):
-        """The written table must read back with the rows observed while writing."""
-        back = files.verify_count(spark, f"{out}/{table}", n).first()
-        if not back["ok"]:
-            raise RuntimeError(f"{table}: {n} rows written, {back['read_back_rows']} read back")
-        return n
-
     def load():
         source = fixture.raw_sales(spark, sf_dir) if csv is None else files.coerce_raw(files.read_raw_csv(spark, csv))
-        return checked("raw_sales", files.write_raw(source, f"{out}/raw_sales")), "raw_sales written"
+        return files.write_raw(source, f"{out}/raw_sales"), "raw_sales written"
 
     def clean():
         raw = files.read_raw(spark, f"{out}/raw_sales")
         rep = clean_and_save(spark, raw, f"{out}/cleaned_sales", params)
-        return checked("cleaned_sales", rep["final_rows"]), str(rep)
+        rollup.write(files.read_table(spark, f"{out}/cleaned_sales"), f"{out}/sales_rollup")
+        return rep["final_rows"], str(rep)
+
+    def tables():
+        return files.read_table(spark, f"{out}/cleaned_sales"), files.read_table(spark, f"{out}/sales_rollup")
 
     def kpi():
-        c = files.read_table(spark, f"{out}/cleaned_sales")
-        for name, df in (("kpi_monthly_revenue", kpis.monthly(c)), ("kpi_category_revenue", kpis.category_revenue(c))):
+        c, r = tables()
+        for name, df in (("kpi_monthly_revenue", kpis.monthly(r)), ("kpi_category_revenue", kpis.category_revenue(r))):
             files.write_table(df, f"{out}/{name}")
-        return files.write_table(kpis.kpi_summary(c), f"{out}/kpi_summary"), "kpi_summary and its monthly and category tables written"
+        return files.write_table(kpis.kpi_summary(r, c), f"{out}/kpi_summary"), "kpi_summary and its monthly and category tables written"
 
     def fcst():
-        c = files.read_table(spark, f"{out}/cleaned_sales")
-        return files.write_table(forecast.forecast(c, params.forecast_days), f"{out}/sales_forecast"), "sales_forecast written"
+        _, r = tables()
+        return files.write_table(forecast.forecast(r, params.forecast_days), f"{out}/sales_forecast"), "sales_forecast written"
 
     def mis():
-        c = files.read_table(spark, f"{out}/cleaned_sales")
+        c, r = tables()
         n = 0
         for name, df in (
-            ("mis_summary", reports.mis_summary(c)),
-            ("mis_monthly", reports.mis_monthly(c)),
-            ("mis_categories", reports.mis_categories(c)),
+            ("mis_summary", reports.mis_summary(r)),
+            ("mis_monthly", reports.mis_monthly(r)),
+            ("mis_categories", reports.mis_categories(r)),
             ("mis_data", reports.mis_data(c)),
         ):
             n += files.write_table(df, f"{out}/{name}")

@@ -25,7 +25,9 @@ from ledgerlens.operators import (
     kpis,
     projection,
     quality,
+    quantile,
     reports,
+    rollup,
     trends,
 )
 from ledgerlens.plans import oracle as O
@@ -91,8 +93,8 @@ def dirty_raw(spark: SparkSession, sf: str) -> DataFrame:
 _BUILT: dict = {}
 
 
-def _tables(spark: SparkSession, sf: str, dirty: bool = False) -> tuple[str, str]:
-    """Run load + cleaning once per (session, input) and return (tagged, cleaned) table paths.
+def _tables(spark: SparkSession, sf: str, dirty: bool = False) -> str:
+    """Run load + cleaning once per (session, input); returns the folder of raw_sales, cleaned_sales and sales_reasons.
 
     Marts then read the written cleaned table, as a deployment does: Parquet
     scans with pushed filters and pruned columns, lineage cut at the table.
@@ -106,25 +108,41 @@ def _tables(spark: SparkSession, sf: str, dirty: bool = False) -> tuple[str, str
         # S3: the feed lands as the raw table first, as in the batch job
         files.write_raw(dirty_raw(spark, sf) if dirty else raw(spark, sf), f"{base}/raw_sales")
         raw_t = files.read_raw(spark, f"{base}/raw_sales")
-        clean_and_save(spark, raw_t, f"{base}/cleaned_sales", params(), f"{base}/tagged_sales")
-        _BUILT[key] = (f"{base}/tagged_sales", f"{base}/cleaned_sales")
+        clean_and_save(spark, raw_t, f"{base}/cleaned_sales", params(), f"{base}/sales_reasons")
+        _BUILT[key] = base
     return _BUILT[key]
 
 
 def pre_tagged(spark: SparkSession, sf: str, dirty: bool = False) -> DataFrame:
-    """C1-C6 tags of every feed row (written table)."""
-    return spark.read.parquet(_tables(spark, sf, dirty)[0])
+    """C1-C6 tags of every raw row, with defaults."""
+    return cleaning.tag_pre_fence(files.read_raw(spark, f"{_tables(spark, sf, dirty)}/raw_sales"), params())
+
+
+def reasons(spark: SparkSession, sf: str, dirty: bool = False) -> DataFrame:
+    """C1-C6 reasons as they are written: row_id, order_id, total_amount, drop_reason."""
+    return spark.read.parquet(f"{_tables(spark, sf, dirty)}/sales_reasons")
 
 
 def tagged(spark: SparkSession, sf: str, dirty: bool = False) -> DataFrame:
-    """Every feed row with its final ``drop_reason``."""
-    pre = pre_tagged(spark, sf, dirty)
-    return cleaning.apply_fences(pre, cleaning.fences(pre, params()))
+    """The same with the final ``drop_reason``."""
+    return cleaning.read_reasons(spark, f"{_tables(spark, sf, dirty)}/sales_reasons", params())
 
 
 def clean(spark: SparkSession, sf: str, dirty: bool = False) -> DataFrame:
     """The cleaned sales table (written once, read per query)."""
-    return files.read_table(spark, _tables(spark, sf, dirty)[1])
+    return files.read_table(spark, f"{_tables(spark, sf, dirty)}/cleaned_sales")
+
+
+_ROLLED: set = set()
+
+
+def rolled(spark: SparkSession, sf: str) -> DataFrame:
+    """The roll-up of the cleaned sales (written once), which the additive marts read."""
+    path = f"{_tables(spark, sf)}/sales_rollup"
+    if path not in _ROLLED:
+        rollup.write(clean(spark, sf), path)
+        _ROLLED.add(path)
+    return files.read_table(spark, path)
 
 
 q = O.q
@@ -390,12 +408,24 @@ def c06(spark, sf):
     ),
 )
 def c07(spark, sf):
-    pre = pre_tagged(spark, sf)
-    f = cleaning.fences(pre, params())
+    f = cleaning.fences(reasons(spark, sf), params())
     n_out = tagged(spark, sf).agg(F.count_if(F.col("drop_reason") == "outlier").alias("outliers"))
     return f.select(*[F.round(c, 4).alias(c) for c in ("q1", "q3", "iqr", "lower", "upper")]).crossJoin(n_out)
 
 
+@register("c07_approx_fence", q("SELECT COUNT(*) AS kept, true AS q1_near, true AS q3_near FROM pre WHERE drop_reason IS NULL"))
+def c07_approx(spark, sf):
+    """C7 in approximate mode: quartiles from merged sketches, within 1 % of rank."""
+    x = reasons(spark, sf).where("drop_reason is null").select(F.col("total_amount").cast("double").alias("x"))
+    both = x.crossJoin(F.broadcast(quantile.quartiles(x, "x", "approx")))  # one row
+
+    def near(q_: str, p: float):
+        below, upto = F.count_if(F.col("x") < F.col(q_)), F.count_if(F.col("x") <= F.col(q_))
+        return (below <= (p + 0.01) * F.count("x")) & (upto >= (p - 0.01) * F.count("x"))
+
+    return both.agg(F.count("x").alias("kept"), near("q1", 0.25).alias("q1_near"), near("q3", 0.75).alias("q3_near"))
+
+
 @register("c08_text_standardise", q("SELECT order_id, category, region, order_status, payment_method, city FROM clean"))
 def c08(spark, sf):
     return clean(spark, sf).select("order_id", "category", "region", "order_status", "payment_method", "city")
@@ -580,37 +610,46 @@ def v_dirty_cleaned(spark, sf):
 # ---------------------------------------------------------------------------
 @register("k01_total_revenue", q("SELECT total_revenue FROM h", HEADLINE))
 def k01(spark, sf):
-    return _sel(kpis.headline(clean(spark, sf)), "total_revenue")
+    return _sel(kpis.headline(rolled(spark, sf)), "total_revenue")
 
 
 @register("k02_total_orders", q("SELECT total_orders FROM h", HEADLINE))
 def k02(spark, sf):
-    return _sel(kpis.headline(clean(spark, sf)), "total_orders")
+    return _sel(kpis.headline(rolled(spark, sf)), "total_orders")
 
 
 @register("k03_total_customers", q("SELECT total_customers FROM h", HEADLINE))
 def k03(spark, sf):
-    return _sel(kpis.headline(clean(spark, sf)), "total_customers")
+    return kpis.customers(clean(spark, sf))
+
+
+@register("k03_approx_customers", q("SELECT total_customers, true AS within_bound FROM h", HEADLINE))
+def k03_approx(spark, sf):
+    """K3 from monthly sketches that are written and merged: within 3 % (3.7 standard errors) of the exact count."""
+    sketches = files.scratch_table(rollup.customer_sketches(clean(spark, sf)), "customer_sketches")
+    near = rollup.approx_customers(sketches).withColumnRenamed("total_customers", "approx")
+    close = F.abs(F.col("approx") - F.col("total_customers")) <= 0.03 * F.col("total_customers")
+    return kpis.customers(clean(spark, sf)).crossJoin(near).select("total_customers", close.alias("within_bound"))
 
 
 @register("k04_avg_order_value", q("SELECT avg_order_value FROM h", HEADLINE))
 def k04(spark, sf):
-    return _sel(kpis.headline(clean(spark, sf)), "avg_order_value")
+    return _sel(kpis.headline(rolled(spark, sf)), "avg_order_value")
 
 
 @register("k05_monthly_revenue", q("SELECT year, month, round_even(revenue, 2) AS revenue FROM m", MONTHLY))
 def k05(spark, sf):
-    return kpis.monthly(clean(spark, sf))
+    return kpis.monthly(rolled(spark, sf))
 
 
 @register("k06_mom_growth", q("SELECT mom_growth_pct, this_month_rev, last_month_rev FROM g", MOM))
 def k06(spark, sf):
-    return _sel(kpis.mom_growth(clean(spark, sf)), "mom_growth_pct", "this_month_rev", "last_month_rev")
+    return _sel(kpis.mom_growth(rolled(spark, sf)), "mom_growth_pct", "this_month_rev", "last_month_rev")
 
 
 @register("k07_return_rate", q("SELECT return_rate_pct FROM h", HEADLINE))
 def k07(spark, sf):
-    return _sel(kpis.headline(clean(spark, sf)), "return_rate_pct")
+    return _sel(kpis.headline(rolled(spark, sf)), "return_rate_pct")
 
 
 @register(
@@ -618,12 +657,12 @@ def k07(spark, sf):
     q(f"SELECT * FROM {top_sql('category', 'top_category')} CROSS JOIN {top_sql('region', 'top_region')} CROSS JOIN {top_sql('product_name', 'top_product')}"),
 )
 def k08(spark, sf):
-    return kpis.top_performers(clean(spark, sf))
+    return kpis.top_performers(rolled(spark, sf), clean(spark, sf))
 
 
 @register("k09_discounts", q("SELECT avg_discount_pct, total_discount FROM h", HEADLINE))
 def k09(spark, sf):
-    return _sel(kpis.headline(clean(spark, sf)), "avg_discount_pct", "total_discount")
+    return _sel(kpis.headline(rolled(spark, sf)), "avg_discount_pct", "total_discount")
 
 
 @register(
@@ -631,12 +670,12 @@ def k09(spark, sf):
     q("SELECT category, round_even(CAST(SUM(total_amount) AS DOUBLE), 2) AS revenue FROM delivered WHERE category IS NOT NULL GROUP BY category"),
 )
 def k10(spark, sf):
-    return kpis.category_revenue(clean(spark, sf))
+    return kpis.category_revenue(rolled(spark, sf))
 
 
 @register("k11_monthly_trend_records", q("SELECT year, month, round_even(revenue, 2) AS revenue FROM m", MONTHLY))
 def k11(spark, sf):
-    return kpis.monthly(clean(spark, sf))
+    return kpis.monthly(rolled(spark, sf))
 
 
 @register(
@@ -650,7 +689,7 @@ def k11(spark, sf):
     ),
 )
 def k12(spark, sf):
-    return kpis.kpi_summary(clean(spark, sf))
+    return kpis.kpi_summary(rolled(spark, sf), clean(spark, sf))
 
 
 # ---------------------------------------------------------------------------
@@ -665,12 +704,12 @@ tr2 AS (SELECT *, round_even((revenue / lag(revenue) OVER (ORDER BY year, month)
 
 @register("tr01_monthly_trend", q(TR1_SQL))
 def tr01(spark, sf):
-    return trends.monthly_trend(clean(spark, sf)).drop("mom_growth_pct")
+    return trends.monthly_trend(rolled(spark, sf)).drop("mom_growth_pct")
 
 
 @register("tr02_monthly_mom_growth", q("SELECT * FROM tr2", TR2_CTE))
 def tr02(spark, sf):
-    return trends.monthly_trend(clean(spark, sf))
+    return trends.monthly_trend(rolled(spark, sf))
 
 
 @register(
@@ -679,7 +718,7 @@ def tr02(spark, sf):
   WHERE year IS NOT NULL AND month IS NOT NULL AND category IS NOT NULL GROUP BY year, month, category"""),
 )
 def tr03(spark, sf):
-    return trends.category_trend(clean(spark, sf))
+    return trends.category_trend(rolled(spark, sf))
 
 
 @register(
@@ -688,7 +727,7 @@ def tr03(spark, sf):
   round_even({O.mean('total_amount')}, 2) AS avg_val FROM delivered WHERE region IS NOT NULL GROUP BY region"""),
 )
 def tr04(spark, sf):
-    return trends.region_trend(clean(spark, sf))
+    return trends.region_trend(rolled(spark, sf))
 
 
 WEEKEND_SQL = """SELECT is_weekend, CAST(SUM(total_amount) AS DOUBLE) AS revenue, COUNT(order_id) AS orders,
@@ -697,7 +736,7 @@ WEEKEND_SQL = """SELECT is_weekend, CAST(SUM(total_amount) AS DOUBLE) AS revenue
 
 @register("tr05_weekend_vs_weekday", q(WEEKEND_SQL))
 def tr05(spark, sf):
-    return trends.weekend_vs_weekday(clean(spark, sf))
+    return trends.weekend_vs_weekday(rolled(spark, sf))
 
 
 @register(
@@ -708,7 +747,7 @@ def tr05(spark, sf):
   WHERE year IS NOT NULL AND month IS NOT NULL AND category IS NOT NULL GROUP BY category)"""),
 )
 def tr06(spark, sf):
-    return trends.category_share(clean(spark, sf))
+    return trends.category_share(rolled(spark, sf))
 
 
 @register(
@@ -716,7 +755,7 @@ def tr06(spark, sf):
     q("SELECT year, month, month_name, revenue, mom_growth_pct FROM tr2 ORDER BY year DESC, month DESC LIMIT 6", TR2_CTE),
 )
 def tr07(spark, sf):
-    return trends.last_months(clean(spark, sf), 6)
+    return trends.last_months(rolled(spark, sf), 6)
 
 
 # ---------------------------------------------------------------------------
@@ -724,32 +763,32 @@ def tr07(spark, sf):
 # ---------------------------------------------------------------------------
 @register("i01_normalize_scores", q("SELECT category, rev_score, growth_score, vol_score FROM cgr", CAT_SCORE))
 def i01(spark, sf):
-    return _sel(impact.score_categories(clean(spark, sf)), "category", "rev_score", "growth_score", "vol_score")
+    return _sel(impact.score_categories(rolled(spark, sf)), "category", "rev_score", "growth_score", "vol_score")
 
 
 @register("i02_category_growth", q("SELECT category, growth_pct FROM cg", CAT_GROWTH))
 def i02(spark, sf):
-    return impact.category_growth(clean(spark, sf))
+    return impact.category_growth(rolled(spark, sf))
 
 
 @register("i03_category_aggregate", q("SELECT category, revenue, orders, growth_pct FROM cgr", CAT_SCORE))
 def i03(spark, sf):
-    return _sel(impact.score_categories(clean(spark, sf)), "category", "revenue", "orders", "growth_pct")
+    return _sel(impact.score_categories(rolled(spark, sf)), "category", "revenue", "orders", "growth_pct")
 
 
 @register("i04_category_score", q("SELECT category, impact_score FROM cgr", CAT_SCORE))
 def i04(spark, sf):
-    return _sel(impact.score_categories(clean(spark, sf)), "category", "impact_score")
+    return _sel(impact.score_categories(rolled(spark, sf)), "category", "impact_score")
 
 
 @register("i05_category_grade", q("SELECT category, revenue, growth_pct, impact_score, grade FROM cgr", CAT_SCORE))
 def i05(spark, sf):
-    return _sel(impact.score_categories(clean(spark, sf)), "category", "revenue", "growth_pct", "impact_score", "grade")
+    return _sel(impact.score_categories(rolled(spark, sf)), "category", "revenue", "growth_pct", "impact_score", "grade")
 
 
 @register("i06_region_score", q("SELECT * FROM rs", REG_SCORE))
 def i06(spark, sf):
-    return impact.score_regions(clean(spark, sf))
+    return impact.score_regions(rolled(spark, sf))
 
 
 # ---------------------------------------------------------------------------
@@ -911,12 +950,12 @@ def h16(spark, sf):
     q("SELECT sale_date AS ds, CAST(SUM(total_amount) AS DOUBLE) AS y FROM delivered WHERE sale_date IS NOT NULL GROUP BY sale_date"),
 )
 def f01(spark, sf):
-    return projection.daily_revenue(clean(spark, sf))
+    return projection.daily_revenue(rolled(spark, sf))
 
 
 @register("f02_revenue_forecast")
 def f02(spark, sf):
-    return forecast.forecast(clean(spark, sf), S.FORECAST_DAYS)
+    return forecast.forecast(rolled(spark, sf), S.FORECAST_DAYS)
 
 
 def _future_sql(series: str, key: str = "") -> str:
@@ -935,7 +974,7 @@ DAILY_BY_CATEGORY = """dc AS (SELECT category AS series, sale_date AS ds, CAST(S
 
 @register("f03_future_dates", q(_future_sql("dy"), DAILY))
 def f03(spark, sf):
-    return projection.prediction_dates(projection.daily_revenue(clean(spark, sf)), S.FORECAST_DAYS)
+    return projection.prediction_dates(projection.daily_revenue(rolled(spark, sf)), S.FORECAST_DAYS)
 
 
 @register(
@@ -944,33 +983,33 @@ def f03(spark, sf):
 )
 def f03_categories(spark, sf):
     """F3 per category, out of the grouped fits: days, kind and actual value of every predicted row."""
-    return forecast.prediction(clean(spark, sf), S.FORECAST_DAYS, by="category").select("series", "ds", "is_future", "y")
+    return forecast.prediction(rolled(spark, sf), S.FORECAST_DAYS, by="category").select("series", "ds", "is_future", "y")
 
 
 @register("f02_category_forecast")
 def f02_categories(spark, sf):
     """F2 per category: fitted and future values with their band."""
-    return forecast.prediction(clean(spark, sf), S.FORECAST_DAYS, by="category")
+    return forecast.prediction(rolled(spark, sf), S.FORECAST_DAYS, by="category")
 
 
 @register("f04_future_rows")
 def f04(spark, sf):
-    return forecast.forecast(clean(spark, sf), S.FORECAST_DAYS).select("ds", "yhat", "yhat_lower", "yhat_upper")
+    return forecast.forecast(rolled(spark, sf), S.FORECAST_DAYS).select("ds", "yhat", "yhat_lower", "yhat_upper")
 
 
 @register("f05_forecast_summary")
 def f05(spark, sf):
-    return forecast.forecast_summary(forecast.forecast(clean(spark, sf), S.FORECAST_DAYS))
+    return forecast.forecast_summary(forecast.forecast(rolled(spark, sf), S.FORECAST_DAYS))
 
 
 @register("f06_tail_baseline", q("SELECT round_even(last_3_avg, 2) AS last_3_avg, round_even(last_month, 2) AS last_month FROM tg", TAIL))
 def f06(spark, sf):
-    return _sel(projection.revenue_projection(clean(spark, sf)), "last_3_avg", "last_month")
+    return _sel(projection.revenue_projection(rolled(spark, sf)), "last_3_avg", "last_month")
 
 
 @register("f07_growth_rate", q("SELECT round_even(growth, 6) AS growth FROM tg", TAIL))
 def f07(spark, sf):
-    return _sel(projection.revenue_projection(clean(spark, sf)), "growth")
+    return _sel(projection.revenue_projection(rolled(spark, sf)), "growth")
 
 
 @register(
@@ -982,7 +1021,7 @@ def f07(spark, sf):
     ),
 )
 def f08(spark, sf):
-    return _sel(projection.revenue_projection(clean(spark, sf)), "forecast_next_month", "forecast_next_quarter")
+    return _sel(projection.revenue_projection(rolled(spark, sf)), "forecast_next_month", "forecast_next_quarter")
 
 
 @register(
@@ -1003,13 +1042,13 @@ cp AS (SELECT category, COUNT(*) AS n_months, MAX(CASE WHEN rk = 1 THEN revenue
     ),
 )
 def f09(spark, sf):
-    return projection.category_projection(clean(spark, sf))
+    return projection.category_projection(rolled(spark, sf))
 
 
 @register("f10_persist_forecast")
 def f10(spark, sf):
     path = scratch_path(spark, f"sales_forecast_{_tag(sf)}_{uuid.uuid4().hex[:8]}")
-    files.write_table(forecast.forecast(clean(spark, sf), S.FORECAST_DAYS), path)
+    files.write_table(forecast.forecast(rolled(spark, sf), S.FORECAST_DAYS), path)
     return files.read_table(spark, path)
 
 
@@ -1029,12 +1068,12 @@ def f10(spark, sf):
     ),
 )
 def r01(spark, sf):
-    return reports.mis_summary(clean(spark, sf))
+    return reports.mis_summary(rolled(spark, sf))
 
 
 @register("r02_mis_monthly", q("SELECT year, month, month_name, revenue, orders FROM tr1", f"tr1 AS ({TR1_SQL})"))
 def r02(spark, sf):
-    return reports.mis_monthly(clean(spark, sf))
+    return reports.mis_monthly(rolled(spark, sf))
 
 
 @register(
@@ -1042,7 +1081,7 @@ def r02(spark, sf):
     q("SELECT category, CAST(rev_dec AS DOUBLE) AS revenue, orders, round_even(CAST(rev_dec AS DOUBLE) / CAST(total AS DOUBLE) * 100.0, 2) AS share_pct FROM ctt", CAT_TABLE),
 )
 def r03(spark, sf):
-    return reports.mis_categories(clean(spark, sf))
+    return reports.mis_categories(rolled(spark, sf))
 
 
 @register(
@@ -1071,7 +1110,7 @@ im AS (SELECT COALESCE(dm.total_revenue, 0.0) AS total_revenue, dm.total_orders,
     q("SELECT total_revenue, total_orders, avg_order_value, return_rate_pct, mom_growth_pct, this_month_rev, last_month_rev, top_category, top_region FROM im", IMPACT_SQL),
 )
 def r05(spark, sf):
-    return reports.impact_metrics(clean(spark, sf)).drop("growth_good", "return_rate_good")
+    return reports.impact_metrics(rolled(spark, sf)).drop("growth_good", "return_rate_good")
 
 
 @register(
@@ -1079,17 +1118,17 @@ def r05(spark, sf):
     q("SELECT category, CAST(rev_dec AS DOUBLE) AS revenue, round_even(CAST(rev_dec AS DOUBLE) / CAST(total AS DOUBLE) * 100.0, 1) AS share_pct FROM ctt", CAT_TABLE),
 )
 def r06(spark, sf):
-    return reports.impact_categories(clean(spark, sf))
+    return reports.impact_categories(rolled(spark, sf))
 
 
 @register("r07_good_bad_flags", q("SELECT mom_growth_pct, return_rate_pct, growth_good, return_rate_good FROM im", IMPACT_SQL))
 def r07(spark, sf):
-    return _sel(reports.impact_metrics(clean(spark, sf)), "mom_growth_pct", "return_rate_pct", "growth_good", "return_rate_good")
+    return _sel(reports.impact_metrics(rolled(spark, sf)), "mom_growth_pct", "return_rate_pct", "growth_good", "return_rate_good")
 
 
 @register("r08_coach_metrics", q("SELECT * FROM cm", COACH))
 def r08(spark, sf):
-    return reports.coach_metrics(clean(spark, sf))
+    return reports.coach_metrics(rolled(spark, sf))
 
 
 @register(
@@ -1100,12 +1139,12 @@ def r08(spark, sf):
     ),
 )
 def r09(spark, sf):
-    return reports.best_worst(clean(spark, sf))
+    return reports.best_worst(rolled(spark, sf))
 
 
 @register("r10_weekend_revenue", q(WEEKEND_SQL))
 def r10(spark, sf):
-    return reports.weekend_revenue(clean(spark, sf))
+    return reports.weekend_revenue(rolled(spark, sf))
 
 
 CARDS_SQL = COACH + "," + REPORT_CHURN + f""",
@@ -1127,12 +1166,12 @@ cards AS (
 
 @register("r11_coach_cards", q("SELECT card_no, topic, subject, metric, priority FROM cards", CARDS_SQL))
 def r11(spark, sf):
-    return reports.coach_cards(clean(spark, sf)).drop("savings_estimate")
+    return reports.coach_cards(rolled(spark, sf), single=clean(spark, sf)).drop("savings_estimate")
 
 
 @register("r12_savings_estimates", q("SELECT card_no, topic, savings_estimate FROM cards", CARDS_SQL))
 def r12(spark, sf):
-    return _sel(reports.coach_cards(clean(spark, sf)), "card_no", "topic", "savings_estimate")
+    return _sel(reports.coach_cards(rolled(spark, sf), single=clean(spark, sf)), "card_no", "topic", "savings_estimate")
 
 
 @register(
@@ -1146,7 +1185,15 @@ def r13(spark, sf):
 # ---------------------------------------------------------------------------
 # J: batch job
 # ---------------------------------------------------------------------------
-@register("j01_batch_job_steps")
+J01_SQL = f"""SELECT 'load' AS step, 'ok' AS status, (SELECT COUNT(*) FROM raw_sales) AS "rows"
+  UNION ALL SELECT 'clean', 'ok', (SELECT COUNT(*) FROM clean)
+  UNION ALL SELECT 'kpi', 'ok', 1
+  UNION ALL SELECT 'forecast', 'ok', CASE WHEN EXISTS (SELECT 1 FROM delivered) THEN {S.FORECAST_DAYS} ELSE 0 END
+  UNION ALL SELECT 'mis', 'ok', 6 + (SELECT COUNT(DISTINCT (year, month)) FROM delivered) + (SELECT COUNT(DISTINCT category) FROM delivered)
+    + LEAST({S.MIS_DATA_ROWS}, (SELECT COUNT(*) FROM delivered))"""
+
+
+@register("j01_batch_job_steps", q(J01_SQL))
 def j01(spark, sf):
     from ledgerlens.plans import batch
 

@@ -2,8 +2,11 @@
 
 * S1/S2: raw CSV with a header, every field read as text, then coerced with
   ``try_*`` casts so unparsable values become NULL (ANSI casts would throw).
-* S3/S7: dataset writes with a declared schema, overwrite mode; the cleaned
-  table is partitioned by (year, month) so month/date filters prune files.
+* S3/S7: dataset writes with a declared schema that replace a table; the
+  cleaned table is partitioned by (year, month) so month/date filters prune
+  files. A replacement is written to a folder of its own inside the table's,
+  counted (S8), and only then marked as valid, so the old rows stay readable
+  until the new ones are verified, and a failed write changes nothing.
 * S4-S6: table scans; S6 pushes the status filter into the Parquet reader.
 * S8: the row count of a written table read back, compared with the count
   observed while writing (``Observation``, no extra pass over the input).
@@ -30,10 +33,31 @@ POSITION_BITS = 40
 BROADCAST_FILES = 200_000
 
 
+# A table's folder holds one folder a version, and in it this empty file once its rows are verified.
+VERSION, VERIFIED = "version-", "_VERIFIED"
+
+
 class MissingInput(FileNotFoundError):
     pass
 
 
+class UnverifiedWrite(RuntimeError):
+    pass
+
+
+def _glob(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths of a Hadoop glob (any cluster filesystem), sorted."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(pattern)
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)
+    return sorted(f.getPath().toString() for f in found or [])
+
+
+def _hadoop(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     """Hadoop FileSystem check (any cluster filesystem); ``path`` may be a glob."""
     jvm = spark._jvm
@@ -134,15 +158,46 @@ def coerce_raw(df: DataFrame) -> DataFrame:
     return out.select(*[f.name for f in S.RAW_SALES.fields])
 
 
-def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), mode: str = "overwrite") -> int:
-    """Write a dataset and return the number of rows written (observed during the write)."""
+def versions(spark: SparkSession, path: str) -> list[str]:
+    """Folders of a table's verified versions, oldest first."""
+    marks = _glob(spark, f"{path.rstrip('/')}/{VERSION}*/{VERIFIED}")
+    return [m[: -len(VERIFIED) - 1] for m in marks]
+
+
+def table_path(spark: SparkSession, path: str) -> str:
+    """Folder of a table's current rows: its latest verified version, or ``path`` itself if it has none."""
+    return (versions(spark, path) or [path])[-1]
+
+
+def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> int:
+    """Replace a table and return its number of rows.
+
+    The rows go to a new version; when as many are read back as were observed
+    while writing, the version is marked, which is the one step that readers
+    see. The version before stays for jobs that read it; older ones and
+    unmarked rests of failed writes are removed. One writer a table at a time.
+    """
+    spark = df.sparkSession
+    base = path.rstrip("/")
+    old = versions(spark, base)
+    number = int(old[-1].rsplit(VERSION, 1)[1].split("-")[0]) + 1 if old else 0
+    new = f"{base}/{VERSION}{number:08d}-{uuid.uuid4().hex[:8]}"
     obs = Observation("write_rows")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    w = observed.write.mode(mode)
+    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return int(obs.get["rows"])
+    w.parquet(new)
+    written = int(obs.get["rows"])
+    back = spark.read.schema(df.schema).parquet(new).count()
+    if back != written:
+        raise UnverifiedWrite(f"{base}: {written} rows written, {back} read back")
+    fs, mark = _hadoop(spark, f"{new}/{VERIFIED}")
+    fs.create(mark, True).close()
+    keep = {os.path.basename(v) for v in old[-1:]} | {os.path.basename(new)}
+    for v in _glob(spark, f"{base}/{VERSION}*"):
+        if os.path.basename(v) not in keep:
+            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(v), True)
+    return written
 
 
 def write_raw(df: DataFrame, path: str) -> int:
@@ -183,8 +238,8 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Full scan of a written table."""
-    return spark.read.parquet(path)
+    """Full scan of a written table (its current version)."""
+    return spark.read.parquet(table_path(spark, path))
 
 
 def read_delivered(spark: SparkSession, path: str) -> DataFrame:

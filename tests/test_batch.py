@@ -20,5 +20,7 @@ def test_batch_job_writes_consistent_tables(spark, tmp_path):
     fresh = kpis.kpi_summary(clean).first().asDict()
     assert written == fresh
     assert files.read_table(spark, os.path.join(out, "sales_forecast")).count() == 90
-    tagged = files.read_table(spark, os.path.join(out, "cleaned_sales_tagged"))
-    assert tagged.count() == raw_n  # every feed row keeps its reason, kept rows have none
+    # one whole copy of the cleaned rows, and no other table of their width
+    assert sorted(d for d in os.listdir(out) if d.startswith(("cleaned", "sales"))) == ["cleaned_sales", "sales_forecast", "sales_rollup"]
+    rolled = files.read_table(spark, os.path.join(out, "sales_rollup")).agg({"n_rows": "sum"}).first()[0]
+    assert rolled == clean.count()

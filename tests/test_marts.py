@@ -118,7 +118,7 @@ def test_unique_customers_ignore_nulls(spark):
         ("2", None, "X", "N", 1, d(2024, 1), "Delivered"),
         ("3", "a", "X", "N", 1, d(2024, 1), "Delivered"),
     ])
-    assert kpis.headline(c).first().total_customers == 1
+    assert kpis.customers(c).first().total_customers == 1
 
 
 def test_zero_mean_growth_falls_back_to_default(spark):
