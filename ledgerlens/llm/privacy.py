@@ -7,35 +7,52 @@ The patterns are written so that a search stays linear on long runs: a match
 starts where a run starts or where the last match ended, and repeats are
 possessive where nothing after them could need them back.
 
+*Protected entities.* Each span names two: its value (address, number) and a
+wider one that several values share (the domain of an e-mail address, the
+/24 network of an IP address, the issuer digits of a card, the country and
+area digits of a phone number), so that values which occur once still have
+support.
+
 *Disclosed terms.* Corpus co-occurrence estimates how strongly a term reveals
 a protected entity. For entity e and term t, over documents,
 PMI(t; e) = log(P(t, e) / (P(t) P(e))) and IC(e) = -log P(e); t occurs with e
-when a document that mentions e has t anywhere outside its base spans. The
-ratio PMI / IC is 1 when t occurs with e only. Terms that occur with e in at
-least ``min_together`` documents and reach ``generalise_at`` are generalised
-to their class (code with a digit, acronym, capitalised name, other word), those that reach ``remove_at`` are removed, wherever they
-stand in a document that mentions e. Each such occurrence is an added span of
-kind ``term``; base spans stay.
-
-The text is read twice: once for spans, which are written to the shared
-folder (documents without personal data leave narrow rows, the others their
-text outside the spans), once to count the documents of every word. Words and
-(term, entity) pairs are pre-aggregated in their map tasks, so a common word
-or entity is one row a task; only entities of ``min_together`` documents or
-more are paired with the terms of their documents.
+when a document that mentions e has t anywhere outside its base spans. P(t)
+counts ``SMOOTHING`` of a document more than have t, so the ratio PMI / IC
+is just below 1 when t occurs with e only, and the lower the less often t was
+seen. A pair counts if its log-likelihood ratio is significant (G^2 of at
+least ``SIGNIFICANT``, 0.1 % for one degree of freedom): a word that only one
+document has tells of that document's entities once the corpus has some
+hundred documents, not before. Terms that reach ``generalise_at`` are
+generalised to their class (code with a digit, acronym, capitalised name,
+other word), those that reach ``remove_at`` are removed, wherever they stand
+in a document that mentions e. Each such occurrence is an added span of kind
+``term``; base spans stay. Terms are runs of letters and numbers with at least
+one letter, hyphens inside.
+
+*Scale.* The text is read once and written to the shared folder with its
+spans and a row number. Words are pre-aggregated in their map tasks. Only
+terms rare enough to reach the threshold for the most frequent entity are
+looked up in documents with personal data. Entities that the same documents
+mention are one class (their number and a 64-bit sum of the documents), and so
+are terms that the same documents have: a log of many addresses and unique
+words is one pair of classes, not all pairs. Positions are running sums kept
+in chunks, and pieces are cut from blocks of the text, so a text costs time in
+proportion to its length and its spans, however many they are.
 
 Null text is empty. Documents without matches have zero counts and empty
-strings. Equal rows get equal results; the key that joins spans back is a
-digest of id and text. An empty table gives an empty result. ``sanitise``
-keeps all input columns, whatever their names.
+strings. Rows are joined by their number, so equal rows get equal results and
+no key is hot. An empty table gives an empty result. ``sanitise`` keeps all
+input columns, whatever their names.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import free_name, stored, text_or_empty
+from ledgerlens.llm.common import stored, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = r"[A-Za-z0-9._%+-]"
@@ -50,26 +67,56 @@ PATTERNS = {
 #: What a text must have for a kind to be searched.
 HINTS = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-TERM = r"\p{L}[\p{L}\p{N}]*+"
-MIN_TOGETHER, GENERALISE_AT, REMOVE_AT = 3, 0.8, 0.95
-SPAN = "array<struct<kind:string,start:int,end:int,entity:string>>"
-ADDED = "array<struct<start:int,end:int,disclosure:double>>"
+TERM = r"[\p{L}\p{N}]++(?:-[\p{L}\p{N}]++)*+"
+GENERALISE_AT, REMOVE_AT = 0.8, 0.95
+#: Documents that a term counts besides those that have it, and the least G^2 of a pair (chi-squared, 0.1 %).
+SMOOTHING, SIGNIFICANT = 0.25, 10.83
+SPAN = "struct<kind:string,start:int,end:int,entity:string,wider:string>"
+PLACE = "struct<start:int,end:int,term:string>"
+#: Matches in a chunk of a running sum, and characters in a block of a text.
+CHUNK, BLOCK = 128, 256
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def walked(items: Column, out_type: str, step: Callable[[Column, Column], tuple[Column, Column]]) -> Column:
+    """struct<at, out>: a walk over an array that carries a position (from 0) and collects what is not null.
+
+    ``step(at, item)`` gives the next position and a value of ``out_type`` or
+    null. Values are appended in chunks, and the chunks to each other, as an
+    append copies its array.
+    """
+    last = F.floor((F.size(items) - 1) / CHUNK).cast("int")
+    chunks = F.when(F.size(items) > 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(items, i * CHUNK + 1, CHUNK))).otherwise(F.array())
+
+    def one(acc: Column, item: Column) -> Column:
+        at, out = step(acc["at"], item)
+        return F.struct(at.cast("int").alias("at"), let(out.cast(out_type), lambda o: F.when(o.isNotNull(), F.array_append(acc["out"], o)).otherwise(acc["out"])).alias("out"))
 
+    def many(acc: Column, chunk: Column) -> Column:
+        start = F.struct(acc["at"].alias("at"), F.array().cast(f"array<{out_type}>").alias("out"))
+        return let(F.aggregate(chunk, start, one), lambda r: F.struct(r["at"].alias("at"), F.array_append(acc["out"], r["out"]).alias("out")))
 
-def located(text: Column, pattern: str) -> Column:
-    """array<struct<start, end, match>> of a pattern's matches; from the lengths of the pieces between them."""
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{out_type}>>").alias("out"))
+    return F.aggregate(chunks, start, many, lambda acc: F.struct(acc["at"].alias("at"), F.flatten(acc["out"]).alias("out")))
+
+
+def located(text: Column, pattern: str, out_type: str, put: Callable[[Column, Column, Column], Column]) -> Column:
+    """array<out_type>: ``put(start, end, match)`` of a pattern's matches that is not null; places come from the pieces between them."""
     between = F.transform(F.split(text, pattern, -1), lambda p: F.length(p))
     zipped = F.arrays_zip(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("match"), between.alias("before"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,match:string>>").alias("out"))
     # the last piece has no match after it
     found = F.filter(zipped, lambda z: z["match"].isNotNull())
 
-    def add(acc, z):
-        begin = (acc["at"] + z["before"]).cast("int")
+    def step(at: Column, z: Column) -> tuple[Column, Column]:
+        begin = (at + z["before"]).cast("int")
         end = (begin + F.length(z["match"])).cast("int")
-        return F.struct(end.alias("at"), F.array_append(acc["out"], F.struct(begin.alias("start"), end.alias("end"), z["match"].alias("match"))).alias("out"))
+        return end, put(begin, end, z["match"])
 
-    return F.aggregate(found, start, add, lambda acc: acc["out"])
+    return let(found, lambda f: walked(f, out_type, step)["out"])
 
 
 def _digits(x: Column) -> Column:
@@ -86,17 +133,27 @@ def _valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def _entity(kind: str, match: Column) -> Column:
-    return F.concat(F.lit(kind + ":"), F.lower(match) if kind == "email" else match if kind == "ip" else _digits(match))
+def _entity(kind: str, match: Column) -> tuple[Column, Column]:
+    """The value of a span, and what it shares with others."""
+    if kind == "email":
+        value, wider = F.lower(match), F.concat(F.lit("@"), F.lower(F.regexp_extract(match, "@(.*)", 1)))
+    elif kind == "ip":
+        value, wider = match, F.regexp_extract(match, r"^(.*\.)[0-9]+$", 1)
+    else:
+        value, wider = _digits(match), F.substring(_digits(match), 1, 6 if kind == "card" else 5)
+    return F.concat(F.lit(kind + ":"), value), F.concat(F.lit(kind + " group:"), wider)
 
 
 def base_spans(text: Column) -> Column:
-    """array<struct<kind, start, end, entity>> by kind as listed, then start."""
+    """array<struct<kind, start, end, entity, wider>> by kind as listed, then start."""
 
     def of(kind: str) -> Column:
-        good = F.filter(located(text, PATTERNS[kind]), lambda m: _valid(kind, m["match"]))
-        spans = F.transform(good, lambda m: F.struct(F.lit(kind).alias("kind"), m["start"].alias("start"), m["end"].alias("end"), _entity(kind, m["match"]).alias("entity")))
-        return F.when(text.rlike(HINTS[kind]), spans).otherwise(F.array().cast(SPAN))
+        def put(start: Column, end: Column, match: Column) -> Column:
+            entity, wider = _entity(kind, match)
+            span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), entity.alias("entity"), wider.alias("wider"))
+            return F.when(_valid(kind, match), span)
+
+        return F.when(text.rlike(HINTS[kind]), located(text, PATTERNS[kind], SPAN, put)).otherwise(F.array().cast(f"array<{SPAN}>"))
 
     return F.concat(*map(of, KINDS))
 
@@ -106,31 +163,55 @@ def shown(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def _key(id_col: Column, text: Column) -> Column:
-    return F.md5(F.concat(F.coalesce(id_col.cast("string"), F.lit("null")), F.lit(":"), text).cast("binary"))
+def replaced(text: Column, marks: Column, put: Callable[[Column, Column, Column], Column]) -> Column:
+    """The text with each mark (start, end, ...) replaced by ``put(mark, uncovered, covered)``; marks may overlap.
+
+    ``uncovered`` is the number of code points that no earlier mark covers,
+    ``covered`` the text of the mark. Pieces are cut from blocks of ``BLOCK`` characters, not from the start of
+    the text.
+    """
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
 
+    def built(parts: Column) -> Column:
+        def cut(begin: Column, length: Column) -> Column:
+            first = F.floor(begin / BLOCK).cast("int")
+            some = F.slice(parts, first + 1, F.floor((begin + length - 1) / BLOCK).cast("int") - first + 1)
+            return F.when(length > 0, F.substring(F.array_join(some, ""), begin - first * BLOCK + 1, length)).otherwise("")
 
-def masked(text: Column, spans: Column) -> Column:
-    """The text with every code point of a base span replaced by a space, so that positions stay."""
-    by_start = F.sort_array(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+        def step(at: Column, m: Column) -> tuple[Column, Column]:
+            begin = F.greatest(m["start"], at)
+            return F.greatest(m["end"], at), F.concat(cut(at, begin - at), put(m, F.greatest(m["end"] - begin, F.lit(0)), cut(m["start"], m["end"] - m["start"])))
 
-    def step(acc, s):
-        kept = F.substring(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
-        blank = F.repeat(F.lit(" "), F.greatest(s["end"] - F.greatest(s["start"], acc["at"]), F.lit(0)))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], F.array(kept, blank)).alias("out"))
+        whole = let(F.sort_array(marks), lambda ordered: walked(ordered, "string", step))
+        return let(whole, lambda w: F.concat(F.array_join(w["out"], ""), cut(w["at"], F.length(text) - w["at"])))
 
-    return F.aggregate(by_start, start, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text))))
+    return let(blocks, built)
 
 
-def outside(text: Column, spans: Column) -> Column:
-    """The text in which terms are looked for."""
-    return F.when(F.size(spans) > 0, masked(text, spans)).otherwise(text)
+def rewritten(text: Column, marks: Column) -> Column:
+    """The text with each mark (start, end, put) replaced; without ``put``, by the class of what it covers; nothing for what an earlier mark covers."""
+    return replaced(text, marks, lambda m, uncovered, covered: F.when(uncovered < m["end"] - m["start"], "").otherwise(F.coalesce(m["put"], term_class(covered))))
+
+
+def masked(text: Column, spans: Column) -> Column:
+    """The text with every code point of a base span replaced by a space, so that positions stay."""
+    marks = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+    return replaced(text, marks, lambda m, uncovered, _: F.repeat(F.lit(" "), uncovered))
 
 
 def terms_of(text: Column) -> Column:
     """The distinct terms of a text, lower-cased."""
-    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), lambda t: F.lower(t)))
+    found = F.filter(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), lambda t: t.rlike(r"\p{L}"))
+    return F.array_distinct(F.transform(found, lambda t: F.lower(t)))
+
+
+def term_places(text: Column) -> Column:
+    """array<struct<start, end, term>>: every occurrence of every term, lower-cased."""
+
+    def put(start: Column, end: Column, match: Column) -> Column:
+        return F.when(match.rlike(r"\p{L}"), F.struct(start.alias("start"), end.alias("end"), F.lower(match).alias("term")))
+
+    return located(text, TERM, PLACE, put)
 
 
 def term_class(term: Column) -> Column:
@@ -140,58 +221,69 @@ def term_class(term: Column) -> Column:
     )
 
 
-def occurrences(text: Column, told: Column) -> Column:
-    """array<struct<start, end, disclosure>>: where the terms of ``told`` (term to disclosure) stand; only these are appended."""
-    between = F.transform(F.split(text, TERM, -1), lambda p: F.length(p))
-    found = F.filter(F.arrays_zip(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)).alias("match"), between.alias("before")), lambda z: z["match"].isNotNull())
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(ADDED).alias("out"))
-
-    def add(acc, z):
-        begin = (acc["at"] + z["before"]).cast("int")
-        end = (begin + F.length(z["match"])).cast("int")
-        value = F.try_element_at(told, F.lower(z["match"]))
-        mark = F.struct(begin.alias("start"), end.alias("end"), value.alias("disclosure"))
-        return F.struct(end.alias("at"), F.when(value.isNotNull(), F.array_append(acc["out"], mark)).otherwise(acc["out"]).alias("out"))
-
-    return F.aggregate(found, start, add, lambda acc: acc["out"])
-
-
-def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, key, spans, rest (the text outside the spans) of every document, written once; key and rest are null without personal data."""
-    text = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("t")).withColumn("spans", base_spans(F.col("t")))
-    some = F.size("spans") > 0
-    return stored(text.select("id", F.when(some, _key(F.col("id"), F.col("t"))).alias("key"), "spans", F.when(some, masked(F.col("t"), F.col("spans"))).alias("rest")), "privacy_spans")
-
-
-def disclosed(docs: DataFrame, found: DataFrame, text_col: str, min_together: int = MIN_TOGETHER, generalise_at: float = GENERALISE_AT) -> DataFrame:
-    """key, told (map of term to disclosure): the documents with terms whose PMI / IC reaches ``generalise_at`` for one of their entities."""
-    named = found.where("key is not null")
-    mentions = named.select("key", F.explode(F.array_distinct(F.transform("spans", lambda s: s["entity"]))).alias("entity"))
-    # an entity of fewer documents has no pair that counts
-    entities = stored(mentions.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= min_together), "privacy_entities")
-    often = mentions.join(entities, "entity", "left_semi").groupBy("key").agg(F.collect_set("entity").alias("entities"))
-    whole = stored(named.select("key", "rest").join(often, "key").select("key", "entities", terms_of(F.col("rest")).alias("terms")), "privacy_protected")
-    # one after the other, so that no row holds all pairs
-    pairs = whole.select("key", "terms", F.explode("entities").alias("entity")).select("key", "entity", F.explode("terms").alias("term"))
-    together = pairs.groupBy("entity", "term").agg(F.count("*").alias("together")).where(F.col("together") >= min_together)
-    text = docs.select(text_or_empty(text_col).alias("t")).withColumn("spans", base_spans(F.col("t")))
-    words = text.select(F.explode(terms_of(outside(F.col("t"), F.col("spans")))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    total = F.lit(float(max(found.count(), 1)))
-    pmi = F.log(F.col("together") * total / (F.col("n_term") * F.col("n_entity")))
-    ratio = F.when(F.col("n_entity") >= total, F.lit(0.0)).otherwise(pmi / F.log(total / F.col("n_entity")))
-    scored = stored(together, "privacy_pairs").join(words, "term").join(entities, "entity").select("entity", "term", ratio.alias("disclosure"))
-    terms = stored(scored.where(F.col("disclosure") >= generalise_at), "privacy_terms")
-    hits = pairs.join(terms, ["entity", "term"]).groupBy("key", "term").agg(F.max("disclosure").alias("disclosure"))
-    return stored(hits.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("told")), "privacy_told")
+def scan(docs: DataFrame, text_col: str) -> DataFrame:
+    """row (its number), doc (the whole input row), spans, rest (the text outside the spans, null without spans): read once, written once."""
+    doc = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")
+    rows = docs.select(doc, text_or_empty(text_col).alias("t")).withColumn("spans", base_spans(F.col("t")))
+    rest = F.when(F.size("spans") > 0, masked(F.col("t"), F.col("spans"))).alias("rest")
+    return stored(rows.select(F.monotonically_increasing_id().alias("row"), "doc", "spans", rest), "privacy_rows")
+
+
+def g2(both: Column, n_a: Column, n_b: Column, n: Column) -> Column:
+    """Log-likelihood ratio of two events over n documents."""
+
+    def part(seen: Column, expected: Column) -> Column:
+        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+
+    cells = part(both, n_a * n_b / n) + part(n_a - both, n_a * (n - n_b) / n) + part(n_b - both, (n - n_a) * n_b / n)
+    return 2 * (cells + part(n - n_a - n_b + both, (n - n_a) * (n - n_b) / n))
+
+
+def disclosed(found: DataFrame, text_col: str, generalise_at: float = GENERALISE_AT, significant: float = SIGNIFICANT) -> DataFrame:
+    """row, term, disclosure: the terms of a document whose PMI / IC reaches ``generalise_at`` for one of its entities."""
+    number = F.xxhash64("row")
+    named = found.where("rest is not null")
+    both = F.array_distinct(F.flatten(F.transform("spans", lambda s: F.array(s["entity"], s["wider"]))))
+    mentions = named.select("row", F.explode(both).alias("entity"))
+    # one class of entities for each set of documents
+    entities = stored(mentions.groupBy("entity").agg(F.count("*").alias("n_entity"), F.bit_xor(number).alias("entity_set")), "privacy_entities")
+    classes = mentions.join(entities, "entity").select("row", "n_entity", "entity_set").distinct()
+    limits = entities.agg(F.max("n_entity").alias("most")).first()
+    total = max(found.count(), 1)
+    # PMI / IC reaches the threshold for no entity if more documents have the term
+    most = (limits["most"] or 0) ** generalise_at * total ** (1 - generalise_at)
+    text = F.coalesce("rest", f"doc.`{text_col}`", F.lit(""))
+    words = found.select("row", F.explode(terms_of(text)).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"), F.bit_xor(number).alias("term_set"))
+    rare = stored(words.where(F.col("n_term") <= most), "privacy_words")
+    tokens = stored(named.select("row", F.explode(terms_of(F.col("rest"))).alias("term")).join(rare, "term"), "privacy_terms")
+    pairs = tokens.select("row", "n_term", "term_set").distinct().join(classes, "row")
+    key = ["n_entity", "entity_set", "n_term", "term_set"]
+    n = F.lit(float(total))
+    pmi = F.log(F.col("together") * n / ((F.col("n_term") + SMOOTHING) * F.col("n_entity")))
+    ratio = F.when(F.col("n_entity") >= n, F.lit(0.0)).otherwise(pmi / F.log(n / F.col("n_entity")))
+    scored = pairs.groupBy(*key).agg(F.count("*").alias("together")).withColumn("disclosure", ratio)
+    told = scored.where((F.col("disclosure") >= generalise_at) & (g2(F.col("together"), F.col("n_entity"), F.col("n_term"), n) >= significant))
+    hits = pairs.join(stored(told.select(*key, "disclosure"), "privacy_told"), key).groupBy("row", "n_term", "term_set").agg(F.max("disclosure").alias("disclosure"))
+    return stored(tokens.join(hits, ["row", "n_term", "term_set"]).select("row", "term", "disclosure"), "privacy_hits")
+
+
+def marked(found: DataFrame, text_col: str, **rule) -> DataFrame:
+    """row, added: the places of the disclosing terms of each document that has any, by start."""
+    told = disclosed(found, text_col, **rule)
+    places = found.where("rest is not null").join(told.select("row").distinct(), "row", "left_semi").select("row", F.explode(term_places(F.col("rest"))).alias("at"))
+    each = places.select("row", "at.*").join(told, ["row", "term"]).groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end", "disclosure"))).alias("added"))
+    return stored(each, "privacy_marks")
+
+
+def with_marks(found: DataFrame, text_col: str, **rule) -> DataFrame:
+    """The scanned rows and ``added``; rows without personal data have nothing to join."""
+    named = found.where("rest is not null").join(marked(found, text_col, **rule), "row", "left")
+    return named.unionByName(found.where("rest is null"), allowMissingColumns=True)
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **rule) -> DataFrame:
     """id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_term: a row per document."""
-    found = scan(docs, id_col, text_col)
-    told = disclosed(docs, found, text_col, **rule)
-    # rows without personal data have nothing to join, and would meet at the null key
-    named = found.where("key is not null").join(told, "key", "left").select("id", "key", "spans", F.when(F.col("told").isNotNull(), occurrences(F.col("rest"), F.col("told"))).alias("added"))
-    joined = named.unionByName(found.where("key is null").select("id", "key", "spans"), allowMissingColumns=True)
+    joined = with_marks(scan(docs.select(id_col, text_col), text_col), text_col, **rule)
 
     def number(kind: str) -> Column:
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -199,52 +291,34 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **rule
     terms = F.coalesce(F.transform("added", lambda a: F.struct(F.lit("term").alias("kind"), a["start"].alias("start"), a["end"].alias("end"))), F.array().cast("array<struct<kind:string,start:int,end:int>>"))
     base = F.transform("spans", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
     return joined.select(
-        F.col("id").alias(id_col), *map(number, KINDS), F.sha2(shown(F.col("spans")), 256).alias("base_sha256"), shown(F.concat(base, terms)).alias("spans"), F.size(terms).cast("long").alias("n_term")
+        F.col(f"doc.`{id_col}`").alias(id_col), *map(number, KINDS), F.sha2(shown(F.col("spans")), 256).alias("base_sha256"), shown(F.concat(base, terms)).alias("spans"), F.size(terms).cast("long").alias("n_term")
     )
 
 
-def _replaced(text: Column, marks: Column) -> Column:
-    """The text with each mark (start, end, put) replaced; a mark that overlaps the one before extends it."""
-    kind = "array<struct<start:int,end:int,put:string>>"
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc, m):
-        free = m["start"] >= acc["at"]
-        kept = F.when(free, F.substring(text, acc["at"] + 1, m["start"] - acc["at"])).otherwise("")
-        out = F.concat(acc["out"], F.array(kept, F.when(free, m["put"]).otherwise("")))
-        return F.struct(F.greatest(acc["at"], m["end"]).alias("at"), out.alias("out"))
-
-    return F.aggregate(F.sort_array(marks).cast(kind), start, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text))))
-
-
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars", remove_at: float = REMOVE_AT, **rule) -> DataFrame:
     """The input rows with base spans replaced by their kind and disclosed terms generalised or removed.
 
-    ``length_col``, where the input has it, is set to the new text's length
-    in the rows whose text changes.
+    Of marks that overlap, the first stands for all. ``length_col``, where the
+    input has it, is set to the new text's length in the rows whose text
+    changes.
     """
-    found = scan(docs, id_col, text_col)
-    told = disclosed(docs, found, text_col, **rule)
-    row, key, more, new = (free_name(docs, x) for x in ("row", "key", "added", "new"))
-    spans = free_name(docs, "spans")
-    text = text_or_empty(text_col)
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(row), text.alias(new), _key(F.col(id_col), text).alias(key)).withColumn(spans, base_spans(F.col(new)))
-    joined = rows.join(told.select(F.col("key").alias(key), F.col("told").alias(more)), key, "left")
-    joined = joined.withColumn(more, F.when(F.col(more).isNotNull(), occurrences(outside(F.col(new), F.col(spans)), F.col(more))))
-    base = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("put")))
-    terms = F.coalesce(
-        F.transform(more, lambda a: F.struct(a["start"].alias("start"), a["end"].alias("end"), F.when(a["disclosure"] >= remove_at, "").otherwise(term_class(F.substring(new, a["start"] + 1, a["end"] - a["start"]))).alias("put"))),
-        F.array().cast("array<struct<start:int,end:int,put:string>>"),
-    )
+    text = F.col(f"doc.`{text_col}`")
+    joined = with_marks(scan(docs, text_col), text_col, **rule)
+    base = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("put")))
+
+    def term(a: Column) -> Column:
+        return F.struct(a["start"].alias("start"), a["end"].alias("end"), F.when(a["disclosure"] >= remove_at, "").alias("put"))
+
+    terms = F.coalesce(F.transform("added", term), F.array().cast("array<struct<start:int,end:int,put:string>>"))
     marks = F.concat(base, terms)
-    touched = F.size(marks) > 0
-    done = joined.withColumn(new, F.when(touched, _replaced(F.col(new), marks)).otherwise(F.col(row)[text_col])).withColumn(more, touched)
+    new = F.when(F.size(marks) > 0, rewritten(text, marks)).otherwise(text)
+    done = joined.withColumn("new", new)
     out = []
     for c in docs.columns:
-        value = F.col(row)[c]
+        value = F.col(f"doc.`{c}`")
         if c == text_col:
-            value = F.col(new)
+            value = F.col("new")
         elif c == length_col:
-            value = F.when(F.col(more), F.length(new).cast(docs.schema[c].dataType)).otherwise(value)
+            value = F.when(F.size("spans") > 0, F.length("new").cast(docs.schema[c].dataType)).otherwise(value)
         out.append(value.alias(c))
     return done.select(*out)
