@@ -7,12 +7,16 @@ needs the fewest phrases, normalised by the length parsed, wins; the score is
 1 - phrases(best) / phrases(second), 0 for a tie and near 1 for a clear case.
 
 Learning reads only text and label of the rows it is given. The sample is
-bounded by documented parameters: ``sample_docs`` documents a language,
-chosen by a seeded hash among all rows, ``sample_chars`` letters in all. One
-small model (two int32 tables) goes to the tasks. Prediction reads every
-whole text once, without a shuffle; texts are parsed in blocks of ``BLOCK``
-letters side by side, so one very long text costs no more steps than a short
-one.
+bounded by documented parameters: ``sample_docs`` distinct texts a language,
+chosen by a seeded hash of the whole text among all rows, ``sample_chars``
+letters in all. Texts that fit their share of the letters are learned whole;
+of longer ones a slice at a seeded place anywhere in the text. One small model
+goes to the tasks. Every letter of the sample has a code of its own: the
+``TABLE_LETTERS`` most frequent ones are columns of a table of transitions,
+the others (large alphabets) are looked up in a sorted list. Prediction reads
+every whole text once, without a shuffle; texts are parsed in blocks of
+``BLOCK`` letters side by side, so one very long text costs no more steps than
+a short one; a block starts a phrase.
 
 Null text, or text without a letter, gets ``und`` and score 0; so does every
 text if no label was learned. Ties go to the first language in code-point
@@ -39,16 +43,15 @@ BLOCK = 512
 #: Code points that a worker parses at a time; its arrays take about 50 bytes for each.
 SLICE_CHARS = 1_000_000
 #: Codes of a text: 0 a letter that no sample has, 1 any run of other characters, 2 and up letters.
-GAP, OWN_LETTERS, SHARED_LETTERS = 1, 96, 30
+GAP, TABLE_LETTERS = 1, 126
 
 
 def letter_codes(samples: list[str]) -> np.ndarray:
-    """Code of every code point: the most frequent letters have their own, the other sampled ones share a few."""
-    table = np.where(textkit.classes() == textkit.LETTER, 0, GAP).astype(np.uint8)
+    """Code of every code point, by the letter's rank in the samples."""
+    table = np.where(textkit.classes() == textkit.LETTER, 0, GAP).astype(np.uint32)
     counts = Counter(c for s in samples for c in s.lower() if c.isalpha())
-    ranked = sorted(counts, key=lambda c: (-counts[c], c))
-    for i, c in enumerate(ranked):
-        table[ord(c)] = 2 + (i if i < OWN_LETTERS else OWN_LETTERS + ord(c) % SHARED_LETTERS)
+    for i, c in enumerate(sorted(counts, key=lambda c: (-counts[c], c))):
+        table[ord(c)] = 2 + i
     return table
 
 
@@ -96,26 +99,42 @@ def automaton(codes: list[int]) -> list[dict[int, int]]:
 
 
 class Model:
-    """Tables of all languages: ``moves[state * width + code]`` with 0 for none, ``roots[language, code]``."""
+    """Tables of all languages: ``moves[state * width + code]`` with 0 for none, ``roots[language, code]``.
+
+    Moves by a code of ``width`` or more are in ``rare_moves``, under the
+    sorted ``rare_keys`` (state and code).
+    """
 
     def __init__(self, samples: dict[str, list[str]], sample_chars: int = SAMPLE_CHARS):
         self.languages = sorted(samples)
         self.codes = letter_codes([s for x in samples.values() for s in x])
-        self.width = int(self.codes.max()) + 1
-        tables, first = [np.zeros((1, self.width), np.int32)], 1
-        self.roots = np.zeros((len(self.languages), self.width), np.int32)
+        letters = int(self.codes.max()) + 1
+        self.width = min(letters, 2 + TABLE_LETTERS)
+        tables, first, rare = [np.zeros((1, self.width), np.int32)], 1, []
+        self.roots = np.zeros((len(self.languages), letters), np.int32)
         for k, language in enumerate(self.languages):
             codes = encode(samples[language], self.codes)[0][:sample_chars]
             states = automaton(codes.tolist())
             moves = np.zeros((len(states), self.width), np.int32)
             for s, to in enumerate(states):
                 for c, t in to.items():
-                    if c:
+                    if c >= self.width:
+                        rare.append(((s + first) << 32 | c, t + first))
+                    elif c:
                         moves[s, c] = t + first
-            self.roots[k] = moves[0]
+            for c, t in states[0].items():
+                if c:
+                    self.roots[k, c] = t + first
             tables.append(moves)
             first += len(states)
         self.moves = np.concatenate(tables).ravel()
+        self.rare_keys, self.rare_moves = (np.array(x, np.int64) for x in zip(*sorted(rare))) if rare else (np.zeros(0, np.int64),) * 2
+
+    def rare(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """Moves by letters that have no column."""
+        key = state.astype(np.int64) << 32 | code.astype(np.int64)[:, None]
+        at = np.minimum(np.searchsorted(self.rare_keys, key), len(self.rare_keys) - 1)
+        return np.where(self.rare_keys[at] == key, self.rare_moves[at], 0)
 
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Phrases of each text under each language, and whether it has a letter."""
@@ -135,7 +154,11 @@ class Model:
         for t in range(int(length.max(initial=0))):
             n = running[t]
             c = codes[start[:n] + t]
-            to = self.moves.take(state[:n].astype(np.int64) * self.width + c[:, None])
+            column = np.minimum(c, self.width - 1) if len(self.rare_keys) else c
+            to = self.moves.take(state[:n].astype(np.int64) * self.width + column[:, None])
+            if len(self.rare_keys):
+                odd = np.flatnonzero(c >= self.width)
+                to[odd] = self.rare(state[odd], c[odd])
             missed = to == 0
             count[:n] += missed
             np.copyto(to, roots.take(c, axis=0), where=missed)
@@ -160,29 +183,43 @@ def held_out(id_col: str = "doc_id", folds: int = 5) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == 0, F.lit(True))
 
 
+def shares(lengths: list[int], budget: int) -> int:
+    """The length up to which all texts can be taken within the budget: the short ones whole, the others cut to it."""
+    left, share = budget, max(lengths, default=0)
+    for done, size in enumerate(sorted(lengths)):
+        share = left // (len(lengths) - done)
+        if size > share:
+            return max(share, 1)
+        left -= size
+    return max(share, *lengths) if lengths else 0
+
+
 def learn(
     labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang",
     sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS, seed: int = 11,
 ) -> Model:
-    """Model from a bounded sample: the driver gets at most 4 * sample_docs starts of DOC_CHARS characters a language."""
-    rows = labelled.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(label_col).alias("l")).where(
-        "l is not null and t is not null"
-    )
+    """Model from a bounded sample: the driver gets at most 4 * sample_docs slices of DOC_CHARS characters a language."""
+    rows = labelled.select(F.col(text_col).alias("t"), F.col(label_col).alias("l")).where("l is not null and t is not null")
     # a row per language
     sizes = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return Model({})
-    draw = F.pmod(F.xxhash64(F.lit(seed), "i", F.substring("t", 1, DOC_CHARS)), F.lit(1 << 31)).alias("u")
+    # the whole text decides whether it is drawn, and where its slice begins
+    hashed = rows.select("l", "t", F.xxhash64(F.lit(seed), "t").alias("h"))
+    place = F.pmod(F.xxhash64(F.lit(seed + 1), "h"), F.greatest(F.length("t") - DOC_CHARS, F.lit(0)) + 1).cast("int")
+    drawn = hashed.select("l", F.pmod("h", F.lit(1 << 31)).alias("u"), F.substring(F.col("t"), place + 1, F.lit(DOC_CHARS)).alias("t"))
     share = {k: int(min(1.0, 3 * sample_docs / n) * (1 << 31)) for k, n in sizes.items()}
     limit = F.create_map(*(F.lit(x) for k, v in share.items() for x in (k, v)))[F.col("l")]
-    sample = rows.select("l", F.substring("t", 1, DOC_CHARS).alias("t"), draw).where(F.col("u") < limit)
-    # repeated rows have the same draw: one of them at most is wanted
-    sample = sample.distinct().orderBy("u").limit(4 * sample_docs * len(sizes))
+    # copies have the same draw and slice: one of them at most is wanted
+    sample = drawn.where(F.col("u") < limit).distinct().orderBy("u").limit(4 * sample_docs * len(sizes))
     texts: dict[str, list[str]] = {}
     for r in sorted(sample.collect(), key=lambda r: (r["u"], r["t"])):
         mine = texts.setdefault(r["l"], [])
-        if len(mine) < sample_docs and sum(map(len, mine)) < 2 * sample_chars:
+        if len(mine) < sample_docs:
             mine.append(r["t"])
+    for k, mine in texts.items():
+        length = shares([len(t) for t in mine], sample_chars)
+        texts[k] = [t[len(t) // 2 - length // 2 :][:length] if len(t) > length else t for t in mine]
     return Model(texts, sample_chars)
 
 

@@ -9,18 +9,27 @@ score slice downward: rows that must be in, and rows that still tie. The
 boundary rows that tie to the last slice are resolved exactly by id. The few
 rows chosen get their integer scores, and a ranking by query merges blocks.
 
-Query blocks meet row blocks by an equi-join on the pair of block numbers: a
-stated query set against all rows, in blocks. What a task holds is bounded by
-the block sizes. Negative digits need no sign slices: attributes are shifted
-to start at 0, and a negative weight uses complemented slices; the constants
-this adds are the same for all rows of a block, so no order changes.
-
-Vectors that are null, or hold a null or non-finite component, and rows
-without an id take no part. Scaled components beyond +-2**27 are clamped, as
-scores are 64-bit. Vectors of another dimension than the query's are no
-candidates. A candidate row with the query's id is the query's own. An id
-that several rows share queries once, with the smallest vector; each of its
-rows is a candidate. An empty table gives an empty result.
+Weights are written in signed digits (non-adjacent form), a third of which
+are set on average; a digit of -1 uses complemented slices. Attributes are
+shifted to start at 0. The constants this adds are the same for all rows of a
+block, so no order changes.
+
+Rows are dealt evenly into groups of at most ``GROUP`` rows, queries into as
+many groups as it takes to have ``UNITS`` units of work a core. A unit reads
+the blocks of one row group, builds their slices once, and then lets the query
+blocks of its query group pass: a stated query set against all rows, in
+blocks. Rows are sent once where there are as many row groups as units (large
+tables); queries are sent once to each row group. What a task holds is bounded
+by group and block sizes; nothing grows on the driver.
+
+Scores are exact integers of any size in a task; a row of the result whose
+score needs more than 64 bits, and a component of 2**63 or more after scaling,
+are errors. Vectors that are null, or hold a null or non-finite component, and
+rows without an id take no part. Vectors of another dimension than the query's
+are no candidates. A candidate row with the query's id is the query's own. An
+id that several rows share queries once, with the smallest vector; each of its
+rows is a candidate. Other columns are ignored. An empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -34,10 +43,9 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.common import stored
 from ledgerlens.session import ship_package
 
-ROWS, QUERIES = 8192, 1024
-#: Most blocks whose numbers (three integers each) are broadcast; more are joined by shuffle.
-BROADCAST_BLOCKS = 200_000
-LIMIT = 1 << 27
+#: Rows and queries in a block, rows in a group, units of work a core.
+ROWS, QUERIES, GROUP, UNITS = 8192, 256, 1 << 17, 4
+WORD = (1 << 64) - 1
 
 
 class BitSlices:
@@ -46,16 +54,19 @@ class BitSlices:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
         n, dims = vectors.shape
-        self.low = int(vectors.min()) if vectors.size else 0
-        shifted = (vectors - self.low).T
+        low = vectors.min() if vectors.size else np.int64(0)
+        # differences of 64-bit integers fit 64 bits without a sign
+        shifted = (vectors.astype(np.uint64) - np.uint64(int(low) & WORD)).T
         self.bits = max(1, int(shifted.max()).bit_length() if shifted.size else 1)
-        width = -(-n // 64) * 64
-        digits = np.zeros((dims, self.bits, width), bool)
+        self.largest = int(np.abs(vectors).max()) if vectors.size else 0
+        words = -(-n // 64)
+        plain = np.zeros((dims, self.bits, words), np.uint64)
+        flags = np.zeros((dims, words * 64), bool)
         for j in range(self.bits):
-            digits[:, j, :n] = (shifted >> j) & 1
-        plain = np.packbits(digits, axis=2, bitorder="little").view(np.uint64)
-        # plain slices, then their complements for negative weights
-        self.slices = np.concatenate([plain, ~plain]).reshape(2 * dims * self.bits, width // 64)
+            flags[:, :n] = (shifted >> np.uint64(j)) & np.uint64(1)
+            plain[:, j] = np.packbits(flags, axis=1, bitorder="little").view(np.uint64)
+        # plain slices, then their complements for digits of -1
+        self.slices = np.concatenate([plain, ~plain]).reshape(2 * dims * self.bits, words)
         self.dims = dims
         self.rows = self.bitmap(np.ones(n, bool))
 
@@ -70,11 +81,14 @@ class BitSlices:
 
     def scores(self, weights: np.ndarray) -> list[np.ndarray]:
         """Slices of the score, least significant first."""
-        size = np.abs(weights)
-        base = (np.arange(self.dims) + (weights < 0) * self.dims) * self.bits
+        size, down = np.abs(weights).astype(np.uint64), weights < 0
+        half = size >> np.uint64(1)
+        more, odd = size + half, half ^ (size + half)
+        digits = ((more & odd, down), (half & odd, ~down))
+        at = np.arange(self.dims) * self.bits
         columns: list[list[np.ndarray]] = []
-        for a in range(int(size.max(initial=0)).bit_length()):
-            used = base[(size >> a) & 1 == 1]
+        for a in range(int(max((int(d.max(initial=0)) for d, _ in digits))).bit_length()):
+            used = np.concatenate([(at + negative * self.dims * self.bits)[(d >> np.uint64(a)) & np.uint64(1) == 1] for d, negative in digits])
             for j in range(self.bits if len(used) else 0):
                 while len(columns) <= a + j:
                     columns.append([])
@@ -100,8 +114,14 @@ class BitSlices:
             p += 1
         return out
 
-    def top(self, own: int, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best rows, best first, ties to the smaller id; not the query's own."""
+    def exact(self, at: np.ndarray, weights: np.ndarray) -> list[int]:
+        """Scores of some rows."""
+        if self.dims * self.largest * int(np.abs(weights).max(initial=0)) < 1 << 63:
+            return (self.vectors[at] @ weights).tolist()
+        return [sum(map(int.__mul__, v, weights.tolist())) for v in self.vectors[at].tolist()]
+
+    def top(self, own: int, weights: np.ndarray, k: int) -> list[tuple[int, int]]:
+        """(-score, id) of the k best rows, best first, ties to the smaller id; not the query's own."""
         tied = self.rows & ~self.bitmap(self.ids == own)
         chosen = np.zeros_like(tied)
         for digit in reversed(self.scores(weights)):
@@ -117,50 +137,55 @@ class BitSlices:
         sure, rest = self.places(chosen), self.places(tied)
         rest = rest[np.argsort(self.ids[rest], kind="stable")[: max(0, k - len(sure))]]
         at = np.concatenate([sure, rest])
-        score = self.vectors[at] @ weights
-        order = np.lexsort((self.ids[at], -score))
-        return self.ids[at][order], score[order]
+        return sorted((-s, int(i)) for s, i in zip(self.exact(at, weights), self.ids[at], strict=True))
 
 
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
     """id, v (integers): the rows that take part."""
     x = F.transform(F.col(vector_col), lambda x: x.cast("double"))
     fine = F.forall("x", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return (
-        vectors.select(F.col(id_col).cast("long").alias("id"), x.alias("x"))
-        .where(F.col("id").isNotNull() & F.col("x").isNotNull() & fine)
-        .select("id", F.transform("x", lambda x: F.floor(F.least(F.greatest(x * scale, F.lit(-float(LIMIT))), F.lit(float(LIMIT)))).cast("int")).alias("v"))
-    )
+    scaled = F.transform("x", lambda x: x * scale)
+    small = F.transform("y", lambda y: F.when(F.abs(y) < float(1 << 63), F.floor(y)).otherwise(F.raise_error(F.lit("a scaled component needs more than 64 bits")).cast("long")))
+    taking_part = vectors.select(F.col(id_col).cast("long").alias("id"), x.alias("x")).where(F.col("id").isNotNull() & F.col("x").isNotNull() & fine)
+    return taking_part.select("id", scaled.alias("y")).select("id", small.alias("v"))
 
 
 def blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
-    """Rows packed into blocks of one dimension: part, nth (its number), dims, ids, data."""
+    """Rows packed into blocks of one dimension: part (the task that packed it), dims, ids, data."""
     ship_package(rows.sparkSession)
 
     def run(batches):
-        part, nth = TaskContext.get().partitionId(), 0
+        part = TaskContext.get().partitionId()
         waiting: dict[int, list[tuple[int, np.ndarray]]] = {}
 
         def block(dims):
             rows = waiting.pop(dims)
             ids = np.array([i for i, _ in rows], np.int64)
-            data = np.stack([v for _, v in rows]) if dims else np.zeros((len(rows), 0), np.int32)
-            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([nth], pa.int32()), pa.array([dims], pa.int32()), pa.array([ids.tobytes()], pa.binary()), pa.array([data.tobytes()], pa.binary())], names=["part", "nth", "dims", "ids", "data"])
+            data = np.stack([v for _, v in rows]) if dims else np.zeros((len(rows), 0), np.int64)
+            largest = int(np.abs(data).max()) if data.size else 0
+            # as narrow as the block allows; the width tells which
+            data = data.astype(next(t for t in (np.int8, np.int16, np.int32, np.int64) if largest <= np.iinfo(t).max))
+            columns = [pa.array([part], pa.int32()), pa.array([dims], pa.int32()), pa.array([ids.tobytes()], pa.binary()), pa.array([data.tobytes()], pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, names=["part", "dims", "ids", "data"])
 
         for batch in batches:
             flat = batch.column(1).values.to_numpy(zero_copy_only=False)
             edge = batch.column(1).offsets.to_numpy()
             for i, id_ in enumerate(batch.column(0).to_pylist()):
-                v = flat[edge[i] : edge[i + 1]].astype(np.int32)
+                v = flat[edge[i] : edge[i + 1]].astype(np.int64)
                 waiting.setdefault(len(v), []).append((id_, v))
                 if len(waiting[len(v)]) >= size:
                     yield block(len(v))
-                    nth += 1
         for dims in list(waiting):
             yield block(dims)
-            nth += 1
 
-    return stored(rows.mapInArrow(run, "part int, nth int, dims int, ids binary, data binary"), name)
+    return stored(rows.mapInArrow(run, "part int, dims int, ids binary, data binary"), name)
+
+
+def unpacked(dims: int, ids: bytes, data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    ids = np.frombuffer(ids, np.int64)
+    width = len(data) // (len(ids) * dims) if dims else 8
+    return ids, np.frombuffer(data, f"i{width}").reshape(len(ids), dims).astype(np.int64)
 
 
 def top_k(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20, every: int = 20, scale: int = 64) -> DataFrame:
@@ -168,37 +193,33 @@ def top_k(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     spark = vectors.sparkSession
     rows = stored(quantised(vectors, id_col, vector_col, scale), "top_rows")
     queries = rows.where(F.col("id") % every == 0).groupBy("id").agg(F.min("v").alias("v"))
-    n = rows.count()
-    against = blocks(rows.repartition(max(1, -(-n // ROWS))), ROWS, "top_blocks")
-    asking = blocks(queries.repartition(max(1, -(-n // (every * QUERIES)))), QUERIES, "top_queries")
-
-    def numbered(df, name):
-        # a row of three integers per block
-        keys = sorted((r["dims"], r["part"], r["nth"]) for r in df.select("dims", "part", "nth").collect())
-        table = spark.createDataFrame([(*key, i) for i, key in enumerate(keys)], f"dims int, part int, nth int, {name} int")
-        table = F.broadcast(table) if len(keys) <= BROADCAST_BLOCKS else table
-        return df.join(table, ["dims", "part", "nth"]).drop("part", "nth"), len(keys)
-
-    against, n_against = numbered(against, "r")
-    asking, n_asking = numbered(asking, "q")
     names = [f"query_{id_col}" if id_col == "query_id" else "query_id", id_col, "score"]
-    if not n_asking:
-        return spark.createDataFrame([], f"{names[0]} long, rank int, {id_col} long, score long")
-    pairs = against.withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(n_asking - 1)))).join(
-        asking.withColumnsRenamed({"ids": "q_ids", "data": "q_data"}).withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(n_against - 1)))), ["r", "q", "dims"]
-    )
+    groups = max(1, -(-rows.count() // GROUP))
+    # few row groups are shared by several query groups, so that there is work for all cores
+    asked = max(1, -(-UNITS * spark.sparkContext.defaultParallelism // groups))
+    against = blocks(rows.repartition(groups), ROWS, "top_blocks").select(F.pmod("part", F.lit(groups)).alias("r"), F.explode(F.sequence(F.lit(0), F.lit(asked - 1))).alias("q"), F.lit(0).alias("kind"), "dims", "ids", "data")
+    asking = blocks(queries.repartition(asked), QUERIES, "top_queries").select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("r"), F.pmod("part", F.lit(asked)).alias("q"), F.lit(1).alias("kind"), "dims", "ids", "data")
+    # in a unit the rows' blocks come first
+    units = against.union(asking).repartition(groups * asked, "r", "q").sortWithinPartitions("r", "q", "kind")
 
     def run(batches):
+        unit, indexes = None, {}
         for batch in batches:
-            for dims, ids, data, q_ids, q_data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ids, q_ids = np.frombuffer(ids, np.int64), np.frombuffer(q_ids, np.int64)
-                index = BitSlices(ids, np.frombuffer(data, np.int32).reshape(len(ids), dims).astype(np.int64))
-                weights = np.frombuffer(q_data, np.int32).reshape(len(q_ids), dims).astype(np.int64)
-                found = [index.top(int(q), w, k) for q, w in zip(q_ids, weights, strict=True)]
-                asked = np.repeat(q_ids, [len(i) for i, _ in found])
-                yield pa.RecordBatch.from_arrays([pa.array(asked), pa.array(np.concatenate([i for i, _ in found])), pa.array(np.concatenate([s for _, s in found]))], names=["query", "id", "score"])
-
-    best = pairs.select("dims", "ids", "data", "q_ids", "q_data").mapInArrow(run, "query long, id long, score long")
+            for r, q, kind, dims, ids, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (r, q) != unit:
+                    unit, indexes = (r, q), {}
+                if kind == 0:
+                    indexes.setdefault(dims, []).append(BitSlices(*unpacked(dims, ids, data)))
+                    continue
+                out = []
+                for own, weights in zip(*unpacked(dims, ids, data), strict=True):
+                    found = sorted(pair for index in indexes.get(dims, []) for pair in index.top(int(own), weights, k))
+                    out += [(int(own), i, -s) for s, i in found[:k]]
+                if any(not -(1 << 63) <= s < 1 << 63 for _, _, s in out):
+                    raise OverflowError("a score needs more than 64 bits")
+                yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], pa.int64()) for c in range(3)], names=["query", "id", "score"])
+
+    best = units.mapInArrow(run, "query long, id long, score long")
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select(F.col("query").alias(names[0]), "rank", F.col("id").alias(id_col), "score")
 
