@@ -29,6 +29,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,7 +42,7 @@ UNKNOWN = "und"
 SAMPLE_DOCS, SAMPLE_CHARS, DOC_CHARS = 200, 40_000, 2_000
 BLOCK = 512
 #: Code points that a worker parses at a time; its arrays take about 50 bytes for each.
-SLICE_CHARS = 1_000_000
+SLICE_CHARS = 400_000
 #: Codes of a text: 0 a letter that no sample has, 1 any run of other characters, 2 and up letters.
 GAP, TABLE_LETTERS = 1, 126
 
@@ -235,9 +236,11 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", pred_col: st
     def run(batches):
         m = shared.value
         for batch in batches:
-            texts, names, scores = strings(batch.column(at)), [], []
-            for a, b in textkit.slices(texts, SLICE_CHARS):
-                n, s = m.predict(texts[a:b])
+            column, names, scores = batch.column(at), [], []
+            # only the texts of a slice become Python strings
+            sizes = [range(n or 0) for n in pc.utf8_length(column).to_pylist()]
+            for a, b in textkit.slices(sizes, SLICE_CHARS):
+                n, s = m.predict(strings(column.slice(a, b - a)))
                 names += n
                 scores.append(s)
             score = np.concatenate(scores) if scores else np.zeros(0)
