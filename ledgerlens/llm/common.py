@@ -23,6 +23,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Most bytes of rows in one Arrow batch of operators that read whole texts (a longer row is a batch of its own).
+ARROW_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the session's bound on Arrow batches: JVM and Python worker each hold copies of a batch."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = int(spark.conf.get(key).removesuffix("b"))
+    if now <= 0 or now > ARROW_BYTES:
+        spark.conf.set(key, str(ARROW_BYTES))
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

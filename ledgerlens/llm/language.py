@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.llm import textkit
-from ledgerlens.llm.common import free_name, strings
+from ledgerlens.llm.common import bounded_batches, free_name, strings
 from ledgerlens.session import ship_package
 
 UNKNOWN = "und"
@@ -228,6 +228,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", pred_col: st
     """The input columns and the prediction (names that clash get a leading underscore)."""
     spark = docs.sparkSession
     ship_package(spark)
+    bounded_batches(spark)
     shared = spark.sparkContext.broadcast(model)  # bounded by the sample
     pred_col, score_col = free_name(docs, pred_col), free_name(docs, score_col)
     schema = T.StructType([*docs.schema, T.StructField(pred_col, T.StringType()), T.StructField(score_col, T.DoubleType())])

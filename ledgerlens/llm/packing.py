@@ -33,13 +33,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.llm import textkit
-from ledgerlens.llm.common import stored, strings
+from ledgerlens.llm.common import bounded_batches, stored, strings
 from ledgerlens.session import ship_package
 
 CAPACITY = 2048
@@ -130,6 +131,7 @@ def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
 def pieces(docs: DataFrame, json_path: str, rank_path: str, id_col: str, text_col: str, capacity: int, end_id: int) -> DataFrame:
     """A row per piece, with its partition and its place among that partition's pieces of its length."""
     ship_package(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     names = [id_col, "piece", "start", "length", "ids_crc32", "part", "nth"]
 
     def run(batches):
@@ -137,9 +139,11 @@ def pieces(docs: DataFrame, json_path: str, rank_path: str, id_col: str, text_co
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            texts, rows = strings(batch.column(1)), []
-            for a, b in textkit.slices(texts):
-                for i, ids in enumerate(encode.texts(texts[a:b]), a):
+            column, rows = batch.column(1), []
+            # only the texts of a slice become Python strings
+            sizes = [range(n or 0) for n in pc.utf8_length(column).to_pylist()]
+            for a, b in textkit.slices(sizes):
+                for i, ids in enumerate(encode.texts(strings(column.slice(a, b - a))), a):
                     ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                     for k, (s, e) in enumerate(cuts(len(ids), capacity)):
                         rows.append((i, k, s, e - s, zlib.crc32(ids[s:e].tobytes()), part, seen[e - s]))
