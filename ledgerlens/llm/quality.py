@@ -70,9 +70,10 @@ def log_ratio(docs: DataFrame, target_ids: DataFrame, id_col: str, text_col: str
     return np.log(totals[1] / totals[1].sum()) - np.log(totals[0] / totals[0].sum())
 
 
-def sortable(x: Column) -> Column:
-    """A double as a long of the same order: millionths, as keys of that size need no more."""
-    return F.round(x * 1_000_000).cast("long")
+def sortable(x: np.ndarray) -> np.ndarray:
+    """Longs of the same order as doubles: their bits, turned below the sign for negative ones."""
+    bits = (x + 0.0).view(np.int64)  # -0.0 becomes 0.0
+    return bits ^ ((bits >> np.int64(63)) & np.int64(2**63 - 1))
 
 
 def kth_largest(rows: DataFrame, key: str, k: int) -> int | None:
@@ -117,13 +118,13 @@ def resample(
             for a, b in textkit.slices(texts):
                 grams, row = ngram_buckets(texts[a:b], buckets)
                 out[a:b] = np.bincount(row, ratio[grams], b - a)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out)], names=["id", "u", "log_weight"])
+            key = out - np.log(-np.log(batch.column(1).to_numpy()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out), pa.array(key), pa.array(sortable(key))], names=["id", "log_weight", "key", "sorted"])
 
     unit = (F.pmod(F.xxhash64(F.lit(seed), id_col, text_col), F.lit(1 << 40)) + 0.5) / float(1 << 40)
     rows = docs.select(F.col(id_col).alias("id"), unit.alias("u"), F.col(text_col).alias("t"))
     id_type = docs.schema[id_col].dataType.simpleString()
-    weighed = rows.mapInArrow(weigh, f"id {id_type}, u double, log_weight double")
-    scored = stored(weighed.withColumn("key", F.col("log_weight") - F.log(-F.log("u"))).withColumn("sorted", sortable(F.col("key"))).drop("u"), "quality_scores")
+    scored = stored(rows.mapInArrow(weigh, f"id {id_type}, log_weight double, key double, sorted long"), "quality_scores")
     k = round(share * scored.count())
     least = kth_largest(scored, "sorted", k) if k else None
     chosen = F.lit(k > 0) if least is None else F.col("sorted") >= least
