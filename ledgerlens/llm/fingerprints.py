@@ -5,13 +5,14 @@ moduli. Any span's hash is a difference of two prefix entries, so equality of
 any two spans is one comparison, and the longest common extension of two
 positions is a binary search over it. The fingerprint is the length and the
 whole text's hash under both moduli; the likeness of two fingerprinted texts
-is the share of the longer one that their longest common extension forwards
-from the starts and backwards from the ends cover (1 for equal texts). The
-shared part goes on after the first edit: what lies between these two
-extensions is realigned on hashes of spans of ``SPAN`` code points, the k-th
-occurrence of a span in one text with its k-th in the other; the heaviest
-chain of aligned runs that keeps the order of both texts counts, each run
-extended as far as the texts are equal. Equal text shorter than ``SPAN``
+is the share of the longer one that both have in the same order (1 for equal
+texts). It begins with the longest common extensions forwards from the starts
+and backwards from the ends (alone: ``ends_edited``, ``ends_next``) and goes
+on after the first edit: what lies between these two extensions is realigned
+on hashes of spans of ``SPAN`` code points, the k-th occurrence of a span in
+one text with its k-th in the other; the heaviest chain of aligned runs that
+keeps the order of both texts counts, each run extended as far as the texts
+are equal. Equal text shorter than ``SPAN``
 between two edits, moved text and, in periodic text, up to a span an edit
 count as different.
 
@@ -225,7 +226,7 @@ def edited(text: str, following: str) -> tuple[str, int, int]:
 
 
 def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranges: int | None = None) -> DataFrame:
-    """id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, shared_edited, shared_next, a row per input row.
+    """id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, ends_edited, ends_next, a row per input row.
 
     ``ranges`` (four a shuffle partition by default) is also the number of
     keys that the driver gets and that go to the tasks.
@@ -261,7 +262,7 @@ def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: st
             chosen = batch.take(pa.array(take, pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(halo, pa.bool_()), *chosen.columns], names=dealt.names)
 
-    names = [id_col, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "shared_edited", "shared_next"]
+    names = [id_col, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "ends_edited", "ends_next"]
     kinds = [id_type, T.LongType(), T.StringType(), T.StringType(), T.StringType(), *[T.DoubleType()] * 4]
 
     def compare(batches):
@@ -277,8 +278,8 @@ def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: st
                     _, i, before, own = last
                     new, kept, taken = edited(before, text)
                     other = own.joined(kept, prefix, taken)
-                    (near, shared), (near_next, shared_next) = own.alike(other), own.alike(prefix)
-                    values = (i, own.n, hashlib.sha256(new.encode()).hexdigest(), own.fingerprint(), other.fingerprint(), near, near_next, shared, shared_next)
+                    (ends, near), (ends_next, near_next) = own.alike(other), own.alike(prefix)
+                    values = (i, own.n, hashlib.sha256(new.encode()).hexdigest(), own.fingerprint(), other.fingerprint(), near, near_next, ends, ends_next)
                     for column, v in zip(out, values, strict=True):
                         column.append(v)
                 last = None if halo[n] else (at[n], ids[n], text, prefix)

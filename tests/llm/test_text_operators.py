@@ -128,7 +128,7 @@ def test_fingerprints_against_brute_force(spark):
         half = len(t) // 2
         new = t[: len(t) - half] + after[:half]
         want[i, len(t), hashlib.sha256(new.encode()).hexdigest(), round(likeness(t, new), 9), round(likeness(t, after), 9)] += 1
-    assert Counter((r["doc_id"], r["n_chars"], r["edited_sha256"], round(r["near_edited"], 9), round(r["near_next"], 9)) for r in got) == want
+    assert Counter((r["doc_id"], r["n_chars"], r["edited_sha256"], round(r["ends_edited"], 9), round(r["ends_next"], 9)) for r in got) == want
     by_text = defaultdict(set)
     texts = defaultdict(set)
     for i, t, *_ in rows:
@@ -159,12 +159,12 @@ def test_shared_part_goes_on_after_an_edit(spark):
         # in a periodic text less than a span an edit may be lost
         for whole, lost in ((text, 0), ("word " * 2_000, fingerprints.SPAN)):
             new, stay = edit(whole, places)
-            near, shared = prefix(whole).alike(prefix(new))
+            ends, near = prefix(whole).alike(prefix(new))
             # letters beside an edit may be equal by chance
-            assert near <= shared <= 1 and stay - lost * len(places) - 0.5 <= shared * max(len(whole), len(new)) <= stay + 5 * len(places), places
+            assert ends <= near <= 1 and stay - lost * len(places) - 0.5 <= near * max(len(whole), len(new)) <= stay + 5 * len(places), places
     ends = "#" + text[1:-1] + "#"
     got = {r["doc_id"]: r for r in fingerprints.neighbour_fingerprints(frame(spark, [(1, text, None, None), (2, ends, None, None), (3, "x" * 500, None, None)])).collect()}
-    assert got[1]["near_next"] == 0 and got[1]["shared_next"] == 0.9998 and got[2]["shared_next"] == 0
+    assert got[1]["ends_next"] == 0 and got[1]["near_next"] == 0.9998 and got[2]["near_next"] == 0
     # moved text keeps its longer part
     assert prefix(text).alike(prefix("#" + text[6_000:] + text[:6_000]))[1] == pytest.approx(0.6, abs=0.01)
 
@@ -218,3 +218,30 @@ def test_language_of_odd_documents(spark):
     docs = frame(spark, odd_rows())
     kept = language.keep_identified(docs, language.learn(docs))
     assert kept.columns == docs.columns and kept.count() == len(odd_rows()) - 3
+
+
+def common_subsequence(a, b):
+    """Length of the longest common subsequence, a column of the table as bits of an integer."""
+    places, ones = defaultdict(int), (1 << len(a)) - 1
+    for k, c in enumerate(a):
+        places[c] |= 1 << k
+    row = ones
+    for c in b:
+        hit = row & places[c]
+        row = ((row + hit) | (row - hit)) & ones
+    return len(a) - row.bit_count()
+
+
+def test_likeness_of_all_supplied_documents_lies_between_ends_and_common_subsequence(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    order = sorted(texts)
+    got = {r["doc_id"]: r for r in fingerprints.neighbour_fingerprints(docs).collect()}
+    assert sorted(got) == order
+    for i, after in zip(order, order[1:] + order[:1]):
+        t, other = texts[i], texts[after]
+        half = len(t) // 2
+        for near, ends, new in (("near_edited", "ends_edited", t[: len(t) - half] + other[:half]), ("near_next", "ends_next", other)):
+            longer = max(len(t), len(new))
+            assert got[i][ends] == pytest.approx(likeness(t, new))
+            assert got[i][ends] <= got[i][near] <= common_subsequence(t, new) / longer + 1e-12 if longer else got[i][near] == 1
