@@ -13,10 +13,13 @@
    blocks; so a bucket of one group stays linear, and no pair that shares a
    bucket is passed over.
 3. *Verification*: the candidate groups that these pairs connect are checked
-   on full n-gram sets, every pair of texts of a group: a group is cut into
-   blocks of about ``BLOCK`` texts and each pair of blocks is one unit of
-   work. A unit returns the number of links of each text and a spanning
-   forest of the links, never the pairs.
+   on full n-gram sets, every pair of texts of a group. The set of each text
+   is made once and stored as its difference from one set of the group, where
+   that is smaller. A group is cut into blocks of about ``BLOCK`` texts and
+   ``BLOCK_BYTES`` of differences, and each pair of blocks is one unit of
+   work: it gets differences, not texts, and has the sizes of all
+   intersections from their products. A unit returns the number of links of
+   each text and a spanning forest of the links, never the pairs.
 4. *Classes*: connected components of the verified links.
 
 Words are runs of letters and numbers, lower-cased. A text of one to four
@@ -33,17 +36,19 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import textkit
-from ledgerlens.llm.common import free_name, stored, strings, text_or_empty
+from ledgerlens.llm.common import bounded_batches, free_name, stored, strings, text_or_empty
 from ledgerlens.llm.components import connected
 from ledgerlens.session import ship_package
 
 N, THRESHOLD, RECALL, MAX_HASHES = 5, 0.8, 0.9999, 192
 SIGMAS = 5
-BLOCK = 200
+#: Texts of a block, and bytes of their differences.
+BLOCK, BLOCK_BYTES = 500, 8 << 20
 #: Members of a crowded bucket in a block.
 CROWD = 1000
 #: Columns of the shingle matrix that a unit holds at a time.
@@ -113,7 +118,8 @@ def candidates(signed: DataFrame, hashes: int, threshold: float) -> DataFrame:
     banded = signed.select("node", F.explode("bands").alias("band"))
     buckets = banded.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
     met = stored(banded.join(buckets, "band").select("band", "node", "low", "high").distinct(), "ngram_met")
-    marks = signed.where(F.size("bands") > 0).groupBy("node").agg(F.first("bytes").alias("bytes"))
+    # a table, so that the join of a leader's many pairs with its signature can be split
+    marks = stored(signed.where(F.size("bands") > 0).groupBy("node").agg(F.first("bytes").alias("bytes")), "ngram_marks")
     led = near_leaders(met, marks, hashes, threshold)
     groups = connected(led)
     more = near_others(met, marks, groups, hashes, threshold)
@@ -197,22 +203,42 @@ def near_others(met: DataFrame, marks: DataFrame, groups: DataFrame, hashes: int
     return stored(sorted_units.mapInArrow(run, "a long, b long").distinct(), "ngram_others")
 
 
-def links_within(sets: list[np.ndarray], threshold: float) -> np.ndarray:
-    """Which pairs of sets reach the threshold, from products of blocks of the set-by-shingle matrix."""
-    size = np.array([len(s) for s in sets], np.float64)
-    _, which, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    row = np.repeat(np.arange(len(sets)), size.astype(np.int64))
+def difference(own: np.ndarray, base: np.ndarray) -> tuple[bool, int, np.ndarray, np.ndarray]:
+    """Whether a sorted set is stored by its difference from ``base``, base's product with what is stored, and this: what the set has more and less."""
+    common = np.intersect1d(own, base, assume_unique=True)
+    if len(own) + len(base) - 2 * len(common) < len(own):
+        less = np.setdiff1d(base, common, assume_unique=True)
+        return True, -len(less), np.setdiff1d(own, common, assume_unique=True), less
+    return False, len(common), own, base[:0]
+
+
+def shared_within(like: np.ndarray, dot: np.ndarray, base: int, more: list[np.ndarray], less: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the pairwise intersections of sets stored by ``difference``, from products of blocks of the matrix of differences.
+
+    A set is like * base + d, d having 1 for what it has more and -1 for what
+    it has less, so the product of two sets is like * like' * |base| + like *
+    dot' + dot * like' + d * d'. The diagonal is not filled in.
+    """
+    like = like.astype(np.float64)
+    common = base * np.outer(like, like) + np.outer(like, dot) + np.outer(dot, like)
+    row = np.concatenate([np.repeat(np.arange(len(x)), [len(s) for s in x]) for x in (more, less)])
+    value = np.repeat(np.array([1, -1], np.float32), [sum(map(len, more)), sum(map(len, less))])
+    _, which, times = np.unique(np.concatenate([*more, *less]), return_inverse=True, return_counts=True)
     shared = times[which] > 1
-    row, which = row[shared], which[shared]
+    row, which, value = row[shared], which[shared], value[shared]
     columns, which = np.unique(which, return_inverse=True)
     order = np.argsort(which, kind="stable")
-    row, which = row[order], which[order]
-    common = np.zeros((len(sets), len(sets)))
+    row, which, value = row[order], which[order], value[order]
     for first in range(0, len(columns), COLUMNS):
         a, b = np.searchsorted(which, (first, first + COLUMNS))
-        part = np.zeros((len(sets), COLUMNS), np.float32)
-        part[row[a:b], which[a:b] - first] = 1
+        part = np.zeros((len(like), min(COLUMNS, len(columns) - first)), np.float32)
+        part[row[a:b], which[a:b] - first] = value[a:b]
         common += part @ part.T
+    return common
+
+
+def reaching(size: np.ndarray, common: np.ndarray, threshold: float) -> np.ndarray:
+    """Which pairs of sets reach the threshold."""
     # compared as whole numbers times the threshold, so that exact ties count
     return common >= threshold * (size[:, None] + size[None, :] - common) - 1e-9
 
@@ -230,22 +256,57 @@ def forest(linked: np.ndarray) -> np.ndarray:
     return root
 
 
-def verified(docs: DataFrame, signed: DataFrame, groups: DataFrame, id_col: str, text_col: str, n: int, threshold: float) -> DataFrame:
-    """a, b, links: per text and unit of work, a link of the spanning forest and the number of its links."""
+def packed_sets(column: pa.Array) -> list[np.ndarray]:
+    """A column of packed shingle hashes."""
+    return [np.frombuffer(x, np.uint64) for x in column.to_pylist()]
+
+
+def differences(docs: DataFrame, signed: DataFrame, groups: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
+    """label, key, size, base, like, dot, more, less: the n-gram set of each text of a candidate group, once, by its difference from one set of the group."""
     texts = signed.where(F.size("bands") > 0).groupBy("key", "node").agg(F.min("digest").alias("digest"))
-    member = texts.join(groups, "node")
-    size = member.groupBy("label").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    member = stored(member.join(size.where("blocks > 0"), "label").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")), "ngram_members")
+    member = stored(texts.join(groups, "node").select("label", "key", "digest"), "ngram_members")
     whole = docs.select(F.md5(text_or_empty(text_col).cast("binary")).alias("digest"), text_or_empty(text_col).alias("t")).join(member, "digest")
-    once = whole.groupBy("key").agg(F.first("t").alias("t"), F.first("label").alias("label"), F.first("block").alias("block"), F.first("blocks").alias("blocks"))
-    units = once.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "label", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "key", "t"
+    once = whole.groupBy("key").agg(F.first("label").alias("label"), F.first("t").alias("t"))
+
+    def shingled(batches):
+        for batch in batches:
+            column = batch.column(2)
+            for a, b in textkit.slices([range(x) for x in pc.utf8_length(column).to_pylist()]):
+                own = [s.tobytes() for s in textkit.shingle_sets(strings(column.slice(a, b - a)), n)]
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(a, b - a), batch.column(0).slice(a, b - a), pa.array(own, pa.binary())], names=["label", "key", "own"])
+
+    sets = stored(once.mapInArrow(shingled, "label long, key binary, own binary"), "ngram_grams")
+    heads = sets.groupBy("label").agg(F.min("key").alias("key"))
+    # both sides are tables, so that a large group's join can be split
+    bases = stored(sets.join(heads, ["label", "key"], "left_semi").select("label", F.col("own").alias("base")), "ngram_bases")
+
+    def compared(batches):
+        for batch in batches:
+            own, base = packed_sets(batch.column(2)), packed_sets(batch.column(3))
+            like, dot, more, less = zip(*map(difference, own, base), strict=True) if own else ((),) * 4
+            columns = [pa.array(x, pa.int32()) for x in (map(len, own), map(len, base))] + [pa.array(like, pa.bool_()), pa.array(dot, pa.int32())]
+            columns += [pa.array([s.tobytes() for s in x], pa.binary()) for x in (more, less)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["label", "key", "size", "base", "like", "dot", "more", "less"])
+
+    both = sets.join(bases, "label").select("label", "key", "own", "base")
+    return stored(both.mapInArrow(compared, "label long, key binary, size int, base int, like boolean, dot int, more binary, less binary"), "ngram_differences")
+
+
+def verified(docs: DataFrame, signed: DataFrame, groups: DataFrame, id_col: str, text_col: str, n: int, threshold: float) -> DataFrame:
+    """a, b, links: per text and unit of work, a link of the spanning forest and the number of its links."""
+    member = differences(docs, signed, groups, id_col, text_col, n)
+    weight = F.length("more") + F.length("less")
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(weight) / BLOCK_BYTES)).cast("int")
+    size = member.groupBy("label").agg(blocks.alias("blocks"))
+    member = member.join(size, "label").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    units = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "label", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "key", "size", "base", "like", "dot", "more", "less"
     )
 
     def check(unit: pa.Table) -> pa.Table:
-        texts = strings(unit.column("t"))
-        sets = [s for a, b in textkit.slices(texts) for s in textkit.shingle_sets(texts[a:b], n)]
-        linked = links_within(sets, threshold)
+        like, dot, own = (unit.column(c).to_numpy() for c in ("like", "dot", "size"))
+        common = shared_within(like, dot.astype(np.float64), unit.column("base")[0].as_py(), packed_sets(unit.column("more")), packed_sets(unit.column("less")))
+        linked = reaching(own.astype(np.float64), common, threshold)
         np.fill_diagonal(linked, False)
         if unit.column("i")[0] != unit.column("j")[0]:
             block = unit.column("block").to_numpy()
@@ -265,6 +326,7 @@ def join(
     ``class_digest`` is the text digest of one text of the class: the one of
     the row with the smallest id.
     """
+    bounded_batches(docs.sparkSession)
     bands, rows = banding(threshold, recall, max_hashes)
     signed = stored(signatures(docs, id_col, text_col, n, bands, rows), "ngram_signatures")
     groups = candidates(signed, bands * rows, threshold)

@@ -278,6 +278,24 @@ def test_pairs_of_a_crowded_bucket_are_found(spark, monkeypatch):
         assert got == {10: 10, 11: 10, 20: 20, 21: 20, 30: 30, 31: 30}
 
 
+def test_intersections_from_differences():
+    # near copies of the base, sets that share little or nothing with it, the base itself
+    rng = np.random.default_rng(5)
+    base = np.unique(rng.integers(0, 1 << 63, 300).astype(np.uint64))
+    far = [np.unique(rng.integers(0, 1 << 63, 40 * k).astype(np.uint64)) for k in (1, 4, 9)]
+    near = [np.union1d(np.delete(base, rng.choice(len(base), k, replace=False)), far[0][:k]) for k in (0, 1, 20, 35)]
+    sets = [base, *near, *far, np.union1d(far[2], base[:50]), np.union1d(far[1], base[:250]), base[:2]]
+    like, dot, more, less = zip(*(ngram_join.difference(s, base) for s in sets))
+    assert 0 < sum(like) < len(sets)
+    assert sum(map(len, more)) + sum(map(len, less)) < sum(map(len, sets))
+    for columns in (4096, 7):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(ngram_join, "COLUMNS", columns)
+            common = ngram_join.shared_within(np.array(like), np.array(dot, float), len(base), list(more), list(less))
+        for (i, a), (j, b) in itertools.combinations(enumerate(sets), 2):
+            assert common[i, j] == common[j, i] == len(np.intersect1d(a, b))
+
+
 def test_join_of_no_documents(spark):
     assert ngram_join.similar(frame(spark, [])).count() == 0 and ngram_join.keep_one(frame(spark, [])).count() == 0
 
