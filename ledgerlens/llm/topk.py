@@ -34,17 +34,19 @@ result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import stored
+from ledgerlens.llm.common import bounded_batches, stored
 from ledgerlens.session import ship_package
 
-#: Rows and queries in a block, rows in a group, units of work a core.
-ROWS, QUERIES, GROUP, UNITS = 8192, 256, 1 << 17, 4
+#: Components in a block of rows, queries in a block, rows in a group, units of work a core.
+COMPONENTS, QUERIES, GROUP, UNITS = 1 << 22, 256, 1 << 17, 2
 WORD = (1 << 64) - 1
 
 
@@ -150,8 +152,13 @@ def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> D
     return taking_part.select("id", scaled.alias("y")).select("id", small.alias("v"))
 
 
-def blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
-    """Rows packed into blocks of one dimension: part (the task that packed it), dims, ids, data."""
+def block_rows(dims: int) -> int:
+    """Rows in a block: the fewer, the longer the vectors, so that bitmaps are long and a block's memory is bounded."""
+    return min(GROUP, max(1024, COMPONENTS // max(1, dims)))
+
+
+def blocks(rows: DataFrame, size: Callable[[int], int], name: str) -> DataFrame:
+    """Rows packed into blocks of one dimension, ``size`` (by dimension) rows each: part (the task that packed it), dims, ids, data."""
     ship_package(rows.sparkSession)
 
     def run(batches):
@@ -174,7 +181,7 @@ def blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
             for i, id_ in enumerate(batch.column(0).to_pylist()):
                 v = flat[edge[i] : edge[i + 1]].astype(np.int64)
                 waiting.setdefault(len(v), []).append((id_, v))
-                if len(waiting[len(v)]) >= size:
+                if len(waiting[len(v)]) >= size(len(v)):
                     yield block(len(v))
         for dims in list(waiting):
             yield block(dims)
@@ -191,14 +198,15 @@ def unpacked(dims: int, ids: bytes, data: bytes) -> tuple[np.ndarray, np.ndarray
 def top_k(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20, every: int = 20, scale: int = 64) -> DataFrame:
     """query_id, rank, id, score for the rows whose id is divisible by ``every``, against all other rows."""
     spark = vectors.sparkSession
+    bounded_batches(spark)
     rows = stored(quantised(vectors, id_col, vector_col, scale), "top_rows")
     queries = rows.where(F.col("id") % every == 0).groupBy("id").agg(F.min("v").alias("v"))
     names = [f"query_{id_col}" if id_col == "query_id" else "query_id", id_col, "score"]
     groups = max(1, -(-rows.count() // GROUP))
     # few row groups are shared by several query groups, so that there is work for all cores
     asked = max(1, -(-UNITS * spark.sparkContext.defaultParallelism // groups))
-    against = blocks(rows.repartition(groups), ROWS, "top_blocks").select(F.pmod("part", F.lit(groups)).alias("r"), F.explode(F.sequence(F.lit(0), F.lit(asked - 1))).alias("q"), F.lit(0).alias("kind"), "dims", "ids", "data")
-    asking = blocks(queries.repartition(asked), QUERIES, "top_queries").select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("r"), F.pmod("part", F.lit(asked)).alias("q"), F.lit(1).alias("kind"), "dims", "ids", "data")
+    against = blocks(rows.repartition(groups), block_rows, "top_blocks").select(F.pmod("part", F.lit(groups)).alias("r"), F.explode(F.sequence(F.lit(0), F.lit(asked - 1))).alias("q"), F.lit(0).alias("kind"), "dims", "ids", "data")
+    asking = blocks(queries.repartition(asked), lambda _: QUERIES, "top_queries").select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("r"), F.pmod("part", F.lit(asked)).alias("q"), F.lit(1).alias("kind"), "dims", "ids", "data")
     # in a unit the rows' blocks come first
     units = against.union(asking).repartition(groups * asked, "r", "q").sortWithinPartitions("r", "q", "kind")
 

@@ -10,6 +10,7 @@ import pytest
 from helpers import frame
 from oracle_harness import duck
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from ledgerlens.llm import language, privacy, topk
 
@@ -171,3 +172,21 @@ def test_many_spans_and_terms_of_one_text_are_no_product(spark):
     assert found[1]["n_email"] == 4000 and found[1]["n_term"] == 4000
     clean = {r["doc_id"]: r["text"] for r in privacy.sanitise(frame(spark, rows)).collect()}
     assert clean[1] == " ".join("[EMAIL] " for _ in range(4000)) and clean[10] == "plain words 0"
+
+
+def test_long_vectors_fill_several_blocks(spark):
+    dims, n = 8192, 2500
+    assert topk.block_rows(64) == 1 << 16 and topk.block_rows(dims) == 1024
+    x = F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda i: (F.pmod(F.hash("vec_id", i), F.lit(9)) - 4) / 64)
+    data = spark.range(n).withColumnRenamed("id", "vec_id").withColumn("embedding", F.when(F.col("vec_id") % 500 < 499, x).otherwise(F.slice(x, 1, 3)))
+    found = topk.top_k(data, k=3, every=250)
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in found.collect()}
+    whole = {r["vec_id"]: np.array(r["embedding"]) * 64 for r in data.where("size(embedding) = 8192").toLocalIterator()}
+    ids = np.array(sorted(whole))
+    matrix = np.stack([whole[i] for i in ids])
+    want = {}
+    for q in range(0, n, 250):
+        scores = matrix @ whole[q]
+        best = sorted((-int(s), int(i)) for s, i in zip(scores, ids) if i != q)[:3]
+        want |= {(q, rank): (i, -s) for rank, (s, i) in enumerate(best, 1)}
+    assert got == want
