@@ -91,8 +91,9 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--min-date", type=dt.date.fromisoformat, default=None, help="earliest valid sale date")
     ap.add_argument("--categories", default=None, help="allowed categories, comma-separated (V5)")
     ap.add_argument("--min-rows", type=int, default=None, help="fewest rows of a valid table (V6)")
+    ap.add_argument("--input-gb", type=float, default=None, help="size of the input, for the number of shuffle partitions on a cluster")
     args = ap.parse_args(argv)
-    spark = get_spark(master=args.master)
+    spark = get_spark(master=args.master, input_gb=args.input_gb)
     params = S.Params() if args.csv else fixture.fixture_params()
     categories = tuple(c.strip() for c in args.categories.split(",")) if args.categories else None
     given = {"as_of": args.as_of, "min_date": args.min_date, "allowed_categories": categories, "min_rows": args.min_rows}

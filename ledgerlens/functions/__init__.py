@@ -2,22 +2,16 @@
 
 from ledgerlens.functions.calendar import calendar_columns
 from ledgerlens.functions.labels import band_by_thresholds, revenue_band
-from ledgerlens.functions.numeric import bround_d, money_double, pct, ratio, safe_div
+from ledgerlens.functions.numeric import pct, safe_div
 from ledgerlens.functions.text import standardise, strip_ws, title_case
-from ledgerlens.functions.topk import bottom_key, top_key
 
 __all__ = [
     "band_by_thresholds",
-    "bottom_key",
-    "bround_d",
     "calendar_columns",
-    "money_double",
     "pct",
-    "ratio",
     "revenue_band",
     "safe_div",
     "standardise",
     "strip_ws",
     "title_case",
-    "top_key",
 ]

@@ -15,24 +15,11 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def money_double(c: Column | str) -> Column:
-    """Exact decimal sum/amount presented as DOUBLE."""
-    return _c(c).cast("double")
-
-
 def safe_div(num: Column | str, den: Column | str) -> Column:
     """num/den as DOUBLE; NULL (not inf/exception) for a zero or NULL denominator."""
     return F.try_divide(_c(num).cast("double"), _c(den).cast("double"))
 
 
-def ratio(num: Column | str, den: Column | str, digits: int = 2) -> Column:
-    return F.bround(safe_div(num, den), digits)
-
-
 def pct(num: Column | str, den: Column | str, digits: int = 2) -> Column:
     """round(num / den * 100, digits), half-even; NULL on a zero denominator."""
     return F.bround(safe_div(num, den) * F.lit(100.0), digits)
-
-
-def bround_d(c: Column | str, digits: int = 2) -> Column:
-    return F.bround(_c(c).cast("double"), digits)

@@ -7,6 +7,7 @@ only when none is configured (local runs and tests).
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 
@@ -33,11 +34,13 @@ RUNTIME_CONF = {
 # Local (single-JVM) runs only: the driver JVM is the whole cluster there.
 LOCAL_CONF = {"spark.driver.memory": "8g", "spark.sql.session.timeZone": "UTC"}
 
-# Cluster runs: many shuffle partitions that AQE coalesces to ~256 MB each,
-# so one setting holds from gigabytes to 100 TB; partitions over 5x the
-# median (and 512 MB) are split by AQE's skew-join handling.
+# Cluster runs: many shuffle partitions that AQE coalesces to ~256 MB each;
+# partitions over 5x the median (and 512 MB) are split by AQE's skew-join
+# handling. AQE only merges partitions, so their number before that follows
+# the size of the input (``shuffle_partitions_for``).
+LEAST_PARTITIONS = 8000
 CLUSTER_CONF = {
-    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.shuffle.partitions": str(LEAST_PARTITIONS),
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
@@ -45,12 +48,19 @@ CLUSTER_CONF = {
 }
 
 
+def shuffle_partitions_for(input_gb: float) -> int:
+    """Shuffle partitions for so many GB of input: one a GB, so that a whole input that is shuffled once has reduce tasks of 1 GB at most."""
+    return max(LEAST_PARTITIONS, math.ceil(input_gb))
+
+
 def get_spark(
     app: str = "ledgerlens",
     master: str | None = None,
     shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
+    input_gb: float | None = None,
 ) -> SparkSession:
+    """Session with the defaults above; ``input_gb`` sizes the shuffles of a cluster run that names no number of partitions."""
     local = bool(master and master.startswith("local"))
     builder = SparkSession.builder.appName(app)
     if master:
@@ -65,6 +75,8 @@ def get_spark(
     runtime = dict(RUNTIME_CONF)
     if not local:
         runtime.update(CLUSTER_CONF)
+        if input_gb:
+            runtime["spark.sql.shuffle.partitions"] = str(shuffle_partitions_for(input_gb))
     if shuffle_partitions:
         runtime["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     runtime.update(extra_conf or {})

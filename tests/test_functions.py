@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ledgerlens.functions import calendar_columns, revenue_band, standardise, strip_ws, title_case, top_key, bottom_key
+from ledgerlens.functions import calendar_columns, revenue_band, standardise, strip_ws, title_case
 from ledgerlens.functions.labels import grade, quality_band, risk_level
 
 
@@ -61,12 +61,6 @@ def test_revenue_band_edges(spark):
     assert got == ["nan", "nan", "nan", "Low", "Low", "Medium", "Medium", "High", "Premium"]
 
 
-def test_top_and_bottom_key_ties_take_smallest_key(spark):
-    df = spark.createDataFrame([("b", 10.0), ("a", 10.0), ("c", 1.0), ("d", 1.0)], "k string, v double")
-    r = df.agg(top_key("k", "v").alias("t"), bottom_key("k", "v").alias("b")).first()
-    assert (r.t, r.b) == ("a", "c")
-
-
 def test_threshold_labels(spark):
     df = spark.createDataFrame([(x,) for x in (100.0, 75.0, 74.9, 50.0, 25.0, 0.0)], "s double")
     out = df.select(grade("s").alias("g"), risk_level("s").alias("r"), quality_band("s").alias("q")).collect()
