@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 from ledgerlens import schema as S
 from ledgerlens.functions import calendar_columns, pct, revenue_band, standardise
 from ledgerlens.operators.quantile import iqr_fences
+from ledgerlens.sources import files
 
 REASONS = ("duplicate", "null_critical", "invalid_date", "non_positive", "outlier")
 #: The report's names.
@@ -46,6 +47,13 @@ def as_of_col(params: S.Params) -> Column:
     return F.lit(params.as_of) if params.as_of is not None else F.current_date()
 
 
+# Rows a block of ``rejected_blocks`` stands for: words of a BIGINT's bits.
+WORD_BITS, BLOCK_WORDS = 64, 8
+# Most blocks that are broadcast (some 100 bytes each, 512 million rows in all).
+BROADCAST_BLOCKS = 1_000_000
+# Most distinct values of a text column that are broadcast with their standard form.
+BROADCAST_VALUES = 100_000
+
 _LONG_SHIFT = 2**64
 _LONG_OFFSET = 2**63
 _FIRST_SLOT_MAX = 5_400_000_000_000_000_000
@@ -127,16 +135,21 @@ def mark_first_arrival(raw: DataFrame, params: S.Params) -> DataFrame:
     rows on the large side across tasks. The ids are shuffled a second time
     for the join on purpose: AQE splits a partition only where both sides of a
     join come straight from an exchange, so an aggregate that shared the
-    join's partitioning would leave a hot id's rows in one task.
+    join's partitioning would leave a hot id's rows in one task. Only ids
+    that come more than once are shuffled again; a row without a partner there
+    is the only one of its id.
 
     The arrival key must be unique within an order_id: ``row_id`` of the stored
     raw table makes it so when a feed's own ``load_seq`` repeats; the fixture's
     (loaded_at, load_seq) is checked in the tests.
     """
-    keyed = raw.withColumn("_arrival", arrival_key(params, raw))
-    firsts = keyed.groupBy(F.col("order_id").alias("_oid")).agg(F.min("_arrival").alias("_min_arrival"))
-    j = keyed.join(firsts, keyed["order_id"].eqNullSafe(firsts["_oid"]), "left")
-    return j.withColumn("_first", F.col("_arrival").eqNullSafe(F.col("_min_arrival"))).drop("_oid", "_arrival", "_min_arrival")
+    arrival = arrival_key(params, raw)
+    firsts = raw.select(F.col("order_id").alias("_oid"), arrival.alias("_arrival")).groupBy("_oid").agg(F.min("_arrival").alias("_min_arrival"), F.count(F.lit(1)).alias("_copies"))
+    several = firsts.where("_copies > 1")
+    j = raw.join(several, raw["order_id"].eqNullSafe(several["_oid"]), "left")
+    # the key again, so that its wide number is not shuffled beside its columns
+    first = F.col("_copies").isNull() | arrival.eqNullSafe(F.col("_min_arrival"))
+    return j.withColumn("_first", first).drop("_oid", "_min_arrival", "_copies")
 
 
 def fill_defaults(df: DataFrame) -> DataFrame:
@@ -207,7 +220,7 @@ def write_reasons(raw: DataFrame, params: S.Params, path: str) -> DataFrame:
     """
     spark = raw.sparkSession
     needed = dict.fromkeys(["row_id", "order_id", "total_amount", "sale_date", *_arrival_columns(params, raw)])
-    with_pre_fence_reason(raw.select(*needed), params).select("row_id", "order_id", "total_amount", "drop_reason").write.parquet(path)
+    with_pre_fence_reason(raw.select(*needed), params).select("row_id", "order_id", "total_amount", "drop_reason").write.option("compression", files.CODEC).parquet(path)
     return read_reasons(spark, path, params)
 
 
@@ -218,15 +231,59 @@ def read_reasons(spark: SparkSession, path: str, params: S.Params) -> DataFrame:
     return apply_fences(pre, spark.createDataFrame([tuple(f)], "q1 double, q3 double, iqr double, lower double, upper double"))
 
 
+def rejected_blocks(reasons: DataFrame) -> DataFrame:
+    """block, w0, w1, ...: a bit for every row of the block, set where the row has a reason; blocks without one are left out."""
+    rows = reasons.where(F.col("drop_reason").isNotNull()).select("row_id")
+    bit = F.expr(f"shiftleft(1L, cast(row_id % {WORD_BITS} as int))")
+    words = [F.coalesce(F.bit_or(F.when(_word() == i, bit)), F.lit(0).cast("long")).alias(f"w{i}") for i in range(BLOCK_WORDS)]
+    return rows.groupBy(_block().alias("block")).agg(*words)
+
+
+def _block() -> Column:
+    return F.expr(f"row_id div {WORD_BITS * BLOCK_WORDS}")
+
+
+def _word() -> Column:
+    return F.expr(f"row_id div {WORD_BITS} % {BLOCK_WORDS}")
+
+
 def kept_rows(raw: DataFrame, reasons: DataFrame) -> DataFrame:
-    """Whole raw rows without a reason, with defaults (C3). ``row_id`` is unique, so the join has no hot key."""
-    rejected = reasons.where(F.col("drop_reason").isNotNull()).select("row_id")
-    return fill_defaults(raw.join(rejected, "row_id", "left_anti").drop("row_id"))
+    """Whole raw rows without a reason, with defaults.
 
+    ``row_id`` numbers the rows of a task one after the other, so the rejected
+    ones fit a bit each. Up to ``BROADCAST_BLOCKS`` blocks of bits go to the
+    tasks that scan the raw table, and whole rows are not moved; more are
+    joined by shuffle, by the block (no hot key).
+    """
+    blocks = files.scratch_table(rejected_blocks(reasons), "rejected_blocks")
+    if blocks.count() <= BROADCAST_BLOCKS:
+        blocks = F.broadcast(blocks)
+    word = F.coalesce(*[F.when(_word() == i, F.col(f"w{i}")) for i in range(BLOCK_WORDS)])
+    rejected = F.coalesce(F.getbit(word, F.expr(f"cast(row_id % {WORD_BITS} as int)")) == 1, F.lit(False))
+    joined = raw.join(blocks, _block() == F.col("block"), "left").where(~rejected)
+    return fill_defaults(joined.select(*[c for c in raw.columns if c != "row_id"]))
+
+
+def text_values(df: DataFrame) -> DataFrame:
+    """column, value, standard: the distinct values of the categorical text columns, standardised once each, as a table."""
+    some = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in S.TEXT_COLUMNS])).alias("v")
+    values = df.select(some).select("v.*").where("value is not null").distinct()
+    return files.scratch_table(values.withColumn("standard", standardise("value")), "text_values")
 
-def standardise_text(df: DataFrame) -> DataFrame:
-    """Strip + title-case the categorical text columns."""
-    return df.withColumns({c: standardise(c) for c in S.TEXT_COLUMNS})
+
+def standardise_text(df: DataFrame, texts: DataFrame | None = None) -> DataFrame:
+    """Strip + title-case the categorical text columns.
+
+    ``texts`` (``text_values`` of the rows) has the results; a column of up to
+    ``BROADCAST_VALUES`` values looks them up, another is standardised row by row.
+    """
+    counts = {r["column"]: r["count"] for r in texts.groupBy("column").count().collect()} if texts is not None else {}
+    known = [c for c in S.TEXT_COLUMNS if 0 < counts.get(c, 0) <= BROADCAST_VALUES]
+    out = df.withColumns({c: standardise(c) for c in S.TEXT_COLUMNS if c not in known})
+    for c in known:
+        pairs = texts.where(F.col("column") == c).select(F.col("value").alias(c), F.col("standard").alias(f"_{c}"))
+        out = out.join(F.broadcast(pairs), c, "left").withColumn(c, F.col(f"_{c}")).drop(f"_{c}")
+    return out
 
 
 def derive_columns(df: DataFrame) -> DataFrame:
@@ -236,9 +293,9 @@ def derive_columns(df: DataFrame) -> DataFrame:
     return df.withColumns(cols)
 
 
-def finish(kept: DataFrame) -> DataFrame:
+def finish(kept: DataFrame, texts: DataFrame | None = None) -> DataFrame:
     """C8-C10 and the cleaned projection (S7 column set plus the arrival-order columns)."""
-    out = derive_columns(standardise_text(kept))
+    out = derive_columns(standardise_text(kept, texts))
     order_cols = [c for c in ("loaded_at", "load_seq") if c in out.columns]
     return out.select(*S.CLEANED_COLUMNS, *order_cols)
 

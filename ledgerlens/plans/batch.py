@@ -45,7 +45,10 @@ def clean_and_save(spark: SparkSession, raw: DataFrame, path: str, params: S.Par
     """
     reasons_path = reasons_path or scratch_path(spark, f"sales_reasons_{uuid.uuid4().hex[:12]}")
     reasons = cleaning.write_reasons(raw, params, reasons_path)
-    written = files.write_cleaned(cleaning.finish(cleaning.kept_rows(raw, reasons)), path)
+    # whole rows move here only, and without the columns that ``finish`` derives
+    kept = files.by_month(cleaning.kept_rows(raw, reasons))
+    texts = cleaning.text_values(cleaning.fill_defaults(raw))
+    written = files.write_cleaned(cleaning.finish(kept, texts), path, arranged=True)
     report = cleaning.cleaning_report(reasons).first().asDict()
     if written != report["final_rows"]:
         raise files.UnverifiedWrite(f"{path}: {written} rows written, {report['final_rows']} left by the report")

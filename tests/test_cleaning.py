@@ -198,3 +198,52 @@ def test_csv_reader_accepts_globs(spark, tmp_path):
     assert files.read_raw_csv(spark, str(tmp_path / "part*.csv")).count() == 2
     with pytest.raises(files.MissingInput):
         files.read_raw_csv(spark, str(tmp_path / "nothing*.csv"))
+
+
+def _stored_feed(spark, name):
+    from ledgerlens.session import scratch_path
+
+    path = scratch_path(spark, name)
+    rows = [(i, None if i % 53 == 0 else f"O{i % 900}", float((i * 37) % 991 + 1), D, f" t-SHIRT {i % 5}") for i in range(1500)]
+    files.write_raw(feed(spark, rows).repartition(3), path)
+    return files.read_raw(spark, path), path
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_kept_rows_do_not_move_whole_rows(spark, tmp_path, monkeypatch, broadcast):
+    raw, _ = _stored_feed(spark, f"kept_rows_{broadcast}")
+    if not broadcast:
+        monkeypatch.setattr(cleaning, "BROADCAST_BLOCKS", 0)
+    reasons = cleaning.write_reasons(raw, P, str(tmp_path / "reasons"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for a large table
+    try:
+        kept = cleaning.kept_rows(raw, reasons)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert ("SortMergeJoin" in plan) != broadcast and ("Exchange hashpartitioning" in plan) != broadcast
+    want = reasons.where("drop_reason is null").join(raw, "row_id", "left_semi").select("order_id", "total_amount")
+    got = sorted((r.order_id, r.total_amount) for r in kept.select("order_id", "total_amount").collect())
+    assert got == sorted((r.order_id, r.total_amount) for r in want.collect()) and len(got) > 800
+    assert set(kept.columns) == set(raw.columns) - {"row_id"}
+
+
+@pytest.mark.parametrize("values", [100_000, 0])
+def test_text_is_standardised_once_a_value(spark, monkeypatch, values):
+    monkeypatch.setattr(cleaning, "BROADCAST_VALUES", values)
+    raw, _ = _stored_feed(spark, f"text_values_{values}")
+    rows = cleaning.fill_defaults(raw)
+    texts = cleaning.text_values(rows)
+    assert texts.where("column = 'category'").count() == 5
+    got = cleaning.finish(rows, texts)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert ("BroadcastHashJoin" in plan and "initcap" not in plan) == (values > 0)
+    want = cleaning.finish(rows)
+    assert got.columns == want.columns and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_only_repeated_ids_are_joined_back(spark):
+    raw = feed(spark, [(i, f"O{i}" if i else None, 1.0, D, "x") for i in range(50)] + [(60, "O7", 1.0, D, "x"), (61, None, 1.0, D, "x")])
+    marked = cleaning.mark_first_arrival(raw, P)
+    assert "_copies" in marked._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r.load_seq for r in marked.where("not _first").collect()) == [60, 61] and marked.count() == 52
