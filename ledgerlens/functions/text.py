@@ -44,5 +44,11 @@ def title_case_runs(c: Column | str) -> Column:
 
 
 def standardise(c: Column | str) -> Column:
-    """strip then title-case (cleaning step C8)."""
-    return title_case(strip_ws(c))
+    """strip then title-case (cleaning step C8).
+
+    Text of ASCII letters and spaces only, the bulk of a feed, needs none of
+    the replacements: there ``strip_ws`` is ``trim``, and no word restarts
+    inside a run.
+    """
+    plain = ~F.rlike(_c(c), F.lit("[^A-Za-z ]"))
+    return F.when(plain, F.initcap(F.trim(_c(c)))).otherwise(title_case(strip_ws(c)))

@@ -67,3 +67,11 @@ def test_threshold_labels(spark):
     assert [o.g for o in out] == ["A", "A", "B", "B", "C", "D"]
     assert [o.r for o in out] == ["High", "High", "High", "Medium", "Low", "Low"]
     assert [o.q for o in out] == ["EXCELLENT", "ACCEPTABLE", "POOR", "POOR", "POOR", "POOR"]
+
+
+def test_standardise_of_plain_text_equals_the_general_form(spark):
+    words = ["MIDDLE EAST", "  two   words ", "a", "", "   ", None, "ECONOMY", "t-SHIRT", "x y Z", "\ta b", "ÉCOLE", "NATION_7"]
+    df = spark.createDataFrame([(w,) for w in words], "v string")
+    got = df.select(standardise("v").alias("a"), title_case(strip_ws("v")).alias("b"))
+    assert "trim" in got._jdf.queryExecution().optimizedPlan().toString()
+    assert all(r.a == r.b for r in got.collect())
