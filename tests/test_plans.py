@@ -100,3 +100,38 @@ def test_churn_reads_written_features_only(spark):
     _, held_out, scored, feats = catalog._churn(spark, SF_SMALL)
     for df in (held_out, scored, feats):
         assert "cleaned_sales" not in _plan(df)
+
+
+def test_columns_of_customers_do_not_move_with_the_lines(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for large tables
+    try:
+        plan = _plan(catalog.raw(spark, SF_SMALL))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # lines and part are joined below the join with the orders
+    assert plan.index("hashpartitioning(l_orderkey") < plan.index("hashpartitioning(l_partkey") < plan.index("hashpartitioning(o_orderkey")
+
+
+def test_drops_of_a_large_feed_follow_its_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(catalog, "SMALL_FEED", 0)
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        catalog.write_drops(spark, SF_SMALL, str(tmp_path / "drops"))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len(list((tmp_path / "drops").glob("part-*.csv"))) == 8  # the tasks of the last join
+    assert spark.read.option("header", True).csv(str(tmp_path / "drops")).count() == catalog.raw(spark, SF_SMALL).count()
+
+
+def test_whole_rows_move_once_before_the_cleaned_table(spark):
+    """The exchange by month has the feed's columns, not those that cleaning derives."""
+    from ledgerlens.operators import cleaning
+
+    raw = files.read_raw(spark, f"{catalog._tables(spark, SF_SMALL)}/raw_sales")
+    kept = files.by_month(cleaning.kept_rows(raw, catalog.tagged(spark, SF_SMALL)))
+    plan = _plan(cleaning.finish(kept, cleaning.text_values(cleaning.fill_defaults(raw))))
+    assert plan.count("REBALANCE_PARTITIONS_BY_COL") == 1 and plan.index("revenue_band") < plan.index("REBALANCE_PARTITIONS_BY_COL")
