@@ -20,6 +20,11 @@ def safe_div(num: Column | str, den: Column | str) -> Column:
     return F.try_divide(_c(num).cast("double"), _c(den).cast("double"))
 
 
+def ratio(num: Column | str, den: Column | str, digits: int = 2) -> Column:
+    """round(num / den, digits), half-even; NULL on a zero denominator."""
+    return F.bround(safe_div(num, den), digits)
+
+
 def pct(num: Column | str, den: Column | str, digits: int = 2) -> Column:
     """round(num / den * 100, digits), half-even; NULL on a zero denominator."""
     return F.bround(safe_div(num, den) * F.lit(100.0), digits)
