@@ -13,11 +13,12 @@
    blocks; so a bucket of one group stays linear, and no pair that shares a
    bucket is passed over.
 3. *Verification*: the candidate groups that these pairs connect are checked
-   on full n-gram sets, every pair of texts of a group. The set of each text
-   is made once and stored as its difference from one set of the group, where
-   that is smaller. A group is cut into blocks of about ``BLOCK`` texts and
-   ``BLOCK_BYTES`` of differences, and each pair of blocks is one unit of
-   work: it gets differences, not texts, and has the sizes of all
+   on full n-gram sets, every pair of texts of a group. Texts of other
+   documents are left out where they are read, before any shuffle. The set of
+   each text is made once and stored as its difference from one set of the
+   group, where that is smaller. A group is cut into blocks of about ``BLOCK``
+   texts and ``BLOCK_BYTES`` of differences, and each pair of blocks is one
+   unit of work: it gets differences, not texts, and has the sizes of all
    intersections from their products. A unit returns the number of links of
    each text and a spanning forest of the links, never the pairs.
 4. *Classes*: connected components of the verified links.
@@ -53,6 +54,8 @@ BLOCK, BLOCK_BYTES = 500, 8 << 20
 CROWD = 1000
 #: Columns of the shingle matrix that a unit holds at a time.
 COLUMNS = 4096
+#: Most rows of the filter that is sent to all tasks, 64 bits each.
+WORDS = 1 << 19
 
 
 def banding(threshold: float = THRESHOLD, recall: float = RECALL, max_hashes: int = MAX_HASHES) -> tuple[int, int]:
@@ -261,12 +264,26 @@ def packed_sets(column: pa.Array) -> list[np.ndarray]:
     return [np.frombuffer(x, np.uint64) for x in column.to_pylist()]
 
 
+def likely_members(whole: DataFrame, member: DataFrame) -> DataFrame:
+    """Rows whose digest may be one of member's: all that are, and few others, so that a join after it need not shuffle every text.
+
+    A bit is set for each digest, and the rows of 64 bits (at most ``WORDS``)
+    are broadcast; the more digests there are, the more other rows pass.
+    """
+    mark = F.xxhash64("digest")
+    place = (F.pmod(mark, F.lit(WORDS)).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftrightunsigned(mark, 32), F.lit(64)).cast("int")).alias("bit"))
+    marks = member.select(*place).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    placed = whole.select("*", *place)
+    return placed.join(F.broadcast(marks), (placed["word"] == marks["word"]) & (placed["bit"].bitwiseAND(marks["bits"]) != 0), "left_semi").select(*whole.columns)
+
+
 def differences(docs: DataFrame, signed: DataFrame, groups: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
     """label, key, size, base, like, dot, more, less: the n-gram set of each text of a candidate group, once, by its difference from one set of the group."""
     texts = signed.where(F.size("bands") > 0).groupBy("key", "node").agg(F.min("digest").alias("digest"))
     member = stored(texts.join(groups, "node").select("label", "key", "digest"), "ngram_members")
-    whole = docs.select(F.md5(text_or_empty(text_col).cast("binary")).alias("digest"), text_or_empty(text_col).alias("t")).join(member, "digest")
-    once = whole.groupBy("key").agg(F.first("label").alias("label"), F.first("t").alias("t"))
+    whole = docs.select(F.md5(text_or_empty(text_col).cast("binary")).alias("digest"), text_or_empty(text_col).alias("t"))
+    # a key has one digest here, so a text of each digest is a text of each key
+    once = likely_members(whole, member).groupBy("digest").agg(F.first("t").alias("t")).join(member, "digest").select("key", "label", "t")
 
     def shingled(batches):
         for batch in batches:

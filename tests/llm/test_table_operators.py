@@ -278,6 +278,33 @@ def test_pairs_of_a_crowded_bucket_are_found(spark, monkeypatch):
         assert got == {10: 10, 11: 10, 20: 20, 21: 20, 30: 30, 31: 30}
 
 
+@pytest.mark.parametrize("words", [ngram_join.WORDS, 1])
+def test_only_texts_of_candidate_groups_are_shuffled(spark, monkeypatch, words):
+    # 400 texts of one group each and five near copies, with more copies of two of these; one word of 64 bits lets others pass
+    monkeypatch.setattr(ngram_join, "WORDS", words)
+    rng = random.Random(11)
+    text = lambda: [f"{rng.getrandbits(40):x}" for _ in range(60)]
+    near = text()
+    alike = [" ".join([*near[:k], "other", *near[k + 1 :]]) for k in (0, 1, 58, 59)] + [" ".join(near)]
+    rows = [(i, " ".join(text()), None, None) for i in range(400)] + [(1000 + i, t, None, None) for i, t in enumerate([*alike, *alike[:2]])]
+    docs, plans, store = frame(spark, rows), {}, ngram_join.stored
+
+    def seen(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return store(df, name)
+
+    monkeypatch.setattr(ngram_join, "stored", seen)
+    got = Counter((r["doc_id"], r["class_id"], r["n_links"], r["n_copies"]) for r in ngram_join.similar(docs).collect())
+    assert got == classes_of(rows)[0]
+    # whole texts are filtered in place before anything deals them out
+    assert "Join LeftSemi" in plans["ngram_grams"].partition("Aggregate [digest")[2]
+    digests = [(hashlib.md5(r[1].encode()).hexdigest(), r[1]) for r in rows]
+    member = spark.createDataFrame([(d,) for d, t in digests if t in alike], "digest string")
+    passed = Counter(r["t"] for r in ngram_join.likely_members(spark.createDataFrame(digests, "digest string, t string"), member).collect())
+    assert all(passed[t] == sum(t == r[1] for r in rows) for t in alike)
+    assert len(passed) - len(alike) < (5 if words > 1 else 120)
+
+
 def test_intersections_from_differences():
     # near copies of the base, sets that share little or nothing with it, the base itself
     rng = np.random.default_rng(5)
