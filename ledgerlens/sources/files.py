@@ -35,8 +35,11 @@ BROADCAST_FILES = 200_000
 
 # Of written tables: smaller than Parquet's default by a quarter or so.
 CODEC = "zstd"
-# A table's folder holds one folder a version, and in it this empty file once its rows are verified.
+# A table's folder holds one folder a version, and in it this empty file once its rows are verified. The folder is named
+# like a partition of a column that only it has, so a plain read of a table's folder finds the rows of a single version
+# and fails, in place of mixing them, while there are two. Earlier tables have the value alone as name.
 VERSION, VERIFIED = "version-", "_VERIFIED"
+ANY_VERSION = f"{{{VERSION},version_*={VERSION}}}*"
 
 
 class MissingInput(FileNotFoundError):
@@ -168,13 +171,16 @@ def coerce_raw(df: DataFrame) -> DataFrame:
 
 def versions(spark: SparkSession, path: str) -> list[str]:
     """Folders of a table's verified versions, oldest first."""
-    marks = _glob(spark, f"{path.rstrip('/')}/{VERSION}*/{VERIFIED}")
-    return [m[: -len(VERIFIED) - 1] for m in marks]
+    marks = _glob(spark, f"{path.rstrip('/')}/{ANY_VERSION}/{VERIFIED}")
+    return sorted((m[: -len(VERIFIED) - 1] for m in marks), key=lambda v: v.rsplit(VERSION, 1)[1])
 
 
 def table_path(spark: SparkSession, path: str) -> str:
     """Folder of a table's current rows: its latest verified version, or ``path`` itself if it has none."""
-    return (versions(spark, path) or [path])[-1]
+    found = versions(spark, path)
+    if not found and _exists(spark, f"{path.rstrip('/')}/{ANY_VERSION}"):
+        raise UnverifiedWrite(f"{path}: no verified version")
+    return (found or [path])[-1]
 
 
 def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> int:
@@ -189,7 +195,7 @@ def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) ->
     base = path.rstrip("/")
     old = versions(spark, base)
     number = int(old[-1].rsplit(VERSION, 1)[1].split("-")[0]) + 1 if old else 0
-    new = f"{base}/{VERSION}{number:08d}-{uuid.uuid4().hex[:8]}"
+    new = f"{base}/version_{number}={VERSION}{number:08d}-{uuid.uuid4().hex[:8]}"
     obs = Observation("write_rows")
     w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write
     if partition_by:
@@ -202,7 +208,7 @@ def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) ->
     fs, mark = _hadoop(spark, f"{new}/{VERIFIED}")
     fs.create(mark, True).close()
     keep = {os.path.basename(v) for v in old[-1:]} | {os.path.basename(new)}
-    for v in _glob(spark, f"{base}/{VERSION}*"):
+    for v in _glob(spark, f"{base}/{ANY_VERSION}"):
         if os.path.basename(v) not in keep:
             fs.delete(spark._jvm.org.apache.hadoop.fs.Path(v), True)
     return written

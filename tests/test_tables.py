@@ -63,6 +63,38 @@ def test_the_version_before_stays_for_its_readers(spark):
     assert files.read_table(spark, path).count() == 0
 
 
+def test_a_plain_read_never_mixes_versions(spark):
+    path = fresh(spark, "replace")
+    files.write_table(spark.range(6).withColumn("year", F.col("id") % 2), path, partition_by=("year",))
+    assert sorted(r["id"] for r in spark.read.parquet(path).select("id").collect()) == list(range(6))
+    assert sorted(files.read_table(spark, path).columns) == ["id", "year"]
+    for n in range(1, 12):  # the order of versions is that of their numbers
+        files.write_table(spark.range(n).withColumn("year", F.col("id") % 2), path, partition_by=("year",))
+        assert files.read_table(spark, path).count() == n and len(files.versions(spark, path)) == 2
+    with pytest.raises(Exception, match="CONFLICTING_PARTITION_COLUMN_NAMES"):
+        spark.read.parquet(path).count()
+
+
+def test_a_first_write_that_fails_is_not_read(spark):
+    path = fresh(spark, "replace")
+    with pytest.raises(PySparkException):
+        files.write_table(failing(spark, 100), path)
+    with pytest.raises(files.UnverifiedWrite, match="no verified version"):
+        files.read_table(spark, path)
+
+
+def test_versions_of_earlier_tables_are_read_and_replaced(spark):
+    path = fresh(spark, "replace")
+    old = f"{path}/version-00000006-0a1b2c3d"
+    spark.range(3).write.parquet(old)
+    spark.createDataFrame([("",)], "value string").coalesce(1).write.text(f"{old}/_VERIFIED")
+    assert files.read_table(spark, path).count() == 3
+    files.write_table(spark.range(4), path)
+    assert files.read_table(spark, path).count() == 4 and [spark.read.parquet(v).count() for v in files.versions(spark, path)] == [3, 4]
+    files.write_table(spark.range(5), path)
+    assert [spark.read.parquet(v).count() for v in files.versions(spark, path)] == [4, 5]
+
+
 # --- roll-up
 
 
