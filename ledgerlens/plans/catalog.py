@@ -31,7 +31,7 @@ from ledgerlens.operators import (
     trends,
 )
 from ledgerlens.plans import oracle as O
-from ledgerlens.session import scratch_path
+from ledgerlens.session import REMOVE_SHUFFLES, scratch_path, set_conf
 from ledgerlens.sources import files, fixture
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -284,14 +284,21 @@ def s01_s02_csv_ingest(spark, sf):
 
 # Bytes of lineitem up to which the feed would be written by a few tasks anyway.
 SMALL_FEED = 32 << 20
+# Most rows of a drop: a compressed one is read by one task, from its start to its end.
+DROP_ROWS = 2_000_000
 
 
-def write_drops(spark: SparkSession, sf: str, path: str) -> None:
-    """The feed as several CSV drops: one from each task that joins it, so that none grows with the feed; four of a small one."""
+def write_drops(spark: SparkSession, sf: str, path: str, codec: str = "none") -> None:
+    """The feed as several CSV drops: one or more from each task that joins it, so that none grows with the feed; four of a small one.
+
+    The shuffles of the joins are removed as soon as the drops are written.
+    """
     feed = raw(spark, sf).select(*RAW_COLS_NO_SEQ)
     if files.size(spark, f"{sf}/lineitem.parquet") <= SMALL_FEED:
         feed = feed.repartition(4)
-    feed.write.option("header", True).csv(path)
+    out = feed.write.option("header", True).option("compression", codec).option("zlib.compress.level", "BEST_SPEED")
+    with set_conf(spark, REMOVE_SHUFFLES, "true"):
+        out.option("maxRecordsPerFile", DROP_ROWS).csv(path)
 
 
 @register("s01_s03_stream_ingest", q("SELECT " + ", ".join(RAW_COLS_NO_SEQ) + " FROM raw_sales"), money=MONEY4)
@@ -300,7 +307,7 @@ def s01_s03_stream_ingest(spark, sf):
     from ledgerlens.streaming import ingest
 
     base = scratch_path(spark, f"stream_{_tag(sf)}_{uuid.uuid4().hex[:8]}")
-    write_drops(spark, sf, f"{base}/drops")
+    write_drops(spark, sf, f"{base}/drops", "gzip")
     q_ = ingest.start_ingest(spark, f"{base}/drops", f"{base}/raw_sales", f"{base}/_checkpoint")
     q_.awaitTermination()
     return ingest.read_ingested(spark, f"{base}/raw_sales").select(*RAW_COLS_NO_SEQ)

@@ -10,6 +10,8 @@ from __future__ import annotations
 import math
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -114,6 +116,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return base.rstrip("/") + "/tables/" + name
 
 
+# With this, a query's shuffle files are removed when it ends; else they stay until the driver collects garbage, half an hour or longer.
+REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def set_conf(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A runtime setting for the queries that run in here."""
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if old is None else spark.conf.set(key, old)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -33,6 +33,9 @@ POSITION_BITS = 40
 BROADCAST_FILES = 200_000
 
 
+# Ends of the names of files that one task reads from start to end, as Spark cannot split them.
+UNSPLIT = (".gz", ".deflate", ".lz4", ".snappy", ".zst")
+
 # Of written tables: smaller than Parquet's default by a quarter or so.
 CODEC = "zstd"
 # A table's folder holds one folder a version, and in it this empty file once its rows are verified. The folder is named

@@ -25,9 +25,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlens import schema as S
+from ledgerlens.session import set_conf
 from ledgerlens.sources import files
 
 
+# Tasks that read files, at least; Spark's own default is the number of cores.
+LEAST_TASKS = "spark.sql.files.minPartitionNum"
+
+
 def first_seq(highest: int | None) -> int:
     """First ``load_seq`` of a batch: the next file number after the highest value written so far."""
     return 0 if highest is None else ((highest >> files.POSITION_BITS) + 1) << files.POSITION_BITS
@@ -50,7 +55,10 @@ def _write_batch(table_path: str):
         base = first_seq(_highest(spark, table_path, batch_id))
         rows = files.read_mixed_csv(spark, paths)
         numbered = rows.withColumn("load_seq", F.col("load_seq") + F.lit(base)).withColumn("loaded_at", F.localtimestamp())
-        files.coerce_raw(numbered).write.mode("overwrite").parquet(f"{table_path.rstrip('/')}/batch_id={batch_id}")
+        # a task for each file that cannot be split: packed by size, a few tasks would read several while others wait
+        tasks = max(sum(p.endswith(files.UNSPLIT) for p in paths), int(spark.conf.get(LEAST_TASKS, None) or spark.sparkContext.defaultParallelism))
+        with set_conf(spark, LEAST_TASKS, str(tasks)):
+            files.coerce_raw(numbered).write.mode("overwrite").option("compression", files.CODEC).parquet(f"{table_path.rstrip('/')}/batch_id={batch_id}")
 
     return write
 

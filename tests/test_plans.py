@@ -1,10 +1,12 @@
 """Physical plan checks: pushdown and pruning reach the Parquet scan of the cleaned table."""
 
+import time
+
 from conftest import SF_SMALL
 from ledgerlens import schema as S
 from ledgerlens.operators import kpis, trends
 from ledgerlens.plans import catalog
-from ledgerlens.session import scratch_path
+from ledgerlens.session import REMOVE_SHUFFLES, scratch_path, set_conf
 from ledgerlens.sources import files
 
 
@@ -127,6 +129,35 @@ def test_drops_of_a_large_feed_follow_its_size(spark, tmp_path, monkeypatch):
     assert spark.read.option("header", True).csv(str(tmp_path / "drops")).count() == catalog.raw(spark, SF_SMALL).count()
 
 
+def test_stream_ingest_keeps_little_on_disk(spark, tmp_path, monkeypatch):
+    """The drops are compressed, and the shuffles of the join do not stay while they are loaded."""
+    from ledgerlens.streaming import ingest
+
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return {f for f in str(disk.getAllFiles().mkString(" ")).split() if "/shuffle_" in f}
+
+    left = []
+
+    def loads(*args, start=ingest.start_ingest):
+        until = time.time() + 20  # they are removed in the background
+        while shuffles() - before and time.time() < until:
+            time.sleep(0.2)
+        left.extend(shuffles() - before)
+        return start(*args)
+
+    monkeypatch.setattr(catalog, "scratch_path", lambda _, name: str(tmp_path / name.split("_")[0]))
+    monkeypatch.setattr(ingest, "start_ingest", loads)
+    with set_conf(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):  # as for large tables
+        before = shuffles()
+        n = catalog.s01_s03_stream_ingest(spark, SF_SMALL).count()
+    assert n == catalog.raw(spark, SF_SMALL).count() and not left
+    assert spark.conf.get(REMOVE_SHUFFLES) == "false"
+    catalog.write_drops(spark, SF_SMALL, str(tmp_path / "plain"))
+    assert files.size(spark, str(tmp_path / "stream" / "drops")) * 3 < files.size(spark, str(tmp_path / "plain"))
+
+
 def test_whole_rows_move_once_before_the_cleaned_table(spark):
     """The exchange by month has the feed's columns, not those that cleaning derives."""
     from ledgerlens.operators import cleaning

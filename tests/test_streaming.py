@@ -1,5 +1,6 @@
 """Incremental CSV ingest (Structured Streaming, availableNow): only new drops are loaded."""
 
+import gzip
 import os
 
 from ledgerlens import schema as S
@@ -77,3 +78,22 @@ def test_stream_and_batch_number_the_same_files_alike(spark, tmp_path):
     ingest.start_ingest(spark, str(src), table, str(tmp_path / "ckpt")).awaitTermination()
     streamed = {r.order_id: r.load_seq for r in ingest.read_ingested(spark, table).collect()}
     assert streamed == {r.order_id: r.load_seq for r in files.read_raw_csv(spark, str(src)).collect()}
+
+
+def test_compressed_files_are_loaded_alike_one_a_task(spark, tmp_path):
+    got = {}
+    for kind in ("plain", "gz"):
+        src, table = tmp_path / kind, str(tmp_path / f"raw_{kind}")
+        src.mkdir()
+        for k in range(24):
+            _drop(src / f"{k:02d}.csv", [(f"O{k}-{i}", "3.00") for i in range(50)])
+            if kind == "gz":
+                (src / f"{k:02d}.csv.gz").write_bytes(gzip.compress((src / f"{k:02d}.csv").read_bytes()))
+                (src / f"{k:02d}.csv").unlink()
+            os.utime(next(src.glob(f"{k:02d}.*")), (1_000_000 + k, 1_000_000 + k))
+        ingest.start_ingest(spark, str(src), table, str(tmp_path / f"ckpt_{kind}")).awaitTermination()
+        rows = ingest.read_ingested(spark, table)
+        got[kind] = [tuple(r) for r in rows.drop("loaded_at", "load_seq").orderBy("load_seq").collect()]
+    assert got["gz"] == got["plain"] and len(got["gz"]) == 24 * 50
+    assert len(list((tmp_path / "raw_gz" / "batch_id=0").glob("part-*.parquet"))) == 24
+    assert spark.conf.get(ingest.LEAST_TASKS, None) is None
